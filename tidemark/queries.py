@@ -157,15 +157,18 @@ def _null_key_events(spark, sf):
     )
 
 
+NULL_KEY_CUTOFF = "2024-01-01 12:00:00"
+
+
 def q_anti_join_null_keys(spark, sf):
     s = _null_key_events(spark, sf)
-    landed = s.where(F.col("ts") < _ts("2024-01-15"))
+    landed = s.where(F.col("ts") < _ts(NULL_KEY_CUTOFF))
     return new_records(s, landed, "k").select("event_id", "k")
 
 
 def q_anti_join_null_safe(spark, sf):
     s = _null_key_events(spark, sf)
-    landed = s.where(F.col("ts") < _ts("2024-01-15"))
+    landed = s.where(F.col("ts") < _ts(NULL_KEY_CUTOFF))
     return new_records(s, landed, "k", null_safe=True).select("event_id", "k")
 
 
@@ -436,10 +439,10 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = s.l_orderkey
 GROUP BY l_orderkey, l_linenumber""",
     "anti_join_null_keys": _NULL_KEY_CTE + """
 SELECT event_id, k FROM s a WHERE NOT EXISTS
-  (SELECT 1 FROM s b WHERE b.ts < TIMESTAMP '2024-01-15' AND a.k = b.k)""",
+  (SELECT 1 FROM s b WHERE b.ts < TIMESTAMP '2024-01-01 12:00:00' AND a.k = b.k)""",
     "anti_join_null_safe": _NULL_KEY_CTE + """
 SELECT event_id, k FROM s a WHERE NOT EXISTS
-  (SELECT 1 FROM s b WHERE b.ts < TIMESTAMP '2024-01-15' AND a.k IS NOT DISTINCT FROM b.k)""",
+  (SELECT 1 FROM s b WHERE b.ts < TIMESTAMP '2024-01-01 12:00:00' AND a.k IS NOT DISTINCT FROM b.k)""",
     "anti_join_shuffle": """SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l
   WHERE l.l_orderkey = o.o_orderkey AND l.l_shipdate < TIMESTAMP '1997-01-01')""",
     "flatten_items": f"SELECT {_EVENT_FLAT_SQL_COLUMNS} FROM events",
