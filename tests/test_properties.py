@@ -1,0 +1,30 @@
+"""After any series of runs with non-NULL unique keys: landed keys = union of source keys, once each."""
+
+import tempfile
+from datetime import datetime, timedelta
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tidemark.config import TableConfig
+from tidemark.plans.landing import land_table
+from tidemark.sources.landed import read_landed
+
+runs = st.lists(st.sets(st.integers(0, 40), min_size=1, max_size=15), min_size=1, max_size=3)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(runs=runs)
+def test_landed_is_union_without_repeats(spark, runs):
+    root = tempfile.mkdtemp(prefix="tidemark-prop-")
+    cfg = TableConfig("p", root, "k", "unused", source_format="parquet")
+    t0 = datetime(2025, 1, 1)
+    for i, keys in enumerate(runs):
+        src = spark.createDataFrame([(str(k), i) for k in sorted(keys)], "k string, run int")
+        land_table(spark, cfg, t0 + timedelta(seconds=i), source=src)
+    landed = [r["k"] for r in read_landed(spark, root).select("k").collect()]
+    assert sorted(landed) == sorted({str(k) for keys in runs for k in keys})
+    # the same source again adds nothing
+    again = spark.createDataFrame([(str(k), 9) for k in sorted(runs[-1])], "k string, run int")
+    rep = land_table(spark, cfg, t0 + timedelta(hours=1), source=again)
+    assert rep.new_rows == 0

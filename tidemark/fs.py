@@ -26,3 +26,17 @@ def is_committed(spark: SparkSession, folder: str) -> bool:
 def delete(spark: SparkSession, path: str) -> bool:
     p, fs = _path_and_fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def remove_run_folder(spark: SparkSession, folder: str, root: str) -> None:
+    """Delete ``folder`` and then each parent below ``root`` that is left empty."""
+    delete(spark, folder)
+    root_p, fs = _path_and_fs(spark, root.rstrip("/"))
+    root_uri = fs.makeQualified(root_p).toString().rstrip("/")
+    p, _ = _path_and_fs(spark, folder.rstrip("/"))
+    p = fs.makeQualified(p).getParent()
+    while p is not None and p.toString().rstrip("/") != root_uri and p.toString().startswith(root_uri):
+        if not fs.exists(p) or len(fs.listStatus(p)) > 0:
+            break
+        fs.delete(p, False)
+        p = p.getParent()

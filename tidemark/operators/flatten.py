@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.attributes import decode_attribute
-from tidemark.sources.items import ITEM_COL, RAW_COL
+from tidemark.sources.items import ITEM_COL, RAW_COL, raw_attribute
 
 
 def discover_fields(items: DataFrame, item_col: str = ITEM_COL) -> DataFrame:
@@ -40,7 +40,9 @@ def flatten_items(
     """One nullable string column per field, sorted by name; absent attribute -> NULL.
 
     ``fields`` skips the discovery pass when the caller knows them. ``keep``
-    carries extra columns of ``items`` through unchanged (first).
+    carries extra columns of ``items`` through unchanged (first). ``raw_col``
+    holds the export line; it is parsed only for attributes with an unknown
+    tag (a conditional branch, so no eager second parse).
     """
     names = sorted(fields) if fields is not None else field_names(items, item_col)
     item = F.col(item_col)
@@ -48,6 +50,6 @@ def flatten_items(
     cols = [F.col(c) for c in keep]
     for name in names:
         attr = F.try_element_at(item, F.lit(name))
-        raw = F.try_element_at(F.col(raw_col), F.lit(name)) if has_raw else None
+        raw = raw_attribute(F.col(raw_col), name) if has_raw else None
         cols.append(decode_attribute(attr, raw, keep_binary).alias(name))
     return items.select(*cols)

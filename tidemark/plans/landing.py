@@ -144,7 +144,7 @@ def land_table(
     report.source_rows = int(seen.get["rows"])
     report.new_rows = written
     if written == 0:
-        fs.delete(spark, folder)
+        fs.remove_run_folder(spark, folder, config.root)
         report.mode = "none"
     return report
 

@@ -16,18 +16,23 @@ _LINE_RAW = T.StructType([T.StructField("Item", RAW_ITEM_TYPE, True)])
 
 
 def parse_items(lines: DataFrame, text_col: str = "value") -> DataFrame:
-    """Parse export lines to ``item`` (typed map) and ``raw`` (attribute -> own JSON text).
+    """Parse export lines to ``item`` (typed map); keep the line text as ``raw``.
 
-    ``raw`` is only read for attributes whose tag is unknown, so it stays a
-    lazy expression; Catalyst keeps both parses in one projection.
+    Each line is parsed once. The line is parsed a second time (see
+    :func:`raw_attribute`) only for an attribute whose tag is unknown.
     """
     text = F.col(text_col)
     return lines.select(
         F.from_json(text, _LINE_TYPED)["Item"].alias(ITEM_COL),
-        F.from_json(text, _LINE_RAW)["Item"].alias(RAW_COL),
+        text.alias(RAW_COL),
     )
 
 
+def raw_attribute(raw_line: Column, name: str) -> Column:
+    """The JSON text of attribute ``name`` as written in the export line."""
+    return F.try_element_at(F.from_json(raw_line, _LINE_RAW)["Item"], F.lit(name))
+
+
 def read_items_json(spark: SparkSession, path: str, **options) -> DataFrame:
     """Read item export lines (optionally compressed) as ``item``, ``raw``.
 
@@ -43,4 +48,4 @@ def items_of(df: DataFrame, item: str | Column = ITEM_COL) -> DataFrame:
     """Frame with an item map column into the (item, raw) shape the flatteners expect."""
     c = F.col(item) if isinstance(item, str) else item
     return df.select(c.cast(T.MapType(T.StringType(), ATTRIBUTE_TYPE)).alias(ITEM_COL),
-                     F.lit(None).cast(RAW_ITEM_TYPE).alias(RAW_COL))
+                     F.lit(None).cast(T.StringType()).alias(RAW_COL))
