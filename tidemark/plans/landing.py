@@ -20,6 +20,7 @@ from tidemark.operators.diff import new_records
 from tidemark.operators.flatten import flatten_items
 from tidemark.operators.quality import DEFAULT_RULES, evaluate_rules
 from tidemark.operators.stamp import stamp_run
+from tidemark.plans.partitioning import ensure_parallelism
 from tidemark.sinks.runs import write_run
 from tidemark.sources.items import ITEM_COL, read_items_json
 from tidemark.sources.landed import read_landed
@@ -71,16 +72,12 @@ def _is_item_frame(df: DataFrame) -> bool:
 
 
 def load_source(spark: SparkSession, config: TableConfig) -> DataFrame:
-    """Source rows of a table: items are flattened to sorted text columns, other frames pass as-is."""
+    """Source rows of a table; items stay items here (``land_table`` flattens them)."""
     if callable(config.source):
-        df = config.source(spark)
-    elif config.source_format == "items_json":
-        df = read_items_json(spark, config.source, **config.options)
-    else:
-        df = spark.read.options(**config.options).parquet(config.source)
-    if _is_item_frame(df):
-        df = flatten_items(df, fields=config.fields)
-    return df
+        return config.source(spark)
+    if config.source_format == "items_json":
+        return read_items_json(spark, config.source, **config.options)
+    return spark.read.options(**config.options).parquet(config.source)
 
 
 def land_table(
@@ -111,7 +108,7 @@ def land_table(
             raise FileExistsError(f"run folder {folder} already holds a finished run")
         fs.delete(spark, folder)
 
-    src = source if source is not None else load_source(spark, config)
+    src = ensure_parallelism(source if source is not None else load_source(spark, config))
     if _is_item_frame(src):
         src = flatten_items(src, fields=config.fields)
     missing = [k for k in config.keys if k not in src.columns]

@@ -24,6 +24,7 @@ from tidemark.operators.quality import ColumnCount, IsComplete, RowCount, check_
 from tidemark.operators.schema import enforce_schema, infer_schema, unified_string_schema
 from tidemark.operators.stamp import sample_rows, stamp_run
 from tidemark.plans.landing import land_table, land_tables
+from tidemark.plans.partitioning import ensure_parallelism
 from tidemark.session import scratch_folder
 from tidemark.sinks.runs import FILE_KEY, write_run
 from tidemark.sources.items import items_of, read_items_json
@@ -35,7 +36,7 @@ RUN_2 = datetime(2025, 1, 2, 0, 0, 0)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _ts(text: str) -> Column:
