@@ -40,3 +40,25 @@ def remove_run_folder(spark: SparkSession, folder: str, root: str) -> None:
             break
         fs.delete(p, False)
         p = p.getParent()
+
+
+def read_marker(spark: SparkSession, path: str) -> str | None:
+    """Text of a small marker file, or None when it does not exist."""
+    p, fs = _path_and_fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()
+
+
+def write_marker(spark: SparkSession, path: str, text: str) -> None:
+    """Create or replace a small marker file holding ``text``."""
+    p, fs = _path_and_fs(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.writeUTF(text)
+    finally:
+        stream.close()

@@ -30,6 +30,7 @@ from tidemark.sinks.runs import FILE_KEY, write_run
 from tidemark.sources.items import items_of, read_items_json
 from tidemark.sources.landed import read_landed
 from tidemark.sources.scan import read_items_scan
+from tidemark.streaming.landing import land_stream
 
 RUN_1 = datetime(2025, 1, 1, 0, 0, 0)
 RUN_2 = datetime(2025, 1, 2, 0, 0, 0)
@@ -365,6 +366,18 @@ def q_land_items(spark, sf):
     return landed.select("event_id", "event_type", "u", "processed_date", "processed_at")
 
 
+def q_stream_landing(spark, sf):
+    """Export files arrive one per micro-batch; each batch lands as its own run folder."""
+    events = _t(spark, sf, "events")
+    source = _write_export(spark, events, "stream-source", files=4)
+    root = scratch_folder(spark, "landed-stream")
+    query = land_stream(spark, TableConfig("events", root, "event_id", source), source,
+                        checkpoint_location=scratch_folder(spark, "stream-checkpoint"),
+                        max_files_per_trigger=1)
+    query.awaitTermination()
+    return read_landed(spark, root).select("event_id", "event_type", "u")
+
+
 def q_land_tables(spark, sf):
     configs = [
         _config(spark, "conversations", "conv_id,turn",
@@ -404,6 +417,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_extract": q_incremental_extract,
     "incremental_rerun": q_incremental_rerun,
     "land_items": q_land_items,
+    "stream_landing": q_stream_landing,
     "land_tables": q_land_tables,
 }
 
@@ -501,6 +515,8 @@ FROM lineitem GROUP BY 1""",
   CASE WHEN ts < TIMESTAMP '2024-01-15' THEN '2025-01-01' ELSE '2025-01-02' END AS processed_date,
   CASE WHEN ts < TIMESTAMP '2024-01-15' THEN '2025-01-01 00:00:00' ELSE '2025-01-02 00:00:00' END AS processed_at
 FROM events""",
+    "stream_landing": """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
+  concat('{"ZZ":', CAST(user_id AS VARCHAR), '}') AS u FROM events""",
     "land_tables": """SELECT 'conversations' AS table_name, 'composite' AS key_kind, 'SUCCEEDED' AS status,
   count(*) AS source_rows, count(*) AS new_rows FROM conversations
 UNION ALL SELECT 'orders', 'single', 'SUCCEEDED', count(*), count(*) FROM orders""",

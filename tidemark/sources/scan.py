@@ -132,8 +132,15 @@ def register(spark) -> None:
     spark.dataSource.register(ItemScanDataSource)
 
 
-def read_items_scan(spark, table: str, client_factory: str, segments: int = 1, **client_options):
-    """Scan a table with ``segments`` parallel tasks; returns ``item``, ``raw`` like read_items_json."""
+def read_items_scan(spark, table: str, client_factory: str, segments: int = 1, stage: bool = True,
+                    **client_options):
+    """Scan a table with ``segments`` parallel tasks; returns ``item``, ``raw`` like read_items_json.
+
+    With ``stage`` (default) the scanned lines are checkpointed once to the
+    session's checkpoint folder, so field discovery and landing read one
+    consistent snapshot and the live table is scanned a single time.
+    """
+    from tidemark.session import checkpoint_root
     from tidemark.sources.items import parse_items
 
     register(spark)
@@ -145,4 +152,8 @@ def read_items_scan(spark, table: str, client_factory: str, segments: int = 1, *
     )
     for k, v in client_options.items():
         reader = reader.option(f"client.{k}", str(v))
-    return parse_items(reader.load())
+    lines = reader.load()
+    if stage:
+        checkpoint_root(spark)
+        lines = lines.checkpoint(eager=True)
+    return parse_items(lines)
