@@ -112,3 +112,34 @@ def test_distinct_and_filter_keys(spark):
     assert filter_keys(df, "a,b", [(1, 2), (2, None)]).count() == 1
     assert filter_keys(df, "a,b", [(2, None)], null_safe=True).count() == 1
     assert filter_keys(df, "a,b", []).count() == 0
+
+
+def test_shuffle_path_splits_hot_source_key(spark):
+    """AQE splits the partition of a key holding a third of the rows (and of NULL keys)."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 600_000
+        for hot in (F.lit(7), F.lit(None)):
+            src = spark.range(n).select(
+                F.when(F.col("id") % 3 == 0, hot).otherwise(F.col("id")).alias("k"),
+                F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+            landed = spark.range(0, n, 2).select(F.col("id").alias("k"))
+            out = new_records(src, landed, "k", strategy="shuffle").agg(
+                F.count(F.lit(1)).alias("n"), F.sum(F.hash("payload")).alias("h"))
+            assert out.collect()[0]["n"] == n // 3 + n // 3
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

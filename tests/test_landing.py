@@ -159,3 +159,20 @@ def test_land_tables_report(spark, tmp_path):
     assert "missing" in rep["bad"]["error"]
     rep2 = land_tables(spark, [good, pair], T2, max_parallel_tables=2).collect()
     assert all(r["status"] == "SUCCEEDED" and r["new_rows"] == 0 for r in rep2)
+
+
+def test_per_key_hot_key_is_split_over_files(spark, tmp_path):
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        n = 300_000
+        df = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("k"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        folder = str(tmp_path / "run")
+        assert write_run(df, folder, layout="per_key", keys=["k"]) == n
+        hot = os.path.join(folder, f"{FILE_KEY}=hot")
+        assert len([f for f in os.listdir(hot) if f.endswith(".parquet")]) > 1
+        assert spark.read.parquet(hot).count() == n // 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)

@@ -16,6 +16,7 @@ DEFAULT_AUDIT_NAMES = ("processed_date", "processed_at")
 SOURCE_FORMATS = ("items_json", "parquet")
 LAYOUTS = ("compact", "per_key")
 ON_EMPTY = ("error", "skip")
+JOIN_STRATEGIES = ("auto", "broadcast", "shuffle")
 
 SourceSpec = Union[str, Callable[[SparkSession], DataFrame]]
 
@@ -51,6 +52,7 @@ class TableConfig:
     on_empty: str = "error"
     audit_names: tuple[str, str] = DEFAULT_AUDIT_NAMES
     broadcast_max_bytes: int | None = None
+    join_strategy: str = "auto"
     catalog_database: str | None = None
     catalog_table: str | None = None
     options: dict = field(default_factory=dict, hash=False, compare=False)
@@ -61,6 +63,8 @@ class TableConfig:
             raise ValueError(f"source_format must be one of {SOURCE_FORMATS}")
         if self.layout not in LAYOUTS:
             raise ValueError(f"layout must be one of {LAYOUTS}")
+        if self.join_strategy not in JOIN_STRATEGIES:
+            raise ValueError(f"join_strategy must be one of {JOIN_STRATEGIES}")
         if self.on_empty not in ON_EMPTY:
             raise ValueError(f"on_empty must be one of {ON_EMPTY}")
         if len(self.audit_names) != 2 or len(set(self.audit_names)) != 2:

@@ -87,7 +87,7 @@ def land_table(
     source: DataFrame | None = None,
     rules: Sequence = DEFAULT_RULES,
     fail_on_violation: bool = False,
-    strategy: str = "auto",
+    strategy: str | None = None,
 ) -> RunReport:
     """Land the records of one table whose key is not landed yet.
 
@@ -98,6 +98,13 @@ def land_table(
     no folder. A folder of the same run left unfinished by an earlier
     attempt (no ``_SUCCESS``) is removed first, so a retry never reads its
     partial files as landed.
+
+    Jobs per run stay constant as rows grow: field discovery (items without
+    ``config.fields``), a one-row emptiness probe, data rules if any, the
+    landed-key size bound (``join_strategy="auto"``) and the write.
+    ``source_rows`` is counted by an Observation beside the join input; if a
+    stage is re-run after an executor loss it can over-count, ``new_rows``
+    (counted in the writing stage) cannot.
     """
     run_at = run_at or datetime.now()
     folder = run_folder(config.root, run_at)
@@ -133,7 +140,8 @@ def land_table(
     seen = Observation()
     observed = src.observe(seen, F.count(F.lit(1)).alias("rows"))
     new = new_records(
-        observed, landed, config.keys, config.null_safe, strategy, config.broadcast_max_bytes
+        observed, landed, config.keys, config.null_safe, strategy or config.join_strategy,
+        config.broadcast_max_bytes,
     )
     written = write_run(
         stamp_run(new, run_at, config.audit_names), folder, config.layout, config.keys
