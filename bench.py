@@ -21,6 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.config import TableConfig  # noqa: E402
 from tidemark.plans.landing import land_table  # noqa: E402
+from tidemark.plans.partitioning import ensure_parallelism  # noqa: E402
 from tidemark.queries import QUERIES  # noqa: E402
 from tidemark.session import local_session, scratch_folder  # noqa: E402
 
@@ -30,7 +31,7 @@ RUN_3 = datetime(2025, 1, 3)
 
 
 def _table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def land_lineitem(spark, sf_dir):

@@ -22,7 +22,7 @@ from tidemark.operators.quality import DEFAULT_RULES, evaluate_rules
 from tidemark.operators.stamp import stamp_run
 from tidemark.plans.partitioning import ensure_parallelism
 from tidemark.sinks.runs import write_run
-from tidemark.sources.items import ITEM_COL, read_items_json
+from tidemark.sources.items import ITEM_COL, parse_items
 from tidemark.sources.landed import read_landed
 
 
@@ -72,12 +72,17 @@ def _is_item_frame(df: DataFrame) -> bool:
 
 
 def load_source(spark: SparkSession, config: TableConfig) -> DataFrame:
-    """Source rows of a table; items stay items here (``land_table`` flattens them)."""
+    """Source rows of a table; items stay items here (``land_table`` flattens them).
+
+    File sources are plain scans, so they get the input parallelism guard;
+    a callable's frame is used as built.
+    """
     if callable(config.source):
         return config.source(spark)
     if config.source_format == "items_json":
-        return read_items_json(spark, config.source, **config.options)
-    return spark.read.options(**config.options).parquet(config.source)
+        lines = spark.read.options(**config.options).text(config.source)
+        return parse_items(ensure_parallelism(lines))
+    return ensure_parallelism(spark.read.options(**config.options).parquet(config.source))
 
 
 def land_table(
@@ -115,7 +120,7 @@ def land_table(
             raise FileExistsError(f"run folder {folder} already holds a finished run")
         fs.delete(spark, folder)
 
-    src = ensure_parallelism(source if source is not None else load_source(spark, config))
+    src = source if source is not None else load_source(spark, config)
     if _is_item_frame(src):
         src = flatten_items(src, fields=config.fields)
     missing = [k for k in config.keys if k not in src.columns]

@@ -111,6 +111,7 @@ def _event_export_lines(events: DataFrame) -> DataFrame:
 
 
 def _write_export(spark: SparkSession, events: DataFrame, label: str, files: int | None = None) -> str:
+    """Write events as export lines (``files`` text files when given)."""
     folder = scratch_folder(spark, label)
     lines = _event_export_lines(events)
     if files:
