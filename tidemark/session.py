@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -48,3 +51,31 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder under the shared checkpoint root for one written table or tree."""
     return f"{checkpoint_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+_ship_lock = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidemark`` importable in Python workers (once per application).
+
+    Zips the installed package on the driver and adds it with ``addPyFile``,
+    Spark's way of distributing Python code to executors. Needed where
+    worker-side Python imports package code (the scan data source).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    with _ship_lock:
+        if app in _shipped:
+            return
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        out = os.path.join(tempfile.mkdtemp(prefix="tidemark-pyfiles-"), "tidemark.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+            for base, _dirs, files in os.walk(pkg_dir):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(base, f)
+                        zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+        sc.addPyFile(out)
+        _shipped.add(app)

@@ -128,7 +128,10 @@ class ExportFolderClient:
 
 
 def register(spark) -> None:
-    """Make ``format("items_scan")`` available in this session."""
+    """Make ``format("items_scan")`` available in this session (and the package in its workers)."""
+    from tidemark.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(ItemScanDataSource)
 
 
