@@ -176,3 +176,26 @@ def test_per_key_hot_key_is_split_over_files(spark, tmp_path):
         assert spark.read.parquet(hot).count() == n // 3
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+def _jobs_of(spark, group, fn):
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        fn()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_jobs_per_run_do_not_grow_with_rows(spark, tmp_path):
+    counts = []
+    for n in (100, 50_000):
+        root = str(tmp_path / f"n{n}")
+        c = cfg(root)
+        src = spark.range(n).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"))
+        first = _jobs_of(spark, f"first-{n}", lambda: land_table(spark, c, T1, source=src.where("id % 2 = 0")))
+        second = _jobs_of(spark, f"second-{n}", lambda: land_table(spark, c, T2, source=src))
+        counts.append((first, second))
+    assert counts[0] == counts[1]
+    assert max(counts[0]) <= 6
