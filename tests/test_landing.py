@@ -199,3 +199,17 @@ def test_jobs_per_run_do_not_grow_with_rows(spark, tmp_path):
         counts.append((first, second))
     assert counts[0] == counts[1]
     assert max(counts[0]) <= 6
+
+
+def test_awkward_attribute_names(spark, tmp_path, root):
+    import json
+    p = tmp_path / "items.json"
+    items = [{"user.id": {"S": "u1"}, "a b": {"N": "1"}, "x`y": {"S": "q"}},
+             {"user.id": {"S": "u2"}, "a b": {"N": "2"}}]
+    p.write_text("".join(json.dumps({"Item": it}) + "\n" for it in items))
+    c = TableConfig("awk", root, "user.id", str(p), layout="per_key")
+    r = land_table(spark, c, T1, rules=[IsComplete("a b"), IsComplete("x`y")])
+    assert r.new_rows == 2 and r.rules_failed == 'IsComplete "x`y"'
+    assert land_table(spark, c, T2).new_rows == 0
+    back = read_landed(spark, root)
+    assert sorted(back.columns) == sorted(["user.id", "a b", "x`y", "processed_date", "processed_at"])

@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import col
+
 # Run folder and audit formats (Python strftime and the
 # matching Spark datetime pattern).
 RUN_FOLDER_FORMAT = "%Y/%m/%d/%H-%M-%S"
@@ -29,7 +31,7 @@ def run_folder(root: str, run_at: datetime) -> str:
 
 def run_folder_expr(ts: Column | str) -> Column:
     """The folder part of :func:`run_folder` for a timestamp column (session time zone)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
+    c = col(ts) if isinstance(ts, str) else ts
     return F.date_format(c, RUN_FOLDER_PATTERN)
 
 
@@ -45,7 +47,7 @@ def key_name(*cols: Column | str) -> Column:
     name only labels a folder and never decides which rows are kept.
     """
     parts = [
-        F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(NULL_KEY_TEXT))
+        F.coalesce((col(c) if isinstance(c, str) else c).cast("string"), F.lit(NULL_KEY_TEXT))
         for c in cols
     ]
     return F.translate(F.concat_ws(KEY_JOIN, *parts), KEY_UNSAFE_CHARS, KEY_SAFE_CHARS)

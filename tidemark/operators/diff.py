@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import parse_keys
+from tidemark.functions.columns import col
 
 STRATEGIES = ("auto", "broadcast", "shuffle")
 _DEFAULT_BROADCAST_MAX = 64 * 1024 * 1024
@@ -33,7 +34,7 @@ def landed_key_bound(landed_keys: DataFrame) -> tuple[int, int]:
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(landed_keys.schema.fields):
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            aggs.append(F.coalesce(F.sum(F.octet_length(F.col(f.name))), F.lit(0)).alias(f"b{i}"))
+            aggs.append(F.coalesce(F.sum(F.octet_length(col(f.name))), F.lit(0)).alias(f"b{i}"))
     row = landed_keys.agg(*aggs).first()
     rows = int(row["rows"])
     var_bytes = sum(int(row[k]) for k in row.asDict() if k != "rows")
@@ -95,7 +96,7 @@ def keyed_join(
 
     # Fresh names: the key side may share lineage with the source.
     right = other.select(
-        *[side(F.col(k), k).alias(_landed_key_name(i)) for i, k in enumerate(keys)]
+        *[side(col(k), k).alias(_landed_key_name(i)) for i, k in enumerate(keys)]
     )
     if not null_safe:
         right = right.where(
@@ -104,9 +105,9 @@ def keyed_join(
     cond = reduce(
         lambda a, b: a & b,
         [
-            side(F.col(k), k).eqNullSafe(F.col(_landed_key_name(i)))
+            side(col(k), k).eqNullSafe(F.col(_landed_key_name(i)))
             if null_safe
-            else side(F.col(k), k) == F.col(_landed_key_name(i))
+            else side(col(k), k) == F.col(_landed_key_name(i))
             for i, k in enumerate(keys)
         ],
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.attributes import decode_attribute
+from tidemark.functions.columns import col
 from tidemark.sources.items import ITEM_COL, RAW_COL, raw_attribute
 
 
@@ -47,7 +48,7 @@ def flatten_items(
     names = sorted(fields) if fields is not None else field_names(items, item_col)
     item = F.col(item_col)
     has_raw = raw_col is not None and raw_col in items.columns
-    cols = [F.col(c) for c in keep]
+    cols = [col(c) for c in keep]
     for name in names:
         attr = F.try_element_at(item, F.lit(name))
         raw = raw_attribute(F.col(raw_col), name) if has_raw else None

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import parse_keys
+from tidemark.functions.columns import col
 from tidemark.operators.diff import keyed_join
 
 
 def distinct_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Distinct key combinations (partial aggregation before the shuffle)."""
-    return df.select(*parse_keys(keys)).distinct()
+    return df.select(*[col(k) for k in parse_keys(keys)]).distinct()
 
 
 def filter_keys(
@@ -39,7 +40,7 @@ def filter_keys(
         if len(combo) != len(keys):
             raise ValueError(f"key combination {combo!r} does not have {len(keys)} parts")
         parts = [
-            F.col(k).eqNullSafe(F.lit(v)) if null_safe else F.col(k) == F.lit(v)
+            col(k).eqNullSafe(F.lit(v)) if null_safe else col(k) == F.lit(v)
             for k, v in zip(keys, combo)
         ]
         clauses.append(reduce(lambda a, b: a & b, parts))

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import col
+
 _OPS = {">": operator.gt, ">=": operator.ge, "=": operator.eq, "<": operator.lt, "<=": operator.le}
 
 
@@ -66,7 +68,7 @@ class IsComplete:
         return f'IsComplete "{self.column}"'
 
     def actual(self, df: DataFrame) -> Column:
-        return F.count_if(F.col(self.column).isNull())
+        return F.count_if(col(self.column).isNull())
 
     def passed(self, actual: Column) -> Column:
         return actual == F.lit(0)

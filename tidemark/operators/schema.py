@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import parse_keys
+from tidemark.functions.columns import col
 
 # Text patterns a value must match before a typed cast is
 # tried (Spark's casts accept more, e.g. ' 7 ' as int or '2024' as date).
@@ -22,6 +23,11 @@ INFER_PATTERNS = (
     ("timestamp", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T].+$"),
 )
 _NULL_KEY_PREFIX = "NULL_"
+_TYPES = {
+    "boolean": T.BooleanType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "double": T.DoubleType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "string": T.StringType(),
+}
 
 
 def unified_string_schema(*dfs: DataFrame) -> T.StructType:
@@ -49,7 +55,7 @@ def enforce_schema(
     cols: list[Column] = []
     for f in schema.fields:
         if f.name in present:
-            src = F.col(f.name)
+            src = col(f.name)
             if isinstance(f.dataType, T.StringType):
                 c = src.cast(T.StringType())
             else:
@@ -84,7 +90,7 @@ def infer_schema(df: DataFrame, keys: str | Sequence[str]) -> T.StructType:
     text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     aggs = []
     for i, name in enumerate(text_cols):
-        v = F.col(name)
+        v = col(name)
         aggs.append(F.count(v).alias(f"n{i}"))
         for t, pat in INFER_PATTERNS:
             aggs.append(F.count_if(_fits(v, t, pat)).alias(f"{t}{i}"))
@@ -99,7 +105,7 @@ def infer_schema(df: DataFrame, keys: str | Sequence[str]) -> T.StructType:
                 if counts[f"{t}{i}"] == n:
                     chosen = t
                     break
-        types[name] = T._parse_datatype_string(chosen)
+        types[name] = _TYPES[chosen]
     ordered = list(keys) + sorted(c for c in df.columns if c not in keys)
     return T.StructType(
         [T.StructField(c, types[c], c not in keys) for c in ordered]
@@ -121,8 +127,8 @@ def validate_keys(df: DataFrame, keys: str | Sequence[str], check_data: bool = T
         if nullable:
             raise ValueError(f"key columns {nullable} are nullable")
         return {k: 0 for k in keys}
-    row = df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in keys]).first()
-    nulls = {k: int(row[k]) for k in keys}
+    row = df.agg(*[F.count_if(col(k).isNull()).alias(f"k{i}") for i, k in enumerate(keys)]).first()
+    nulls = {k: int(row[f"k{i}"]) for i, k in enumerate(keys)}
     bad = {k: n for k, n in nulls.items() if n}
     if bad:
         raise ValueError(f"NULL values in key columns: {bad}")

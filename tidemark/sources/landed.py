@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.columns import col
+
 # Conditions Spark raises for a missing root and for a root without data files.
 _NOTHING_LANDED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -40,5 +42,5 @@ def read_landed(
         missing = [k for k in keys if k not in df.columns]
         if missing:
             raise ValueError(f"landed data under {root!r} lacks key columns {missing}")
-        return df.select(*keys)
+        return df.select(*[col(k) for k in keys])
     return df
