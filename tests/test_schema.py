@@ -33,10 +33,11 @@ def test_enforce_typed_keys_and_bad_values(spark):
 
 def test_infer_schema(spark):
     rows = [
-        ("1", "true", "3000000000", "1.5", "2024-01-02", "2024-01-02 03:04:05", "a", None, " 7 ", "2024"),
-        ("2", "false", "-4", "2", "2024-02-03", "2024-01-02 03:04:05.5", "b", None, "8", "2025"),
+        ("1", "true", "3000000000", "1.5", "2024-01-02", "2024-01-02 03:04:05", "a", None, " 7 ", "2024",
+         "12345678901234567890123456789012345678", "1234567890123456789012345678901234567890"),
+        ("2", "false", "-4", "2", "2024-02-03", "2024-01-02 03:04:05.5", "b", None, "8", "2025", "1", "2"),
     ]
-    cols = "k b big d day ts s empty spaced year".split()
+    cols = "k b big d day ts s empty spaced year wide wider".split()
     df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols)).withColumn("native", F.lit(1))
     schema = infer_schema(df, "k")
     got = {f.name: (f.dataType.simpleString(), f.nullable) for f in schema.fields}
@@ -51,6 +52,8 @@ def test_infer_schema(spark):
     assert got["spaced"][0] == "string"
     assert got["year"][0] == "int"
     assert got["native"] == ("int", True)
+    assert got["wide"][0] == "decimal(38,0)"
+    assert got["wider"][0] == "double"
     assert [f.name for f in schema.fields[1:]] == sorted(c for c in df.columns if c != "k")
     with pytest.raises(ValueError):
         infer_schema(df, "missing")

@@ -18,6 +18,7 @@ INFER_PATTERNS = (
     ("boolean", r"^(true|false)$"),
     ("int", r"^-?[0-9]+$"),
     ("bigint", r"^-?[0-9]+$"),
+    ("decimal(38,0)", r"^-?[0-9]+$"),
     ("double", r"^-?[0-9]+([.][0-9]+)?([eE][-+]?[0-9]+)?$"),
     ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
     ("timestamp", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T].+$"),
@@ -25,7 +26,8 @@ INFER_PATTERNS = (
 _NULL_KEY_PREFIX = "NULL_"
 _TYPES = {
     "boolean": T.BooleanType(), "int": T.IntegerType(), "bigint": T.LongType(),
-    "double": T.DoubleType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "decimal(38,0)": T.DecimalType(38, 0), "double": T.DoubleType(), "date": T.DateType(),
+    "timestamp": T.TimestampType(),
     "string": T.StringType(),
 }
 
@@ -68,9 +70,13 @@ def enforce_schema(
     return df.select(*cols)
 
 
+def _slug(type_name: str) -> str:
+    return "".join(ch for ch in type_name if ch.isalnum())
+
+
 def _fits(v: Column, type_name: str, pattern: str) -> Column:
     ok = v.rlike(pattern)
-    if type_name in ("int", "bigint", "date", "timestamp"):
+    if type_name in ("int", "bigint", "decimal(38,0)", "date", "timestamp"):
         ok = ok & v.try_cast(type_name).isNotNull()
     return ok
 
@@ -79,7 +85,9 @@ def infer_schema(df: DataFrame, keys: str | Sequence[str]) -> T.StructType:
     """Typed schema from all rows in one aggregate pass.
 
     Text columns get the first type of ``INFER_PATTERNS`` that every
-    non-NULL value fits, else string (all-NULL -> string); non-text columns
+    non-NULL value fits, else string (all-NULL -> string). Integers too wide
+    for bigint become ``decimal(38,0)``, never double, so no digit is lost.
+    Non-text columns
     keep their type. Keys come first and are non-nullable, the other fields
     follow sorted and nullable. Raises if a key column is absent.
     """
@@ -93,7 +101,7 @@ def infer_schema(df: DataFrame, keys: str | Sequence[str]) -> T.StructType:
         v = col(name)
         aggs.append(F.count(v).alias(f"n{i}"))
         for t, pat in INFER_PATTERNS:
-            aggs.append(F.count_if(_fits(v, t, pat)).alias(f"{t}{i}"))
+            aggs.append(F.count_if(_fits(v, t, pat)).alias(f"{_slug(t)}{i}"))
     counts = df.agg(*aggs).first().asDict() if aggs else {}
 
     types: dict[str, T.DataType] = {f.name: f.dataType for f in df.schema.fields}
@@ -102,7 +110,7 @@ def infer_schema(df: DataFrame, keys: str | Sequence[str]) -> T.StructType:
         chosen = "string"
         if n:
             for t, _ in INFER_PATTERNS:
-                if counts[f"{t}{i}"] == n:
+                if counts[f"{_slug(t)}{i}"] == n:
                     chosen = t
                     break
         types[name] = _TYPES[chosen]

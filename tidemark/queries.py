@@ -430,6 +430,7 @@ _INFER_SQL = """SELECT field, CASE
   WHEN count(*) FILTER (WHERE regexp_full_match(v, '(true|false)')) = count(v) AND count(v) > 0 THEN 'boolean'
   WHEN count(*) FILTER (WHERE regexp_full_match(v, '-?[0-9]+') AND TRY_CAST(v AS INTEGER) IS NOT NULL) = count(v) AND count(v) > 0 THEN 'int'
   WHEN count(*) FILTER (WHERE regexp_full_match(v, '-?[0-9]+') AND TRY_CAST(v AS BIGINT) IS NOT NULL) = count(v) AND count(v) > 0 THEN 'bigint'
+  WHEN count(*) FILTER (WHERE regexp_full_match(v, '-?[0-9]+') AND TRY_CAST(v AS DECIMAL(38,0)) IS NOT NULL) = count(v) AND count(v) > 0 THEN 'decimal(38,0)'
   WHEN count(*) FILTER (WHERE regexp_full_match(v, '-?[0-9]+([.][0-9]+)?([eE][-+]?[0-9]+)?')) = count(v) AND count(v) > 0 THEN 'double'
   WHEN count(*) FILTER (WHERE regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(v AS DATE) IS NOT NULL) = count(v) AND count(v) > 0 THEN 'date'
   WHEN count(*) FILTER (WHERE regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}[ T].+') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL) = count(v) AND count(v) > 0 THEN 'timestamp'
