@@ -81,3 +81,10 @@ def test_items_from_columns(spark):
         {"id": tagged("N", F.col("id").cast("string")), "s": tagged("S", "s")}).alias("item")))
     got = sorted(tuple(r) for r in flatten_items(items).collect())
     assert got == [("1", "x"), ("2", None)]
+
+
+def test_fast_path_without_unknown_tags(spark, tmp_path):
+    path = _write(tmp_path, [ITEM])
+    flat = flatten_items(read_items_json(spark, path, keep_unknown_tags=False))
+    row = flat.first().asDict()
+    assert row == {**EXPECTED, "u": None}

@@ -53,6 +53,7 @@ class TableConfig:
     audit_names: tuple[str, str] = DEFAULT_AUDIT_NAMES
     broadcast_max_bytes: int | None = None
     join_strategy: str = "auto"
+    keep_unknown_tags: bool = True
     catalog_database: str | None = None
     catalog_table: str | None = None
     options: dict = field(default_factory=dict, hash=False, compare=False)

@@ -22,7 +22,7 @@ from tidemark.operators.quality import DEFAULT_RULES, evaluate_rules
 from tidemark.operators.stamp import stamp_run
 from tidemark.plans.partitioning import ensure_parallelism
 from tidemark.sinks.runs import write_run
-from tidemark.sources.items import ITEM_COL, parse_items
+from tidemark.sources.items import ITEM_COL, parse_items, read_items_json
 from tidemark.sources.landed import read_landed
 
 
@@ -80,6 +80,10 @@ def load_source(spark: SparkSession, config: TableConfig) -> DataFrame:
     if callable(config.source):
         return config.source(spark)
     if config.source_format == "items_json":
+        if not config.keep_unknown_tags:
+            return ensure_parallelism(
+                read_items_json(spark, config.source, keep_unknown_tags=False, **config.options)
+            )
         lines = spark.read.options(**config.options).text(config.source)
         return parse_items(ensure_parallelism(lines))
     return ensure_parallelism(spark.read.options(**config.options).parquet(config.source))

@@ -204,6 +204,12 @@ def q_items_json(spark, sf):
     return flatten_items(read_items_json(spark, folder))
 
 
+def q_items_json_typed(spark, sf):
+    """Same export read by the JSON data source (typed, codegen path); unknown tags -> NULL."""
+    folder = _write_export(spark, _t(spark, sf, "events"), "items-json-typed")
+    return flatten_items(read_items_json(spark, folder, keep_unknown_tags=False))
+
+
 def q_scan_items(spark, sf):
     folder = _write_export(spark, _t(spark, sf, "events"), "items-scan", files=16)
     items = read_items_scan(spark, "events", "tidemark.sources.scan:ExportFolderClient",
@@ -400,6 +406,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_missing": q_flatten_missing,
     "discover_fields": q_discover_fields,
     "items_json": q_items_json,
+    "items_json_typed": q_items_json_typed,
     "scan_items": q_scan_items,
     "unified_schema": q_unified_schema,
     "enforce_unified": q_enforce_unified,
@@ -472,6 +479,8 @@ SELECT event_id, k FROM s a WHERE NOT EXISTS
   UNION ALL SELECT 'note' FROM events WHERE event_type = 'error') t GROUP BY field""",
     "items_json": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS},
   concat('{{"ZZ":', CAST(user_id AS VARCHAR), '}}') AS u FROM events""",
+    "items_json_typed": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS},
+  CAST(NULL AS VARCHAR) AS u FROM events""",
     "scan_items": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS},
   concat('{{"ZZ":', CAST(user_id AS VARCHAR), '}}') AS u FROM events""",
     "unified_schema": """SELECT CAST(row_number() OVER (ORDER BY field) AS INTEGER) AS pos, field,

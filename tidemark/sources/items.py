@@ -33,15 +33,23 @@ def raw_attribute(raw_line: Column, name: str) -> Column:
     return F.try_element_at(F.from_json(raw_line, _LINE_RAW)["Item"], F.lit(name))
 
 
-def read_items_json(spark: SparkSession, path: str, **options) -> DataFrame:
+def read_items_json(
+    spark: SparkSession, path: str, keep_unknown_tags: bool = True, **options
+) -> DataFrame:
     """Read item export lines (optionally compressed) as ``item``, ``raw``.
 
     Splittable text input: Spark spreads the lines over tasks by file split.
+    ``keep_unknown_tags=False`` parses inside the JSON data source instead
+    (about a quarter faster, and the decoding stays in whole-stage codegen);
+    an attribute whose tag is not one of the known ones then decodes to NULL
+    instead of its own JSON text.
     """
-    reader = spark.read
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return parse_items(reader.text(path))
+    reader = spark.read.options(**options)
+    if keep_unknown_tags:
+        return parse_items(reader.text(path))
+    return reader.schema(_LINE_TYPED).json(path).select(
+        F.col("Item").alias(ITEM_COL), F.lit(None).cast(T.StringType()).alias(RAW_COL)
+    )
 
 
 def items_of(df: DataFrame, item: str | Column = ITEM_COL) -> DataFrame:
