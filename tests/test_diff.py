@@ -143,3 +143,13 @@ def test_shuffle_path_splits_hot_source_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_provably_small(spark):
+    from tidemark.operators.diff import provably_small
+    longs = spark.range(1000).select(F.col("id").alias("k"))
+    assert provably_small(longs, longs, 1 << 20)
+    assert not provably_small(longs, longs, 1000)
+    texts = spark.range(1000).select(F.repeat(F.lit("x"), 500).alias("k"))
+    assert not provably_small(texts, texts, 200_000)   # 500 bytes per key
+    assert provably_small(texts, texts, 1 << 20)

@@ -42,6 +42,26 @@ def landed_key_bound(landed_keys: DataFrame) -> tuple[int, int]:
     return rows, rows * (_ROW_OVERHEAD + _PER_KEY_OVERHEAD * n) + var_bytes
 
 
+def provably_small(raw_keys: DataFrame, keys: DataFrame, limit: int) -> bool:
+    """True only if the key frame is proven to take at most ``limit`` bytes.
+
+    ``raw_keys`` is the key projection before NULL filtering; its row count
+    needs no column data on Parquet (row-group metadata), so a large history
+    is turned down without reading a key value. Fixed-width keys are then
+    bounded by that count alone; text keys of a small tree get the exact
+    byte pass of :func:`landed_key_bound`.
+    """
+    n = len(keys.columns)
+    rows_upper = raw_keys.count()
+    if rows_upper * (_ROW_OVERHEAD + _PER_KEY_OVERHEAD * n) > limit:
+        return False
+    variable = any(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in keys.schema.fields)
+    if not variable:
+        return True
+    _rows, bound = landed_key_bound(keys)
+    return bound <= limit
+
+
 def _broadcast_limit(spark, explicit: int | None) -> int:
     if explicit is not None:
         return explicit
@@ -66,11 +86,11 @@ def keyed_join(
 
     Only ``source``'s columns come back and its duplicates are kept. Key
     types that differ between the sides are compared as text.
-    ``strategy="auto"`` measures a byte bound of ``other``'s keys in one
-    pass over its key columns and broadcasts them only under
-    ``broadcast_max_bytes`` (default: ``spark.sql.autoBroadcastJoinThreshold``,
-    else 64 MiB); beyond it the join is a shuffle sort-merge join, where AQE
-    splits hot source keys. ``"shuffle"`` skips the measuring pass;
+    ``strategy="auto"`` broadcasts ``other``'s keys only under a proven
+    byte bound of at most ``broadcast_max_bytes`` (default:
+    ``spark.sql.autoBroadcastJoinThreshold``, else 64 MiB; see
+    :func:`provably_small`); otherwise the join is a shuffle sort-merge
+    join, where AQE splits hot source keys. ``"shuffle"`` skips the check;
     ``"broadcast"`` trusts the caller's own bound.
 
     On the shuffle path the key side is de-duplicated first: the partial
@@ -115,9 +135,7 @@ def keyed_join(
     use_broadcast = strategy == "broadcast"
     if strategy == "auto":
         limit = _broadcast_limit(source.sparkSession, broadcast_max_bytes)
-        if limit > 0:
-            _rows, bound = landed_key_bound(right)
-            use_broadcast = bound <= limit
+        use_broadcast = limit > 0 and provably_small(other.select(*[col(k) for k in keys]), right, limit)
     if use_broadcast:
         right = F.broadcast(right)
     else:
