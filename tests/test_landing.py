@@ -214,3 +214,13 @@ def test_awkward_attribute_names(spark, tmp_path, root):
     assert land_table(spark, c, T2).new_rows == 0
     back = read_landed(spark, root)
     assert sorted(back.columns) == sorted(["user.id", "a b", "x`y", "processed_date", "processed_at"])
+
+
+def test_mixed_key_types_inside_tree_fail_clearly(spark, root):
+    from tidemark.plans.landing import LandingError
+    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(os.path.join(root, "2025/01/01/00-00-00"))
+    spark.createDataFrame([("x", "b")], "k string, v string").write.parquet(os.path.join(root, "2025/01/02/00-00-00"))
+    with pytest.raises(LandingError) as info:
+        land_table(spark, cfg(root), T3, source=frame(spark, [("1", "a"), ("y", "c")]))
+    assert root in str(info.value)
+    assert not os.path.exists(os.path.join(root, "2025/01/03"))  # nothing written, not a full load

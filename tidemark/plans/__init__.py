@@ -1,8 +1,8 @@
 from tidemark.plans.landing import (
-    REPORT_SCHEMA, EmptySourceError, RuleViolation, RunReport, land_table, land_tables, load_source,
+    REPORT_SCHEMA, EmptySourceError, LandingError, RuleViolation, RunReport, land_table, land_tables, load_source,
 )
 
 __all__ = [
-    "REPORT_SCHEMA", "EmptySourceError", "RuleViolation", "RunReport", "land_table",
+    "REPORT_SCHEMA", "EmptySourceError", "LandingError", "RuleViolation", "RunReport", "land_table",
     "land_tables", "load_source",
 ]

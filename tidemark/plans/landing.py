@@ -34,6 +34,15 @@ class RuleViolation(RuntimeError):
     """A quality rule failed and the run was asked to stop on violations."""
 
 
+class LandingError(RuntimeError):
+    """Comparing with or writing under a landed root failed (the cause is chained)."""
+
+
+def _first_line(e: Exception) -> str:
+    text = getattr(e, "desc", None) or str(e)
+    return next((ln.strip() for ln in str(text).splitlines() if ln.strip()), type(e).__name__)[:500]
+
+
 @dataclass
 class RunReport:
     table_name: str
@@ -143,18 +152,24 @@ def land_table(
     if failed and fail_on_violation:
         raise RuleViolation(f"table {config.name!r}: failed rules {failed}")
 
-    landed = read_landed(spark, config.root, keys=config.keys)
-    report.mode = "full" if landed is None else "incremental"
-
-    seen = Observation()
-    observed = src.observe(seen, F.count(F.lit(1)).alias("rows"))
-    new = new_records(
-        observed, landed, config.keys, config.null_safe, strategy or config.join_strategy,
-        config.broadcast_max_bytes,
-    )
-    written = write_run(
-        stamp_run(new, run_at, config.audit_names), folder, config.layout, config.keys
-    )
+    try:
+        landed = read_landed(spark, config.root, keys=config.keys)
+        report.mode = "full" if landed is None else "incremental"
+        seen = Observation()
+        observed = src.observe(seen, F.count(F.lit(1)).alias("rows"))
+        new = new_records(
+            observed, landed, config.keys, config.null_safe, strategy or config.join_strategy,
+            config.broadcast_max_bytes,
+        )
+        written = write_run(
+            stamp_run(new, run_at, config.audit_names), folder, config.layout, config.keys
+        )
+    except Exception as e:
+        # e.g. key columns whose type differs between run folders of the root
+        raise LandingError(
+            f"table {config.name!r}: landing under {config.root!r} into {folder!r} failed: "
+            f"{type(e).__name__}: {_first_line(e)}"
+        ) from e
     report.source_rows = int(seen.get["rows"])
     report.new_rows = written
     if written == 0:

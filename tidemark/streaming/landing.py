@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -58,6 +59,7 @@ def land_stream(
     folder is already finished (a replay after the write succeeded) is
     skipped, so every batch lands once. ``available_now`` processes what is
     there and stops; otherwise ``processing_time`` sets the trigger interval.
+    ``max_files_per_trigger`` bounds a batch at scale.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
@@ -65,13 +67,20 @@ def land_stream(
     items = parse_items(reader.load(source_path))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        run_at = epoch_run_time(spark, checkpoint_location, epoch_id, clock)
+        # The batch is read by field discovery, the emptiness probe and the
+        # write: keep it once (bounded by the trigger limits; lost blocks are
+        # recomputed from the source files).
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            land_table(spark, config, run_at, source=batch, **land_options)
-        except FileExistsError:
-            pass  # this epoch's run folder was finished by an earlier attempt
+            if batch.isEmpty():
+                return
+            run_at = epoch_run_time(spark, checkpoint_location, epoch_id, clock)
+            try:
+                land_table(spark, config, run_at, source=batch, **land_options)
+            except FileExistsError:
+                pass  # this epoch's run folder was finished by an earlier attempt
+        finally:
+            batch.unpersist()
 
     writer = items.writeStream.foreachBatch(per_batch).option(
         "checkpointLocation", checkpoint_location
