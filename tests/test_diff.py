@@ -153,3 +153,23 @@ def test_provably_small(spark):
     texts = spark.range(1000).select(F.repeat(F.lit("x"), 500).alias("k"))
     assert not provably_small(texts, texts, 200_000)   # 500 bytes per key
     assert provably_small(texts, texts, 1 << 20)
+
+
+def test_broadcast_limit_parsing(spark):
+    from tidemark.operators.diff import _broadcast_limit, _parse_size
+    assert _parse_size("10485760b") == 10485760 and _parse_size("64m") == 64 << 20 and _parse_size("1g") == 1 << 30
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert _broadcast_limit(spark, None) == 0     # user turned broadcasting off
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+        assert _broadcast_limit(spark, None) == 32 << 20
+        assert _broadcast_limit(spark, 5) == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_nested_keys_never_broadcast_by_auto(spark):
+    from tidemark.operators.diff import provably_small
+    df = spark.range(3).select(F.array(F.col("id")).alias("k"))
+    assert not provably_small(df, df, 1 << 30)

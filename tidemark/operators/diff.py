@@ -42,6 +42,16 @@ def landed_key_bound(landed_keys: DataFrame) -> tuple[int, int]:
     return rows, rows * (_ROW_OVERHEAD + _PER_KEY_OVERHEAD * n) + var_bytes
 
 
+def _key_width(dt: T.DataType) -> int | None:
+    """Bytes a key part adds beyond the per-key slot: 0 fixed, 16 wide decimal, None variable."""
+    if isinstance(dt, T.DecimalType):
+        return 0 if dt.precision <= 18 else 16
+    if isinstance(dt, (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType,
+                       T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return 0
+    return None
+
+
 def provably_small(raw_keys: DataFrame, keys: DataFrame, limit: int) -> bool:
     """True only if the key frame is proven to take at most ``limit`` bytes.
 
@@ -49,28 +59,43 @@ def provably_small(raw_keys: DataFrame, keys: DataFrame, limit: int) -> bool:
     needs no column data on Parquet (row-group metadata), so a large history
     is turned down without reading a key value. Fixed-width keys are then
     bounded by that count alone; text keys of a small tree get the exact
-    byte pass of :func:`landed_key_bound`.
+    byte pass of :func:`landed_key_bound`. Nested key types are never
+    claimed small.
     """
-    n = len(keys.columns)
+    fields = keys.schema.fields
+    if any(_key_width(f.dataType) is None and not isinstance(f.dataType, (T.StringType, T.BinaryType))
+           for f in fields):
+        return False
+    per_row = _ROW_OVERHEAD + sum(_PER_KEY_OVERHEAD + (_key_width(f.dataType) or 0) for f in fields)
     rows_upper = raw_keys.count()
-    if rows_upper * (_ROW_OVERHEAD + _PER_KEY_OVERHEAD * n) > limit:
+    if rows_upper * per_row > limit:
         return False
-    variable = any(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in keys.schema.fields)
-    if not variable:
+    if all(_key_width(f.dataType) is not None for f in fields):
         return True
     _rows, bound = landed_key_bound(keys)
-    return bound <= limit
+    return bound + rows_upper * sum(_key_width(f.dataType) or 0 for f in fields) <= limit
+
+
+_SIZE_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+               "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def _parse_size(text: str) -> int:
+    t = str(text).strip().lower()
+    num = t.rstrip("kmgtb")
+    return int(float(num) * _SIZE_UNITS[t[len(num):]])
 
 
 def _broadcast_limit(spark, explicit: int | None) -> int:
+    """Byte limit for broadcasting keys; 0 disables (threshold -1 means the user turned it off)."""
     if explicit is not None:
-        return explicit
+        return max(int(explicit), 0)
     conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
     try:
-        value = int(str(conf).lower().rstrip("b")) if conf is not None else -1
-    except ValueError:
-        value = -1
-    return value if value > 0 else _DEFAULT_BROADCAST_MAX
+        value = _parse_size(conf) if conf is not None else _DEFAULT_BROADCAST_MAX
+    except (ValueError, KeyError):
+        value = _DEFAULT_BROADCAST_MAX
+    return max(value, 0)
 
 
 def keyed_join(
