@@ -166,6 +166,11 @@ def land_table(
         )
     except Exception as e:
         # e.g. key columns whose type differs between run folders of the root
+        try:
+            if fs.exists(spark, folder) and not fs.is_committed(spark, folder):
+                fs.remove_run_folder(spark, folder, config.root)
+        except Exception:  # best effort; a retry of this run removes it too
+            pass
         raise LandingError(
             f"table {config.name!r}: landing under {config.root!r} into {folder!r} failed: "
             f"{type(e).__name__}: {_first_line(e)}"
