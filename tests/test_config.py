@@ -35,3 +35,20 @@ def test_check_configs_rejects_shared_root():
     with pytest.raises(ValueError):
         check_configs([a, b])
     check_configs([a, TableConfig("c", "/root/y", "id", "/s3")])
+
+
+def test_config_from_job_args():
+    from tidemark.config import config_from_job_args
+    args = {"--bucket_name": "b", "--catalog_database": "general", "--catalog_table_name": "T",
+            "--dynamo_table_name": "T", "--folder_name": "T", "--primary_key": "factoryAddress,splitterAddress",
+            "--primary_key_is_composite": "true"}
+    cfg = config_from_job_args(args, source="s3a://b/exports/T/")
+    assert cfg.root == "s3a://b/T" and cfg.keys == ("factoryAddress", "splitterAddress")
+    assert cfg.key_kind == "composite" and cfg.catalog_table == "T"
+    single = config_from_job_args({**args, "--primary_key": "id", "--primary_key_is_composite": "false"},
+                                  source="x", scheme="file", layout="per_key")
+    assert single.root == "file://b/T" and single.layout == "per_key"
+    with pytest.raises(ValueError):
+        config_from_job_args({**args, "--primary_key": "id"}, source="x")
+    with pytest.raises(ValueError):
+        config_from_job_args({"--bucket_name": "b"}, source="x")

@@ -1,6 +1,6 @@
 """Incremental landing of key-value and other tables as Parquet run folders, on Spark."""
 
-from tidemark.config import TableConfig, parse_keys
+from tidemark.config import TableConfig, config_from_job_args, parse_keys
 from tidemark.functions import decode_attribute, key_name, run_folder, tagged
 from tidemark.operators import (
     check_rules, discover_fields, distinct_keys, enforce_schema, filter_keys, flatten_items,
@@ -11,7 +11,7 @@ from tidemark.sinks import write_run
 from tidemark.sources import read_items_json, read_landed
 
 __all__ = [
-    "TableConfig", "parse_keys", "decode_attribute", "key_name", "run_folder", "tagged",
+    "TableConfig", "config_from_job_args", "parse_keys", "decode_attribute", "key_name", "run_folder", "tagged",
     "check_rules", "discover_fields", "distinct_keys", "enforce_schema", "filter_keys",
     "flatten_items", "infer_schema", "new_records", "sample_rows", "stamp_run",
     "unified_string_schema", "validate_keys", "RunReport", "land_table", "land_tables",

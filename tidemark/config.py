@@ -86,3 +86,36 @@ def check_configs(configs: Sequence[TableConfig]) -> None:
         if root in seen:
             raise ValueError(f"tables {seen[root]!r} and {cfg.name!r} share root {root!r}")
         seen[root] = cfg.name
+
+
+def config_from_job_args(
+    args: dict, source: SourceSpec, scheme: str = "s3a", **overrides
+) -> TableConfig:
+    """A TableConfig from launcher-style arguments (``--bucket_name``, ``--folder_name``,
+    ``--primary_key``, ``--dynamo_table_name``, ``--catalog_database``,
+    ``--catalog_table_name``, ``--primary_key_is_composite``); leading dashes optional.
+
+    The landed root is ``{scheme}://{bucket_name}/{folder_name}``. A composite
+    flag that disagrees with the number of key names is an error.
+    """
+    a = {k.lstrip("-"): v for k, v in args.items()}
+    missing = [k for k in ("bucket_name", "folder_name", "primary_key") if not a.get(k)]
+    if missing:
+        raise ValueError(f"missing job arguments {missing}")
+    keys = parse_keys(a["primary_key"])
+    flag = str(a.get("primary_key_is_composite", "false")).strip().lower() == "true"
+    if flag != (len(keys) > 1):
+        raise ValueError(
+            f"primary_key_is_composite={a.get('primary_key_is_composite')!r} "
+            f"does not match keys {keys}"
+        )
+    root = f"{scheme}://{a['bucket_name'].strip('/')}/{a['folder_name'].strip('/')}"
+    return TableConfig(
+        name=a.get("dynamo_table_name") or a["folder_name"],
+        root=root,
+        keys=keys,
+        source=source,
+        catalog_database=a.get("catalog_database"),
+        catalog_table=a.get("catalog_table_name"),
+        **overrides,
+    )
