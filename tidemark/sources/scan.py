@@ -99,17 +99,34 @@ class ItemScanDataSource(DataSource):
         return ItemScanReader(self.options)
 
 
+def _filesystem(path: str):
+    """(pyarrow filesystem, path inside it) for local paths and URIs (file:, hdfs:, s3:, ...)."""
+    from pyarrow import fs as pafs
+
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), os.path.abspath(path)
+    return pafs.FileSystem.from_uri(path)
+
+
 class ExportFolderClient:
-    """Offline paged client over a local folder of export files (one JSON item per line).
+    """Offline paged client over a folder of export files (one JSON item per line).
 
     Page ``i`` is the ``i``-th file in name order; segment ``s`` of ``n``
-    owns the pages ``i`` with ``i % n == s``. For tests and local runs.
+    owns the pages ``i`` with ``i % n == s``. The folder may be local or on
+    shared storage (read through pyarrow's file systems). For tests and
+    replaying exports.
     """
 
     def __init__(self, path: str):
+        from pyarrow import fs as pafs
+
+        self.fs, root = _filesystem(path)
+        infos = self.fs.get_file_info(pafs.FileSelector(root))
         self.files = sorted(
-            os.path.join(path, f) for f in os.listdir(path)
-            if not f.startswith((".", "_")) and os.path.isfile(os.path.join(path, f))
+            i.path for i in infos
+            if i.type == pafs.FileType.File and not i.base_name.startswith((".", "_"))
         )
 
     def scan(self, TableName, Segment=0, TotalSegments=1, ExclusiveStartKey=None):
@@ -119,8 +136,9 @@ class ExportFolderClient:
         if not todo:
             return {"Items": []}
         page = todo[0]
-        with open(self.files[page], encoding="utf-8") as fh:
-            items = [json.loads(line)["Item"] for line in fh if line.strip()]
+        with self.fs.open_input_stream(self.files[page]) as fh:
+            text = fh.read().decode("utf-8")
+        items = [json.loads(line)["Item"] for line in text.splitlines() if line.strip()]
         out = {"Items": items}
         if len(todo) > 1:
             out["LastEvaluatedKey"] = {"page": page}
