@@ -224,3 +224,14 @@ def test_mixed_key_types_inside_tree_fail_clearly(spark, root):
         land_table(spark, cfg(root), T3, source=frame(spark, [("1", "a"), ("y", "c")]))
     assert root in str(info.value)
     assert not os.path.exists(os.path.join(root, "2025/01/03"))  # nothing written, not a full load
+
+
+def test_as_text_lands_unified_text_schema(spark, root):
+    src = spark.createDataFrame([(2, 1.5, "b")], "z long, a double, k string")
+    land_table(spark, cfg(root, as_text=True), T1, source=src)
+    back = read_landed(spark, root)
+    assert back.columns == ["a", "k", "z", "processed_date", "processed_at"]
+    assert all(t == "string" for _, t in back.dtypes)
+    assert tuple(back.first())[:3] == ("1.5", "b", "2")
+    # a later run of the same table keeps matching on the text key
+    assert land_table(spark, cfg(root, as_text=True), T2, source=src).new_rows == 0

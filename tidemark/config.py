@@ -39,6 +39,8 @@ class TableConfig:
     ``source`` is a path (read as ``source_format``) or a callable that
     builds the source DataFrame from the session. ``root`` is the landed
     folder; every run writes a new ``root/YYYY/MM/DD/HH-MM-SS/`` folder.
+    ``as_text`` lands every column as text, sorted by name (the unified
+    schema items always get).
     """
 
     name: str
@@ -54,6 +56,7 @@ class TableConfig:
     broadcast_max_bytes: int | None = None
     join_strategy: str = "auto"
     keep_unknown_tags: bool = True
+    as_text: bool = False
     catalog_database: str | None = None
     catalog_table: str | None = None
     options: dict = field(default_factory=dict, hash=False, compare=False)

@@ -19,6 +19,7 @@ from tidemark.functions.naming import run_folder
 from tidemark.operators.diff import new_records
 from tidemark.operators.flatten import flatten_items
 from tidemark.operators.quality import DEFAULT_RULES, evaluate_rules
+from tidemark.operators.schema import enforce_schema, unified_string_schema
 from tidemark.operators.stamp import stamp_run
 from tidemark.plans.partitioning import ensure_parallelism
 from tidemark.sinks.runs import write_run
@@ -136,6 +137,8 @@ def land_table(
     src = source if source is not None else load_source(spark, config)
     if _is_item_frame(src):
         src = flatten_items(src, fields=config.fields)
+    elif config.as_text:
+        src = enforce_schema(src, unified_string_schema(src))
     missing = [k for k in config.keys if k not in src.columns]
     if missing:
         raise ValueError(f"table {config.name!r}: key columns {missing} not in source")

@@ -325,6 +325,13 @@ def q_read_landed(spark, sf):
     return read_landed(spark, cfg.root).select(*orders.columns)
 
 
+def q_land_as_text(spark, sf):
+    """Landing with the unified text schema (every column text, sorted by name)."""
+    cfg = _config(spark, "orders", "o_orderkey", as_text=True)
+    land_table(spark, cfg, RUN_1, source=_t(spark, sf, "orders"))
+    return read_landed(spark, cfg.root)
+
+
 def q_write_per_key(spark, sf):
     li = _t(spark, sf, "lineitem")
     folder = scratch_folder(spark, "per-key")
@@ -420,6 +427,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_rows": q_sample_rows,
     "check_rules": q_check_rules,
     "read_landed": q_read_landed,
+    "land_as_text": q_land_as_text,
     "write_per_key": q_write_per_key,
     "first_full_load": q_first_full_load,
     "incremental_extract": q_incremental_extract,
@@ -514,6 +522,10 @@ UNION ALL SELECT 'IsComplete "o_orderkey"', count(*) FILTER (WHERE o_orderkey IS
     "read_landed": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
   CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN NULL ELSE o_orderpriority END AS o_orderpriority
 FROM orders""",
+    "land_as_text": """SELECT CAST(o_custkey AS VARCHAR) AS o_custkey, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
+  CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, o_orderstatus,
+  CAST(o_totalprice AS VARCHAR) AS o_totalprice,
+  '2025-01-01' AS processed_date, '2025-01-01 00:00:00' AS processed_at FROM orders""",
     "write_per_key": """SELECT concat(l_returnflag, '_', l_linestatus) AS file_key, count(*) AS n_rows
 FROM lineitem GROUP BY 1""",
     "first_full_load": "SELECT conv_id, turn, '2025-01-01' AS processed_date FROM conversations",
