@@ -28,18 +28,24 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def remove_run_folder(spark: SparkSession, folder: str, root: str) -> None:
-    """Delete ``folder`` and then each parent below ``root`` that is left empty."""
+def remove_run_folder(spark: SparkSession, folder: str, root: str, drop_root: bool = False) -> None:
+    """Delete ``folder`` and then each parent below ``root`` that is left empty.
+
+    With ``drop_root`` an empty ``root`` goes too (when this run created it).
+    """
     delete(spark, folder)
     root_p, fs = _path_and_fs(spark, root.rstrip("/"))
-    root_uri = fs.makeQualified(root_p).toString().rstrip("/")
+    root_q = fs.makeQualified(root_p)
+    root_uri = root_q.toString().rstrip("/")
     p, _ = _path_and_fs(spark, folder.rstrip("/"))
     p = fs.makeQualified(p).getParent()
     while p is not None and p.toString().rstrip("/") != root_uri and p.toString().startswith(root_uri):
         if not fs.exists(p) or len(fs.listStatus(p)) > 0:
-            break
+            return
         fs.delete(p, False)
         p = p.getParent()
+    if drop_root and fs.exists(root_q) and len(fs.listStatus(root_q)) == 0:
+        fs.delete(root_q, False)
 
 
 def read_marker(spark: SparkSession, path: str) -> str | None:

@@ -119,8 +119,10 @@ def land_table(
     partial files as landed.
 
     Jobs per run stay constant as rows grow: field discovery (items without
-    ``config.fields``), a one-row emptiness probe, data rules if any, the
-    landed-key size bound (``join_strategy="auto"``) and the write.
+    ``config.fields``), data rules if any, the landed-key size bound
+    (``join_strategy="auto"``) and the write. An empty source is known from
+    the write's own row count (nothing is left behind), not from a separate
+    job.
     ``source_rows`` is counted by an Observation beside the join input; if a
     stage is re-run after an executor loss it can over-count, ``new_rows``
     (counted in the writing stage) cannot.
@@ -129,6 +131,7 @@ def land_table(
     folder = run_folder(config.root, run_at)
     report = RunReport(config.name, config.key_kind, "SUCCEEDED", "full", None, None, folder)
 
+    root_existed = fs.exists(spark, config.root)
     if fs.exists(spark, folder):
         if fs.is_committed(spark, folder):
             raise FileExistsError(f"run folder {folder} already holds a finished run")
@@ -143,12 +146,6 @@ def land_table(
     if missing:
         raise ValueError(f"table {config.name!r}: key columns {missing} not in source")
 
-    if src.isEmpty():
-        if config.on_empty == "error":
-            raise EmptySourceError(f"table {config.name!r}: source has no rows")
-        report.mode, report.source_rows, report.new_rows = "skipped", 0, 0
-        return report
-
     results = evaluate_rules(src, rules)
     failed = [r for r, _a, ok in results if not ok]
     report.rules_failed = "; ".join(failed) or None
@@ -171,7 +168,7 @@ def land_table(
         # e.g. key columns whose type differs between run folders of the root
         try:
             if fs.exists(spark, folder) and not fs.is_committed(spark, folder):
-                fs.remove_run_folder(spark, folder, config.root)
+                fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
         except Exception:  # best effort; a retry of this run removes it too
             pass
         raise LandingError(
@@ -181,8 +178,13 @@ def land_table(
     report.source_rows = int(seen.get["rows"])
     report.new_rows = written
     if written == 0:
-        fs.remove_run_folder(spark, folder, config.root)
+        fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
         report.mode = "none"
+    if report.source_rows == 0:
+        # known from the write's own observation: no separate emptiness job
+        if config.on_empty == "error":
+            raise EmptySourceError(f"table {config.name!r}: source has no rows")
+        report.mode = "skipped"
     return report
 
 
