@@ -235,3 +235,15 @@ def test_as_text_lands_unified_text_schema(spark, root):
     assert tuple(back.first())[:3] == ("1.5", "b", "2")
     # a later run of the same table keeps matching on the text key
     assert land_table(spark, cfg(root, as_text=True), T2, source=src).new_rows == 0
+
+
+def test_malformed_export_lines_fail_the_run(spark, tmp_path, root):
+    from tidemark.plans.landing import LandingError
+    p = tmp_path / "items.json"
+    p.write_text('{"Item":{"id":{"S":"a"}}}\n\n{broken\n{"Item":{"id":{"S":"b"}}}\n')
+    with pytest.raises(LandingError, match="1 malformed"):
+        land_table(spark, TableConfig("m", root, "id", str(p)), T1)
+    assert not os.path.exists(root)
+    ok = tmp_path / "ok.json"
+    ok.write_text('{"Item":{"id":{"S":"a"}}}\n\n{"Item":{"id":{"S":"b"}}}\n')   # blank line is fine
+    assert land_table(spark, TableConfig("m", root, "id", str(ok)), T1).new_rows == 2

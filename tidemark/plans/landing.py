@@ -17,7 +17,7 @@ from tidemark.config import TableConfig, check_configs
 from tidemark.functions.attributes import ATTRIBUTE_TYPE
 from tidemark.functions.naming import run_folder
 from tidemark.operators.diff import new_records
-from tidemark.operators.flatten import flatten_items
+from tidemark.operators.flatten import field_names, flatten_items
 from tidemark.operators.quality import DEFAULT_RULES, evaluate_rules
 from tidemark.operators.schema import enforce_schema, unified_string_schema
 from tidemark.operators.stamp import stamp_run
@@ -138,8 +138,12 @@ def land_table(
         fs.delete(spark, folder)
 
     src = source if source is not None else load_source(spark, config)
+    malformed = None
     if _is_item_frame(src):
-        src = flatten_items(src, fields=config.fields)
+        fields = config.fields if config.fields is not None else field_names(src)
+        malformed = Observation()
+        src = src.observe(malformed, F.count_if(F.col(ITEM_COL).isNull()).alias("rows"))
+        src = flatten_items(src, fields=fields)
     elif config.as_text:
         src = enforce_schema(src, unified_string_schema(src))
     missing = [k for k in config.keys if k not in src.columns]
@@ -177,6 +181,12 @@ def land_table(
         ) from e
     report.source_rows = int(seen.get["rows"])
     report.new_rows = written
+    if malformed is not None and int(malformed.get["rows"]) > 0:
+        fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
+        raise LandingError(
+            f"table {config.name!r}: {int(malformed.get['rows'])} malformed export lines "
+            f"(not JSON or without Item); nothing landed"
+        )
     if written == 0:
         fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
         report.mode = "none"

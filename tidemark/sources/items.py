@@ -20,9 +20,11 @@ def parse_items(lines: DataFrame, text_col: str = "value") -> DataFrame:
 
     Each line is parsed once. The line is parsed a second time (see
     :func:`raw_attribute`) only for an attribute whose tag is unknown.
+    Blank lines are not items and are skipped; a malformed line, or one
+    without ``Item``, gives a NULL ``item`` (``land_table`` refuses those).
     """
     text = F.col(text_col)
-    return lines.select(
+    return lines.where(F.trim(text) != "").select(
         F.from_json(text, _LINE_TYPED)["Item"].alias(ITEM_COL),
         text.alias(RAW_COL),
     )
