@@ -28,3 +28,34 @@ def test_landed_is_union_without_repeats(spark, runs):
     again = spark.createDataFrame([(str(k), 9) for k in sorted(runs[-1])], "k string, run int")
     rep = land_table(spark, cfg, t0 + timedelta(hours=1), source=again)
     assert rep.new_rows == 0
+
+
+key_part = st.one_of(st.none(), st.integers(0, 4))
+rows_st = st.lists(st.tuples(key_part, key_part), max_size=25)
+
+
+def _model(src, other, null_safe, keep):
+    def eq(a, b):
+        return a == b if null_safe else (a is not None and b is not None and a == b)
+
+    def hit(r):
+        return any(eq(r[0], o[0]) and eq(r[1], o[1]) for o in other)
+
+    return sorted((r for r in src if hit(r) == keep), key=repr)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(src=rows_st, other=rows_st, null_safe=st.booleans(),
+       strategy=st.sampled_from(["auto", "broadcast", "shuffle"]))
+def test_keyed_joins_match_brute_force(spark, src, other, null_safe, strategy):
+    from tidemark.operators.diff import new_records
+    from tidemark.operators.keys import filter_keys
+
+    schema = "a int, b int"
+    s = spark.createDataFrame(src, schema)
+    o = spark.createDataFrame(other, schema)
+    got_new = sorted((tuple(r) for r in new_records(s, o, "a,b", null_safe, strategy).collect()), key=repr)
+    assert got_new == _model(src, other, null_safe, keep=False)
+    got_kept = sorted((tuple(r) for r in filter_keys(s, "a,b", o, null_safe, strategy=strategy).collect()),
+                      key=repr)
+    assert got_kept == _model(src, other, null_safe, keep=True)
