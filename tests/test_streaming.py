@@ -17,6 +17,11 @@ def _export(folder, name, ids):
                                 separators=(",", ":")) + "\n")
 
 
+def _run(query):
+    query.awaitTermination()
+    query.stop()
+
+
 def test_epoch_run_time_is_stable_and_increasing(spark, tmp_path):
     ck = str(tmp_path / "ck")
     fixed = lambda: datetime(2025, 1, 1, 0, 0, 0)
@@ -31,13 +36,30 @@ def test_stream_lands_each_batch_once(spark, tmp_path):
     _export(src, "a.json", [1, 2, 3])
     _export(src, "b.json", [3, 4])  # key 3 again: not landed twice
     cfg = TableConfig("s", root, "id", src)
-    land_stream(spark, cfg, src, ck, max_files_per_trigger=1).awaitTermination()
+    _run(land_stream(spark, cfg, src, ck, max_files_per_trigger=1))
     ids = sorted(r["id"] for r in read_landed(spark, root).collect())
     assert ids == ["1", "2", "3", "4"]
     assert len({r["processed_at"] for r in read_landed(spark, root).collect()}) == 2
 
     # restart: only the new file is processed
     _export(src, "c.json", [5, 1])
-    land_stream(spark, cfg, src, ck, max_files_per_trigger=1).awaitTermination()
+    _run(land_stream(spark, cfg, src, ck, max_files_per_trigger=1))
     ids = sorted(r["id"] for r in read_landed(spark, root).collect())
     assert ids == ["1", "2", "3", "4", "5"]
+
+
+def test_replayed_epoch_lands_nothing_twice(spark, tmp_path):
+    src, root, ck = str(tmp_path / "src"), str(tmp_path / "landed"), str(tmp_path / "ck")
+    _export(src, "a.json", [1, 2])
+    cfg = TableConfig("r", root, "id", src)
+    _run(land_stream(spark, cfg, src, ck))
+    first = sorted((r["id"], r["processed_at"]) for r in read_landed(spark, root).collect())
+    # forget that batch 0 was committed: the restart runs epoch 0 again
+    for name in ("0", ".0.crc"):
+        path = os.path.join(ck, "commits", name)
+        if os.path.exists(path):
+            os.remove(path)
+    _run(land_stream(spark, cfg, src, ck))
+    assert os.path.exists(os.path.join(ck, "commits", "0"))  # epoch 0 ran and committed again
+    again = sorted((r["id"], r["processed_at"]) for r in read_landed(spark, root).collect())
+    assert again == first

@@ -389,6 +389,7 @@ def q_stream_landing(spark, sf):
                         checkpoint_location=scratch_folder(spark, "stream-checkpoint"),
                         max_files_per_trigger=1)
     query.awaitTermination()
+    query.stop()
     return read_landed(spark, root).select("event_id", "event_type", "u")
 
 
