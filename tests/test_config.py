@@ -40,10 +40,10 @@ def test_check_configs_rejects_shared_root():
 def test_config_from_job_args():
     from tidemark.config import config_from_job_args
     args = {"--bucket_name": "b", "--catalog_database": "general", "--catalog_table_name": "T",
-            "--dynamo_table_name": "T", "--folder_name": "T", "--primary_key": "factoryAddress,splitterAddress",
+            "--dynamo_table_name": "T", "--folder_name": "T", "--primary_key": "account_id,contract_id",
             "--primary_key_is_composite": "true"}
     cfg = config_from_job_args(args, source="s3a://b/exports/T/")
-    assert cfg.root == "s3a://b/T" and cfg.keys == ("factoryAddress", "splitterAddress")
+    assert cfg.root == "s3a://b/T" and cfg.keys == ("account_id", "contract_id")
     assert cfg.key_kind == "composite" and cfg.catalog_table == "T"
     single = config_from_job_args({**args, "--primary_key": "id", "--primary_key_is_composite": "false"},
                                   source="x", scheme="file", layout="per_key")

@@ -91,34 +91,40 @@ def check_configs(configs: Sequence[TableConfig]) -> None:
         seen[root] = cfg.name
 
 
+# Launcher argument names accepted by config_from_job_args
+# (a leading "--" is optional).
+JOB_ARG_BUCKET = "bucket_name"
+JOB_ARG_FOLDER = "folder_name"
+JOB_ARG_KEYS = "primary_key"
+JOB_ARG_COMPOSITE = "primary_key_is_composite"
+JOB_ARG_TABLE = "dynamo_table_name"
+JOB_ARG_CATALOG_DB = "catalog_database"
+JOB_ARG_CATALOG_TABLE = "catalog_table_name"
+
+
 def config_from_job_args(
     args: dict, source: SourceSpec, scheme: str = "s3a", **overrides
 ) -> TableConfig:
-    """A TableConfig from launcher-style arguments (``--bucket_name``, ``--folder_name``,
-    ``--primary_key``, ``--dynamo_table_name``, ``--catalog_database``,
-    ``--catalog_table_name``, ``--primary_key_is_composite``); leading dashes optional.
+    """A TableConfig from launcher-style arguments (names above).
 
-    The landed root is ``{scheme}://{bucket_name}/{folder_name}``. A composite
-    flag that disagrees with the number of key names is an error.
+    The landed root is ``{scheme}://{bucket}/{folder}``. A composite flag that
+    disagrees with the number of key names is an error.
     """
     a = {k.lstrip("-"): v for k, v in args.items()}
-    missing = [k for k in ("bucket_name", "folder_name", "primary_key") if not a.get(k)]
+    missing = [k for k in (JOB_ARG_BUCKET, JOB_ARG_FOLDER, JOB_ARG_KEYS) if not a.get(k)]
     if missing:
         raise ValueError(f"missing job arguments {missing}")
-    keys = parse_keys(a["primary_key"])
-    flag = str(a.get("primary_key_is_composite", "false")).strip().lower() == "true"
+    keys = parse_keys(a[JOB_ARG_KEYS])
+    flag = str(a.get(JOB_ARG_COMPOSITE, "false")).strip().lower() == "true"
     if flag != (len(keys) > 1):
-        raise ValueError(
-            f"primary_key_is_composite={a.get('primary_key_is_composite')!r} "
-            f"does not match keys {keys}"
-        )
-    root = f"{scheme}://{a['bucket_name'].strip('/')}/{a['folder_name'].strip('/')}"
+        raise ValueError(f"{JOB_ARG_COMPOSITE}={a.get(JOB_ARG_COMPOSITE)!r} does not match keys {keys}")
+    root = f"{scheme}://{a[JOB_ARG_BUCKET].strip('/')}/{a[JOB_ARG_FOLDER].strip('/')}"
     return TableConfig(
-        name=a.get("dynamo_table_name") or a["folder_name"],
+        name=a.get(JOB_ARG_TABLE) or a[JOB_ARG_FOLDER],
         root=root,
         keys=keys,
         source=source,
-        catalog_database=a.get("catalog_database"),
-        catalog_table=a.get("catalog_table_name"),
+        catalog_database=a.get(JOB_ARG_CATALOG_DB),
+        catalog_table=a.get(JOB_ARG_CATALOG_TABLE),
         **overrides,
     )
