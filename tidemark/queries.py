@@ -310,15 +310,15 @@ def q_check_rules(spark, sf):
 # landing runs (write, read back)
 # --------------------------------------------------------------------------
 
-def _config(spark, name, keys, **kw) -> TableConfig:
+def _config(spark, sf, name, keys, **kw) -> TableConfig:
+    """Config landing driver table ``name`` (read from ``sf``) into a fresh root."""
     return TableConfig(name=name, root=scratch_folder(spark, f"landed-{name}"), keys=keys,
-                       source=kw.pop("source", name), source_format=kw.pop("source_format", "parquet"),
-                       **kw)
+                       source=lambda s: _t(s, sf, name), source_format="parquet", **kw)
 
 
 def q_read_landed(spark, sf):
     orders = _t(spark, sf, "orders")
-    cfg = _config(spark, "orders", "o_orderkey")
+    cfg = _config(spark, sf, "orders", "o_orderkey")
     early = orders.where(F.col("o_orderdate") < _ts("1998-01-01")).drop("o_orderpriority")
     land_table(spark, cfg, RUN_1, source=early)
     land_table(spark, cfg, RUN_2, source=orders)
@@ -327,7 +327,7 @@ def q_read_landed(spark, sf):
 
 def q_land_as_text(spark, sf):
     """Landing with the unified text schema (every column text, sorted by name)."""
-    cfg = _config(spark, "orders", "o_orderkey", as_text=True)
+    cfg = _config(spark, sf, "orders", "o_orderkey", as_text=True)
     land_table(spark, cfg, RUN_1, source=_t(spark, sf, "orders"))
     return read_landed(spark, cfg.root)
 
@@ -342,14 +342,14 @@ def q_write_per_key(spark, sf):
 
 
 def q_first_full_load(spark, sf):
-    cfg = _config(spark, "conversations", "conv_id,turn")
+    cfg = _config(spark, sf, "conversations", "conv_id,turn")
     land_table(spark, cfg, RUN_1, source=_t(spark, sf, "conversations"))
     return read_landed(spark, cfg.root).select("conv_id", "turn", "processed_date")
 
 
 def q_incremental_extract(spark, sf):
     conv = _t(spark, sf, "conversations")
-    cfg = _config(spark, "conversations", "conv_id,turn")
+    cfg = _config(spark, sf, "conversations", "conv_id,turn")
     land_table(spark, cfg, RUN_1, source=conv.where(F.col("turn") < 3))
     land_table(spark, cfg, RUN_2, source=conv)
     return (read_landed(spark, cfg.root).groupBy("processed_date")
@@ -358,7 +358,7 @@ def q_incremental_extract(spark, sf):
 
 def q_incremental_rerun(spark, sf):
     orders = _t(spark, sf, "orders")
-    cfg = _config(spark, "orders", "o_orderkey")
+    cfg = _config(spark, sf, "orders", "o_orderkey")
     land_table(spark, cfg, RUN_1, source=orders)
     rep = land_table(spark, cfg, RUN_2, source=orders)
     return read_landed(spark, cfg.root).agg(
@@ -395,9 +395,8 @@ def q_stream_landing(spark, sf):
 
 def q_land_tables(spark, sf):
     configs = [
-        _config(spark, "conversations", "conv_id,turn",
-                source=lambda s: _t(s, sf, "conversations")),
-        _config(spark, "orders", "o_orderkey", source=lambda s: _t(s, sf, "orders")),
+        _config(spark, sf, "conversations", "conv_id,turn"),
+        _config(spark, sf, "orders", "o_orderkey"),
     ]
     return land_tables(spark, configs, RUN_1).select(
         "table_name", "key_kind", "status", "source_rows", "new_rows")
