@@ -1,7 +1,8 @@
 """Time the query catalogue and two landing workloads; print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEATS (default 2; each time is the best of that many runs).
+BENCH_REPEATS (default 2; each time is the best of that many runs),
+BENCH_X16=1 adds a 16x lineitem landing on the shuffle path.
 Each catalogue query is evaluated in full through the ``noop`` sink (no
 rows to the driver). The landing workloads time ``land_table`` runs on the
 largest tables: a full load, an incremental run, and a rerun with nothing new.
@@ -70,7 +71,25 @@ def land_documents(spark, sf_dir):
     _counted(spark, "land_documents", lambda: land_table(spark, cfg, RUN_2, source=docs))
 
 
+def land_lineitem_x16(spark, sf_dir):
+    """Lineitem replicated 16x under new keys (explode, no join), landed on the shuffle path."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    big = (li.select("*", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("copy"))
+           .withColumn("l_orderkey", F.col("l_orderkey") * 16 + F.col("copy")).drop("copy"))
+    staged = scratch_folder(spark, "bench-x16-src")
+    big.write.parquet(staged)
+    src = spark.read.parquet(staged)
+    cfg = TableConfig("lineitem_x16", scratch_folder(spark, "bench-x16"), "l_orderkey,l_linenumber",
+                      "unused", source_format="parquet", join_strategy="shuffle")
+    early = src.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    _counted(spark, "land_lineitem_x16", lambda: land_table(spark, cfg, RUN_1, source=early))
+    _counted(spark, "land_lineitem_x16", lambda: land_table(spark, cfg, RUN_2, source=src))
+    _counted(spark, "land_lineitem_x16", lambda: land_table(spark, cfg, RUN_3, source=src))
+
+
 WORKLOADS = {"land_lineitem": land_lineitem, "land_documents": land_documents}
+if os.environ.get("BENCH_X16") == "1":
+    WORKLOADS["land_lineitem_x16"] = land_lineitem_x16
 
 
 def main():
