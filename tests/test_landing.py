@@ -169,11 +169,12 @@ def test_per_key_hot_key_is_split_over_files(spark, tmp_path):
         df = spark.range(n).select(
             F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("k"),
             F.sha2(F.col("id").cast("string"), 256).alias("payload"))
-        folder = str(tmp_path / "run")
-        assert write_run(df, folder, layout="per_key", keys=["k"]) == n
-        hot = os.path.join(folder, f"{FILE_KEY}=hot")
-        assert len([f for f in os.listdir(hot) if f.endswith(".parquet")]) > 1
-        assert spark.read.parquet(hot).count() == n // 3
+        for cluster in (False, True):
+            folder = str(tmp_path / f"run-{cluster}")
+            assert write_run(df, folder, layout="per_key", keys=["k"], cluster=cluster) == n
+            hot = os.path.join(folder, f"{FILE_KEY}=hot")
+            assert len([f for f in os.listdir(hot) if f.endswith(".parquet")]) > 1
+            assert spark.read.parquet(hot).count() == n // 3
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
 

@@ -61,3 +61,18 @@ def test_flatten_is_one_projection_over_the_scan(spark, tmp_path):
     plan = _plan(flat)
     assert "Exchange" not in plan
     assert "FileScan text" in plan
+
+
+def test_per_key_write_clusters_only_on_request(spark, tmp_path):
+    from tidemark.sinks.runs import FILE_KEY, write_run
+    df = spark.range(0, 8000, 1, 8).select((F.col("id") % 7).cast("string").alias("k"), F.col("id").alias("v"))
+
+    def files_per_folder(folder):
+        return [len([f for f in os.listdir(os.path.join(folder, d)) if f.endswith(".parquet")])
+                for d in os.listdir(folder) if d.startswith(FILE_KEY)]
+
+    plain, clustered = str(tmp_path / "plain"), str(tmp_path / "clustered")
+    write_run(df, plain, layout="per_key", keys=["k"])                 # no shuffle: a file per task
+    write_run(df, clustered, layout="per_key", keys=["k"], cluster=True)
+    assert max(files_per_folder(plain)) == 8
+    assert max(files_per_folder(clustered)) < 8

@@ -57,6 +57,7 @@ class TableConfig:
     join_strategy: str = "auto"
     keep_unknown_tags: bool = True
     as_text: bool = False
+    cluster_per_key: bool = False
     catalog_database: str | None = None
     catalog_table: str | None = None
     options: dict = field(default_factory=dict, hash=False, compare=False)

@@ -166,7 +166,8 @@ def land_table(
             config.broadcast_max_bytes,
         )
         written = write_run(
-            stamp_run(new, run_at, config.audit_names), folder, config.layout, config.keys
+            stamp_run(new, run_at, config.audit_names), folder, config.layout, config.keys,
+            cluster=config.cluster_per_key,
         )
     except Exception as e:
         # e.g. key columns whose type differs between run folders of the root

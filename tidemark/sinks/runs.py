@@ -29,16 +29,21 @@ def write_run(
     keys: Sequence[str] | None = None,
     mode: str = "errorifexists",
     max_records_per_file: int | None = None,
+    cluster: bool = False,
 ) -> int:
     """Write ``df`` as Parquet under ``folder`` in one Spark job; returns the rows written.
 
     ``compact``: files straight from the producing tasks (after a shuffle
     join these are AQE-coalesced partitions). ``per_key``: one sub-folder
-    ``file_key=<key name>`` per key combination; rows are rebalanced by that
-    label, so AQE splits a hot key over several files instead of one task.
-    Key columns stay in the files. The row count comes from an Observation
-    evaluated in the writing (result) stage, so it is counted once per
-    partition even when tasks are retried.
+    ``file_key=<key name>`` per key combination, written from the producing
+    tasks with Spark's local sort by label (no shuffle). After a shuffle
+    join the rows of a key already share a task; otherwise a repeated key
+    may get a file per task, and a hot key spreads over many files.
+    ``cluster=True`` rebalances by label first (one extra shuffle; AQE splits
+    a hot key over several files) for fewer files per folder. Key columns
+    stay in the files. The row count comes from an Observation evaluated in
+    the writing (result) stage, so it is counted once per partition even
+    when tasks are retried.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
@@ -49,7 +54,9 @@ def write_run(
         keys = parse_keys(keys)
         if FILE_KEY in df.columns:
             raise ValueError(f"column {FILE_KEY!r} is reserved for the per-key layout")
-        df = df.withColumn(FILE_KEY, file_key(keys)).hint("rebalance", FILE_KEY)
+        df = df.withColumn(FILE_KEY, file_key(keys))
+        if cluster:
+            df = df.hint("rebalance", FILE_KEY)
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = df.write.mode(mode)
     if max_records_per_file:
