@@ -38,6 +38,7 @@ def test_first_load_then_increments(spark, root):
 
     r3 = land_table(spark, c, T3, source=frame(spark, [("1", "a"), ("2", "b"), ("3", "c")]))
     assert (r3.mode, r3.source_rows, r3.new_rows) == ("incremental", 3, 1)
+    assert (r1.landed_rows, r3.landed_rows) == (0, 2)
     landed = read_landed(spark, root)
     got = sorted((r["k"], r["processed_date"], r["processed_at"]) for r in landed.collect())
     assert got == [("1", "2025-01-01", "2025-01-01 00:00:00"), ("2", "2025-01-01", "2025-01-01 00:00:00"),

@@ -52,7 +52,7 @@ def _key_width(dt: T.DataType) -> int | None:
     return None
 
 
-def provably_small(raw_keys: DataFrame, keys: DataFrame, limit: int) -> bool:
+def provably_small(raw_keys: DataFrame, keys: DataFrame, limit: int, rows: int | None = None) -> bool:
     """True only if the key frame is proven to take at most ``limit`` bytes.
 
     ``raw_keys`` is the key projection before NULL filtering; its row count
@@ -60,14 +60,14 @@ def provably_small(raw_keys: DataFrame, keys: DataFrame, limit: int) -> bool:
     is turned down without reading a key value. Fixed-width keys are then
     bounded by that count alone; text keys of a small tree get the exact
     byte pass of :func:`landed_key_bound`. Nested key types are never
-    claimed small.
+    claimed small. ``rows`` is the row count of ``raw_keys`` if already known.
     """
     fields = keys.schema.fields
     if any(_key_width(f.dataType) is None and not isinstance(f.dataType, (T.StringType, T.BinaryType))
            for f in fields):
         return False
     per_row = _ROW_OVERHEAD + sum(_PER_KEY_OVERHEAD + (_key_width(f.dataType) or 0) for f in fields)
-    rows_upper = raw_keys.count()
+    rows_upper = raw_keys.count() if rows is None else rows
     if rows_upper * per_row > limit:
         return False
     if all(_key_width(f.dataType) is not None for f in fields):
@@ -106,6 +106,7 @@ def keyed_join(
     null_safe: bool = False,
     strategy: str = "auto",
     broadcast_max_bytes: int | None = None,
+    other_rows: int | None = None,
 ) -> DataFrame:
     """``source`` rows kept (``left_semi``) or dropped (``left_anti``) by key presence in ``other``.
 
@@ -160,7 +161,9 @@ def keyed_join(
     use_broadcast = strategy == "broadcast"
     if strategy == "auto":
         limit = _broadcast_limit(source.sparkSession, broadcast_max_bytes)
-        use_broadcast = limit > 0 and provably_small(other.select(*[col(k) for k in keys]), right, limit)
+        use_broadcast = limit > 0 and provably_small(
+            other.select(*[col(k) for k in keys]), right, limit, other_rows
+        )
     if use_broadcast:
         right = F.broadcast(right)
     else:
@@ -175,6 +178,7 @@ def new_records(
     null_safe: bool = False,
     strategy: str = "auto",
     broadcast_max_bytes: int | None = None,
+    landed_rows: int | None = None,
 ) -> DataFrame:
     """Rows of ``source`` whose key does not occur in ``landed`` (all rows if ``landed`` is None).
 
@@ -186,4 +190,5 @@ def new_records(
     keys = parse_keys(keys)
     if landed is None:
         return source
-    return keyed_join(source, landed, keys, "left_anti", null_safe, strategy, broadcast_max_bytes)
+    return keyed_join(source, landed, keys, "left_anti", null_safe, strategy, broadcast_max_bytes,
+                      landed_rows)

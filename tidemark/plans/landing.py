@@ -53,6 +53,7 @@ class RunReport:
     source_rows: int | None
     new_rows: int | None
     run_folder: str
+    landed_rows: int | None = None
     attempts: int = 1
     rules_failed: str | None = None
     error: str | None = None
@@ -67,6 +68,7 @@ REPORT_SCHEMA = T.StructType(
         T.StructField("source_rows", T.LongType()),
         T.StructField("new_rows", T.LongType()),
         T.StructField("run_folder", T.StringType()),
+        T.StructField("landed_rows", T.LongType()),
         T.StructField("attempts", T.IntegerType()),
         T.StructField("rules_failed", T.StringType()),
         T.StructField("error", T.StringType()),
@@ -159,11 +161,13 @@ def land_table(
     try:
         landed = read_landed(spark, config.root, keys=config.keys)
         report.mode = "full" if landed is None else "incremental"
+        # row count from Parquet metadata (no key values read); also feeds the broadcast check
+        report.landed_rows = 0 if landed is None else landed.count()
         seen = Observation()
         observed = src.observe(seen, F.count(F.lit(1)).alias("rows"))
         new = new_records(
             observed, landed, config.keys, config.null_safe, strategy or config.join_strategy,
-            config.broadcast_max_bytes,
+            config.broadcast_max_bytes, report.landed_rows,
         )
         written = write_run(
             stamp_run(new, run_at, config.audit_names), folder, config.layout, config.keys,
@@ -232,7 +236,7 @@ def land_tables(
                     time.sleep(retry_wait_seconds)
         return RunReport(
             cfg.name, cfg.key_kind, "FAILED", "none", None, None,
-            run_folder(cfg.root, run_at), max_attempts, None, last_error[:2000],
+            run_folder(cfg.root, run_at), None, max_attempts, None, last_error[:2000],
         )
 
     if max_parallel_tables > 1:
