@@ -212,8 +212,7 @@ def q_items_json_typed(spark, sf):
 
 def q_scan_items(spark, sf):
     folder = _write_export(spark, _t(spark, sf, "events"), "items-scan", files=16)
-    items = read_items_scan(spark, "events", "tidemark.sources.scan:ExportFolderClient",
-                            segments=4, path=folder)
+    items = read_items_scan(spark, "events", "tidemark.sources.scan:ExportFolderClient", path=folder)
     return flatten_items(items)
 
 

@@ -153,10 +153,13 @@ def register(spark) -> None:
     spark.dataSource.register(ItemScanDataSource)
 
 
-def read_items_scan(spark, table: str, client_factory: str, segments: int = 1, stage: bool = True,
-                    **client_options):
+def read_items_scan(spark, table: str, client_factory: str, segments: int | None = None,
+                    stage: bool = True, **client_options):
     """Scan a table with ``segments`` parallel tasks; returns ``item``, ``raw`` like read_items_json.
 
+    ``segments`` defaults to the session's default parallelism (one segment
+    per available core).
+
     With ``stage`` (default) the scanned lines are checkpointed once to the
     session's checkpoint folder, so field discovery and landing read one
     consistent snapshot and the live table is scanned a single time.
@@ -165,6 +168,8 @@ def read_items_scan(spark, table: str, client_factory: str, segments: int = 1, s
     from tidemark.sources.items import parse_items
 
     register(spark)
+    if segments is None:
+        segments = spark.sparkContext.defaultParallelism
     reader = (
         spark.read.format(FORMAT_NAME)
         .option("table", table)
