@@ -47,7 +47,7 @@ def test_config_from_job_args():
     assert cfg.key_kind == "composite" and cfg.catalog_table == "T"
     single = config_from_job_args({**args, "--primary_key": "id", "--primary_key_is_composite": "false"},
                                   source="x", scheme="file", layout="per_key")
-    assert single.root == "file://b/T" and single.layout == "per_key"
+    assert single.root == "file:///b/T" and single.layout == "per_key"
     with pytest.raises(ValueError):
         config_from_job_args({**args, "--primary_key": "id"}, source="x")
     with pytest.raises(ValueError):

@@ -119,7 +119,10 @@ def config_from_job_args(
     flag = str(a.get(JOB_ARG_COMPOSITE, "false")).strip().lower() == "true"
     if flag != (len(keys) > 1):
         raise ValueError(f"{JOB_ARG_COMPOSITE}={a.get(JOB_ARG_COMPOSITE)!r} does not match keys {keys}")
-    root = f"{scheme}://{a[JOB_ARG_BUCKET].strip('/')}/{a[JOB_ARG_FOLDER].strip('/')}"
+    bucket = a[JOB_ARG_BUCKET].strip("/")
+    if scheme == "file":  # a local "bucket" is an absolute folder
+        bucket = "/" + bucket
+    root = f"{scheme}://{bucket}/{a[JOB_ARG_FOLDER].strip('/')}"
     return TableConfig(
         name=a.get(JOB_ARG_TABLE) or a[JOB_ARG_FOLDER],
         root=root,
