@@ -1,8 +1,8 @@
 """Command line: land one table from job arguments, or a list of tables from a JSON file.
 
-    spark-submit -m tidemark --bucket_name b --folder_name t --primary_key id \\
+    python -m tidemark --bucket_name b --folder_name t --primary_key id \\
         --dynamo_table_name t --source s3a://b/exports/t/
-    spark-submit -m tidemark --configs tables.json
+    spark-submit --py-files tidemark.zip tidemark/__main__.py --configs tables.json
 
 ``tables.json`` holds a list of argument objects (the same names, each with
 a ``source``). Prints one JSON report line per table; exits 1 if any failed.
