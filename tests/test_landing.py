@@ -249,3 +249,10 @@ def test_malformed_export_lines_fail_the_run(spark, tmp_path, root):
     ok = tmp_path / "ok.json"
     ok.write_text('{"Item":{"id":{"S":"a"}}}\n\n{"Item":{"id":{"S":"b"}}}\n')   # blank line is fine
     assert land_table(spark, TableConfig("m", root, "id", str(ok)), T1).new_rows == 2
+
+
+def test_write_options_reach_the_writer(spark, root):
+    import glob
+    land_table(spark, cfg(root, write_options={"compression": "zstd"}), T1, source=frame(spark, [("1", "a")]))
+    files = glob.glob(os.path.join(root, "**", "*.parquet"), recursive=True)
+    assert files and all(".zstd." in f for f in files)

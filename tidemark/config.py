@@ -40,7 +40,8 @@ class TableConfig:
     builds the source DataFrame from the session. ``root`` is the landed
     folder; every run writes a new ``root/YYYY/MM/DD/HH-MM-SS/`` folder.
     ``as_text`` lands every column as text, sorted by name (the unified
-    schema items always get).
+    schema items always get). ``options`` go to the source reader,
+    ``write_options`` to the Parquet writer (e.g. ``{"compression": "zstd"}``).
     """
 
     name: str
@@ -61,6 +62,7 @@ class TableConfig:
     catalog_database: str | None = None
     catalog_table: str | None = None
     options: dict = field(default_factory=dict, hash=False, compare=False)
+    write_options: dict = field(default_factory=dict, hash=False, compare=False)
 
     def __post_init__(self):
         object.__setattr__(self, "keys", parse_keys(self.keys))

@@ -171,7 +171,7 @@ def land_table(
         )
         written = write_run(
             stamp_run(new, run_at, config.audit_names), folder, config.layout, config.keys,
-            cluster=config.cluster_per_key,
+            cluster=config.cluster_per_key, options=config.write_options,
         )
     except Exception as e:
         # e.g. key columns whose type differs between run folders of the root

@@ -30,6 +30,7 @@ def write_run(
     mode: str = "errorifexists",
     max_records_per_file: int | None = None,
     cluster: bool = False,
+    options: dict | None = None,
 ) -> int:
     """Write ``df`` as Parquet under ``folder`` in one Spark job; returns the rows written.
 
@@ -41,7 +42,8 @@ def write_run(
     may get a file per task, and a hot key spreads over many files.
     ``cluster=True`` rebalances by label first (one extra shuffle; AQE splits
     a hot key over several files) for fewer files per folder. Key columns
-    stay in the files. The row count comes from an Observation evaluated in
+    stay in the files. ``options`` go to the Parquet writer. The row count
+    comes from an Observation evaluated in
     the writing (result) stage, so it is counted once per partition even
     when tasks are retried.
     """
@@ -58,7 +60,7 @@ def write_run(
         if cluster:
             df = df.hint("rebalance", FILE_KEY)
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).options(**(options or {}))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     if layout == "per_key":
