@@ -88,3 +88,9 @@ def test_fast_path_without_unknown_tags(spark, tmp_path):
     flat = flatten_items(read_items_json(spark, path, keep_unknown_tags=False))
     row = flat.first().asDict()
     assert row == {**EXPECTED, "u": None}
+
+
+def test_keep_binary_with_invalid_base64(spark, tmp_path):
+    path = _write(tmp_path, [{"id": {"S": "a"}, "bin": {"B": "not base64!!"}}])
+    row = flatten_items(read_items_json(spark, path), keep_binary=True).first()
+    assert row["bin"] == "[binary data]"

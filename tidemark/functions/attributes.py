@@ -43,9 +43,14 @@ def decode_attribute(attr: Column, raw: Column | None = None, keep_binary: bool
 
     ``raw`` is the attribute's own JSON text, used for tags outside ``TAGS``
     (the struct parse drops those). ``keep_binary`` decodes ``B`` from base64
-    to its bytes read as UTF-8 instead of the placeholder text.
+    to its bytes read as UTF-8 instead of the placeholder text (which stays
+    for a value that is not valid base64, rather than failing the job).
     """
-    binary = F.unbase64(attr["B"]).cast("string") if keep_binary else F.lit(BINARY_TEXT)
+    binary = (
+        F.coalesce(F.try_to_binary(attr["B"], F.lit("base64")).cast("string"), F.lit(BINARY_TEXT))
+        if keep_binary
+        else F.lit(BINARY_TEXT)
+    )
     unknown = raw if raw is not None else F.lit(None).cast("string")
     return (
         F.when(attr.isNull(), F.lit(None).cast("string"))
