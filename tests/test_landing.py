@@ -256,3 +256,10 @@ def test_write_options_reach_the_writer(spark, root):
     land_table(spark, cfg(root, write_options={"compression": "zstd"}), T1, source=frame(spark, [("1", "a")]))
     files = glob.glob(os.path.join(root, "**", "*.parquet"), recursive=True)
     assert files and all(".zstd." in f for f in files)
+
+
+def test_land_tables_tags_jobs_per_table(spark, tmp_path):
+    a = cfg(str(tmp_path / "ja"), name="ja", source=lambda s: frame(s, [("1", "a")]))
+    land_tables(spark, [a], T1, job_group_prefix="grp-")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("grp-ja")) > 0
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None

@@ -210,6 +210,7 @@ def land_tables(
     max_attempts: int = 3,
     retry_wait_seconds: float = 0.0,
     max_parallel_tables: int = 1,
+    job_group_prefix: str = "tidemark:",
     **land_options,
 ) -> DataFrame:
     """Land every table; returns one report row per table (``REPORT_SCHEMA``).
@@ -223,17 +224,25 @@ def land_tables(
     check_configs(configs)
     run_at = run_at or datetime.now()
 
+    sc = spark.sparkContext
+
     def one(cfg: TableConfig) -> RunReport:
         last_error = None
-        for attempt in range(1, max_attempts + 1):
-            try:
-                rep = land_table(spark, cfg, run_at=run_at, **land_options)
-                rep.attempts = attempt
-                return rep
-            except Exception as e:  # reported, the other tables go on
-                last_error = f"{type(e).__name__}: {e}"
-                if attempt < max_attempts and retry_wait_seconds:
-                    time.sleep(retry_wait_seconds)
+        # jobs of one table share a group: visible per table, cancellable with cancelJobGroup
+        sc.setJobGroup(f"{job_group_prefix}{cfg.name}", f"landing {cfg.name} into {cfg.root}")
+        try:
+            for attempt in range(1, max_attempts + 1):
+                try:
+                    rep = land_table(spark, cfg, run_at=run_at, **land_options)
+                    rep.attempts = attempt
+                    return rep
+                except Exception as e:  # reported, the other tables go on
+                    last_error = f"{type(e).__name__}: {e}"
+                    if attempt < max_attempts and retry_wait_seconds:
+                        time.sleep(retry_wait_seconds)
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+            sc.setLocalProperty("spark.job.description", None)
         return RunReport(
             cfg.name, cfg.key_kind, "FAILED", "none", None, None,
             run_folder(cfg.root, run_at), None, max_attempts, None, last_error[:2000],
