@@ -86,8 +86,9 @@ def _is_item_frame(df: DataFrame) -> bool:
 def load_source(spark: SparkSession, config: TableConfig) -> DataFrame:
     """Source rows of a table; items stay items here (``land_table`` flattens them).
 
-    File sources are plain scans, so they get the input parallelism guard;
-    a callable's frame is used as built.
+    Item lines get the input parallelism guard before parsing (CPU work per
+    line); Parquet and a callable's frame are used as built (a later
+    anti-join would be pushed below a repartition anyway).
     """
     if callable(config.source):
         return config.source(spark)
@@ -98,7 +99,7 @@ def load_source(spark: SparkSession, config: TableConfig) -> DataFrame:
             )
         lines = spark.read.options(**config.options).text(config.source)
         return parse_items(ensure_parallelism(lines))
-    return ensure_parallelism(spark.read.options(**config.options).parquet(config.source))
+    return spark.read.options(**config.options).parquet(config.source)
 
 
 def land_table(

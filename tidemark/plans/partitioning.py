@@ -12,8 +12,10 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     unsplittable file or row group feeding CPU-heavy parsing; large inputs
     already have many splits and pass through unchanged (no shuffle).
     Spark sorts before a round-robin repartition, so retried tasks see the
-    same rows. Meant for plain file scans: reading the partition count of a
-    frame that contains a shuffle would run that shuffle under AQE.
+    same rows. Meant for plain file scans feeding per-row CPU work (parsing,
+    building items): reading the partition count of a frame that contains a
+    shuffle would run that shuffle under AQE, and a later semi/anti join is
+    pushed below a repartition, so join inputs gain nothing from it.
     """
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= n:

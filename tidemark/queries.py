@@ -37,7 +37,7 @@ RUN_2 = datetime(2025, 1, 2, 0, 0, 0)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ts(text: str) -> Column:
@@ -67,7 +67,8 @@ def _event_item_attrs() -> dict[str, Column]:
 
 
 def _event_items(events: DataFrame) -> DataFrame:
-    return items_of(events.select(item_from_columns(_event_item_attrs()).alias("item")))
+    # building items is CPU work per row: spread a single-split input first
+    return items_of(ensure_parallelism(events).select(item_from_columns(_event_item_attrs()).alias("item")))
 
 
 def _sparse_event_items(events: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def _sparse_event_items(events: DataFrame) -> DataFrame:
         "user_id": F.when(et != "signup", tagged("N", F.col("user_id").cast("string"))),
         "note": F.when(et == "error", tagged("NULL", F.lit(True))),
     }
-    return items_of(events.select(item_from_columns(attrs).alias("item")))
+    return items_of(ensure_parallelism(events).select(item_from_columns(attrs).alias("item")))
 
 
 def _attr_json(tag: str, value: Column, nested: bool = False) -> Column:
@@ -114,8 +115,7 @@ def _write_export(spark: SparkSession, events: DataFrame, label: str, files: int
     """Write events as export lines (``files`` text files when given)."""
     folder = scratch_folder(spark, label)
     lines = _event_export_lines(events)
-    if files:
-        lines = lines.repartition(files)
+    lines = lines.repartition(files) if files else ensure_parallelism(lines)
     lines.write.text(folder)
     return folder
 
