@@ -263,3 +263,13 @@ def test_land_tables_tags_jobs_per_table(spark, tmp_path):
     land_tables(spark, [a], T1, job_group_prefix="grp-")
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("grp-ja")) > 0
     assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
+def test_malformed_lines_with_data_rules(spark, tmp_path, root):
+    from tidemark.operators.quality import RowCount
+    from tidemark.plans.landing import LandingError
+    p = tmp_path / "items.json"
+    p.write_text('{"Item":{"id":{"S":"a"}}}\n{broken\n{"nope":1}\n')
+    with pytest.raises(LandingError, match="2 malformed"):
+        land_table(spark, TableConfig("m", root, "id", str(p)), T1, rules=[RowCount(">", 0)])
+    assert not os.path.exists(root)
