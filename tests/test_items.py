@@ -94,3 +94,16 @@ def test_keep_binary_with_invalid_base64(spark, tmp_path):
     path = _write(tmp_path, [{"id": {"S": "a"}, "bin": {"B": "not base64!!"}}])
     row = flatten_items(read_items_json(spark, path), keep_binary=True).first()
     assert row["bin"] == "[binary data]"
+
+
+def test_case_colliding_attribute_names(spark, tmp_path):
+    import pytest
+    path = _write(tmp_path, [{"id": {"S": "a"}, "Id": {"S": "b"}}])
+    with pytest.raises(ValueError, match="differ only by case"):
+        flatten_items(read_items_json(spark, path))
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        row = flatten_items(read_items_json(spark, path)).first()
+        assert (row["Id"], row["id"]) == ("b", "a")
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "false")

@@ -30,6 +30,21 @@ def field_names(items: DataFrame, item_col: str = ITEM_COL) -> list[str]:
     return sorted(r["field"] for r in discover_fields(items, item_col).select("field").collect())
 
 
+def _check_case_collisions(items: DataFrame, names: Sequence[str]) -> None:
+    """Attribute names may differ only by case; Spark columns may not unless case-sensitive."""
+    conf = items.sparkSession.conf.get("spark.sql.caseSensitive", "false")
+    if str(conf).lower() == "true":
+        return
+    seen: dict[str, str] = {}
+    for n in names:
+        other = seen.setdefault(n.lower(), n)
+        if other != n:
+            raise ValueError(
+                f"attributes {other!r} and {n!r} differ only by case; "
+                "set spark.sql.caseSensitive=true to land both"
+            )
+
+
 def flatten_items(
     items: DataFrame,
     fields: Sequence[str] | None = None,
@@ -46,6 +61,7 @@ def flatten_items(
     tag (a conditional branch, so no eager second parse).
     """
     names = sorted(fields) if fields is not None else field_names(items, item_col)
+    _check_case_collisions(items, names)
     item = F.col(item_col)
     has_raw = raw_col is not None and raw_col in items.columns
     cols = [col(c) for c in keep]
