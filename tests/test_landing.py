@@ -273,3 +273,17 @@ def test_malformed_lines_with_data_rules(spark, tmp_path, root):
     with pytest.raises(LandingError, match="2 malformed"):
         land_table(spark, TableConfig("m", root, "id", str(p)), T1, rules=[RowCount(">", 0)])
     assert not os.path.exists(root)
+
+
+def test_land_tables_from_config_frame(spark, tmp_path):
+    import json as _json
+    src = tmp_path / "items.json"
+    src.write_text(_json.dumps({"Item": {"id": {"S": "1"}, "g": {"S": "x"}}}) + "\n")
+    rows = [(str(tmp_path), "a", "id", "false", str(src)), (str(tmp_path), "b", "id,g", "true", str(src))]
+    frame_ = spark.createDataFrame(rows, "bucket_name string, folder_name string, primary_key string, "
+                                         "primary_key_is_composite string, source string")
+    from tidemark.plans.landing import configs_from_frame
+    cfgs = configs_from_frame(frame_, scheme="file")
+    assert [c.key_kind for c in cfgs] == ["single", "composite"]
+    rep = land_tables(spark, cfgs, T1)
+    assert [r["new_rows"] for r in rep.collect()] == [1, 1]

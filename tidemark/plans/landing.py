@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import fs
-from tidemark.config import TableConfig, check_configs
+from tidemark.config import TableConfig, check_configs, config_from_job_args
 from tidemark.functions.attributes import ATTRIBUTE_TYPE
 from tidemark.functions.naming import run_folder
 from tidemark.operators.diff import new_records
@@ -204,6 +204,22 @@ def land_table(
     return report
 
 
+def configs_from_frame(df: DataFrame, scheme: str = "s3a", **overrides) -> list[TableConfig]:
+    """TableConfigs from a config table: launcher argument columns plus ``source``.
+
+    A config table has one row per landed table, so collecting it is bounded
+    by the number of tables.
+    """
+    if "source" not in df.columns:
+        raise ValueError("a config table needs a 'source' column")
+    configs = []
+    for row in df.collect():
+        args = {k: v for k, v in row.asDict().items() if v is not None}
+        source = args.pop("source")
+        configs.append(config_from_job_args(args, source=source, scheme=scheme, **overrides))
+    return configs
+
+
 def land_tables(
     spark: SparkSession,
     configs: Sequence[TableConfig],
@@ -216,12 +232,18 @@ def land_tables(
 ) -> DataFrame:
     """Land every table; returns one report row per table (``REPORT_SCHEMA``).
 
+    ``configs`` is a list of TableConfig, or a small DataFrame with one row
+    per table holding the launcher argument names and a ``source`` column
+    (see :func:`configs_from_frame`).
+
     A failing table is retried up to ``max_attempts`` times with the same
     run time (so the same run folder); a table that fails every attempt is
     reported FAILED and the others go on. Tables run one after another by
     default; ``max_parallel_tables`` > 1 submits several landings at once
     from driver threads (each is its own set of Spark jobs).
     """
+    if isinstance(configs, DataFrame):
+        configs = configs_from_frame(configs)
     check_configs(configs)
     run_at = run_at or datetime.now()
 
