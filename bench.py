@@ -2,7 +2,8 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEATS (default 2; each time is the best of that many runs),
-BENCH_X16=1 adds a 16x lineitem landing on the shuffle path.
+BENCH_X16=1 adds a 16x lineitem landing on the shuffle path; BENCH_EVENT_LOG=1 writes Spark's
+event log to a fresh temp folder and adds executor task seconds per item.
 Each catalogue query is evaluated in full through the ``noop`` sink (no
 rows to the driver). The landing workloads time ``land_table`` runs on the
 largest tables: a full load, an incremental run, and a rerun with nothing new.
@@ -14,6 +15,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 from datetime import datetime
 
@@ -91,10 +93,40 @@ if os.environ.get("BENCH_X16") == "1":
     WORKLOADS["land_lineitem_x16"] = land_lineitem_x16
 
 
+def _task_seconds(event_dir: str) -> dict[str, float]:
+    """Executor run time summed per bench item, from the Spark event log (stage names)."""
+    stage_item: dict[int, str] = {}
+    totals: dict[str, float] = {}
+    files = [os.path.join(base, f) for base, _d, names in os.walk(event_dir) for f in names
+             if not f.startswith((".", "appstatus"))]
+    for path in files:
+        with open(path, encoding="utf-8") as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerStageSubmitted":
+                    info = ev["Stage Info"]
+                    label = info.get("Stage Name", "")
+                    if label.startswith("bench:"):
+                        stage_item[info["Stage ID"]] = label[len("bench:"):]
+                elif kind == "SparkListenerTaskEnd":
+                    item = stage_item.get(ev.get("Stage ID"))
+                    metrics = ev.get("Task Metrics") or {}
+                    if item:
+                        totals[item] = totals.get(item, 0.0) + metrics.get("Executor Run Time", 0) / 1000
+    return {k: round(v, 2) for k, v in sorted(totals.items())}
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus)
+    extra = {}
+    event_dir = None
+    if os.environ.get("BENCH_EVENT_LOG") == "1":
+        event_dir = tempfile.mkdtemp(prefix="tidemark-events-")
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir,
+                 "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}
+    spark = local_session(cpus, **extra)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 
@@ -113,17 +145,23 @@ def main():
         return round(best, 3)
 
     timings = {}
+    sc = spark.sparkContext
     for name, fn in QUERIES.items():
+        sc.setLocalProperty("callSite.short", f"bench:{name}")
         timings[name] = best_of(
             lambda fn=fn: fn(spark, sf_dir).write.format("noop").mode("overwrite").save())
     for name, fn in WORKLOADS.items():
+        sc.setLocalProperty("callSite.short", f"bench:{name}")
         timings[name] = best_of(lambda fn=fn: fn(spark, sf_dir))
         JOBS[name] = JOBS[name][: len(JOBS[name]) // repeats]
+    sc.setLocalProperty("callSite.short", None)
     spark.stop()
     total = round(sum(timings.values()), 3)
+    task_seconds = _task_seconds(event_dir) if event_dir else None
     print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec",
                       "queries": timings, "sf": sf, "cpus": int(cpus), "repeats": repeats,
-                      "spark_jobs_per_landing_run": JOBS}))
+                      "spark_jobs_per_landing_run": JOBS,
+                      **({"task_seconds": task_seconds, "event_log": event_dir} if event_dir else {})}))
 
 
 if __name__ == "__main__":
