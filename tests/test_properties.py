@@ -59,3 +59,72 @@ def test_keyed_joins_match_brute_force(spark, src, other, null_safe, strategy):
     got_kept = sorted((tuple(r) for r in filter_keys(s, "a,b", o, null_safe, strategy=strategy).collect()),
                       key=repr)
     assert got_kept == _model(src, other, null_safe, keep=True)
+
+
+_text = st.text(alphabet=st.sampled_from(list("abcXYZ019 _-:/\\\"'.")), max_size=8)
+_attr = st.one_of(
+    st.builds(lambda v: {"S": v}, _text),
+    st.builds(lambda v: {"N": str(v)}, st.integers(-10**20, 10**20)),
+    st.builds(lambda v: {"BOOL": v}, st.booleans()),
+    st.builds(lambda v: {"L": [{"S": x} for x in v]}, st.lists(_text, max_size=3)),
+    st.builds(lambda v: {"M": {"q": {"S": v}}}, _text),
+    st.just({"NULL": True}),
+    st.just({"B": "aGk="}),
+    st.builds(lambda v: {"SS": v}, st.lists(_text, min_size=1, max_size=3)),
+    st.builds(lambda v: {"NS": [str(x) for x in v]}, st.lists(st.integers(0, 99), min_size=1, max_size=3)),
+    st.just({"BS": ["aGk="]}),
+    st.builds(lambda v: {"ZZ": v}, st.integers(0, 9)),
+)
+_items = st.lists(st.dictionaries(st.sampled_from(["a", "b", "c.d", "e f"]), _attr, max_size=4),
+                  min_size=1, max_size=6)
+
+
+def _decode_model(v):
+    import json as _j
+    compact = {"separators": (",", ":")}
+    if "S" in v:
+        return v["S"]
+    if "N" in v:
+        return v["N"]
+    if "BOOL" in v:
+        return "true" if v["BOOL"] else "false"
+    if "L" in v:
+        return _j.dumps(v["L"], **compact)
+    if "M" in v:
+        return _j.dumps(v["M"], **compact)
+    if "NULL" in v:
+        return "null"
+    if "B" in v:
+        return "[binary data]"
+    if "SS" in v:
+        return _j.dumps(v["SS"], **compact)
+    if "NS" in v:
+        return _j.dumps(v["NS"], **compact)
+    if "BS" in v:
+        return "[binary set data]"
+    return _j.dumps(v, **compact)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(items=_items)
+def test_flatten_matches_decoding_model(spark, items):
+    import json as _j
+    import os as _os
+
+    from tidemark.operators.flatten import flatten_items
+    from tidemark.sources.items import read_items_json
+
+    folder = tempfile.mkdtemp(prefix="tidemark-items-")
+    with open(_os.path.join(folder, "part.json"), "w", encoding="utf-8") as fh:
+        for i, item in enumerate(items):
+            fh.write(_j.dumps({"Item": {"row": {"N": str(i)}, **item}}, separators=(",", ":")) + "\n")
+    rows = flatten_items(read_items_json(spark, folder)).collect()
+    names = sorted({"row"} | {k for it in items for k in it})
+    assert sorted(rows[0].asDict()) == names
+    for r in rows:
+        item = items[int(r["row"])]
+        for name in names:
+            if name == "row":
+                continue
+            want = _decode_model(item[name]) if name in item else None
+            assert r[name] == want, (name, item.get(name))
