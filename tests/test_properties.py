@@ -128,3 +128,20 @@ def test_flatten_matches_decoding_model(spark, items):
                 continue
             want = _decode_model(item[name]) if name in item else None
             assert r[name] == want, (name, item.get(name))
+
+
+_part = st.one_of(st.none(), st.text(alphabet=st.sampled_from(list("ab_ :\\/.-1")), max_size=6))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(_part, _part), min_size=1, max_size=20))
+def test_key_name_matches_model(spark, rows):
+    from tidemark.functions.naming import key_name
+
+    def model(parts):
+        text = "_".join("NULL" if p is None else p for p in parts)
+        return text.replace(" ", "_").replace("\\", "_").replace(":", "_")
+
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = [r[0] for r in df.select(key_name("a", "b")).collect()]
+    assert got == [model(r) for r in rows]
