@@ -145,3 +145,45 @@ def test_key_name_matches_model(spark, rows):
     df = spark.createDataFrame(rows, "a string, b string")
     got = [r[0] for r in df.select(key_name("a", "b")).collect()]
     assert got == [model(r) for r in rows]
+
+
+_kinds = {
+    "bool": st.sampled_from(["true", "false"]),
+    "int": st.integers(-2**31, 2**31 - 1).map(str),
+    "bigint": st.integers(2**31, 2**62).map(str),
+    "wide": st.integers(10**19, 10**30).map(str),
+    "double": st.builds(lambda a, b: f"{a}.{b}", st.integers(-999, 999), st.integers(0, 99)),
+    "date": st.dates(min_value=__import__("datetime").date(1900, 1, 1),
+                     max_value=__import__("datetime").date(2100, 1, 1)).map(str),
+    "bad_date": st.sampled_from(["2024-02-30", "2023-13-01"]),
+    "ts": st.datetimes(min_value=__import__("datetime").datetime(1900, 1, 1),
+                       max_value=__import__("datetime").datetime(2100, 1, 1)).map(lambda d: d.strftime("%Y-%m-%d %H:%M:%S")),
+    "word": st.sampled_from(["x", "yes", "1a", " 7 "]),
+}
+_order = ["boolean", "int", "bigint", "decimal(38,0)", "double", "date", "timestamp"]
+_fits = {
+    "bool": {"boolean"}, "int": {"int", "bigint", "decimal(38,0)", "double"},
+    "bigint": {"bigint", "decimal(38,0)", "double"}, "wide": {"decimal(38,0)", "double"},
+    "double": {"double"}, "date": {"date"}, "bad_date": set(), "ts": {"timestamp"}, "word": set(),
+}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(cols=st.lists(st.lists(st.sampled_from(sorted(_kinds)), min_size=1, max_size=3), min_size=1, max_size=4),
+       data=st.data())
+def test_infer_schema_matches_model(spark, cols, data):
+    from tidemark.operators.schema import infer_schema
+
+    n = 5
+    values = []
+    for kinds in cols:
+        values.append([data.draw(_kinds[kinds[i % len(kinds)]]) for i in range(n)])
+    rows = [tuple([str(i)] + [v[i] for v in values]) for i in range(n)]
+    names = ["k"] + [f"c{j}" for j in range(len(cols))]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names))
+    got = {f.name: f.dataType.simpleString() for f in infer_schema(df, "k").fields}
+    for j, kinds in enumerate(cols):
+        used = {kinds[i % len(kinds)] for i in range(n)}
+        common = set.intersection(*[_fits[k] for k in used])
+        want = next((t for t in _order if t in common), "string")
+        assert got[f"c{j}"] == want, (kinds, values[j])
