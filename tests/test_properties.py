@@ -1,7 +1,7 @@
 """After any series of runs with non-NULL unique keys: landed keys = union of source keys, once each."""
 
 import tempfile
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -153,11 +153,10 @@ _kinds = {
     "bigint": st.integers(2**31, 2**62).map(str),
     "wide": st.integers(10**19, 10**30).map(str),
     "double": st.builds(lambda a, b: f"{a}.{b}", st.integers(-999, 999), st.integers(0, 99)),
-    "date": st.dates(min_value=__import__("datetime").date(1900, 1, 1),
-                     max_value=__import__("datetime").date(2100, 1, 1)).map(str),
+    "date": st.dates(min_value=date(1900, 1, 1), max_value=date(2100, 1, 1)).map(str),
     "bad_date": st.sampled_from(["2024-02-30", "2023-13-01"]),
-    "ts": st.datetimes(min_value=__import__("datetime").datetime(1900, 1, 1),
-                       max_value=__import__("datetime").datetime(2100, 1, 1)).map(lambda d: d.strftime("%Y-%m-%d %H:%M:%S")),
+    "ts": st.datetimes(min_value=datetime(1900, 1, 1), max_value=datetime(2100, 1, 1))
+          .map(lambda d: d.strftime("%Y-%m-%d %H:%M:%S")),
     "word": st.sampled_from(["x", "yes", "1a", " 7 "]),
 }
 _order = ["boolean", "int", "bigint", "decimal(38,0)", "double", "date", "timestamp"]
