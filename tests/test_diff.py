@@ -173,3 +173,9 @@ def test_nested_keys_never_broadcast_by_auto(spark):
     from tidemark.operators.diff import provably_small
     df = spark.range(3).select(F.array(F.col("id")).alias("k"))
     assert not provably_small(df, df, 1 << 30)
+
+
+def test_reserved_key_side_names(spark):
+    s = spark.createDataFrame([("1", "x")], "k string, __landed_key_0 string")
+    with pytest.raises(ValueError, match="reserved"):
+        new_records(s, s.select("k"), "k")

@@ -133,6 +133,10 @@ def keyed_join(
         if missing:
             raise ValueError(f"{label} lacks key columns {missing}")
 
+    reserved = [c for c in source.columns if c.startswith(_landed_key_name(0)[:-1])]
+    if reserved:
+        raise ValueError(f"source columns {reserved} use a name reserved for the key side")
+
     src_types = {f.name: f.dataType for f in source.schema.fields}
     other_types = {f.name: f.dataType for f in other.schema.fields}
     as_text = {k for k in keys if src_types[k] != other_types[k]}
