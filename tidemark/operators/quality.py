@@ -36,6 +36,9 @@ class ColumnCount:
     def passed(self, actual: Column) -> Column:
         return _OPS[self.op](actual, F.lit(self.value))
 
+    def holds(self, actual: int) -> bool:
+        return bool(_OPS[self.op](actual, self.value))
+
 
 @dataclass(frozen=True)
 class RowCount:
@@ -55,6 +58,9 @@ class RowCount:
     def passed(self, actual: Column) -> Column:
         return _OPS[self.op](actual, F.lit(self.value))
 
+    def holds(self, actual: int) -> bool:
+        return bool(_OPS[self.op](actual, self.value))
+
 
 @dataclass(frozen=True)
 class IsComplete:
@@ -73,6 +79,9 @@ class IsComplete:
     def passed(self, actual: Column) -> Column:
         return actual == F.lit(0)
 
+    def holds(self, actual: int) -> bool:
+        return actual == 0
+
 
 DEFAULT_RULES = (ColumnCount(">", 0),)
 

@@ -18,7 +18,7 @@ from tidemark.functions.attributes import ATTRIBUTE_TYPE
 from tidemark.functions.naming import run_folder
 from tidemark.operators.diff import new_records
 from tidemark.operators.flatten import field_names, flatten_items
-from tidemark.operators.quality import DEFAULT_RULES, evaluate_rules
+from tidemark.operators.quality import DEFAULT_RULES
 from tidemark.operators.schema import enforce_schema, unified_string_schema
 from tidemark.operators.stamp import stamp_run
 from tidemark.plans.partitioning import ensure_parallelism
@@ -122,8 +122,10 @@ def land_table(
     partial files as landed.
 
     Jobs per run stay constant as rows grow: field discovery (items without
-    ``config.fields``), data rules if any, the landed-key size bound
-    (``join_strategy="auto"``) and the write. An empty source is known from
+    ``config.fields``), the landed-key size bound (``join_strategy="auto"``)
+    and the write. Data rules are aggregates observed by the write itself;
+    with ``fail_on_violation`` a failed rule removes the run's folder, so
+    nothing is landed. An empty source is known from
     the write's own row count (nothing is left behind), not from a separate
     job.
     ``source_rows`` is counted by an Observation beside the join input; if a
@@ -153,11 +155,11 @@ def land_table(
     if missing:
         raise ValueError(f"table {config.name!r}: key columns {missing} not in source")
 
-    results = evaluate_rules(src, rules)
-    failed = [r for r, _a, ok in results if not ok]
-    report.rules_failed = "; ".join(failed) or None
-    if failed and fail_on_violation:
-        raise RuleViolation(f"table {config.name!r}: failed rules {failed}")
+    # Metadata rules are checked now; data rules are aggregates observed by the write itself.
+    meta_failed = {r.text for r in rules if r.metadata_only and not r.evaluate(src)[1]}
+    if meta_failed and fail_on_violation:
+        raise RuleViolation(f"table {config.name!r}: failed rules {sorted(meta_failed)}")
+    data_rules = [r for r in rules if not r.metadata_only]
 
     try:
         landed = read_landed(spark, config.root, keys=config.keys)
@@ -165,7 +167,10 @@ def land_table(
         # row count from Parquet metadata (no key values read); also feeds the broadcast check
         report.landed_rows = 0 if landed is None else landed.count()
         seen = Observation()
-        observed = src.observe(seen, F.count(F.lit(1)).alias("rows"))
+        observed = src.observe(
+            seen, F.count(F.lit(1)).alias("rows"),
+            *[r.actual(src).cast("bigint").alias(f"rule{i}") for i, r in enumerate(data_rules)],
+        )
         new = new_records(
             observed, landed, config.keys, config.null_safe, strategy or config.join_strategy,
             config.broadcast_max_bytes, report.landed_rows,
@@ -185,14 +190,21 @@ def land_table(
             f"table {config.name!r}: landing under {config.root!r} into {folder!r} failed: "
             f"{type(e).__name__}: {_first_line(e)}"
         ) from e
-    report.source_rows = int(seen.get["rows"])
+    metrics = seen.get
+    report.source_rows = int(metrics["rows"])
     report.new_rows = written
+    data_failed = {r.text for i, r in enumerate(data_rules) if not r.holds(int(metrics[f"rule{i}"]))}
+    failed = [r.text for r in rules if r.text in meta_failed | data_failed]
+    report.rules_failed = "; ".join(failed) or None
     if malformed is not None and int(malformed.get["rows"]) > 0:
         fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
         raise LandingError(
             f"table {config.name!r}: {int(malformed.get['rows'])} malformed export lines "
             f"(not JSON or without Item); nothing landed"
         )
+    if failed and fail_on_violation:
+        fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
+        raise RuleViolation(f"table {config.name!r}: failed rules {failed}; nothing landed")
     if written == 0:
         fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
         report.mode = "none"
