@@ -52,3 +52,26 @@ def test_bad_factory(spark, export):
     folder, _ = export
     with pytest.raises(Exception):
         read_items_scan(spark, "t", "no_colon", segments=1, path=folder).collect()
+
+
+def test_staged_scan_reads_the_table_once(spark, export, tmp_path):
+    folder, n = export
+    log = str(tmp_path / "calls.log")
+    items = read_items_scan(spark, "t", "tidemark.sources.scan:LoggingExportFolderClient",
+                            segments=3, path=folder, log=log)
+    flat = flatten_items(items)          # field discovery pass
+    assert flat.count() == n             # second pass over the items
+    assert len(flat.collect()) == n      # third
+    with open(log) as fh:
+        calls = fh.read().split()
+    assert len(calls) == 7 and len(set(calls)) == 7   # 7 pages, each served once
+
+
+def test_unstaged_scan_reads_again_per_pass(spark, export, tmp_path):
+    folder, n = export
+    log = str(tmp_path / "calls.log")
+    items = read_items_scan(spark, "t", "tidemark.sources.scan:LoggingExportFolderClient",
+                            segments=3, stage=False, path=folder, log=log)
+    assert flatten_items(items).count() == n   # discovery + count: two scans of the table
+    with open(log) as fh:
+        assert len(fh.read().split()) > 7

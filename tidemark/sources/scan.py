@@ -99,6 +99,23 @@ class ItemScanDataSource(DataSource):
         return ItemScanReader(self.options)
 
 
+class LoggingExportFolderClient:
+    """ExportFolderClient that appends each page it serves to ``log`` (one line per call).
+
+    Lets tests check how often the table was actually scanned.
+    """
+
+    def __init__(self, path: str, log: str):
+        self.inner = ExportFolderClient(path)
+        self.log = log
+
+    def scan(self, **kwargs):
+        page = self.inner.scan(**kwargs)
+        with open(self.log, "a", encoding="utf-8") as fh:
+            fh.write(f"{kwargs.get('Segment')}:{(kwargs.get('ExclusiveStartKey') or {}).get('page', -1)}\n")
+        return page
+
+
 def _filesystem(path: str):
     """(pyarrow filesystem, path inside it) for local paths and URIs (file:, hdfs:, s3:, ...)."""
     from pyarrow import fs as pafs
