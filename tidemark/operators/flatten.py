@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.attributes import decode_attribute
 from tidemark.functions.columns import col
-from tidemark.sources.items import ITEM_COL, RAW_COL, raw_attribute
+from tidemark.sources.items import ITEM_COL, RAW_COL, line_struct, raw_attribute
 
 
 def discover_fields(items: DataFrame, item_col: str = ITEM_COL) -> DataFrame:
@@ -52,21 +52,45 @@ def flatten_items(
     raw_col: str | None = RAW_COL,
     keep: Sequence[str] = (),
     keep_binary: bool = False,
+    malformed_col: str | None = None,
 ) -> DataFrame:
     """One nullable string column per field, sorted by name; absent attribute -> NULL.
 
     ``fields`` skips the discovery pass when the caller knows them. ``keep``
-    carries extra columns of ``items`` through unchanged (first). ``raw_col``
-    holds the export line; it is parsed only for attributes with an unknown
-    tag (a conditional branch, so no eager second parse).
+    carries extra columns of ``items`` through unchanged (first).
+
+    When the export line is present (``raw_col``), it is parsed once straight
+    into a struct of the known fields, so each field is a direct lookup
+    (looking fields up in the parsed map scans its keys, which grows with
+    width); a repeated attribute name then keeps its last value. The line is
+    parsed again only for an attribute with an unknown tag (a conditional
+    branch). Frames without the line text decode from the item map.
+    ``malformed_col`` adds a boolean column marking rows whose line or item
+    did not parse.
     """
     names = sorted(fields) if fields is not None else field_names(items, item_col)
     _check_case_collisions(items, names)
-    item = F.col(item_col)
     has_raw = raw_col is not None and raw_col in items.columns
+    if has_raw:
+        # own projection: the parse is computed once, then every field reads it
+        parsed = items.select(
+            *[col(c) for c in keep],
+            F.col(raw_col).alias("__line"),
+            F.from_json(F.col(raw_col), line_struct(names))["Item"].alias("__item"),
+        )
+        cols = [col(c) for c in keep]
+        for name in names:
+            attr = F.col("__item").getField(name)
+            raw = raw_attribute(F.col("__line"), name)
+            cols.append(decode_attribute(attr, raw, keep_binary).alias(name))
+        if malformed_col:
+            cols.append(F.col("__item").isNull().alias(malformed_col))
+        return parsed.select(*cols)
+    item = F.col(item_col)
     cols = [col(c) for c in keep]
     for name in names:
         attr = F.try_element_at(item, F.lit(name))
-        raw = raw_attribute(F.col(raw_col), name) if has_raw else None
-        cols.append(decode_attribute(attr, raw, keep_binary).alias(name))
+        cols.append(decode_attribute(attr, None, keep_binary).alias(name))
+    if malformed_col:
+        cols.append(item.isNull().alias(malformed_col))
     return items.select(*cols)

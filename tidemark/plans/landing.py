@@ -147,8 +147,10 @@ def land_table(
     if _is_item_frame(src):
         fields = config.fields if config.fields is not None else field_names(src)
         malformed = Observation()
-        src = src.observe(malformed, F.count_if(F.col(ITEM_COL).isNull()).alias("rows"))
-        src = flatten_items(src, fields=fields)
+        flag = "__malformed"
+        src = (flatten_items(src, fields=fields, malformed_col=flag)
+               .observe(malformed, F.count_if(F.col(flag)).alias("rows"))
+               .drop(flag))
     elif config.as_text:
         src = enforce_schema(src, unified_string_schema(src))
     missing = [k for k in config.keys if k not in src.columns]

@@ -44,18 +44,21 @@ def read_items_json(
     ``keep_unknown_tags=False`` parses inside the JSON data source instead
     (about a quarter faster, and the decoding stays in whole-stage codegen);
     an attribute whose tag is not one of the known ones then decodes to NULL
-    instead of its own JSON text.
+    instead of its own JSON text. That path has no line text (``raw``).
     """
     reader = spark.read.options(**options)
     if keep_unknown_tags:
         return parse_items(reader.text(path))
-    return reader.schema(_LINE_TYPED).json(path).select(
-        F.col("Item").alias(ITEM_COL), F.lit(None).cast(T.StringType()).alias(RAW_COL)
-    )
+    return reader.schema(_LINE_TYPED).json(path).select(F.col("Item").alias(ITEM_COL))
 
 
 def items_of(df: DataFrame, item: str | Column = ITEM_COL) -> DataFrame:
-    """Frame with an item map column into the (item, raw) shape the flatteners expect."""
+    """Frame with an item map column (no export line) in the shape the flatteners expect."""
     c = F.col(item) if isinstance(item, str) else item
-    return df.select(c.cast(T.MapType(T.StringType(), ATTRIBUTE_TYPE)).alias(ITEM_COL),
-                     F.lit(None).cast(T.StringType()).alias(RAW_COL))
+    return df.select(c.cast(T.MapType(T.StringType(), ATTRIBUTE_TYPE)).alias(ITEM_COL))
+
+
+def line_struct(fields: list[str] | tuple[str, ...]) -> T.StructType:
+    """Schema parsing an export line straight into one typed attribute per known field."""
+    return T.StructType([T.StructField(
+        "Item", T.StructType([T.StructField(f, ATTRIBUTE_TYPE, True) for f in fields]), True)])
