@@ -186,3 +186,27 @@ def test_infer_schema_matches_model(spark, cols, data):
         common = set.intersection(*[_fits[k] for k in used])
         want = next((t for t in _order if t in common), "string")
         assert got[f"c{j}"] == want, (kinds, values[j])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(items=_items)
+def test_struct_and_map_paths_agree(spark, items):
+    import json as _j
+    import os as _os
+
+    from tidemark.operators.flatten import flatten_items
+    from tidemark.sources.items import read_items_json
+
+    folder = tempfile.mkdtemp(prefix="tidemark-paths-")
+    with open(_os.path.join(folder, "part.json"), "w", encoding="utf-8") as fh:
+        for i, item in enumerate(items):
+            fh.write(_j.dumps({"Item": {"row": {"N": str(i)}, **item}}, separators=(",", ":")) + "\n")
+    parsed = read_items_json(spark, folder)
+    by_line = {r["row"]: r.asDict() for r in flatten_items(parsed).collect()}
+    by_map = {r["row"]: r.asDict() for r in flatten_items(parsed.drop("raw")).collect()}
+    for row, line_vals in by_line.items():
+        item = items[int(row)]
+        for name, v in line_vals.items():
+            unknown = name in item and not any(t in item[name] for t in
+                                               ("S", "N", "BOOL", "L", "M", "NULL", "B", "SS", "NS", "BS"))
+            assert by_map[row][name] == (None if unknown else v), name
