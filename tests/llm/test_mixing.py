@@ -1,0 +1,101 @@
+import hashlib
+from collections import defaultdict
+from fractions import Fraction
+
+from pyspark.sql import functions as F
+
+from tests.llm.brute import DOC_SCHEMA, ODD_DOCS, SF, words
+from tidemark.llm import mixing
+
+
+def _split(children, given):
+    """children: {name: (weight, cap)}; budgets by repeated filling of full children."""
+    left, room, out = dict(children), given, {}
+    while left:
+        w_all = sum(w for w, _ in left.values())
+        full = {n for n, (w, cap) in left.items() if Fraction(cap) <= Fraction(w * room, w_all)}
+        if not full:
+            return out | {n: w * room // w_all for n, (w, _) in left.items()}
+        for n in full:
+            out[n] = left.pop(n)[1]
+            room -= out[n]
+    return out
+
+
+def _mix(docs, paths, weights, share=(4, 5), max_epochs=2, seed=17):
+    tokens = defaultdict(int)
+    for (d, t), p in zip(docs, paths):
+        tokens[p] += len(words(t))
+    total = sum(tokens.values()) * share[0] // share[1]
+
+    def budget(prefix, given):
+        depth = len(prefix)
+        caps = defaultdict(int)
+        for p, n in tokens.items():
+            if p[:depth] == prefix:
+                caps[p[depth]] += n * max_epochs
+        got = _split({n: (weights[depth].get(n, 1), c) for n, c in caps.items()}, given)
+        if depth == 2:
+            return {prefix + (n,): b for n, b in got.items()}
+        return {k: v for n, b in got.items() for k, v in budget(prefix + (n,), b).items()}
+
+    out = []
+    for p, b in budget((), min(total, sum(tokens.values()) * max_epochs)).items():
+        mine = [(d, t) for (d, t), q in zip(docs, paths) if q == p]
+        if not tokens[p]:
+            out += [(d, 0) for d, _ in mine]
+            continue
+        epochs, room = divmod(b, tokens[p])
+        out += [(d, e) for d, _ in mine for e in range(epochs)]
+        by_order = defaultdict(list)
+        for d, t in mine:
+            by_order[hashlib.md5(f"{seed}:{epochs}:{'null' if d is None else d}".encode()).hexdigest()].append((d, len(words(t))))
+        for o in sorted(by_order):
+            room -= sum(n for _, n in by_order[o])
+            if room < 0:
+                break
+            out += [(d, epochs) for d, _ in by_order[o]]
+    return sorted(out, key=str)
+
+
+def _path(r):
+    try:
+        dom = f"d{int((r['source'] or '')[3:]) % 4}"
+    except ValueError:
+        dom = ""
+    return dom, r["lang"] or "", r["source"] or ""
+
+
+WEIGHTS = [mixing.WEIGHTS["domain"], mixing.WEIGHTS["lang"], {}]
+
+
+def test_query(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    want = _mix([(r["doc_id"], r["text"]) for r in rows], [_path(r) for r in rows], WEIGHTS)
+    got = sorted([(r["doc_id"], r["epoch"]) for r in mixing.op5_mixing(spark, SF).collect()], key=str)
+    assert got == want and any(e == 1 for _, e in got)
+
+
+def test_odd_rows(spark):
+    df = spark.createDataFrame(ODD_DOCS, DOC_SCHEMA).selectExpr("*", "9 AS epoch", "1 AS n", "2 AS o")
+    out = mixing.mix_sources(df, mixing.production_levels(), weights=mixing.WEIGHTS)
+    rows = df.collect()
+    assert set(out.columns) == set(df.columns)
+    assert sorted([(r["doc_id"], r["epoch"]) for r in out.collect()], key=str) == \
+        _mix([(r["doc_id"], r["text"]) for r in rows], [_path(r) for r in rows], WEIGHTS)
+    assert mixing.mix_sources(df.limit(0), mixing.production_levels()).count() == 0
+
+
+def test_shortage_goes_to_siblings_first(spark):
+    rows = [("x", "a", "s", 10), ("x", "b", "s", 1000), ("y", "a", "s", 1000)]
+    leaves = spark.createDataFrame(rows, "l0 string, l1 string, l2 string, tokens long")
+    got = {(r["l0"], r["l1"]): int(r["budget"]) for r in mixing.leaf_budgets(leaves, ["l0", "l1", "l2"], 400, 1, {}).collect()}
+    assert got == {("x", "a"): 10, ("x", "b"): 190, ("y", "a"): 200}
+    got = {(r["l0"], r["l1"]): int(r["budget"]) for r in mixing.leaf_budgets(leaves.where("l1 = 'a'"), ["l0", "l1", "l2"], 400, 1, {}).collect()}
+    assert got == {("x", "a"): 10, ("y", "a"): 390}
+
+
+def test_hot_leaf_is_cut_exactly(spark):
+    df = spark.range(30000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("en").alias("lang"), F.lit("src0").alias("source"))
+    out = mixing.mix_sources(df, mixing.production_levels(), share=(1, 3), weights=mixing.WEIGHTS)
+    assert out.count() == 10000 and out.select("doc_id").distinct().count() == 10000
