@@ -10,12 +10,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, secrets
+from tidemark.llm import langid, mixing, secrets, sentencepiece, simhash
 from tidemark.llm.tables import staged, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no known language go: null, empty, without letters, or likelier noise than any language.
+
+    ``lang`` becomes the language identified from text, declaration and source.
+    """
+    model = langid.train_text_model(langid.labelled_sample(docs), "text", "lang")
+    found = langid.identify_documents(docs, model).where(F.col("language") != langid.UNKNOWN)
+    return found.withColumn("lang", F.col("language")).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints stays: the smallest ``doc_id``, as it is."""
+    return simhash.keep_first(docs).select(*COLUMNS)
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret span is replaced by ``[SECRET]``; ``n_chars`` follows the new text.
 
@@ -36,9 +51,18 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.select(*COLUMNS)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document; the text itself is left behind."""
+    coded = sentencepiece.encode(docs)
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
+
+
 STAGES = [
+    ("language ID", identify_language),
+    ("SimHash near-dedup", drop_near_duplicates),
     ("secret scans", mask_secrets),
     ("mixing sources to target weights", mix),
+    ("SentencePiece encoding and decoding", encode),
 ]
 
 #: Trained models, digests and tokenizer ids are beyond SQL; tests/llm holds brute-force versions.

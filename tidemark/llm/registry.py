@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import fingerprints, mixing, secrets
+from tidemark.llm import fingerprints, langid, mixing, secrets, sentencepiece, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sentencepiece": sentencepiece.op2_sentencepiece,
+    "op3_language_id": langid.op3_language_id,
     "op4_fingerprints": fingerprints.op4_fingerprints,
     "op5_mixing": mixing.op5_mixing,
+    "op6_simhash": simhash.op6_simhash,
     "op9_secret_scans": secrets.op9_secret_scans,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,
