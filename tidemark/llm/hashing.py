@@ -68,7 +68,8 @@ def pieces(raw: bytes, most: int = 1 << 20) -> Iterator[bytes]:
             cut += 1
         yield raw[at:cut]
         at = cut
-    yield raw[at:]
+    if at < len(raw) or not at:
+        yield raw[at:]
 
 
 class HashTable:
