@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import fingerprints, langid, mixing, secrets, sentencepiece, simhash, substrings, toxicity
+from tidemark.llm import fingerprints, langid, mixing, neighbours, secrets, sentencepiece, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": sentencepiece.op2_sentencepiece,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": fingerprints.op4_fingerprints,
     "op5_mixing": mixing.op5_mixing,
     "op6_simhash": simhash.op6_simhash,
+    "op7_nearest_neighbours": neighbours.op7_nearest_neighbours,
     "op8_suffix_dedup": substrings.op8_suffix_dedup,
     "op9_secret_scans": secrets.op9_secret_scans,
     "op10_toxicity": toxicity.op10_toxicity,
