@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import fingerprints, langid, mixing, neighbours, secrets, sentencepiece, simhash, substrings, toxicity
+from tidemark.llm import fingerprints, langid, lm, mixing, neighbours, secrets, sentencepiece, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": lm.op1_lm_scoring,
     "op2_sentencepiece": sentencepiece.op2_sentencepiece,
     "op3_language_id": langid.op3_language_id,
     "op4_fingerprints": fingerprints.op4_fingerprints,
