@@ -18,8 +18,8 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import table
@@ -163,7 +163,7 @@ class ParityError(ValueError):
 class Codec:
     """Encodes and decodes with one model file, keeping the ids of chunks met before."""
 
-    def __init__(self, path: str, check: bool = True, cached_chunks: int = 200_000):
+    def __init__(self, path: str, check: bool = True, cached_chunks: int = 100_000):
         self.model = read_model(path)
         self.tokenizer = build_tokenizer(self.model)
         self.original = None
@@ -177,6 +177,7 @@ class Codec:
         m = self.model
         self.by_chunk = m.escape_spaces and m.dummy_prefix and not m.charsmap and not m.remove_extra_spaces and \
             not any(MARK in p.lstrip(MARK) for p, _, k in m.pieces if k != CONTROL)
+        self.begins = np.array([p.startswith(MARK) for p, _, _ in m.pieces])
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         got = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -186,6 +187,22 @@ class Codec:
                     raise ParityError(f"ids differ for {t!r}: {a.tolist()} and {b}")
         return [g.tobytes() for g in got]
 
+    def encode_words(self, words: list[str], together: int = 500) -> list[bytes]:
+        """Ids (int32 bytes) of chunks without spaces, many to a call; each begins with its only marked piece."""
+        out: list[bytes] = [b""] * len(words)
+        plain = [i for i, w in enumerate(words) if self.by_chunk and w and MARK not in w]
+        odd = sorted(set(range(len(words))) - set(plain))
+        for i, ids in zip(odd, self._direct([words[i] for i in odd]) if odd else []):
+            out[i] = ids
+        joined = [" ".join(words[i] for i in plain[at:at + together]) for at in range(0, len(plain), together)]
+        raw = b"".join(self._direct(joined)) if joined else b""
+        first = (np.flatnonzero(self.begins[np.frombuffer(raw, np.int32)]) * 4).tolist()
+        if len(first) != len(plain):
+            raise ParityError("a chunk does not begin with one marked piece")
+        for i, lo, hi in zip(plain, first, [*first[1:], len(raw)]):
+            out[i] = raw[lo:hi]
+        return out
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of every text; a null text has none."""
         out: list[bytes | None] = [b""] * len(texts)
@@ -197,17 +214,14 @@ class Codec:
             (direct if odd else chunked).append(i)
         for i, ids in zip(direct, self._direct([texts[i] for i in direct]) if direct else []):
             out[i] = ids
+        words = {i: texts[i].split(" ") for i in chunked}
+        used = set().union(*words.values())
+        if len(self.known) + len(used) > self.cached_chunks:  # what is in use stays
+            self.known = {w: self.known[w] for w in used if w in self.known}
+        new = [w for w in used if w not in self.known]
+        self.known.update(zip(new, self.encode_words(new)))
         for i in chunked:
-            words = texts[i].split(" ")
-            new = [w for w in dict.fromkeys(words) if w not in self.known]
-            if new:
-                if len(self.known) + len(new) > self.cached_chunks:
-                    self.known.clear()
-                    new = list(dict.fromkeys(words))
-                for at in range(0, len(new), 1 << 16):
-                    part = new[at:at + (1 << 16)]
-                    self.known.update(zip(part, self._direct(part)))
-            out[i] = b"".join(map(self.known.__getitem__, words))
+            out[i] = b"".join(map(self.known.__getitem__, words[i]))
         return [np.frombuffer(x, np.int32) for x in out]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
@@ -221,7 +235,7 @@ def _codec(path: str, check: bool, threads: int) -> Codec:
     return Codec(path, check)
 
 
-def _texts_at_once(texts: list[str | None], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def _texts_at_once(texts: list[str | None], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts of bounded total length (one text at least)."""
     lo = size = 0
     for i, t in enumerate(texts):
@@ -250,18 +264,15 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, check:
     kind = "struct<ids:array<int>,round_trip:boolean>"
 
     @F.pandas_udf(kind)
-    def run(texts):
-        import pandas as pd
-
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = _codec(path, check, threads)
-        all_ids, ok = [], []
-        values = [None if t is None else t for t in texts]
-        for lo, hi in _texts_at_once(values):
-            part = values[lo:hi]
-            ids = codec.encode(part)
-            all_ids += ids
-            ok += [a == (b or "") for a, b in zip(codec.decode([x.tolist() for x in ids]), part)]
-        return pd.DataFrame({"ids": all_ids, "round_trip": ok})
+        for texts in batches:
+            values = texts.tolist()
+            for lo, hi in _texts_at_once(values):  # small results, so that neither side holds many ids at once
+                part = values[lo:hi]
+                ids = codec.encode(part)
+                ok = [a == (b or "") for a, b in zip(codec.decode([x.tolist() for x in ids]), part)]
+                yield pd.DataFrame({"ids": ids, "round_trip": ok})
 
     return docs.select(*kept, run(F.col(text)).alias("__coded")).select(*kept, "__coded.ids", "__coded.round_trip")
 
@@ -272,19 +283,13 @@ def decode(docs: DataFrame, ids: str = "ids", path: str | None = None, threads:
     path = path or default_model()
 
     @F.pandas_udf("string")
-    def run(rows):
-        import pandas as pd
-
+    def run(rows: pd.Series) -> pd.Series:
         codec = _codec(path, False, threads)
         return pd.Series([None if r is None else codec.decode([list(map(int, r))])[0] for r in rows])
 
     return docs.withColumn("decoded", run(F.col(ids)))
 
 
-def _digest(ids: Column) -> Column:
-    return F.sha2(F.array_join(ids.cast("array<string>"), ","), 256)
-
-
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
