@@ -36,3 +36,19 @@ def test_config_list_with_a_failing_table(spark, tmp_path, capsys):
     rows = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert [r["status"] for r in rows] == ["SUCCEEDED", "SUCCEEDED", "FAILED"]
     assert rows[1]["key_kind"] == "composite"
+
+
+def test_options_and_unknown_names(spark, tmp_path):
+    import pytest
+
+    src = tmp_path / "items.json"
+    _export(src, [1, 2])
+    argv = ["--bucket_name", str(tmp_path), "--folder_name", "o", "--primary_key", "id", "--source", str(src), "--scheme", "file",
+            "--rules", "RowCount < 1", "--fail_on_violation", "true"]
+    assert main(argv, spark) == 1
+    assert main([*argv[:-2], "--audit_names", "d,t"], spark) == 0
+    assert {"d", "t"} <= set(read_landed(spark, f"file://{tmp_path}/o").columns)
+    cfg = tmp_path / "tables.json"
+    cfg.write_text(json.dumps([{"bucket_name": str(tmp_path), "folder_name": "x", "primary_key": "id", "source": str(src), "layuot": "per_key"}]))
+    with pytest.raises(ValueError, match="layuot"):
+        main(["--configs", str(cfg), "--scheme", "file"], spark)

@@ -52,3 +52,31 @@ def test_config_from_job_args():
         config_from_job_args({**args, "--primary_key": "id"}, source="x")
     with pytest.raises(ValueError):
         config_from_job_args({"--bucket_name": "b"}, source="x")
+
+
+def test_entries_set_every_option_and_refuse_unknown_names():
+    from tidemark.config import config_from_entry, parse_rule
+    from tidemark.operators.quality import ColumnCount, IsComplete, RowCount
+
+    base = {"--bucket_name": "b", "--folder_name": "t", "--primary_key": "id", "source": "s3a://b/x/"}
+    cfg = config_from_entry({**base, "null_safe": "true", "layout": "per_key", "audit_names": "d,t", "fields": "id, v",
+                             "on_empty": "skip", "as_text": False, "join_strategy": "shuffle", "broadcast_max_bytes": "5",
+                             "rules": 'ColumnCount > 0; RowCount >= 2; IsComplete "id"', "fail_on_violation": "True",
+                             "options": '{"wholetext": "false"}', "write_options": {"compression": "zstd"}})
+    assert cfg.null_safe and cfg.layout == "per_key" and cfg.audit_names == ("d", "t") and cfg.fields == ("id", "v")
+    assert cfg.rules == (ColumnCount(">", 0), RowCount(">=", 2), IsComplete("id")) and cfg.fail_on_violation
+    assert cfg.options == {"wholetext": "false"} and cfg.write_options == {"compression": "zstd"} and cfg.broadcast_max_bytes == 5
+    for wrong in ({"layuot": "per_key"}, {"null_safe": "yes"}, {"rules": "Rows > 0"}, {"source": ""}):
+        with pytest.raises(ValueError):
+            config_from_entry({**base, **wrong})
+    assert parse_rule(IsComplete("x")) == IsComplete("x")
+
+
+def test_roots_by_any_spelling():
+    from tidemark.config import normal_root
+
+    assert normal_root("/q/") == normal_root("file:///q") == normal_root("file:/q//") == "/q"
+    assert normal_root("S3A://Bucket/a//b/") == "s3a://bucket/a/b"
+    with pytest.raises(ValueError, match="share"):
+        check_configs([TableConfig("a", "s3a://b/n", "id", "/s"), TableConfig("b", "s3a://b/n/sub", "id", "/s")])
+    check_configs([TableConfig("a", "s3a://b/n", "id", "/s"), TableConfig("b", "s3a://b/nsub", "id", "/s")])

@@ -93,14 +93,51 @@ def test_landed_key_bound(spark):
     assert rows == 10 and bound >= 80
 
 
-def test_auto_picks_shuffle_over_limit(spark):
+def test_broadcast_is_checked_and_auto_is_sparks_choice(spark):
     s = spark.range(100).select(F.col("id").alias("k"))
     l = spark.range(50).select(F.col("id").alias("k"))
-    plan_small = new_records(s, l, "k", broadcast_max_bytes=1 << 20)._jdf.queryExecution().executedPlan().toString()
-    plan_big = new_records(s, l, "k", broadcast_max_bytes=10)._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan_small
-    assert "Broadcast" not in plan_big
-    assert new_records(s, l, "k", broadcast_max_bytes=10).count() == 50
+
+    def plan(**kw):
+        out = new_records(s, l, "k", **kw)
+        assert out.count() == 50
+        return new_records(s, l, "k", **kw)._jdf.queryExecution().executedPlan().toString()
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "BroadcastHashJoin" in plan(strategy="broadcast", broadcast_max_bytes=1 << 20)
+        assert "BroadcastHashJoin" not in plan(strategy="broadcast", broadcast_max_bytes=10)  # too large: shuffled
+        assert "BroadcastHashJoin" not in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan() and "SortMergeJoin" in plan(strategy="shuffle")
+
+
+def test_building_the_join_runs_no_job(spark):
+    sc = spark.sparkContext
+    s = spark.range(100).select(F.col("id").cast("string").alias("k"))
+    sc.setJobGroup("plan-only", "plan-only")
+    try:
+        new_records(s, s.where("k < 5"), "k")
+        filter_keys(s, "k", s.where("k < 5"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert not sc.statusTracker().getJobIdsForGroup("plan-only")
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_numeric_keys_of_different_types(spark, strategy):
+    """Keys are compared by value; numbers a double cannot hold stay different."""
+    def new(src, landed):
+        s = spark.sql(f"SELECT explode(array({src})) AS k")
+        return sorted(str(r["k"]) for r in new_records(s, spark.sql(f"SELECT explode(array({landed})) AS k"), "k", strategy=strategy).collect())
+
+    assert new("1D, 2.5D, double('NaN'), 1e300D", "1, 7") == ["1e+300", "2.5", "nan"]
+    assert new("CAST(1.00 AS DECIMAL(10,2)), CAST(1.50 AS DECIMAL(10,2))", "CAST(1 AS DECIMAL(10,0)), CAST(2 AS DECIMAL(10,0))") == ["1.50"]
+    assert new("CAST(1.50 AS DECIMAL(10,2)), CAST(-20.00 AS DECIMAL(10,2)), CAST(0 AS DECIMAL(10,2))", "1.5D, -20D, 0D") == []
+    assert new("9007199254740993, 9007199254740992", "9007199254740992D") == ["9007199254740993"]
+    assert new("1, 2", "CAST(1 AS BIGINT), CAST(5000000000 AS BIGINT)") == ["2"]
+    assert new("DATE'2024-01-01', DATE'2024-01-02'", "TIMESTAMP'2024-01-01 00:00:00'") == ["2024-01-02"]
 
 
 def test_distinct_and_filter_keys(spark):
@@ -114,35 +151,45 @@ def test_distinct_and_filter_keys(spark):
     assert filter_keys(df, "a,b", []).count() == 0
 
 
-def test_shuffle_path_splits_hot_source_key(spark):
-    """AQE splits the partition of a key holding a third of the rows (and of NULL keys)."""
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
+HOT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture
+def hot_conf(spark):
+    old = {k: spark.conf.get(k, None) for k in HOT}
+    for k, v in HOT.items():
         spark.conf.set(k, v)
-    try:
-        n = 600_000
-        for hot in (F.lit(7), F.lit(None)):
-            src = spark.range(n).select(
-                F.when(F.col("id") % 3 == 0, hot).otherwise(F.col("id")).alias("k"),
-                F.sha2(F.col("id").cast("string"), 256).alias("payload"))
-            landed = spark.range(0, n, 2).select(F.col("id").alias("k"))
-            out = new_records(src, landed, "k", strategy="shuffle").agg(
-                F.count(F.lit(1)).alias("n"), F.sum(F.hash("payload")).alias("h"))
-            assert out.collect()[0]["n"] == n // 3 + n // 3
-            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("strategy", ["auto", "shuffle"])
+@pytest.mark.parametrize("hot", ["'hot'", "NULL"])
+def test_hot_source_key_is_split_on_a_parquet_tree(spark, hot_conf, tmp_path, strategy, hot):
+    """AQE splits the partition of a key (or of NULL keys) that holds a third of the rows."""
+    n = 300_000
+    spark.range(0, n, 2).selectExpr("CAST(id AS STRING) AS k").write.parquet(str(tmp_path / "landed"))
+    landed = spark.read.parquet(str(tmp_path / "landed"))
+    src = spark.range(n).selectExpr(f"IF(id % 3 = 0, {hot}, CAST(id AS STRING)) AS k", "sha2(CAST(id AS STRING), 256) AS payload")
+    out = new_records(src, landed, "k", strategy=strategy).agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("payload")).alias("h"))
+    assert out.collect()[0]["n"] == n // 3 + n // 3
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_landed_key_is_reduced_before_the_join(spark, hot_conf):
+    landed = spark.range(200_000).selectExpr("IF(id % 3 = 0, -1, id) AS k")
+    src = spark.range(100).selectExpr("id - 1 AS k")
+    out = new_records(src, landed, "k", strategy="shuffle")
+    assert sorted(r["k"] for r in out.collect()) == [k for k in range(-1, 99) if k != -1 and k % 3 == 0]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__landed_key_part" in plan
 
 
 def test_provably_small(spark):

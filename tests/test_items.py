@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from tidemark.functions.attributes import item_from_columns, tagged
-from tidemark.operators.flatten import discover_fields, field_names, flatten_items
+from tidemark.operators.flatten import discover_fields, field_names, field_needs, flatten_items
 from tidemark.sources.items import items_of, read_items_json
 
 ITEM = {
@@ -83,11 +83,21 @@ def test_items_from_columns(spark):
     assert got == [("1", "x"), ("2", None)]
 
 
-def test_fast_path_without_unknown_tags(spark, tmp_path):
+def test_known_fields_skip_discovery_and_keep_unknown_tags(spark, tmp_path):
     path = _write(tmp_path, [ITEM])
-    flat = flatten_items(read_items_json(spark, path, keep_unknown_tags=False))
-    row = flat.first().asDict()
-    assert row == {**EXPECTED, "u": None}
+    flat = flatten_items(read_items_json(spark, path), fields=sorted(EXPECTED))
+    assert flat.first().asDict() == EXPECTED
+
+
+def test_discovery_tells_which_fields_need_their_text(spark, tmp_path):
+    path = _write(tmp_path, [{"a": {"S": "1"}, "b": {"ZZ": 1}, "c": "x", "d": {"N": "1"}, "e": None, "f": {"L": [{"S": "q"}]}},
+                             {"a": {"BOOL": True}, "b": {"S": "y"}, "d": {"NULL": True}, "f": {"M": {"k": {"N": "1"}}}}])
+    items = read_items_json(spark, path)
+    assert field_needs(items) == {"a": False, "b": True, "c": True, "d": False, "e": False, "f": False}
+    rows = sorted((r.asDict() for r in flatten_items(items).collect()), key=lambda r: r["a"])
+    assert rows[0] == {"a": "1", "b": '{"ZZ":1}', "c": "x", "d": "1", "e": None, "f": '[{"S":"q"}]'}
+    plan = flatten_items(items.drop("item")).select("a", "d")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1  # no second parse for fields that need none
 
 
 def test_keep_binary_with_invalid_base64(spark, tmp_path):

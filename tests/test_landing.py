@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import TableConfig
 from tidemark.plans.landing import EmptySourceError, RuleViolation, land_table, land_tables
-from tidemark.operators.quality import IsComplete
+from tidemark.operators.quality import IsComplete, RowCount
 from tidemark.sinks.runs import FILE_KEY, write_run
 from tidemark.sources.landed import read_landed
 
@@ -97,12 +97,63 @@ def test_empty_source(spark, root):
     assert not os.path.exists(root)
 
 
+@pytest.mark.parametrize("strategy", ["auto", "broadcast", "shuffle"])
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_empty_source_over_a_landed_tree(spark, root, strategy, threshold):
+    """The outcome depends neither on the join Spark picks nor on the size of the history."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        some = spark.range(2000).selectExpr("CAST(id AS STRING) AS k", "'v' AS v")
+        land_table(spark, cfg(root), T1, source=some)
+        empty = some.where("k = 'x'")
+        c = cfg(root, on_empty="skip", join_strategy=strategy)
+        r = land_table(spark, c, T2, source=empty, rules=[IsComplete("k"), RowCount(">", 0)])
+        assert (r.status, r.mode, r.source_rows, r.new_rows) == ("SUCCEEDED", "skipped", 0, 0)
+        assert r.rules_failed == "RowCount > 0"
+        with pytest.raises(EmptySourceError):
+            land_table(spark, cfg(root, join_strategy=strategy), T2, source=empty)
+        assert not os.path.exists(os.path.join(root, "2025/01/02"))
+        rep = land_tables(spark, [cfg(root, source=lambda s: empty, join_strategy=strategy)], T2).collect()[0]
+        assert (rep["status"], rep["attempts"]) == ("FAILED", 1) and "EmptySourceError" in rep["error"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_key_of_a_landing_run_is_split(spark, root):
+    """A third of the rows on one NULL or text key, against a Parquet history."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 200_000
+        src = spark.range(n).selectExpr("IF(id % 3 = 0, NULL, CAST(id AS STRING)) AS k", "sha2(CAST(id AS STRING), 256) AS v")
+        land_table(spark, cfg(root), T1, source=src.where("k IS NOT NULL AND CAST(k AS INT) % 2 = 0"))
+        r = land_table(spark, cfg(root), T2, source=src)
+        assert r.new_rows == src.where("k IS NULL OR CAST(k AS INT) % 2 = 1").count()
+        sizes = sorted(os.path.getsize(os.path.join(root, "2025/01/02/00-00-00", f))
+                       for f in os.listdir(os.path.join(root, "2025/01/02/00-00-00")) if f.endswith(".parquet"))
+        assert sizes[-1] < 4 * sizes[len(sizes) // 2]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_rules_report_and_block(spark, root):
     src = frame(spark, [(None, "n"), ("1", "a")])
     r = land_table(spark, cfg(root), T1, source=src, rules=[IsComplete("k")])
     assert r.rules_failed == 'IsComplete "k"' and r.new_rows == 2
     with pytest.raises(RuleViolation):
         land_table(spark, cfg(root), T2, source=src, rules=[IsComplete("k")], fail_on_violation=True)
+    assert not os.path.exists(os.path.join(root, "2025/01/02"))
+    own = cfg(root, rules=['IsComplete "k"'], fail_on_violation=True)  # as the table's own settings
+    with pytest.raises(RuleViolation):
+        land_table(spark, own, T2, source=src)
+    assert land_table(spark, own, T2, source=src.where("k IS NOT NULL")).new_rows == 0
 
 
 def test_landed_int_key_vs_text_source(spark, root):
@@ -156,7 +207,7 @@ def test_land_tables_report(spark, tmp_path):
     rep = {r["table_name"]: r for r in land_tables(spark, [good, bad, pair], T1).collect()}
     assert rep["good"]["status"] == "SUCCEEDED" and rep["good"]["new_rows"] == 1
     assert rep["good"]["key_kind"] == "single" and rep["pair"]["key_kind"] == "composite"
-    assert rep["bad"]["status"] == "FAILED" and rep["bad"]["attempts"] == 3
+    assert rep["bad"]["status"] == "FAILED" and rep["bad"]["attempts"] == 1  # a wrong name stays wrong
     assert "missing" in rep["bad"]["error"]
     rep2 = land_tables(spark, [good, pair], T2, max_parallel_tables=2).collect()
     assert all(r["status"] == "SUCCEEDED" and r["new_rows"] == 0 for r in rep2)
@@ -243,7 +294,7 @@ def test_malformed_export_lines_fail_the_run(spark, tmp_path, root):
     from tidemark.plans.landing import LandingError
     p = tmp_path / "items.json"
     p.write_text('{"Item":{"id":{"S":"a"}}}\n\n{broken\n{"Item":{"id":{"S":"b"}}}\n')
-    with pytest.raises(LandingError, match="1 malformed"):
+    with pytest.raises(LandingError, match="malformed"):
         land_table(spark, TableConfig("m", root, "id", str(p)), T1)
     assert not os.path.exists(root)
     ok = tmp_path / "ok.json"
@@ -266,11 +317,10 @@ def test_land_tables_tags_jobs_per_table(spark, tmp_path):
 
 
 def test_malformed_lines_with_data_rules(spark, tmp_path, root):
-    from tidemark.operators.quality import RowCount
     from tidemark.plans.landing import LandingError
     p = tmp_path / "items.json"
     p.write_text('{"Item":{"id":{"S":"a"}}}\n{broken\n{"nope":1}\n')
-    with pytest.raises(LandingError, match="2 malformed"):
+    with pytest.raises(LandingError, match="malformed"):
         land_table(spark, TableConfig("m", root, "id", str(p)), T1, rules=[RowCount(">", 0)])
     assert not os.path.exists(root)
 
@@ -287,3 +337,58 @@ def test_land_tables_from_config_frame(spark, tmp_path):
     assert [c.key_kind for c in cfgs] == ["single", "composite"]
     rep = land_tables(spark, cfgs, T1)
     assert [r["new_rows"] for r in rep.collect()] == [1, 1]
+
+
+def test_audit_name_collision_is_refused(spark, root):
+    src = frame(spark, [("1", "keep me")], "k string, Processed_At string")
+    with pytest.raises(ValueError, match="Processed_At"):
+        land_table(spark, cfg(root), T1, source=src)
+    assert not os.path.exists(root)
+    land_table(spark, cfg(root, audit_names=("run_day", "run_time")), T1, source=src)
+    assert read_landed(spark, root).first()["Processed_At"] == "keep me"
+
+
+def test_nested_and_respelled_roots_are_refused(spark, tmp_path):
+    a = cfg(str(tmp_path / "n"), name="a", source=lambda s: frame(s, [("1", "a")]))
+    for other in (str(tmp_path / "n" / "sub"), f"file://{tmp_path}/n/", f"file:{tmp_path}//n", str(tmp_path / "." / "n" / "x")):
+        with pytest.raises(ValueError, match="share"):
+            land_tables(spark, [a, cfg(other, name="b")], T1)
+
+
+def test_untagged_and_unknown_values_keep_their_text(spark, tmp_path, root):
+    p = tmp_path / "items.json"
+    p.write_text('{"Item":{"id":{"S":"a"},"z":"plain","u":{"ZZ":7},"__malformed":{"S":"m"},"n":null}}\n'
+                 '{"Item":{"id":{"S":"b"},"z":{"S":"tagged"}}}\n')
+    assert land_table(spark, TableConfig("t", root, "id", str(p)), T1).new_rows == 2
+    got = {r["id"]: r for r in read_landed(spark, root).collect()}
+    assert (got["a"]["z"], got["a"]["u"], got["a"]["__malformed"], got["a"]["n"]) == ("plain", '{"ZZ":7}', "m", None)
+    assert (got["b"]["z"], got["b"]["u"]) == ("tagged", None)
+
+
+def test_errors_are_reported_whole_and_only_mendable_ones_retried(spark, tmp_path):
+    calls = []
+
+    def broken(s):
+        calls.append(1)
+        raise RuntimeError("x" * 5000)
+
+    rep = land_tables(spark, [cfg(str(tmp_path / "a"), source=broken)], T1, max_attempts=2).collect()[0]
+    assert rep["attempts"] == 2 == len(calls) and rep["error"] == "RuntimeError: " + "x" * 5000
+    done = cfg(str(tmp_path / "b"), source=lambda s: frame(s, [("1", "a")]))
+    assert land_tables(spark, [done], T1).collect()[0]["status"] == "SUCCEEDED"
+    again = land_tables(spark, [done], T1).collect()[0]
+    assert (again["status"], again["attempts"]) == ("FAILED", 1) and "FileExistsError" in again["error"]
+
+
+def test_an_error_after_the_commit_is_no_failed_run(spark, root, monkeypatch):
+    from tidemark.plans import landing
+
+    def write_then_break(*args, **kwargs):
+        write_run(*args, **kwargs)
+        raise OSError("lost the answer")
+
+    monkeypatch.setattr(landing, "write_run", write_then_break)
+    c = cfg(root, source=lambda s: frame(s, [("1", "a")]))
+    rep = land_tables(spark, [c], T1).collect()[0]
+    assert (rep["status"], rep["attempts"]) == ("SUCCEEDED", 1) and "lost the answer" in rep["error"]
+    assert read_landed(spark, root).count() == 1

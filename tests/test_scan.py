@@ -6,9 +6,20 @@ import os
 import pytest
 
 from tidemark.operators.flatten import flatten_items
-from tidemark.sources.scan import ExportFolderClient, read_items_scan
+from tests.scan_clients import ExportFolderClient
+from tidemark.config import TableConfig
+from tidemark.plans.landing import land_table
+from tidemark.session import checkpoint_root
+from tidemark.sources.landed import read_landed
+from tidemark.sources.scan import read_items_scan, scan_options
 
-FACTORY = "tidemark.sources.scan:ExportFolderClient"
+FACTORY = "scan_clients:ExportFolderClient"
+LOGGING = "scan_clients:LoggingExportFolderClient"
+
+
+@pytest.fixture(autouse=True)
+def shipped(spark):
+    spark.sparkContext.addPyFile(os.path.join(os.path.dirname(__file__), "scan_clients.py"))
 
 
 @pytest.fixture
@@ -25,25 +36,28 @@ def export(tmp_path):
     return str(folder), n
 
 
-def test_client_pages(export):
+@pytest.mark.parametrize("page_items", [1, 2, 500])
+def test_client_pages(export, page_items):
     folder, n = export
-    client = ExportFolderClient(folder)
+    client = ExportFolderClient(folder, page_items)
     seen, start = [], None
     while True:
         kw = {"ExclusiveStartKey": start} if start else {}
         page = client.scan(TableName="t", Segment=1, TotalSegments=3, **kw)
+        assert len(page["Items"]) <= page_items
         seen += page["Items"]
         start = page.get("LastEvaluatedKey")
         if not start:
             break
-    assert sorted({i["p"]["S"] for i in seen}) == ["page1", "page4"]
+    assert sorted(i["p"]["S"] for i in seen) == ["page1"] * 2 + ["page4"] * 5
 
 
 @pytest.mark.parametrize("segments", [1, 3, 10])
 def test_all_segments_give_each_item_once(spark, export, segments):
     folder, n = export
+    live = read_items_scan(spark, "t", FACTORY, segments=segments, stage=False, path=folder)
+    assert live.rdd.getNumPartitions() == segments
     items = read_items_scan(spark, "t", FACTORY, segments=segments, path=folder)
-    assert items.rdd.getNumPartitions() == segments
     ids = sorted(int(r["id"]) for r in flatten_items(items).collect())
     assert ids == list(range(n))
 
@@ -57,7 +71,7 @@ def test_bad_factory(spark, export):
 def test_staged_scan_reads_the_table_once(spark, export, tmp_path):
     folder, n = export
     log = str(tmp_path / "calls.log")
-    items = read_items_scan(spark, "t", "tidemark.sources.scan:LoggingExportFolderClient",
+    items = read_items_scan(spark, "t", LOGGING,
                             segments=3, path=folder, log=log)
     flat = flatten_items(items)          # field discovery pass
     assert flat.count() == n             # second pass over the items
@@ -70,8 +84,36 @@ def test_staged_scan_reads_the_table_once(spark, export, tmp_path):
 def test_unstaged_scan_reads_again_per_pass(spark, export, tmp_path):
     folder, n = export
     log = str(tmp_path / "calls.log")
-    items = read_items_scan(spark, "t", "tidemark.sources.scan:LoggingExportFolderClient",
+    items = read_items_scan(spark, "t", LOGGING,
                             segments=3, stage=False, path=folder, log=log)
     assert flatten_items(items).count() == n   # discovery + count: two scans of the table
     with open(log) as fh:
         assert len(fh.read().split()) > 7
+
+
+def _scans(folder):
+    local = "/" + folder.removeprefix("file:").lstrip("/")
+    return [d for d in os.listdir(local) if d.startswith("scan-")] if os.path.isdir(local) else []
+
+
+def test_scan_as_a_configured_source(spark, export, tmp_path):
+    """Lands a scanned table; the staged copy is gone afterwards and the table was read once."""
+    folder, n = export
+    log = str(tmp_path / "calls.log")
+    c = TableConfig("t", str(tmp_path / "landed"), "id", "t", source_format="items_scan",
+                    options={"client_factory": LOGGING, "segments": "3", "client.path": folder, "client.log": log})
+    staged = os.path.join(checkpoint_root(spark), "tidemark")
+    before = set(_scans(staged))
+    assert land_table(spark, c).new_rows == n
+    assert read_landed(spark, c.root).count() == n
+    with open(log) as fh:
+        assert len(fh.read().split()) == 7
+    assert set(_scans(staged)) == before
+
+
+def test_scan_options_are_checked():
+    assert scan_options({"client_factory": "a:b", "segments": "2", "client.x": "y"}) == {"client_factory": "a:b", "segments": 2, "x": "y"}
+    with pytest.raises(ValueError, match="segmnts"):
+        scan_options({"client_factory": "a:b", "segmnts": "2"})
+    with pytest.raises(ValueError, match="client_factory"):
+        TableConfig("t", "/r", "id", "t", source_format="items_scan")

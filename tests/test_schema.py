@@ -53,7 +53,7 @@ def test_infer_schema(spark):
     assert got["year"][0] == "int"
     assert got["native"] == ("int", True)
     assert got["wide"][0] == "decimal(38,0)"
-    assert got["wider"][0] == "double"
+    assert got["wider"][0] == "string"  # 40 digits fit no number type
     assert [f.name for f in schema.fields[1:]] == sorted(c for c in df.columns if c != "k")
     with pytest.raises(ValueError):
         infer_schema(df, "missing")
@@ -79,3 +79,19 @@ def test_rules(spark):
     assert sorted(failed_rules(check_rules(df, rules))) == ['IsComplete "k"', "RowCount >= 3"]
     assert evaluate_rules(df, [ColumnCount()]) == [("ColumnCount > 0", 2, True)]
     assert evaluate_rules(df, rules)[1] == ("RowCount >= 3", 2, False)
+
+
+def test_infer_schema_keeps_every_digit(spark):
+    rows = [("1" * 39, "9007199254740993", "00123", "5\n", "1.25", "1e5", "-0.50", "0.1234567890123456", "2024-13-40"),
+            ("2", "1.5", "7", "6", "0.1", "2.5", "12", "123456789012345678901234", "2024-01-01")]
+    cols = "wide mixed code newline double exp signed both date".split()
+    df = spark.createDataFrame([("k", *r) for r in rows], ", ".join(f"{c} string" for c in ["k", *cols]))
+    schema = infer_schema(df, "k")
+    got = {f.name: f.dataType.simpleString() for f in schema.fields}
+    assert got["wide"] == "string" and got["mixed"] == "decimal(17,1)" and got["code"] == "string"
+    assert got["newline"] == "string" and got["double"] == "double" and got["exp"] == "double"
+    assert got["signed"] == "double" and got["date"] == "string" and got["both"] == "string"
+    typed = enforce_schema(df, schema)
+    assert [str(r["mixed"]) for r in typed.select("mixed").collect()] == ["9007199254740993.0", "1.5"]
+    wide = df.select("k", F.col("both").substr(1, 20).alias("both"))
+    assert infer_schema(wide, "k")["both"].dataType.simpleString() == "decimal(36,16)"

@@ -63,3 +63,29 @@ def test_replayed_epoch_lands_nothing_twice(spark, tmp_path):
     assert os.path.exists(os.path.join(ck, "commits", "0"))  # epoch 0 ran and committed again
     again = sorted((r["id"], r["processed_at"]) for r in read_landed(spark, root).collect())
     assert again == first
+
+
+def test_a_folder_of_another_run_does_not_swallow_a_batch(spark, tmp_path):
+    from tidemark.plans.landing import land_table
+
+    src, root, ck = str(tmp_path / "src"), str(tmp_path / "landed"), str(tmp_path / "ck")
+    at = datetime(2025, 1, 1)
+    other = spark.createDataFrame([("99", "v")], "id string, v string")
+    land_table(spark, TableConfig("s", root, "id", src), at, source=other)  # finished in the same second
+    _export(src, "a.json", [1, 2, 3])
+    query = land_stream(spark, TableConfig("s", root, "id", src), src, ck, clock=lambda: at)
+    _run(query)
+    assert query.exception() is None
+    assert sorted(r["id"] for r in read_landed(spark, root).collect()) == ["1", "2", "3", "99"]
+
+
+def test_unfinished_marker_is_not_read(spark, tmp_path):
+    ck = str(tmp_path / "ck")
+    fixed = lambda: datetime(2025, 1, 1, 0, 0, 0)
+    os.makedirs(os.path.join(ck, "tidemark-runs"))
+    open(os.path.join(ck, "tidemark-runs", "0"), "w").close()  # a crash left it empty
+    assert epoch_run_time(spark, ck, 0, fixed) == fixed()
+    for epoch in range(1, 6):
+        epoch_run_time(spark, ck, epoch, fixed)
+    left = {f for f in os.listdir(os.path.join(ck, "tidemark-runs")) if not f.startswith(".")}
+    assert left == {"4", "5", "latest"}

@@ -5,7 +5,7 @@
     spark-submit --py-files tidemark.zip tidemark/__main__.py --configs tables.json
 
 ``tables.json`` holds a list of argument objects (the same names, each with
-a ``source``). Prints one JSON report line per table; exits 1 if any failed.
+a ``source``); unknown names are errors. Prints one JSON report line per table; exits 1 if any failed.
 """
 
 from __future__ import annotations
@@ -13,52 +13,43 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
-from tidemark.config import (
-    JOB_ARG_BUCKET, JOB_ARG_CATALOG_DB, JOB_ARG_CATALOG_TABLE, JOB_ARG_COMPOSITE, JOB_ARG_FOLDER,
-    JOB_ARG_KEYS, JOB_ARG_TABLE, config_from_job_args,
-)
+from tidemark.config import JOB_ARGS, TableConfig, config_from_entry
 from tidemark.plans.landing import land_tables
 
-_TABLE_ARGS = (JOB_ARG_BUCKET, JOB_ARG_FOLDER, JOB_ARG_KEYS, JOB_ARG_COMPOSITE, JOB_ARG_TABLE,
-               JOB_ARG_CATALOG_DB, JOB_ARG_CATALOG_TABLE)
+#: Options of a table, settable by argument or in the JSON list.
+_OPTIONS = tuple(f.name for f in fields(TableConfig) if f.name not in
+                 ("name", "root", "keys", "source", "catalog_database", "catalog_table"))
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidemark", description=__doc__.splitlines()[0])
     p.add_argument("--configs", help="JSON file with a list of table argument objects")
-    for name in _TABLE_ARGS:
+    for name in JOB_ARGS:
         p.add_argument(f"--{name}")
-    p.add_argument("--source", help="item export folder (or Parquet with --source_format parquet)")
-    p.add_argument("--source_format", default="items_json", choices=["items_json", "parquet"])
+    p.add_argument("--source", help="item export folder, Parquet folder, or table to scan, by --source_format")
+    for name in _OPTIONS:
+        p.add_argument(f"--{name}", help="see TableConfig; lists by comma, rules by semicolon, options as JSON")
     p.add_argument("--scheme", default="s3a", help="URI scheme of the landed root")
-    p.add_argument("--layout", default="compact", choices=["compact", "per_key"])
     p.add_argument("--max_attempts", type=int, default=3)
     p.add_argument("--JOB_NAME", help="accepted and ignored")
     return p
 
 
-def _table_args(ns: argparse.Namespace) -> list[dict]:
+def _entries(ns: argparse.Namespace) -> list[dict]:
     if ns.configs:
         with open(ns.configs, encoding="utf-8") as fh:
             return json.load(fh)
-    one = {k: getattr(ns, k) for k in _TABLE_ARGS if getattr(ns, k) is not None}
-    one.update(source=ns.source, source_format=ns.source_format, layout=ns.layout)
-    return [one]
+    given = {k: getattr(ns, k) for k in (*JOB_ARGS, "source", *_OPTIONS)}
+    return [{k: v for k, v in given.items() if v is not None}]
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     ns = _parser().parse_args(argv)
-    configs = []
-    for args in _table_args(ns):
-        args = {k.lstrip("-"): v for k, v in args.items()}
-        source = args.pop("source", None)
-        if not source:
-            raise SystemExit("every table needs a source")
-        extra = {k: args.pop(k) for k in ("source_format", "layout") if k in args}
-        configs.append(config_from_job_args(args, source=source, scheme=ns.scheme, **extra))
+    configs = [config_from_entry(entry, ns.scheme) for entry in _entries(ns)]
     spark = spark or SparkSession.builder.appName("tidemark").getOrCreate()
     failed = 0
     for row in land_tables(spark, configs, max_attempts=ns.max_attempts).collect():

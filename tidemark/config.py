@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from dataclasses import fields as dataclass_fields
 from typing import Union
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Audit column names written by the original job, kept for
-# users whose landed trees already carry them.
-LEGACY_AUDIT_NAMES = ("fecha_procesamiento", "timestamp_procesamiento")
 DEFAULT_AUDIT_NAMES = ("processed_date", "processed_at")
 
-SOURCE_FORMATS = ("items_json", "parquet")
+SOURCE_FORMATS = ("items_json", "items_scan", "parquet")
 LAYOUTS = ("compact", "per_key")
 ON_EMPTY = ("error", "skip")
 JOIN_STRATEGIES = ("auto", "broadcast", "shuffle")
@@ -32,16 +32,35 @@ def parse_keys(keys: str | Sequence[str]) -> tuple[str, ...]:
     return names
 
 
+def parse_rule(rule):
+    """A quality rule from its text (``ColumnCount > 0``, ``RowCount >= 1``, ``IsComplete "id"``); rules pass through."""
+    from tidemark.operators.quality import ColumnCount, IsComplete, RowCount
+
+    if not isinstance(rule, str):
+        return rule
+    counted = re.fullmatch(r"\s*(ColumnCount|RowCount)\s*(>=|<=|>|<|=)\s*([0-9]+)\s*", rule)
+    if counted:
+        return {"ColumnCount": ColumnCount, "RowCount": RowCount}[counted[1]](counted[2], int(counted[3]))
+    complete = re.fullmatch(r'\s*IsComplete\s+"(.+)"\s*', rule)
+    if complete:
+        return IsComplete(complete[1])
+    raise ValueError(f"unknown rule {rule!r}")
+
+
 @dataclass(frozen=True)
 class TableConfig:
     """One table to land.
 
-    ``source`` is a path (read as ``source_format``) or a callable that
-    builds the source DataFrame from the session. ``root`` is the landed
+    ``source`` is a path (read as ``source_format``), the name of a table to
+    scan (``items_scan``) or a callable that builds the source DataFrame from
+    the session. ``root`` is the landed
     folder; every run writes a new ``root/YYYY/MM/DD/HH-MM-SS/`` folder.
     ``as_text`` lands every column as text, sorted by name (the unified
-    schema items always get). ``options`` go to the source reader,
+    schema items always get). ``options`` go to the source reader (for a scan:
+    ``client_factory``, ``segments``, and ``client.`` options for the client),
     ``write_options`` to the Parquet writer (e.g. ``{"compression": "zstd"}``).
+    ``rules`` are the table's quality rules, as rules or their texts;
+    ``fail_on_violation`` checks them before anything is written.
     """
 
     name: str
@@ -56,9 +75,10 @@ class TableConfig:
     audit_names: tuple[str, str] = DEFAULT_AUDIT_NAMES
     broadcast_max_bytes: int | None = None
     join_strategy: str = "auto"
-    keep_unknown_tags: bool = True
     as_text: bool = False
     cluster_per_key: bool = False
+    rules: tuple | None = None
+    fail_on_violation: bool = False
     catalog_database: str | None = None
     catalog_table: str | None = None
     options: dict = field(default_factory=dict, hash=False, compare=False)
@@ -76,22 +96,40 @@ class TableConfig:
             raise ValueError(f"on_empty must be one of {ON_EMPTY}")
         if len(self.audit_names) != 2 or len(set(self.audit_names)) != 2:
             raise ValueError("audit_names needs two distinct names")
+        object.__setattr__(self, "audit_names", tuple(self.audit_names))
         if self.fields is not None:
             object.__setattr__(self, "fields", tuple(self.fields))
+        if self.rules is not None:
+            object.__setattr__(self, "rules", tuple(parse_rule(r) for r in self.rules))
+        if self.source_format == "items_scan" and not callable(self.source) and "client_factory" not in self.options:
+            raise ValueError("items_scan needs the option client_factory")
 
     @property
     def key_kind(self) -> str:
         return "composite" if len(self.keys) > 1 else "single"
 
 
+def normal_root(root: str) -> str:
+    """A root in one spelling: no trailing or doubled slashes, ``file:///q`` and ``file:/q`` as ``/q``."""
+    scheme, sep, rest = root.partition(":")
+    if sep and "/" not in scheme and rest.startswith("/"):
+        host = ""
+        if rest.startswith("//"):
+            host, _, rest = rest[2:].partition("/")
+        scheme = scheme.lower()
+    else:
+        scheme, host, rest = "file", "", root
+    parts = [p for p in rest.split("/") if p not in ("", ".")]
+    prefix = "" if scheme == "file" else f"{scheme}://{host.lower()}"
+    return prefix + "/" + "/".join(parts)
+
+
 def check_configs(configs: Sequence[TableConfig]) -> None:
-    """Reject config lists that would make two tables share one landed root."""
-    seen: dict[str, str] = {}
-    for cfg in configs:
-        root = cfg.root.rstrip("/")
-        if root in seen:
-            raise ValueError(f"tables {seen[root]!r} and {cfg.name!r} share root {root!r}")
-        seen[root] = cfg.name
+    """Reject config lists in which one table's landed root is, or lies inside, another's."""
+    roots = sorted((normal_root(cfg.root).rstrip("/") + "/", cfg.name, cfg.root) for cfg in configs)
+    for (a, name_a, root_a), (b, name_b, root_b) in zip(roots, roots[1:]):
+        if b.startswith(a):
+            raise ValueError(f"tables {name_a!r} and {name_b!r} share landed data: roots {root_a!r} and {root_b!r}")
 
 
 # Launcher argument names accepted by config_from_job_args
@@ -105,6 +143,57 @@ JOB_ARG_CATALOG_DB = "catalog_database"
 JOB_ARG_CATALOG_TABLE = "catalog_table_name"
 
 
+#: Names of JOB_ARG_* that a table entry may hold.
+JOB_ARGS = (JOB_ARG_BUCKET, JOB_ARG_FOLDER, JOB_ARG_KEYS, JOB_ARG_COMPOSITE, JOB_ARG_TABLE,
+            JOB_ARG_CATALOG_DB, JOB_ARG_CATALOG_TABLE)
+_BOOLS = ("null_safe", "as_text", "cluster_per_key", "fail_on_violation")
+_LISTS = ("fields", "audit_names")
+_DICTS = ("options", "write_options")
+_OWN = ("name", "root", "keys", "source", "catalog_database", "catalog_table")
+
+
+def parse_options(values: dict) -> dict:
+    """TableConfig fields from texts: booleans, comma lists, JSON objects, rules separated by semicolons.
+
+    Values that already have their type pass through. Unknown names raise.
+    """
+    known = {f.name for f in dataclass_fields(TableConfig)} - set(_OWN)
+    unknown = sorted(set(values) - known)
+    if unknown:
+        raise ValueError(f"unknown table options {unknown}; known: {sorted(known)}")
+    out = {}
+    for name, v in values.items():
+        if v is None:
+            continue
+        if isinstance(v, str):
+            if name in _BOOLS:
+                if v.strip().lower() not in ("true", "false"):
+                    raise ValueError(f"{name} must be true or false, not {v!r}")
+                v = v.strip().lower() == "true"
+            elif name in _LISTS:
+                v = tuple(x.strip() for x in v.split(",") if x.strip())
+            elif name in _DICTS:
+                v = json.loads(v)
+            elif name == "rules":
+                v = tuple(x.strip() for x in v.split(";") if x.strip())
+            elif name == "broadcast_max_bytes":
+                v = int(v)
+        out[name] = v
+    return out
+
+
+def config_from_entry(entry: dict, scheme: str = "s3a") -> TableConfig:
+    """A TableConfig from a flat entry: launcher arguments, ``source`` and any TableConfig option.
+
+    Names may carry a leading ``--``; unknown ones are errors.
+    """
+    named = {k.lstrip("-"): v for k, v in entry.items()}
+    if not named.get("source"):
+        raise ValueError("every table needs a source")
+    args = {k: named.pop(k) for k in JOB_ARGS if k in named}
+    return config_from_job_args(args, named.pop("source"), scheme, **parse_options(named))
+
+
 def config_from_job_args(
     args: dict, source: SourceSpec, scheme: str = "s3a", **overrides
 ) -> TableConfig:
@@ -114,6 +203,9 @@ def config_from_job_args(
     disagrees with the number of key names is an error.
     """
     a = {k.lstrip("-"): v for k, v in args.items()}
+    unknown = sorted(set(a) - set(JOB_ARGS))
+    if unknown:
+        raise ValueError(f"unknown job arguments {unknown}; known: {sorted(JOB_ARGS)}")
     missing = [k for k in (JOB_ARG_BUCKET, JOB_ARG_FOLDER, JOB_ARG_KEYS) if not a.get(k)]
     if missing:
         raise ValueError(f"missing job arguments {missing}")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 SUCCESS_MARKER = "_SUCCESS"
+OWNER_MARKER = "_owner"
 
 
 def _path_and_fs(spark: SparkSession, path: str):
@@ -49,9 +52,9 @@ def remove_run_folder(spark: SparkSession, folder: str, root: str, drop_root: bo
 
 
 def read_marker(spark: SparkSession, path: str) -> str | None:
-    """Text of a small marker file, or None when it does not exist."""
+    """Text of a small marker file, or None when it does not exist or was never finished."""
     p, fs = _path_and_fs(spark, path)
-    if not fs.exists(p):
+    if not fs.exists(p) or fs.getFileStatus(p).getLen() < 2:
         return None
     stream = fs.open(p)
     try:
@@ -61,10 +64,25 @@ def read_marker(spark: SparkSession, path: str) -> str | None:
 
 
 def write_marker(spark: SparkSession, path: str, text: str) -> None:
-    """Create or replace a small marker file holding ``text``."""
+    """Create or replace a small marker file holding ``text``: written aside, then renamed."""
     p, fs = _path_and_fs(spark, path)
-    stream = fs.create(p, True)
+    aside, _ = _path_and_fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(aside, True)
     try:
         stream.writeUTF(text)
     finally:
         stream.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(aside, p):
+        raise OSError(f"cannot write {path}")
+
+
+def claim_folder(spark: SparkSession, folder: str, owner: str) -> None:
+    """Mark a new run folder with its owner before any data is written to it."""
+    write_marker(spark, f"{folder.rstrip('/')}/{OWNER_MARKER}", owner)
+
+
+def folder_owner(spark: SparkSession, folder: str) -> str | None:
+    """The owner a run folder was claimed by; None for folders without one."""
+    return read_marker(spark, f"{folder.rstrip('/')}/{OWNER_MARKER}")

@@ -33,6 +33,9 @@ _TAG_TYPES = {
     "BS": T.ArrayType(T.StringType()),
 }
 
+#: JSON text of an attribute that the struct parse keeps whole: a known tag with its kind of value.
+TAGGED_TEXT = (r'^\{"(?:(?:S|N|B)":"|(?:BOOL|NULL)":(?:true|false)\}|M":\{|(?:L|SS|NS|BS)":\[)')
+
 ATTRIBUTE_TYPE = T.StructType([T.StructField(t, _TAG_TYPES[t], True) for t in TAGS])
 ITEM_TYPE = T.MapType(T.StringType(), ATTRIBUTE_TYPE, True)
 RAW_ITEM_TYPE = T.MapType(T.StringType(), T.StringType(), True)
@@ -42,7 +45,8 @@ def decode_attribute(attr: Column, raw: Column | None = None, keep_binary: bool
     """Text form of one typed attribute; SQL NULL when the attribute is absent.
 
     ``raw`` is the attribute's own JSON text, used for tags outside ``TAGS``
-    (the struct parse drops those). ``keep_binary`` decodes ``B`` from base64
+    and for values without any tag (the struct parse drops those); NULL where
+    the attribute is absent. ``keep_binary`` decodes ``B`` from base64
     to its bytes read as UTF-8 instead of the placeholder text (which stays
     for a value that is not valid base64, rather than failing the job).
     """
@@ -53,7 +57,7 @@ def decode_attribute(attr: Column, raw: Column | None = None, keep_binary: bool
     )
     unknown = raw if raw is not None else F.lit(None).cast("string")
     return (
-        F.when(attr.isNull(), F.lit(None).cast("string"))
+        F.when(attr.isNull(), unknown)
         .when(attr["S"].isNotNull(), attr["S"])
         .when(attr["N"].isNotNull(), attr["N"])
         .when(attr["BOOL"].isNotNull(), attr["BOOL"].cast("string"))

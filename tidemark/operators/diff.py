@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,9 @@ _DEFAULT_BROADCAST_MAX = 64 * 1024 * 1024
 # key part, plus the hash-map pointer.
 _ROW_OVERHEAD = 24
 _PER_KEY_OVERHEAD = 16
+#: Rows from which a key side's copies are reduced before the join, and the parts they are reduced in.
+DEDUPE_ROWS = 10_000_000
+_SALT, _SALTS = "__landed_key_part", 16
 
 
 def _landed_key_name(i: int) -> str:
@@ -98,6 +101,42 @@ def _broadcast_limit(spark, explicit: int | None) -> int:
     return max(value, 0)
 
 
+_FLOATS = (T.FloatType, T.DoubleType)
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _number_text(c: Column, dt: T.DataType) -> Column:
+    """A number as text that is the same for equal numbers of any type: ``1``, ``1.0`` and ``1.00`` are ``1``."""
+    if isinstance(dt, _WHOLE):
+        return c.cast("string")
+    if isinstance(dt, T.DecimalType):
+        text = c.cast("string")
+        return F.when(F.instr(text, ".") > 0, F.regexp_replace(text, r"\.?0+\z", "")).otherwise(text)
+    whole = (F.floor(c) == c) & (F.abs(c) < F.lit(2.0 ** 63))
+    return F.when(whole, F.when(whole, c).cast("bigint").cast("string")).otherwise(c.cast("string"))
+
+
+def _comparable(c: Column, own: T.DataType, other: T.DataType) -> Column:
+    """A key part in the form both sides are compared in.
+
+    Equal types, and types Spark brings to a common type without loss, stay
+    as they are. With text on one side both are compared as text; a floating
+    number meets other numbers as canonical text, since the common type would
+    be double and could make different whole numbers equal.
+    """
+    if own == other:
+        return c
+    if isinstance(own, T.StringType) or isinstance(other, T.StringType):
+        return c.cast("string")
+    if isinstance(own, T.NumericType) and isinstance(other, T.NumericType):
+        if isinstance(own, _FLOATS) != isinstance(other, _FLOATS):
+            return _number_text(c, own)
+        return c
+    if isinstance(own, T.DatetimeType) and isinstance(other, T.DatetimeType):
+        return c
+    return c.cast("string")
+
+
 def keyed_join(
     source: DataFrame,
     other: DataFrame,
@@ -110,18 +149,21 @@ def keyed_join(
 ) -> DataFrame:
     """``source`` rows kept (``left_semi``) or dropped (``left_anti``) by key presence in ``other``.
 
-    Only ``source``'s columns come back and its duplicates are kept. Key
-    types that differ between the sides are compared as text.
-    ``strategy="auto"`` broadcasts ``other``'s keys only under a proven
-    byte bound of at most ``broadcast_max_bytes`` (default:
-    ``spark.sql.autoBroadcastJoinThreshold``, else 64 MiB; see
-    :func:`provably_small`); otherwise the join is a shuffle sort-merge
-    join, where AQE splits hot source keys. ``"shuffle"`` skips the check;
-    ``"broadcast"`` trusts the caller's own bound.
-
-    On the shuffle path the key side is de-duplicated first: the partial
-    aggregate collapses a hot key map-side, and its hash partitioning is
-    reused by the join, so it costs no extra exchange.
+    Only ``source``'s columns come back and its duplicates are kept. Key parts
+    of different types are compared by value where both are numbers or both
+    are times, as text otherwise (see :func:`_comparable`).
+    ``strategy="auto"`` leaves the join to Spark: a broadcast under
+    ``spark.sql.autoBroadcastJoinThreshold`` by its own sizes, at planning or
+    at run time, else a sort-merge join, whose exchanges sit right below the
+    sorts, so AQE splits a hot source key (or the NULL-key group). No job runs
+    while the plan is built. ``"broadcast"`` asks for a broadcast and gets it
+    if the keys are proven (by counting them) to take at most
+    ``broadcast_max_bytes``, by default that threshold. ``"shuffle"`` never
+    asks for one.
+
+    Of a key side that is large (``other_rows``) or shuffled on request, the
+    copies of a key are first reduced to one per part of a salted aggregate,
+    so a key that was landed many times is no hot key either.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
@@ -139,14 +181,12 @@ def keyed_join(
 
     src_types = {f.name: f.dataType for f in source.schema.fields}
     other_types = {f.name: f.dataType for f in other.schema.fields}
-    as_text = {k for k in keys if src_types[k] != other_types[k]}
-
-    def side(c, k):
-        return c.cast("string") if k in as_text else c
+    def side(c: Column, own: dict, opposite: dict, k: str) -> Column:
+        return _comparable(c, own[k], opposite[k])
 
     # Fresh names: the key side may share lineage with the source.
     right = other.select(
-        *[side(col(k), k).alias(_landed_key_name(i)) for i, k in enumerate(keys)]
+        *[side(col(k), other_types, src_types, k).alias(_landed_key_name(i)) for i, k in enumerate(keys)]
     )
     if not null_safe:
         right = right.where(
@@ -155,23 +195,24 @@ def keyed_join(
     cond = reduce(
         lambda a, b: a & b,
         [
-            side(col(k), k).eqNullSafe(F.col(_landed_key_name(i)))
+            side(col(k), src_types, other_types, k).eqNullSafe(F.col(_landed_key_name(i)))
             if null_safe
-            else side(col(k), k) == F.col(_landed_key_name(i))
+            else side(col(k), src_types, other_types, k) == F.col(_landed_key_name(i))
             for i, k in enumerate(keys)
         ],
     )
 
-    use_broadcast = strategy == "broadcast"
-    if strategy == "auto":
+    if strategy == "broadcast":
         limit = _broadcast_limit(source.sparkSession, broadcast_max_bytes)
-        use_broadcast = limit > 0 and provably_small(
-            other.select(*[col(k) for k in keys]), right, limit, other_rows
-        )
-    if use_broadcast:
-        right = F.broadcast(right)
-    else:
-        right = right.distinct().hint("shuffle_merge")
+        raw = other.select(*[col(k) for k in keys])
+        if limit > 0 and provably_small(raw, right, limit, other_rows):
+            return source.join(F.broadcast(right), on=cond, how=how)
+    if strategy == "shuffle" or (other_rows or 0) > DEDUPE_ROWS:
+        names = list(right.columns)
+        salted = right.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
+        right = salted.groupBy(*names, _SALT).agg(F.lit(True).alias("__some")).select(*names)
+    if strategy == "shuffle":
+        right = right.hint("merge")
     return source.join(right, on=cond, how=how)
 
 

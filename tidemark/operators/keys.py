@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.config import parse_keys
 from tidemark.functions.columns import col
@@ -27,23 +26,21 @@ def filter_keys(
 ) -> DataFrame:
     """Rows of ``df`` whose key equals one of ``key_rows``.
 
-    ``key_rows`` is a DataFrame with the key columns (semi join, strategy
-    as in :func:`~tidemark.operators.diff.keyed_join`) or a short literal
-    list of key tuples (one predicate). With SQL equality a NULL key part
-    matches nothing; ``null_safe`` matches NULL to NULL.
+    ``key_rows`` is a DataFrame with the key columns or a list of key tuples,
+    which becomes one with the key columns' types; either is a semi join (see
+    :func:`~tidemark.operators.diff.keyed_join`). With SQL equality a NULL key
+    part matches nothing; ``null_safe`` matches NULL to NULL.
     """
     keys = parse_keys(keys)
     if isinstance(key_rows, DataFrame):
         return keyed_join(df, key_rows, keys, "left_semi", null_safe, **join_options)
-    clauses = []
-    for combo in key_rows:
-        if len(combo) != len(keys):
-            raise ValueError(f"key combination {combo!r} does not have {len(keys)} parts")
-        parts = [
-            col(k).eqNullSafe(F.lit(v)) if null_safe else col(k) == F.lit(v)
-            for k, v in zip(keys, combo)
-        ]
-        clauses.append(reduce(lambda a, b: a & b, parts))
-    if not clauses:
+    rows = [tuple(r) for r in key_rows]
+    for r in rows:
+        if len(r) != len(keys):
+            raise ValueError(f"key combination {r!r} does not have {len(keys)} parts")
+    if not rows:
         return df.limit(0)
-    return df.where(reduce(lambda a, b: a | b, clauses))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    schema = T.StructType([T.StructField(k, types[k], True) for k in keys])
+    frame = df.sparkSession.createDataFrame(rows, schema)
+    return keyed_join(df, frame, keys, "left_semi", null_safe, **join_options)

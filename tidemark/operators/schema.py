@@ -11,25 +11,21 @@ from pyspark.sql import types as T
 from tidemark.config import parse_keys
 from tidemark.functions.columns import col
 
-# Text patterns a value must match before a typed cast is
-# tried (Spark's casts accept more, e.g. ' 7 ' as int or '2024' as date).
-# Candidates are tried in this order; the first type every value fits wins.
-INFER_PATTERNS = (
-    ("boolean", r"^(true|false)$"),
-    ("int", r"^-?[0-9]+$"),
-    ("bigint", r"^-?[0-9]+$"),
-    ("decimal(38,0)", r"^-?[0-9]+$"),
-    ("double", r"^-?[0-9]+([.][0-9]+)?([eE][-+]?[0-9]+)?$"),
-    ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
-    ("timestamp", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T].+$"),
-)
+# Text patterns a value must match before a type is considered
+# (Spark's casts accept more, e.g. ' 7 ' as int or '2024' as date). Numbers
+# with a leading zero are codes, not numbers. ``\z`` is the very end: ``$``
+# would let a final line end pass.
+BOOLEAN = r"^(true|false)\z"
+WHOLE = r"^-?(0|[1-9][0-9]*)\z"
+PLAIN_NUMBER = r"^-?(0|[1-9][0-9]*)([.][0-9]+)?\z"
+FLOAT_NUMBER = r"^-?(0|[1-9][0-9]*)([.][0-9]+)?[eE][-+]?[0-9]+\z"
+DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T].+\z"
+#: Significant digits every one of which a double keeps; digits of the widest decimal.
+DOUBLE_DIGITS, DECIMAL_DIGITS = 15, 38
+# Bits of the types a value fits, tried in this order for a column.
+_INT, _BIGINT, _NUMBER, _DOUBLE, _BOOLEAN, _DATE, _TIMESTAMP = (1 << i for i in range(7))
 _NULL_KEY_PREFIX = "NULL_"
-_TYPES = {
-    "boolean": T.BooleanType(), "int": T.IntegerType(), "bigint": T.LongType(),
-    "decimal(38,0)": T.DecimalType(38, 0), "double": T.DoubleType(), "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "string": T.StringType(),
-}
 
 
 def unified_string_schema(*dfs: DataFrame) -> T.StructType:
@@ -70,25 +66,50 @@ def enforce_schema(
     return df.select(*cols)
 
 
-def _slug(type_name: str) -> str:
-    return "".join(ch for ch in type_name if ch.isalnum())
+def _fits(v: Column) -> Column:
+    """Bits of the types one text value fits; the first pattern that matches decides."""
+    digits = F.length(F.regexp_replace(F.regexp_replace(v, r"[eE].*\z", ""), r"^-?0*[.]?0*|[.]|-", ""))
+    double = F.when(digits <= DOUBLE_DIGITS, _DOUBLE).otherwise(0)
+    whole = F.when(v.try_cast("int").isNotNull(), _INT | _BIGINT | _NUMBER) \
+        .when(v.try_cast("bigint").isNotNull(), _BIGINT | _NUMBER).otherwise(_NUMBER)
+    return (
+        F.when(v.rlike(WHOLE), whole.bitwiseOR(double))
+        .when(v.rlike(PLAIN_NUMBER), double.bitwiseOR(F.lit(_NUMBER)))
+        .when(v.rlike(FLOAT_NUMBER), double)
+        .when(v.rlike(DATE), F.when(v.try_cast("date").isNotNull(), _DATE).otherwise(0))
+        .when(v.rlike(TIMESTAMP), F.when(v.try_cast("timestamp").isNotNull(), _TIMESTAMP).otherwise(0))
+        .when(v.rlike(BOOLEAN), _BOOLEAN)
+        .otherwise(0)
+    )
 
 
-def _fits(v: Column, type_name: str, pattern: str) -> Column:
-    ok = v.rlike(pattern)
-    if type_name in ("int", "bigint", "decimal(38,0)", "date", "timestamp"):
-        ok = ok & v.try_cast(type_name).isNotNull()
-    return ok
+def _chosen(bits: int, integer_digits: int, fraction_digits: int) -> T.DataType:
+    """The type of a column whose values all fit ``bits``; numbers never lose a digit."""
+    if bits & _INT:
+        return T.IntegerType()
+    if bits & _BIGINT:
+        return T.LongType()
+    if bits & _NUMBER and not fraction_digits:
+        return T.DecimalType(DECIMAL_DIGITS, 0) if integer_digits <= DECIMAL_DIGITS else T.StringType()
+    if bits & _DOUBLE:
+        return T.DoubleType()
+    if bits & _NUMBER and integer_digits + fraction_digits <= DECIMAL_DIGITS:
+        return T.DecimalType(integer_digits + fraction_digits, fraction_digits)
+    for bit, chosen in ((_BOOLEAN, T.BooleanType()), (_DATE, T.DateType()), (_TIMESTAMP, T.TimestampType())):
+        if bits & bit:
+            return chosen
+    return T.StringType()
 
 
 def infer_schema(df: DataFrame, keys: str | Sequence[str]) -> T.StructType:
     """Typed schema from all rows in one aggregate pass.
 
-    Text columns get the first type of ``INFER_PATTERNS`` that every
-    non-NULL value fits, else string (all-NULL -> string). Integers too wide
-    for bigint become ``decimal(38,0)``, never double, so no digit is lost.
-    Non-text columns
-    keep their type. Keys come first and are non-nullable, the other fields
+    Each value is classified once and a column's type fits all its non-NULL
+    values: int, bigint, ``decimal(38,0)`` for wider integers; double where
+    every number has at most 15 significant digits, so nothing is lost, else
+    the decimal wide enough for all; boolean, date, timestamp; string for
+    everything else (all NULL, too many digits, leading zeros, mixtures).
+    Non-text columns keep their type. Keys come first and are non-nullable, the other fields
     follow sorted and nullable. Raises if a key column is absent.
     """
     keys = parse_keys(keys)
@@ -99,21 +120,20 @@ def infer_schema(df: DataFrame, keys: str | Sequence[str]) -> T.StructType:
     aggs = []
     for i, name in enumerate(text_cols):
         v = col(name)
-        aggs.append(F.count(v).alias(f"n{i}"))
-        for t, pat in INFER_PATTERNS:
-            aggs.append(F.count_if(_fits(v, t, pat)).alias(f"{_slug(t)}{i}"))
-    counts = df.agg(*aggs).first().asDict() if aggs else {}
+        number = v.rlike(PLAIN_NUMBER)
+        body = F.ltrim(v, F.lit("-"))
+        point = F.instr(body, ".")
+        before = F.when(point > 0, point - 1).otherwise(F.length(body))
+        aggs += [F.bit_and(_fits(v)).alias(f"bits{i}"),
+                 F.max(F.when(number, before)).alias(f"integer{i}"),
+                 F.max(F.when(number & (point > 0), F.length(body) - point)).alias(f"fraction{i}")]
+    found = df.agg(*aggs).first().asDict() if aggs else {}
 
     types: dict[str, T.DataType] = {f.name: f.dataType for f in df.schema.fields}
     for i, name in enumerate(text_cols):
-        n = counts[f"n{i}"]
-        chosen = "string"
-        if n:
-            for t, _ in INFER_PATTERNS:
-                if counts[f"{_slug(t)}{i}"] == n:
-                    chosen = t
-                    break
-        types[name] = _TYPES[chosen]
+        bits = found[f"bits{i}"]
+        types[name] = T.StringType() if bits is None else \
+            _chosen(bits, found[f"integer{i}"] or 0, found[f"fraction{i}"] or 0)
     ordered = list(keys) + sorted(c for c in df.columns if c not in keys)
     return T.StructType(
         [T.StructField(c, types[c], c not in keys) for c in ordered]

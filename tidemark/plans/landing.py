@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
@@ -13,18 +14,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import fs
-from tidemark.config import TableConfig, check_configs, config_from_job_args
+from tidemark.config import TableConfig, check_configs, config_from_entry
 from tidemark.functions.attributes import ATTRIBUTE_TYPE
 from tidemark.functions.naming import run_folder
 from tidemark.operators.diff import new_records
-from tidemark.operators.flatten import field_names, flatten_items
-from tidemark.operators.quality import DEFAULT_RULES
+from tidemark.operators.flatten import field_needs, flatten_items
+from tidemark.operators.quality import DEFAULT_RULES, check_rules, failed_rules
 from tidemark.operators.schema import enforce_schema, unified_string_schema
-from tidemark.operators.stamp import stamp_run
+from tidemark.operators.stamp import check_audit_names, stamp_run
 from tidemark.plans.partitioning import ensure_parallelism
+from tidemark.session import scratch_folder
 from tidemark.sinks.runs import write_run
-from tidemark.sources.items import ITEM_COL, parse_items, read_items_json
+from tidemark.sources.items import ITEM_COL, parse_items
 from tidemark.sources.landed import read_landed
+from tidemark.sources.scan import read_items_scan, scan_options
 
 
 class EmptySourceError(RuntimeError):
@@ -39,9 +42,34 @@ class LandingError(RuntimeError):
     """Comparing with or writing under a landed root failed (the cause is chained)."""
 
 
+class MalformedSourceError(LandingError):
+    """The source holds export lines that are not JSON or have no ``Item``."""
+
+
+#: Errors that another attempt cannot mend: configuration, data and finished folders.
+NOT_RETRIED = (ValueError, FileExistsError, RuleViolation, EmptySourceError, MalformedSourceError)
+MALFORMED = "malformed export line (not JSON or without Item)"
+
+
+def _observed(observation: Observation, *names: str) -> dict[str, int]:
+    """Metrics of a finished write; 0 where Spark dropped an input it found to be empty.
+
+    Adaptive execution replaces a join whose source side has no rows, and the
+    observation inside goes with it; a source with rows is never dropped.
+    """
+    try:
+        got = observation.get
+    except Exception:  # py4j raises different errors for a metric that never came
+        got = {}
+    return {n: int(got.get(n) or 0) for n in names}
+
+
+def _text(e: Exception) -> str:
+    return str(getattr(e, "desc", None) or e)
+
+
 def _first_line(e: Exception) -> str:
-    text = getattr(e, "desc", None) or str(e)
-    return next((ln.strip() for ln in str(text).splitlines() if ln.strip()), type(e).__name__)[:500]
+    return next((ln.strip() for ln in _text(e).splitlines() if ln.strip()), type(e).__name__)
 
 
 @dataclass
@@ -83,23 +111,23 @@ def _is_item_frame(df: DataFrame) -> bool:
     return isinstance(dt, T.MapType) and dt.valueType == ATTRIBUTE_TYPE
 
 
-def load_source(spark: SparkSession, config: TableConfig) -> DataFrame:
-    """Source rows of a table; items stay items here (``land_table`` flattens them).
+def load_source(spark: SparkSession, config: TableConfig) -> tuple[DataFrame, str | None]:
+    """(source rows, staging folder or None); items stay items here (``land_table`` flattens them).
 
     Item lines get the input parallelism guard before parsing (CPU work per
     line); Parquet and a callable's frame are used as built (a later
-    anti-join would be pushed below a repartition anyway).
+    anti-join would be pushed below a repartition anyway). A scan is staged,
+    so that the table is read once; the folder is the caller's to remove.
     """
     if callable(config.source):
-        return config.source(spark)
+        return config.source(spark), None
     if config.source_format == "items_json":
-        if not config.keep_unknown_tags:
-            return ensure_parallelism(
-                read_items_json(spark, config.source, keep_unknown_tags=False, **config.options)
-            )
         lines = spark.read.options(**config.options).text(config.source)
-        return parse_items(ensure_parallelism(lines))
-    return spark.read.options(**config.options).parquet(config.source)
+        return parse_items(ensure_parallelism(lines)), None
+    if config.source_format == "items_scan":
+        folder = scratch_folder(spark, "scan")
+        return read_items_scan(spark, config.source, staging_folder=folder, **scan_options(config.options)), folder
+    return spark.read.options(**config.options).parquet(config.source), None
 
 
 def land_table(
@@ -107,9 +135,10 @@ def land_table(
     config: TableConfig,
     run_at: datetime | None = None,
     source: DataFrame | None = None,
-    rules: Sequence = DEFAULT_RULES,
-    fail_on_violation: bool = False,
+    rules: Sequence | None = None,
+    fail_on_violation: bool | None = None,
     strategy: str | None = None,
+    owner: str | None = None,
 ) -> RunReport:
     """Land the records of one table whose key is not landed yet.
 
@@ -119,15 +148,20 @@ def land_table(
     Nothing landed yet means a full load. A run with no new record leaves
     no folder. A folder of the same run left unfinished by an earlier
     attempt (no ``_SUCCESS``) is removed first, so a retry never reads its
-    partial files as landed.
+    partial files as landed. The folder is marked with ``owner`` (default: a
+    new id) before data is written to it.
+
+    Nothing is published that is taken back: a malformed export line fails
+    the write itself, and with ``fail_on_violation`` the data rules are
+    evaluated by an aggregate before it. Otherwise data rules are aggregates
+    observed by the write. ``rules`` and ``fail_on_violation`` override the
+    table's own. An error after the folder is committed is reported with the
+    run, which has landed.
 
     Jobs per run stay constant as rows grow: field discovery (items without
-    ``config.fields``), the landed-key size bound (``join_strategy="auto"``)
-    and the write. Data rules are aggregates observed by the write itself;
-    with ``fail_on_violation`` a failed rule removes the run's folder, so
-    nothing is landed. An empty source is known from
-    the write's own row count (nothing is left behind), not from a separate
-    job.
+    ``config.fields``), the landed row count (Parquet metadata) and the write.
+    An empty source is known from the write's own row count, by whichever
+    join Spark chose, and leaves nothing behind.
     ``source_rows`` is counted by an Observation beside the join input; if a
     stage is re-run after an executor loss it can over-count, ``new_rows``
     (counted in the writing stage) cannot.
@@ -135,6 +169,10 @@ def land_table(
     run_at = run_at or datetime.now()
     folder = run_folder(config.root, run_at)
     report = RunReport(config.name, config.key_kind, "SUCCEEDED", "full", None, None, folder)
+    if rules is None:
+        rules = DEFAULT_RULES if config.rules is None else config.rules
+    if fail_on_violation is None:
+        fail_on_violation = config.fail_on_violation
 
     root_existed = fs.exists(spark, config.root)
     if fs.exists(spark, folder):
@@ -142,74 +180,90 @@ def land_table(
             raise FileExistsError(f"run folder {folder} already holds a finished run")
         fs.delete(spark, folder)
 
-    src = source if source is not None else load_source(spark, config)
-    malformed = None
-    if _is_item_frame(src):
-        fields = config.fields if config.fields is not None else field_names(src)
-        malformed = Observation()
-        flag = "__malformed"
-        src = (flatten_items(src, fields=fields, malformed_col=flag)
-               .observe(malformed, F.count_if(F.col(flag)).alias("rows"))
-               .drop(flag))
-    elif config.as_text:
-        src = enforce_schema(src, unified_string_schema(src))
-    missing = [k for k in config.keys if k not in src.columns]
-    if missing:
-        raise ValueError(f"table {config.name!r}: key columns {missing} not in source")
-
-    # Metadata rules are checked now; data rules are aggregates observed by the write itself.
-    meta_failed = {r.text for r in rules if r.metadata_only and not r.evaluate(src)[1]}
-    if meta_failed and fail_on_violation:
-        raise RuleViolation(f"table {config.name!r}: failed rules {sorted(meta_failed)}")
+    staging = None
+    try:
+        src, staging = (source, None) if source is not None else load_source(spark, config)
+        if _is_item_frame(src):
+            needs = None if config.fields is not None else field_needs(src)
+            fields = config.fields if needs is None else sorted(needs)
+            flag = "__malformed"
+            while flag in {f.lower() for f in fields}:
+                flag += "_"
+            raw_fields = None if needs is None else {f for f, odd in needs.items() if odd}
+            src = flatten_items(src, fields=fields, malformed_col=flag, raw_fields=raw_fields)
+            src = src.where(~F.when(F.col(flag), F.raise_error(F.lit(MALFORMED)).cast("boolean")).otherwise(False)).drop(flag)
+        elif config.as_text:
+            src = enforce_schema(src, unified_string_schema(src))
+        missing = [k for k in config.keys if k not in src.columns]
+        if missing:
+            raise ValueError(f"table {config.name!r}: key columns {missing} not in source")
+        check_audit_names(src, config.audit_names)
+        return _land(spark, config, report, src, run_at, rules, fail_on_violation,
+                     strategy or config.join_strategy, owner or uuid.uuid4().hex, root_existed)
+    finally:
+        if staging is not None:
+            fs.delete(spark, staging)
+
+
+def _land(spark, config, report, src, run_at, rules, fail_on_violation, strategy, owner, root_existed) -> RunReport:
+    folder = report.run_folder
+    # Metadata rules are checked now; data rules before the write if they may stop it, else by the write itself.
+    failed = {r.text for r in rules if r.metadata_only and not r.evaluate(src)[1]}
     data_rules = [r for r in rules if not r.metadata_only]
 
+    def stop_on_violation() -> None:
+        if failed and fail_on_violation:
+            raise RuleViolation(f"table {config.name!r}: failed rules {[r.text for r in rules if r.text in failed]}; nothing landed")
+
+    stop_on_violation()
+    written = None
     try:
+        if fail_on_violation and data_rules:
+            failed |= set(failed_rules(check_rules(src, data_rules)))
+            stop_on_violation()
         landed = read_landed(spark, config.root, keys=config.keys)
         report.mode = "full" if landed is None else "incremental"
-        # row count from Parquet metadata (no key values read); also feeds the broadcast check
+        # row count from Parquet metadata (no key values read)
         report.landed_rows = 0 if landed is None else landed.count()
         seen = Observation()
         observed = src.observe(
             seen, F.count(F.lit(1)).alias("rows"),
             *[r.actual(src).cast("bigint").alias(f"rule{i}") for i, r in enumerate(data_rules)],
         )
-        new = new_records(
-            observed, landed, config.keys, config.null_safe, strategy or config.join_strategy,
-            config.broadcast_max_bytes, report.landed_rows,
-        )
+        new = stamp_run(new_records(
+            observed, landed, config.keys, config.null_safe, strategy, config.broadcast_max_bytes, report.landed_rows,
+        ), run_at, config.audit_names)
+        fs.claim_folder(spark, folder, owner)
         written = write_run(
-            stamp_run(new, run_at, config.audit_names), folder, config.layout, config.keys,
+            new, folder, config.layout, config.keys, mode="append",
             cluster=config.cluster_per_key, options=config.write_options,
         )
     except Exception as e:
+        if isinstance(e, RuleViolation):
+            raise
+        if fs.is_committed(spark, folder) and fs.folder_owner(spark, folder) == owner:
+            report.error = f"landed; then {type(e).__name__}: {_text(e)}"
+            return report
         # e.g. key columns whose type differs between run folders of the root
         try:
             if fs.exists(spark, folder) and not fs.is_committed(spark, folder):
                 fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
         except Exception:  # best effort; a retry of this run removes it too
             pass
+        if MALFORMED in str(e):
+            raise MalformedSourceError(f"table {config.name!r}: {MALFORMED}; nothing landed") from e
         raise LandingError(
             f"table {config.name!r}: landing under {config.root!r} into {folder!r} failed: "
             f"{type(e).__name__}: {_first_line(e)}"
         ) from e
-    metrics = seen.get
-    report.source_rows = int(metrics["rows"])
-    report.new_rows = written
-    data_failed = {r.text for i, r in enumerate(data_rules) if not r.holds(int(metrics[f"rule{i}"]))}
-    failed = [r.text for r in rules if r.text in meta_failed | data_failed]
-    report.rules_failed = "; ".join(failed) or None
-    if malformed is not None and int(malformed.get["rows"]) > 0:
-        fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
-        raise LandingError(
-            f"table {config.name!r}: {int(malformed.get['rows'])} malformed export lines "
-            f"(not JSON or without Item); nothing landed"
-        )
-    if failed and fail_on_violation:
-        fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
-        raise RuleViolation(f"table {config.name!r}: failed rules {failed}; nothing landed")
     if written == 0:
         fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
         report.mode = "none"
+    report.new_rows = written
+    metrics = _observed(seen, "rows", *[f"rule{i}" for i in range(len(data_rules))])
+    report.source_rows = max(metrics["rows"], written)
+    failed |= {r.text for i, r in enumerate(data_rules) if not r.holds(metrics[f"rule{i}"])}
+    report.rules_failed = "; ".join(r.text for r in rules if r.text in failed) or None
     if report.source_rows == 0:
         # known from the write's own observation: no separate emptiness job
         if config.on_empty == "error":
@@ -219,18 +273,18 @@ def land_table(
 
 
 def configs_from_frame(df: DataFrame, scheme: str = "s3a", **overrides) -> list[TableConfig]:
-    """TableConfigs from a config table: launcher argument columns plus ``source``.
+    """TableConfigs from a config table: launcher argument columns, ``source`` and any table options.
 
-    A config table has one row per landed table, so collecting it is bounded
-    by the number of tables.
+    NULL cells are left out, unknown columns are errors. A config table has
+    one row per landed table, so collecting it is bounded by the number of
+    tables.
     """
     if "source" not in df.columns:
         raise ValueError("a config table needs a 'source' column")
     configs = []
     for row in df.collect():
-        args = {k: v for k, v in row.asDict().items() if v is not None}
-        source = args.pop("source")
-        configs.append(config_from_job_args(args, source=source, scheme=scheme, **overrides))
+        entry = {k: v for k, v in row.asDict().items() if v is not None}
+        configs.append(config_from_entry({**entry, **overrides}, scheme))
     return configs
 
 
@@ -251,8 +305,9 @@ def land_tables(
     (see :func:`configs_from_frame`).
 
     A failing table is retried up to ``max_attempts`` times with the same
-    run time (so the same run folder); a table that fails every attempt is
-    reported FAILED and the others go on. Tables run one after another by
+    run time (so the same run folder), unless the error is one that another
+    attempt cannot mend (``NOT_RETRIED``); it is then reported FAILED, with
+    the attempts made and the whole error, and the others go on. Tables run one after another by
     default; ``max_parallel_tables`` > 1 submits several landings at once
     from driver threads (each is its own set of Spark jobs).
     """
@@ -264,7 +319,7 @@ def land_tables(
     sc = spark.sparkContext
 
     def one(cfg: TableConfig) -> RunReport:
-        last_error = None
+        last_error, attempt = None, 0
         # jobs of one table share a group: visible per table, cancellable with cancelJobGroup
         sc.setJobGroup(f"{job_group_prefix}{cfg.name}", f"landing {cfg.name} into {cfg.root}")
         try:
@@ -275,6 +330,8 @@ def land_tables(
                     return rep
                 except Exception as e:  # reported, the other tables go on
                     last_error = f"{type(e).__name__}: {e}"
+                    if isinstance(e, NOT_RETRIED):
+                        break
                     if attempt < max_attempts and retry_wait_seconds:
                         time.sleep(retry_wait_seconds)
         finally:
@@ -282,7 +339,7 @@ def land_tables(
             sc.setLocalProperty("spark.job.description", None)
         return RunReport(
             cfg.name, cfg.key_kind, "FAILED", "none", None, None,
-            run_folder(cfg.root, run_at), None, max_attempts, None, last_error[:2000],
+            run_folder(cfg.root, run_at), None, attempt, None, last_error,
         )
 
     if max_parallel_tables > 1:

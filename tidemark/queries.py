@@ -7,6 +7,7 @@ checkpoint folder (``spark.checkpoint.dir``). Run times are fixed:
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from datetime import datetime
 
@@ -14,14 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import TableConfig
+from tidemark import fs
+from tidemark.config import TableConfig, config_from_entry
 from tidemark.functions.attributes import item_from_columns, tagged
 from tidemark.functions.naming import key_name, run_folder_expr
-from tidemark.operators.diff import new_records
+from tidemark.operators.diff import STRATEGIES, new_records
 from tidemark.operators.flatten import discover_fields, flatten_items
 from tidemark.operators.keys import distinct_keys, filter_keys
 from tidemark.operators.quality import ColumnCount, IsComplete, RowCount, check_rules
-from tidemark.operators.schema import enforce_schema, infer_schema, unified_string_schema
+from tidemark.operators.schema import enforce_schema, infer_schema, unified_string_schema, validate_keys
 from tidemark.operators.stamp import sample_rows, stamp_run
 from tidemark.plans.landing import land_table, land_tables
 from tidemark.plans.partitioning import ensure_parallelism
@@ -175,6 +177,25 @@ def q_anti_join_null_safe(spark, sf):
     return new_records(s, landed, "k", null_safe=True).select("event_id", "k")
 
 
+def q_anti_join_hot_key(spark, sf):
+    """A third of the rows share one text key, another sixth have none; the landed side is a Parquet tree."""
+    li = _t(spark, sf, "lineitem")
+    key = (F.when(F.col("l_orderkey") % 3 == 0, F.lit("hot")).when(F.col("l_orderkey") % 6 == 1, F.lit(None))
+           .otherwise(F.col("l_orderkey").cast("string")))
+    folder = scratch_folder(spark, "hot-landed")
+    _t(spark, sf, "orders").where(F.col("o_orderkey") % 2 == 0).select(F.col("o_orderkey").cast("string").alias("k")).write.parquet(folder)
+    return new_records(li.withColumn("k", key), read_landed(spark, folder, keys=["k"]), "k", strategy="shuffle")
+
+
+def q_anti_join_mixed_types(spark, sf):
+    """Double keys of the source against decimal and whole-number keys of the landed side."""
+    o = _t(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").cast("double").alias("a"),
+                                       F.col("o_custkey").cast("decimal(12,2)").alias("b"))
+    landed = _t(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").cast("decimal(18,1)").alias("a"), F.col("o_custkey").cast("decimal(10,0)").alias("b"))
+    return new_records(o, landed, "a,b").select("o_orderkey")
+
+
 def q_anti_join_shuffle(spark, sf):
     """J1 forced onto the shuffle (sort-merge) path, as for landed trees too big to broadcast."""
     orders = _t(spark, sf, "orders")
@@ -204,16 +225,25 @@ def q_items_json(spark, sf):
     return flatten_items(read_items_json(spark, folder))
 
 
+EVENT_FIELDS = ("event_id", "event_type", "is_big", "props", "tags", "nothing", "bin", "kinds", "nums", "bins", "u")
+
+
 def q_items_json_typed(spark, sf):
-    """Same export read by the JSON data source (typed, codegen path); unknown tags -> NULL."""
+    """Same export with known fields: no discovery pass, and unknown tags keep their JSON text."""
     folder = _write_export(spark, _t(spark, sf, "events"), "items-json-typed")
-    return flatten_items(read_items_json(spark, folder, keep_unknown_tags=False))
+    return flatten_items(read_items_json(spark, folder), fields=EVENT_FIELDS, raw_fields={"u"})
+
+
+def _scan_client(spark) -> str:
+    """Factory of the offline client that stands in for a live table; shipped to the workers."""
+    tests = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tests")
+    spark.sparkContext.addPyFile(os.path.join(tests, "scan_clients.py"))
+    return "scan_clients:ExportFolderClient"
 
 
 def q_scan_items(spark, sf):
     folder = _write_export(spark, _t(spark, sf, "events"), "items-scan", files=16)
-    items = read_items_scan(spark, "events", "tidemark.sources.scan:ExportFolderClient", path=folder)
-    return flatten_items(items)
+    return flatten_items(read_items_scan(spark, "events", _scan_client(spark), path=folder))
 
 
 def q_unified_schema(spark, sf):
@@ -254,6 +284,31 @@ def q_infer_schema(spark, sf):
     return spark.createDataFrame(rows, "field string, type string, nullable boolean")
 
 
+def q_infer_schema_wide(spark, sf):
+    """Texts that look like numbers but must not lose a digit."""
+    key = F.col("o_orderkey").cast("string")
+    df = _t(spark, sf, "orders").select(
+        key.alias("k"), F.concat(F.lit("00"), key).alias("code"), F.concat(key, F.lit("\n")).alias("line"),
+        F.concat(F.lit("9007199254740993"), key).alias("whole"),
+        F.concat(F.lit("9007199254740993"), key, F.lit(".5")).alias("exact"),
+        F.rpad(key, 40, "7").alias("too_wide"), F.concat(key, F.lit(".25")).alias("short"))
+    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in infer_schema(df, "k").fields]
+    return spark.createDataFrame(rows, "field string, type string, nullable boolean")
+
+
+def q_validate_keys(spark, sf):
+    """NULL counts of keys that hold, and the refusal of one that does not."""
+    ev = _null_key_events(spark, sf)
+    counts = validate_keys(ev, "event_id,ts")
+    try:
+        validate_keys(ev, "k")
+        refused = False
+    except ValueError:
+        refused = True
+    rows = [(k, n, False) for k, n in counts.items()] + [("k", None, refused)]
+    return spark.createDataFrame(rows, "key string, nulls long, refused boolean")
+
+
 def q_enforce_typed(spark, sf):
     ev = _t(spark, sf, "events")
     df = ev.select(
@@ -335,15 +390,22 @@ def q_write_per_key(spark, sf):
     li = _t(spark, sf, "lineitem")
     folder = scratch_folder(spark, "per-key")
     write_run(li, folder, layout="per_key", keys=["l_returnflag", "l_linestatus"])
-    schema = li.schema.add(FILE_KEY, T.StringType())
-    back = spark.read.schema(schema).parquet(folder)
-    return back.groupBy(FILE_KEY).agg(F.count(F.lit(1)).alias("n_rows"))
+    return spark.read.schema(li.schema.add(FILE_KEY, T.StringType())).parquet(folder)
+
+
+def q_write_overwrite(spark, sf):
+    """The same folder written twice: the second write replaces the first."""
+    orders = _t(spark, sf, "orders")
+    folder = scratch_folder(spark, "overwrite")
+    write_run(orders, folder)
+    n = write_run(orders.where(F.col("o_orderstatus") == "F"), folder, mode="overwrite")
+    return spark.read.parquet(folder).withColumn("n_written", F.lit(n).cast("bigint"))
 
 
 def q_first_full_load(spark, sf):
     cfg = _config(spark, sf, "conversations", "conv_id,turn")
     land_table(spark, cfg, RUN_1, source=_t(spark, sf, "conversations"))
-    return read_landed(spark, cfg.root).select("conv_id", "turn", "processed_date")
+    return read_landed(spark, cfg.root)
 
 
 def q_incremental_extract(spark, sf):
@@ -351,8 +413,21 @@ def q_incremental_extract(spark, sf):
     cfg = _config(spark, sf, "conversations", "conv_id,turn")
     land_table(spark, cfg, RUN_1, source=conv.where(F.col("turn") < 3))
     land_table(spark, cfg, RUN_2, source=conv)
-    return (read_landed(spark, cfg.root).groupBy("processed_date")
-            .agg(F.count(F.lit(1)).alias("n_rows")))
+    return read_landed(spark, cfg.root)
+
+
+def q_empty_source(spark, sf):
+    """A run without source rows over a landed tree, by every join strategy: skipped, nothing left behind."""
+    orders = _t(spark, sf, "orders")
+    rows = []
+    for strategy in STRATEGIES:
+        cfg = _config(spark, sf, "orders", "o_orderkey", on_empty="skip", join_strategy=strategy)
+        land_table(spark, cfg, RUN_1, source=orders)
+        rep = land_table(spark, cfg, RUN_2, source=orders.where(F.col("o_orderkey") < 0))
+        rows.append((strategy, rep.status, rep.mode, rep.source_rows, rep.new_rows,
+                     fs.exists(spark, rep.run_folder), read_landed(spark, cfg.root).count()))
+    return spark.createDataFrame(rows, "strategy string, status string, mode string, source_rows long, "
+                                       "new_rows long, left_behind boolean, landed_rows long")
 
 
 def q_incremental_rerun(spark, sf):
@@ -375,8 +450,7 @@ def q_land_items(spark, sf):
     root = scratch_folder(spark, "landed-items")
     land_table(spark, TableConfig("events", root, "event_id", early), RUN_1)
     land_table(spark, TableConfig("events", root, "event_id", full), RUN_2)
-    landed = read_landed(spark, root)
-    return landed.select("event_id", "event_type", "u", "processed_date", "processed_at")
+    return read_landed(spark, root)
 
 
 def q_stream_landing(spark, sf):
@@ -386,10 +460,10 @@ def q_stream_landing(spark, sf):
     root = scratch_folder(spark, "landed-stream")
     query = land_stream(spark, TableConfig("events", root, "event_id", source), source,
                         checkpoint_location=scratch_folder(spark, "stream-checkpoint"),
-                        max_files_per_trigger=1)
+                        max_files_per_trigger=1, clock=lambda: RUN_1)
     query.awaitTermination()
     query.stop()
-    return read_landed(spark, root).select("event_id", "event_type", "u")
+    return read_landed(spark, root).drop("processed_at")  # the order of files among batches is not fixed
 
 
 def q_land_tables(spark, sf):
@@ -401,6 +475,37 @@ def q_land_tables(spark, sf):
         "table_name", "key_kind", "status", "source_rows", "new_rows")
 
 
+def q_land_tables_failures(spark, sf):
+    """Failing tables among good ones: a missing export is tried again, a wrong key name is not."""
+    configs = [
+        _config(spark, sf, "orders", "o_orderkey"),
+        TableConfig("absent", scratch_folder(spark, "landed-absent"), "id", scratch_folder(spark, "no-export")),
+        _config(spark, sf, "conversations", "conv_id,no_such_column"),
+        _config(spark, sf, "events", "event_id", rules=["RowCount < 1"], fail_on_violation=True),
+        _config(spark, sf, "nation", "n_nationkey", rules=["RowCount < 1"]),
+    ]
+    return land_tables(spark, configs, RUN_1, max_attempts=2).select(
+        "table_name", "status", "attempts", "new_rows", "rules_failed", F.col("error").isNotNull().alias("has_error"))
+
+
+def q_land_from_args(spark, sf):
+    """Launcher arguments and table options, for a scanned table landed in two runs."""
+    events = _t(spark, sf, "events")
+    root = scratch_folder(spark, "landed-args")
+    scheme, _, path = root.rpartition("://")
+    bucket, _, folder = path.strip("/").rpartition("/")
+    factory = _scan_client(spark)
+    for run_at, rows in ((RUN_1, events.where(F.col("ts") < _ts("2024-01-15"))), (RUN_2, events)):
+        export = _write_export(spark, rows, "args-export", files=4)
+        entry = {"--bucket_name": bucket, "--folder_name": folder, "--primary_key": "event_id",
+                 "--primary_key_is_composite": "false", "--dynamo_table_name": "events", "source": "events",
+                 "source_format": "items_scan", "null_safe": "true", "rules": 'RowCount > 0; IsComplete "event_id"',
+                 "fail_on_violation": "true", "audit_names": "run_day,run_time",
+                 "options": {"client_factory": factory, "segments": "4", "client.path": export}}
+        land_tables(spark, [config_from_entry(entry, scheme or "file")], run_at)
+    return read_landed(spark, root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anti_join_single": q_anti_join_single,
     "anti_join_composite": q_anti_join_composite,
@@ -408,6 +513,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anti_join_null_keys": q_anti_join_null_keys,
     "anti_join_null_safe": q_anti_join_null_safe,
     "anti_join_shuffle": q_anti_join_shuffle,
+    "anti_join_hot_key": q_anti_join_hot_key,
+    "anti_join_mixed_types": q_anti_join_mixed_types,
     "flatten_items": q_flatten_items,
     "flatten_missing": q_flatten_missing,
     "discover_fields": q_discover_fields,
@@ -417,7 +524,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unified_schema": q_unified_schema,
     "enforce_unified": q_enforce_unified,
     "infer_schema": q_infer_schema,
+    "infer_schema_wide": q_infer_schema_wide,
     "enforce_typed": q_enforce_typed,
+    "validate_keys": q_validate_keys,
     "stamp_run": q_stamp_run,
     "run_folder": q_run_folder,
     "key_name": q_key_name,
@@ -428,12 +537,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_landed": q_read_landed,
     "land_as_text": q_land_as_text,
     "write_per_key": q_write_per_key,
+    "write_overwrite": q_write_overwrite,
     "first_full_load": q_first_full_load,
     "incremental_extract": q_incremental_extract,
     "incremental_rerun": q_incremental_rerun,
+    "empty_source": q_empty_source,
     "land_items": q_land_items,
     "stream_landing": q_stream_landing,
     "land_tables": q_land_tables,
+    "land_tables_failures": q_land_tables_failures,
+    "land_from_args": q_land_from_args,
 }
 
 
@@ -459,6 +572,9 @@ FROM (SELECT 'event_id' AS field, CAST(event_id AS VARCHAR) AS v FROM events
 GROUP BY field"""
 
 
+_UNKNOWN_SQL = """concat('{"ZZ":', CAST(user_id AS VARCHAR), '}') AS u"""
+_RUN_DAY_SQL = "CASE WHEN ts < TIMESTAMP '2024-01-15' THEN '2025-01-01' ELSE '2025-01-02' END"
+
 ORACLE_SQL: dict[str, str] = {
     "anti_join_single": """SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l
   WHERE l.l_orderkey = o.o_orderkey AND l.l_shipdate < TIMESTAMP '1997-01-01')""",
@@ -476,6 +592,22 @@ SELECT event_id, k FROM s a WHERE NOT EXISTS
   (SELECT 1 FROM s b WHERE b.ts < TIMESTAMP '2024-01-01 12:00:00' AND a.k IS NOT DISTINCT FROM b.k)""",
     "anti_join_shuffle": """SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l
   WHERE l.l_orderkey = o.o_orderkey AND l.l_shipdate < TIMESTAMP '1997-01-01')""",
+    "anti_join_hot_key": """WITH s AS (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 'hot' WHEN l_orderkey % 6 = 1 THEN NULL
+  ELSE CAST(l_orderkey AS VARCHAR) END AS k FROM lineitem)
+SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey % 2 = 0 AND CAST(o.o_orderkey AS VARCHAR) = s.k)""",
+    "anti_join_mixed_types": """SELECT o_orderkey FROM orders a WHERE NOT EXISTS
+  (SELECT 1 FROM orders b WHERE b.o_orderstatus = 'F' AND b.o_orderkey = a.o_orderkey AND b.o_custkey = a.o_custkey)""",
+    "infer_schema_wide": """WITH t AS (SELECT max(length(CAST(o_orderkey AS VARCHAR))) AS n, max(o_orderkey) AS m FROM orders)
+SELECT 'k' AS field, CASE WHEN m < 2147483648 THEN 'int' ELSE 'bigint' END AS type, false AS nullable FROM t
+UNION ALL SELECT 'code', 'string', true
+UNION ALL SELECT 'line', 'string', true
+UNION ALL SELECT 'whole', CASE WHEN 16 + n <= 18 THEN 'bigint' ELSE 'decimal(38,0)' END, true FROM t
+UNION ALL SELECT 'exact', concat('decimal(', 16 + n + 1, ',1)'), true FROM t
+UNION ALL SELECT 'too_wide', 'string', true
+UNION ALL SELECT 'short', 'double', true""",
+    "validate_keys": """SELECT 'event_id' AS key, count(*) FILTER (WHERE event_id IS NULL) AS nulls, false AS refused FROM events
+UNION ALL SELECT 'ts', count(*) FILTER (WHERE ts IS NULL), false FROM events
+UNION ALL SELECT 'k', NULL, count(*) FILTER (WHERE event_type = 'signup') > 0 FROM events""",
     "flatten_items": f"SELECT {_EVENT_FLAT_SQL_COLUMNS} FROM events",
     "flatten_missing": """SELECT CAST(event_id AS VARCHAR) AS event_id,
   CASE WHEN event_type <> 'signup' THEN CAST(user_id AS VARCHAR) END AS user_id,
@@ -487,7 +619,7 @@ SELECT event_id, k FROM s a WHERE NOT EXISTS
     "items_json": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS},
   concat('{{"ZZ":', CAST(user_id AS VARCHAR), '}}') AS u FROM events""",
     "items_json_typed": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS},
-  CAST(NULL AS VARCHAR) AS u FROM events""",
+  concat('{{"ZZ":', CAST(user_id AS VARCHAR), '}}') AS u FROM events""",
     "scan_items": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS},
   concat('{{"ZZ":', CAST(user_id AS VARCHAR), '}}') AS u FROM events""",
     "unified_schema": """SELECT CAST(row_number() OVER (ORDER BY field) AS INTEGER) AS pos, field,
@@ -525,20 +657,30 @@ FROM orders""",
   CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, o_orderstatus,
   CAST(o_totalprice AS VARCHAR) AS o_totalprice,
   '2025-01-01' AS processed_date, '2025-01-01 00:00:00' AS processed_at FROM orders""",
-    "write_per_key": """SELECT concat(l_returnflag, '_', l_linestatus) AS file_key, count(*) AS n_rows
-FROM lineitem GROUP BY 1""",
-    "first_full_load": "SELECT conv_id, turn, '2025-01-01' AS processed_date FROM conversations",
-    "incremental_extract": """SELECT CASE WHEN turn < 3 THEN '2025-01-01' ELSE '2025-01-02' END AS processed_date,
-  count(*) AS n_rows FROM conversations GROUP BY 1""",
+    "write_per_key": "SELECT *, concat(l_returnflag, '_', l_linestatus) AS file_key FROM lineitem",
+    "write_overwrite": """SELECT *, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS n_written
+FROM orders WHERE o_orderstatus = 'F'""",
+    "first_full_load": """SELECT *, '2025-01-01' AS processed_date, '2025-01-01 00:00:00' AS processed_at
+FROM conversations""",
+    "incremental_extract": """SELECT *, CASE WHEN turn < 3 THEN '2025-01-01' ELSE '2025-01-02' END AS processed_date,
+  CASE WHEN turn < 3 THEN '2025-01-01 00:00:00' ELSE '2025-01-02 00:00:00' END AS processed_at FROM conversations""",
+    "empty_source": """SELECT strategy, 'SUCCEEDED' AS status, 'skipped' AS mode, CAST(0 AS BIGINT) AS source_rows,
+  CAST(0 AS BIGINT) AS new_rows, false AS left_behind, (SELECT count(*) FROM orders) AS landed_rows
+FROM (VALUES ('auto'), ('broadcast'), ('shuffle')) t(strategy)""",
     "incremental_rerun": """SELECT count(*) AS source_rows, count(*) AS existing_rows,
   CAST(0 AS BIGINT) AS new_rows FROM orders""",
-    "land_items": """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
-  concat('{"ZZ":', CAST(user_id AS VARCHAR), '}') AS u,
-  CASE WHEN ts < TIMESTAMP '2024-01-15' THEN '2025-01-01' ELSE '2025-01-02' END AS processed_date,
-  CASE WHEN ts < TIMESTAMP '2024-01-15' THEN '2025-01-01 00:00:00' ELSE '2025-01-02 00:00:00' END AS processed_at
+    "land_items": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS}, {_UNKNOWN_SQL}, {_RUN_DAY_SQL} AS processed_date,
+  concat({_RUN_DAY_SQL}, ' 00:00:00') AS processed_at FROM events""",
+    "stream_landing": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS}, {_UNKNOWN_SQL}, '2025-01-01' AS processed_date
 FROM events""",
-    "stream_landing": """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
-  concat('{"ZZ":', CAST(user_id AS VARCHAR), '}') AS u FROM events""",
+    "land_from_args": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS}, {_UNKNOWN_SQL}, {_RUN_DAY_SQL} AS run_day,
+  concat({_RUN_DAY_SQL}, ' 00:00:00') AS run_time FROM events""",
+    "land_tables_failures": """SELECT 'orders' AS table_name, 'SUCCEEDED' AS status, 1 AS attempts,
+  (SELECT count(*) FROM orders) AS new_rows, CAST(NULL AS VARCHAR) AS rules_failed, false AS has_error
+UNION ALL SELECT 'absent', 'FAILED', 2, NULL, NULL, true
+UNION ALL SELECT 'conversations', 'FAILED', 1, NULL, NULL, true
+UNION ALL SELECT 'events', 'FAILED', 1, NULL, NULL, true
+UNION ALL SELECT 'nation', 'SUCCEEDED', 1, (SELECT count(*) FROM nation), 'RowCount < 1', false""",
     "land_tables": """SELECT 'conversations' AS table_name, 'composite' AS key_kind, 'SUCCEEDED' AS status,
   count(*) AS source_rows, count(*) AS new_rows FROM conversations
 UNION ALL SELECT 'orders', 'single', 'SUCCEEDED', count(*), count(*) FROM orders""",

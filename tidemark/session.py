@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import threading
 import uuid
@@ -38,11 +39,15 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None, **
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Set to a fresh local folder only when the session has none, as in tests.
+    A session without one gets a fresh local folder if its master is local,
+    as in tests; on a cluster that would be a folder of one machine, so it
+    raises there.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master or ""):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")

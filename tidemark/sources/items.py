@@ -32,24 +32,20 @@ def parse_items(lines: DataFrame, text_col: str = "value") -> DataFrame:
 
 def raw_attribute(raw_line: Column, name: str) -> Column:
     """The JSON text of attribute ``name`` as written in the export line."""
-    return F.try_element_at(F.from_json(raw_line, _LINE_RAW)["Item"], F.lit(name))
+    return F.try_element_at(raw_attributes(raw_line), F.lit(name))
 
 
-def read_items_json(
-    spark: SparkSession, path: str, keep_unknown_tags: bool = True, **options
-) -> DataFrame:
+def raw_attributes(raw_line: Column) -> Column:
+    """``map<string,string>``: every attribute of an export line with its JSON text."""
+    return F.from_json(raw_line, _LINE_RAW)["Item"]
+
+
+def read_items_json(spark: SparkSession, path: str, **options) -> DataFrame:
     """Read item export lines (optionally compressed) as ``item``, ``raw``.
 
     Splittable text input: Spark spreads the lines over tasks by file split.
-    ``keep_unknown_tags=False`` parses inside the JSON data source instead
-    (about a quarter faster, and the decoding stays in whole-stage codegen);
-    an attribute whose tag is not one of the known ones then decodes to NULL
-    instead of its own JSON text. That path has no line text (``raw``).
     """
-    reader = spark.read.options(**options)
-    if keep_unknown_tags:
-        return parse_items(reader.text(path))
-    return reader.schema(_LINE_TYPED).json(path).select(F.col("Item").alias(ITEM_COL))
+    return parse_items(spark.read.options(**options).text(path))
 
 
 def items_of(df: DataFrame, item: str | Column = ITEM_COL) -> DataFrame:

@@ -18,7 +18,6 @@ from __future__ import annotations
 import base64
 import importlib
 import json
-import os
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -99,69 +98,6 @@ class ItemScanDataSource(DataSource):
         return ItemScanReader(self.options)
 
 
-class LoggingExportFolderClient:
-    """ExportFolderClient that appends each page it serves to ``log`` (one line per call).
-
-    Lets tests check how often the table was actually scanned.
-    """
-
-    def __init__(self, path: str, log: str):
-        self.inner = ExportFolderClient(path)
-        self.log = log
-
-    def scan(self, **kwargs):
-        page = self.inner.scan(**kwargs)
-        with open(self.log, "a", encoding="utf-8") as fh:
-            fh.write(f"{kwargs.get('Segment')}:{(kwargs.get('ExclusiveStartKey') or {}).get('page', -1)}\n")
-        return page
-
-
-def _filesystem(path: str):
-    """(pyarrow filesystem, path inside it) for local paths and URIs (file:, hdfs:, s3:, ...)."""
-    from pyarrow import fs as pafs
-
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    if "://" not in path:
-        return pafs.LocalFileSystem(), os.path.abspath(path)
-    return pafs.FileSystem.from_uri(path)
-
-
-class ExportFolderClient:
-    """Offline paged client over a folder of export files (one JSON item per line).
-
-    Page ``i`` is the ``i``-th file in name order; segment ``s`` of ``n``
-    owns the pages ``i`` with ``i % n == s``. The folder may be local or on
-    shared storage (read through pyarrow's file systems). For tests and
-    replaying exports.
-    """
-
-    def __init__(self, path: str):
-        from pyarrow import fs as pafs
-
-        self.fs, root = _filesystem(path)
-        infos = self.fs.get_file_info(pafs.FileSelector(root))
-        self.files = sorted(
-            i.path for i in infos
-            if i.type == pafs.FileType.File and not i.base_name.startswith((".", "_"))
-        )
-
-    def scan(self, TableName, Segment=0, TotalSegments=1, ExclusiveStartKey=None):
-        mine = [i for i in range(len(self.files)) if i % TotalSegments == Segment]
-        after = ExclusiveStartKey["page"] if ExclusiveStartKey else -1
-        todo = [i for i in mine if i > after]
-        if not todo:
-            return {"Items": []}
-        page = todo[0]
-        with self.fs.open_input_stream(self.files[page]) as fh:
-            text = fh.read().decode("utf-8")
-        items = [json.loads(line)["Item"] for line in text.splitlines() if line.strip()]
-        out = {"Items": items}
-        if len(todo) > 1:
-            out["LastEvaluatedKey"] = {"page": page}
-        return out
-
-
 def register(spark) -> None:
     """Make ``format("items_scan")`` available in this session (and the package in its workers)."""
     from tidemark.session import ship_package
@@ -170,18 +106,36 @@ def register(spark) -> None:
     spark.dataSource.register(ItemScanDataSource)
 
 
+#: Options of a scan besides those prefixed ``client.``.
+SCAN_OPTIONS = ("client_factory", "segments")
+
+
+def scan_options(options: dict) -> dict:
+    """Keyword arguments of :func:`read_items_scan` from a table's options; unknown names raise."""
+    client = {k[len("client."):]: v for k, v in options.items() if k.startswith("client.")}
+    rest = {k: v for k, v in options.items() if not k.startswith("client.")}
+    unknown = sorted(set(rest) - set(SCAN_OPTIONS))
+    if unknown:
+        raise ValueError(f"unknown scan options {unknown}; known: {sorted(SCAN_OPTIONS)} and client.*")
+    if "segments" in rest:
+        rest["segments"] = int(rest["segments"])
+    return {**rest, **client}
+
+
 def read_items_scan(spark, table: str, client_factory: str, segments: int | None = None,
-                    stage: bool = True, **client_options):
+                    stage: bool = True, staging_folder: str | None = None, **client_options):
     """Scan a table with ``segments`` parallel tasks; returns ``item``, ``raw`` like read_items_json.
 
     ``segments`` defaults to the session's default parallelism (one segment
     per available core).
 
-    With ``stage`` (default) the scanned lines are checkpointed once to the
-    session's checkpoint folder, so field discovery and landing read one
-    consistent snapshot and the live table is scanned a single time.
+    With ``stage`` (default) the scanned lines are written once to
+    ``staging_folder`` (by default a new one under the session's shared
+    checkpoint folder), so field discovery and landing read one consistent
+    snapshot and the live table is scanned a single time. Who names the folder
+    removes it; ``land_table`` does when the run ends.
     """
-    from tidemark.session import checkpoint_root
+    from tidemark.session import scratch_folder
     from tidemark.sources.items import parse_items
 
     register(spark)
@@ -197,6 +151,7 @@ def read_items_scan(spark, table: str, client_factory: str, segments: int | None
         reader = reader.option(f"client.{k}", str(v))
     lines = reader.load()
     if stage:
-        checkpoint_root(spark)
-        lines = lines.checkpoint(eager=True)
+        folder = staging_folder or scratch_folder(spark, "scan")
+        lines.write.parquet(folder)
+        lines = spark.read.schema(lines.schema).parquet(folder)
     return parse_items(lines)

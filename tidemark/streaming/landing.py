@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import fs
 from tidemark.config import TableConfig
-from tidemark.functions.naming import RUN_TIME_FORMAT
+from tidemark.functions.naming import RUN_TIME_FORMAT, run_folder
 from tidemark.plans.landing import land_table
 from tidemark.sources.items import parse_items
 
@@ -19,34 +20,49 @@ _RUNS_DIR = "tidemark-runs"
 
 
 def epoch_run_time(
-    spark: SparkSession, checkpoint_location: str, epoch_id: int, clock: Callable[[], datetime]
+    spark: SparkSession, checkpoint_location: str, epoch_id: int, clock: Callable[[], datetime],
+    after: datetime | None = None,
 ) -> datetime:
     """The run time of a micro-batch, fixed at its first attempt.
 
     A replayed epoch gets the same run time (so the same run folder); a new
     epoch gets a time at least one second after the previous one, so two
-    epochs never share a folder.
+    epochs never share a folder. ``after`` moves an epoch whose folder another
+    run has finished to a later second. Markers of epochs before the last are
+    removed.
     """
     base = f"{checkpoint_location.rstrip('/')}/{_RUNS_DIR}"
     known = fs.read_marker(spark, f"{base}/{epoch_id}")
-    if known:
+    if known and after is None:
         return datetime.strptime(known, RUN_TIME_FORMAT)
     now = clock().replace(microsecond=0)
     last = fs.read_marker(spark, f"{base}/latest")
-    if last:
-        now = max(now, datetime.strptime(last, RUN_TIME_FORMAT) + timedelta(seconds=1))
+    for earlier in (last and datetime.strptime(last, RUN_TIME_FORMAT), after):
+        if earlier:
+            now = max(now, earlier + timedelta(seconds=1))
     text = now.strftime(RUN_TIME_FORMAT)
     fs.write_marker(spark, f"{base}/{epoch_id}", text)
     fs.write_marker(spark, f"{base}/latest", text)
+    fs.delete(spark, f"{base}/{epoch_id - 2}")
     return now
 
 
+def stream_identity(spark: SparkSession, checkpoint_location: str) -> str:
+    """An id of this checkpoint, made once and kept in it."""
+    path = f"{checkpoint_location.rstrip('/')}/{_RUNS_DIR}/id"
+    known = fs.read_marker(spark, path)
+    if known is None:
+        known = uuid.uuid4().hex
+        fs.write_marker(spark, path, known)
+    return known
+
+
 def land_stream(
     spark: SparkSession,
     config: TableConfig,
     source_path: str,
     checkpoint_location: str,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = 1000,
     available_now: bool = True,
     processing_time: str | None = None,
     clock: Callable[[], datetime] = datetime.now,
@@ -55,30 +71,36 @@ def land_stream(
     """Land export files as they arrive in ``source_path``; returns the running query.
 
     Each micro-batch is flattened, anti-joined with everything landed and
-    written as one run folder by :func:`land_table`. A batch whose run
-    folder is already finished (a replay after the write succeeded) is
-    skipped, so every batch lands once. ``available_now`` processes what is
-    there and stops; otherwise ``processing_time`` sets the trigger interval.
-    ``max_files_per_trigger`` bounds a batch at scale.
+    written as one run folder by :func:`land_table`, marked with this
+    checkpoint and the epoch. A replay that finds its own folder finished is
+    skipped, so every batch lands once; a folder that any other run finished
+    in the same second sends the batch to a later second. ``available_now``
+    processes what is there and stops; otherwise ``processing_time`` sets the
+    trigger interval. ``max_files_per_trigger`` bounds a batch.
     """
+    if max_files_per_trigger < 1:
+        raise ValueError("max_files_per_trigger must be 1 or more")
     reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     items = parse_items(reader.load(source_path))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        # The batch is read by field discovery, the emptiness probe and the
-        # write: keep it once (bounded by the trigger limits; lost blocks are
-        # recomputed from the source files).
+        # Field discovery, the emptiness probe and the write read the batch: keep it once (bounded
+        # by the trigger limit; lost blocks are recomputed from the source files).
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
                 return
+            owner = f"{stream_identity(spark, checkpoint_location)}:{epoch_id}"
             run_at = epoch_run_time(spark, checkpoint_location, epoch_id, clock)
-            try:
-                land_table(spark, config, run_at, source=batch, **land_options)
-            except FileExistsError:
-                pass  # this epoch's run folder was finished by an earlier attempt
+            while True:
+                try:
+                    land_table(spark, config, run_at, source=batch, owner=owner, **land_options)
+                    return
+                except FileExistsError:
+                    if fs.folder_owner(spark, run_folder(config.root, run_at)) == owner:
+                        return  # finished by an earlier attempt of this epoch
+                    run_at = epoch_run_time(spark, checkpoint_location, epoch_id, clock, after=run_at)
         finally:
             batch.unpersist()
 
