@@ -26,42 +26,52 @@ def _uniform(word: str, high: bool) -> str:
     return f"(({part} + 0.5D) / 4294967296D)"
 
 
-def _sample(k: int) -> Column:
+def _sample(k: int, ln_w: str) -> Column:
     """The packed draw of sample ``k``: 32 bits of its value over 31 bits of its identity.
 
     The minimum of the packed draws is the draw of the smallest value, so a
-    plain ``min`` over longs, combined map-side, selects the sample.
+    plain ``min`` over longs, combined map-side, selects the sample. A null
+    weight draws nothing.
     """
     a, b, c = (f"xxhash64(h, {3 * k + i})" for i in range(3))
     r = f"(-ln({_uniform(a, False)} * {_uniform(a, True)}))"
     ln_c = f"ln(-ln({_uniform(b, False)} * {_uniform(b, True)}))"
     beta = _uniform(c, False)
-    t = f"floor(ln_w / {r} + {beta})"
+    t = f"floor({ln_w} / {r} + {beta})"
     value = f"({ln_c} - {r} * ({t} - {beta} + 1D))"
     return F.min(F.expr(
         f"shiftleft(cast(({value} + 128D) * 16777216D as bigint), 31) | (xxhash64({c}, {t}) & 2147483647)"
     ))
 
 
-def signatures(weighted: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``signature`` (array of longs) from rows (keys, ``h``: term hash or null, ``ln_w``).
+def signatures(weighted: DataFrame, keys: list[str], weights: list[str], samples: int = SAMPLES) -> DataFrame:
+    """``keys`` and, for every column of ``weights``, an array of longs ``<column>_signature``.
 
-    Aggregation is map-side combined: one row of ``samples`` longs per key and
-    task. A key whose rows all have a null ``h`` gets a signature of -1.
+    ``weighted`` has rows (keys, ``h``: term hash, logarithms of its weights in
+    several texts, null where the text lacks it): a term's variates are drawn
+    once for all of them. Aggregation is map-side combined, one row per key
+    and task. A text without terms gets a signature of -1.
     """
-    aggs = [_sample(k).alias(f"s{k}") for k in range(samples)]
+    aggs = [_sample(k, w).alias(f"{w}_{k}") for w in weights for k in range(samples)]
     out = weighted.groupBy(*keys).agg(*aggs)
-    return out.select(*keys, F.array(*[F.coalesce(F.col(f"s{k}"), F.lit(-1)) for k in range(samples)]).alias("signature"))
+    return out.select(*keys, *[
+        F.array(*[F.coalesce(F.col(f"{w}_{k}"), F.lit(-1)) for k in range(samples)]).alias(f"{w}_signature") for w in weights])
 
 
-def word_weights(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, h, ln_w): hashed words of a text with the logarithm of their counts; h null if none."""
-    words = F.filter(F.split(F.col(text), SPACE), lambda w: w != "")
+def word_weights(texts: DataFrame, keys: list[str], versions: list[str]) -> DataFrame:
+    """(keys, h, one column per version): hashed words with the logarithms of their counts in each text.
+
+    A row without words in any version keeps one row with null ``h``.
+    """
+    body = F.array(*[F.struct(F.lit(i).alias("v"), F.col(c).alias("body")) for i, c in enumerate(versions)])
+    words = F.filter(F.split(F.col("x.body"), SPACE), lambda w: w != "")
+    counts = [F.sum((F.col("v") == i).cast("long")).alias(f"n{i}") for i in range(len(versions))]
     return (
-        texts.select(*keys, F.explode_outer(words).alias("w"))
-        .select(*keys, F.when(F.col("w").isNotNull(), F.xxhash64("w")).alias("h"))
-        .groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("n"))
-        .select(*keys, "h", F.log(F.col("n").cast("double")).alias("ln_w"))
+        texts.select(*keys, F.explode(body).alias("x"))
+        .select(*keys, F.col("x.v").alias("v"), F.explode_outer(words).alias("w"))
+        .select(*keys, F.when(F.col("w").isNotNull(), F.col("v")).alias("v"), F.xxhash64("w").alias("h"))
+        .groupBy(*keys, "h").agg(*counts)
+        .select(*keys, "h", *[F.when(F.col(f"n{i}") > 0, F.log(F.col(f"n{i}").cast("double"))).alias(c) for i, c in enumerate(versions)])
     )
 
 
@@ -142,21 +152,16 @@ def fingerprint_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
                       F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), k))
     rows = rows.select("g", "pos", "extra", "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     meta = rows.where("extra = 0").select("g", "pos", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
-    versions = F.array(F.struct(F.lit(0).alias("v"), F.col("text").alias("body")),
-                       F.struct(F.lit(1).alias("v"), F.col("edited").alias("body")))
-    bodies = rows.select("g", "pos", F.explode(versions).alias("x")).select("g", "pos", "x.v", "x.body")
-    keys = ["g", "pos", "v"]
-    signed = signatures(word_weights(bodies, keys, "body"), keys, samples)
-    in_order = Window.partitionBy("g", "v").orderBy("pos")
-    of_doc = Window.partitionBy("g", "pos").orderBy("v")
-    both = signed.select("*", F.lead("signature").over(in_order).alias("next_signature")) \
-        .select("*", F.lead("signature").over(of_doc).alias("edited_signature")).where("v = 0")
+    keys = ["g", "pos"]
+    signed = signatures(word_weights(rows, keys, ["text", "edited"]), keys, ["text", "edited"], samples)
+    in_order = Window.partitionBy("g").orderBy("pos")
+    both = signed.select("*", F.lead("text_signature").over(in_order).alias("next_signature"))
     return meta.join(both, ["g", "pos"]).select(
         "doc_id", "n_chars", "edited_sha256",
-        fingerprint_text(F.col("signature")).alias("fingerprint"),
+        fingerprint_text(F.col("text_signature")).alias("fingerprint"),
         fingerprint_text(F.col("edited_signature")).alias("edited_fingerprint"),
-        likeness(F.col("signature"), F.col("edited_signature"), samples).alias("near_edited"),
-        likeness(F.col("signature"), F.col("next_signature"), samples).alias("near_next"))
+        likeness(F.col("text_signature"), F.col("edited_signature"), samples).alias("near_edited"),
+        likeness(F.col("text_signature"), F.col("next_signature"), samples).alias("near_next"))
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
