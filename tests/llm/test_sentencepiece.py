@@ -25,8 +25,9 @@ def test_query(spark, library):
 @given(st.lists(st.text(alphabet=st.sampled_from("ab th é 𝒳\n\t.  ▁<s>0x0A"), max_size=40), max_size=5))
 def test_parity_on_odd_texts(texts):
     codec = _CODEC.setdefault("c", sp.Codec(sp.default_model()))  # raises where the libraries differ
-    for t, ids in zip(texts, codec.encode(texts)):
+    for t, ids, same in zip(texts, *codec.encode_back(texts)):
         assert ids.tolist() == codec.original.encode(t)
+        assert same == (codec.decode([ids.tolist()])[0] == t)
 
 
 _CODEC = {}

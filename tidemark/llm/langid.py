@@ -16,12 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import hash_sample, staged, table
-from tidemark.session import ship_package
+from tidemark.llm.tables import hash_sample, ready_workers, staged, table
 
 UNKNOWN = "und"
 _CELLS = 1 << 15
@@ -76,22 +74,20 @@ class TextModel:
 
 def train_text_model(labelled: DataFrame, text: str, lang: str, smoothing: float = 0.1) -> TextModel:
     """Model of the rows of ``labelled`` (a bounded sample) with a language and a text."""
-    ship_package(labelled.sparkSession)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for name, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = total.setdefault(name, np.zeros(_CELLS, np.int64))
-                for piece in _pieces(t):
-                    c = _cells(piece)
-                    own += np.bincount(c[c >= 0], minlength=_CELLS)
-        for name, own in total.items():
-            at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at), pa.array(own[at])], ["lang", "cell", "n"])
-
-    rows = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    cells = rows.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
+    ready_workers(labelled.sparkSession)
+
+    @F.pandas_udf("struct<cell:array<int>,n:array<int>>")
+    def counted(texts: pd.Series) -> pd.DataFrame:
+        cells, n = [], []
+        for t in texts:
+            own = sum((np.bincount(c[c >= 0], minlength=_CELLS) for c in map(_cells, _pieces(t))), np.zeros(_CELLS, np.int64))
+            cells.append(np.flatnonzero(own).astype(np.int32))
+            n.append(own[cells[-1]].astype(np.int32))
+        return pd.DataFrame({"cell": cells, "n": n})
+
+    rows = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), counted(F.col(text)).alias("c"))
+    rows = rows.select("lang", F.explode(F.arrays_zip("c.cell", "c.n")).alias("c"))
+    cells = rows.groupBy("lang", "c.cell").agg(F.sum("c.n").alias("n")).toPandas()
     languages = tuple(sorted(cells["lang"].unique()))
     counts = np.full((max(1, len(languages)), _CELLS), smoothing)
     if not languages:
@@ -109,10 +105,24 @@ def labelled_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, max_languages: int
     return out.select("lang", "text")
 
 
-def _softmax(logs: Column) -> Column:
-    top = F.array_max(logs)
-    weights = F.transform(logs, lambda x: F.exp(x - top))
-    return F.transform(weights, lambda w: w / F.aggregate(weights, F.lit(0.0), lambda a, x: a + x))
+def _soft(logs: np.ndarray) -> np.ndarray:
+    """Rows of log-weights to rows of probabilities."""
+    w = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return w / w.sum(axis=1, keepdims=True)
+
+
+def _text_evidence(model: TextModel, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log-likelihoods, posteriors by the text alone, trigrams); no posterior without trigrams."""
+    sums = model.sums(texts)
+    n = sums[:, -1]
+    logs = sums[:, :-1] * np.minimum(1.0, TRIGRAM_CAP / np.maximum(n, 1.0))[:, None]
+    flat = np.zeros(logs.shape[1])
+    flat[-1] = math.log(UNKNOWN_PRIOR)
+    return logs, _soft(logs + flat) * (n > 0)[:, None], n
+
+
+def _shrunk(mass: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    return (mass + SMOOTHING * prior) / (mass.sum(axis=1, keepdims=True) + SMOOTHING)
 
 
 def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column, suffix: Column,
@@ -128,87 +138,70 @@ def identify(rows: DataFrame, model: TextModel, text: Column, declared: Column,
     are replaced.
     """
     spark = rows.sparkSession
-    ship_package(spark)
-    n_lang = len(model.languages)
+    ready_workers(spark)
+    size = len(model.languages) + 1
+    shared = spark.sparkContext.broadcast(model)
+    new = ("text_lang", "language", "confidence", "n_trigrams")
+    kept = [c for c in rows.columns if c not in new]
 
     @F.pandas_udf("array<double>")
-    def sums(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(model.sums(list(texts))))
-
-    names = [*model.languages, UNKNOWN]
-    scale = F.when(F.col("__n") > 0, F.least(F.lit(1.0), F.lit(float(TRIGRAM_CAP)) / F.col("__n"))).otherwise(0.0)
-    base = rows.select("*", sums(text).alias("__sums"), declared.alias("__declared"),
-                       F.coalesce(host, F.lit("")).alias("__host"), F.coalesce(domain, F.lit("")).alias("__domain"),
-                       suffix.alias("__suffix"))
-    base = base.withColumn("__n", F.element_at("__sums", n_lang + 2))
-    flat = [0.0] * n_lang + [math.log(UNKNOWN_PRIOR)]
-    base = base.withColumn("__text", F.transform(
-        F.slice("__sums", 1, n_lang + 1),
-        lambda s, i: s * scale + F.get(F.array(*[F.lit(x) for x in flat]), i)))
-    base = base.withColumn("__own", F.when(F.col("__n") > 0, _softmax(F.col("__text"))))
+    def by_text(texts: pd.Series) -> pd.Series:
+        return pd.Series(list(_text_evidence(shared.value, texts.tolist())[1]))
+
+    base = rows.select(*kept, text.alias("__text"), declared.alias("__declared"), suffix.alias("__suffix"),
+                       F.coalesce(host, F.lit("")).alias("__host"), F.coalesce(domain, F.lit("")).alias("__domain"))
 
     # grouped aggregation of text posteriors, combined map-side
-    mass = [F.coalesce(F.get("__own", F.lit(i)), F.lit(0.0)).alias(f"m{i}") for i in range(n_lang + 1)]
-    sum_of = [F.sum(f"m{i}").alias(f"m{i}") for i in range(n_lang + 1)]
-    light = base.select("__host", "__domain", "__declared", "__suffix", *mass)
-    counts = staged(light.groupBy("__host", "__domain", "__declared", "__suffix").agg(*sum_of), "langid")
+    keys = ["__host", "__domain", "__declared", "__suffix"]
+    own = base.select(*keys, by_text("__text").alias("__own"))
+    names = [f"m{i}" for i in range(size)]
+    sum_of = [F.sum(m).alias(m) for m in names]
+    own = own.select(*keys, *[F.get("__own", F.lit(i)).alias(m) for i, m in enumerate(names)])
+    counts = staged(own.groupBy(*keys).agg(*sum_of), "langid")
 
     def grouped(*by):
         return counts.groupBy(*by).agg(*sum_of)
 
-    total = [x or 0.0 for x in grouped().first()]
-    everything = sum(total) or 1.0
-    corpus = [(t + SMOOTHING * (UNKNOWN_PRIOR if i == n_lang else 1 / n_lang)) / (everything + SMOOTHING * (1 + UNKNOWN_PRIOR))
-              for i, t in enumerate(total)]
+    total = np.array([x or 0.0 for x in grouped().first()])
+    everything = float(total.sum()) or 1.0
+    even = np.array([1 / (size - 1)] * (size - 1) + [UNKNOWN_PRIOR])
+    corpus = (total + SMOOTHING * even) / (everything + SMOOTHING * even.sum())
 
     # likelihood of a value under each language, shrunk to the value's share of the corpus
     def likelihood(column):
-        own = grouped(column).where(F.col(column).isNotNull())
-        share = (sum((F.col(f"m{i}") for i in range(n_lang + 1)), F.lit(0.0)) + 1.0) / (everything + 1.0)
-        return staged(own.select(column, F.array(*[
-            F.log((F.col(f"m{i}") + SMOOTHING * share) / (total[i] + SMOOTHING)) for i in range(n_lang + 1)]).alias(f"{column}_log")), "langid")
-
-    hosts = staged(grouped("__host", "__domain").select(
-        "__host", "__domain", F.array(*[f"m{i}" for i in range(n_lang + 1)]).alias("__host_mass")), "langid")
-    domains = staged(grouped("__domain").select(
-        "__domain", F.array(*[f"m{i}" for i in range(n_lang + 1)]).alias("__domain_mass")), "langid")
-    hosts = staged(hosts.join(domains, "__domain"), "langid")
-
+        found = grouped(column).where(F.col(column).isNotNull())
+        share = (sum((F.col(m) for m in names), F.lit(0.0)) + 1.0) / (everything + 1.0)
+        return staged(found.select(column, F.array(*[
+            F.log((F.col(m) + SMOOTHING * share) / (float(total[i]) + SMOOTHING)) for i, m in enumerate(names)]).alias(f"{column}_log")), "langid")
+
+    hosts = grouped("__host", "__domain").select("__host", "__domain", F.array(*names).alias("__host_mass"))
+    domains = grouped("__domain").select("__domain", F.array(*names).alias("__domain_mass"))
+    hosts = staged(staged(hosts, "langid").join(staged(domains, "langid"), "__domain"), "langid")
     joined = base.join(hosts, ["__host", "__domain"], "left")
     for column in ("__declared", "__suffix"):
         joined = joined.join(likelihood(column), column, "left")
 
-    def less_own(c):
-        return F.zip_with(c, F.coalesce("__own", F.array(*[F.lit(0.0)] * (n_lang + 1))), lambda a, o: F.greatest(a - o, F.lit(0.0)))
-
-    def shrunk(c, prior):
-        all_of = F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(c, prior, lambda m, p: (m + SMOOTHING * p) / (all_of + SMOOTHING))
-
-    corpus_prior = F.array(*[F.lit(x) for x in corpus])
-    prior = shrunk(less_own(F.col("__host_mass")), shrunk(less_own(F.col("__domain_mass")), corpus_prior))
-    nothing = F.array(*[F.lit(0.0)] * (n_lang + 1))
-    add = [F.coalesce(F.when(F.col("__host") != "", F.transform(prior, lambda p: F.log(p))),
-                      F.transform(corpus_prior, lambda p: F.log(p))),
-           F.coalesce("__declared_log", nothing), F.coalesce("__suffix_log", nothing)]
-    logs = F.transform(F.slice("__sums", 1, n_lang + 1), lambda s: s * scale)
-    for extra in add:
-        logs = F.zip_with(logs, extra, lambda a, b: a + b)
-    joined = joined.withColumn("__posterior", _softmax(logs))
-    name = F.array(*[F.lit(x) for x in names])
-
-    def best(c):
-        return F.get(name, (F.array_position(c, F.array_max(c)) - 1).cast("int"))
-
-    found = F.col("__n") > 0
-    out = joined.withColumns({
-        "text_lang": F.when(found, best(F.col("__own"))).otherwise(UNKNOWN),
-        "language": F.when(found, best(F.col("__posterior"))).otherwise(UNKNOWN),
-        "confidence": F.when(found, F.array_max("__posterior")).otherwise(F.lit(0.0)),
-        "n_trigrams": F.col("__n").cast("long"),
-    })
-    new = ("text_lang", "language", "confidence", "n_trigrams")
-    return out.select(*[c for c in rows.columns if c not in new], *new)
+    def arrays(column: pd.Series) -> np.ndarray:
+        return np.stack([np.zeros(size) if x is None else np.asarray(x, float) for x in column]) if len(column) else np.zeros((0, size))
+
+    @F.pandas_udf("struct<text_lang:string,language:string,confidence:double,n_trigrams:long>")
+    def fuse(texts: pd.Series, host: pd.Series, host_mass: pd.Series, domain_mass: pd.Series,
+             declared_log: pd.Series, suffix_log: pd.Series) -> pd.DataFrame:
+        logs, own, n = _text_evidence(shared.value, texts.tolist())
+        of_domain = _shrunk(np.maximum(arrays(domain_mass) - own, 0.0), corpus)
+        of_host = _shrunk(np.maximum(arrays(host_mass) - own, 0.0), of_domain)
+        prior = np.where((host != "").to_numpy()[:, None], of_host, corpus)
+        posterior = _soft(logs + np.log(prior) + arrays(declared_log) + arrays(suffix_log))
+        known = np.array([*shared.value.languages, UNKNOWN], object)
+        some = n > 0
+        return pd.DataFrame({
+            "text_lang": np.where(some, known[own.argmax(axis=1)], UNKNOWN),
+            "language": np.where(some, known[posterior.argmax(axis=1)], UNKNOWN),
+            "confidence": np.where(some, posterior.max(axis=1), 0.0),
+            "n_trigrams": n.astype(np.int64)})
+
+    out = joined.select(*kept, fuse("__text", "__host", "__host_mass", "__domain_mass", "__declared_log", "__suffix_log").alias("__found"))
+    return out.select(*kept, *[F.col(f"__found.{c}").alias(c) for c in new])
 
 
 # ---------------------------------------------------------------- pages

@@ -18,8 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import staged, table
-from tidemark.session import ship_package
+from tidemark.llm.tables import ready_workers, staged, table
 
 TOP = 5
 #: Distinct vectors of one shard, neighbours per node (twice as many at the bottom), beam widths.
@@ -218,7 +217,7 @@ def nearest(rows: DataFrame, queries: Column, top: int = TOP, shard_rows: int =
     row; an id with several vectors asks with each and gets the best of all. Other input columns are ignored.
     """
     spark = rows.sparkSession
-    ship_package(spark)
+    ready_workers(spark)
     picked = F.coalesce(queries, F.lit(False))
     sound = rows.where(usable(F.col(vector)) & F.col(vec_id).isNotNull()).select(
         F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), picked.alias("is_query"))

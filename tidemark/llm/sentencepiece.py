@@ -22,10 +22,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import table
-from tidemark.session import ship_package
+from tidemark.llm.tables import ready_workers, table
 
 MARK = "▁"
+_MARK_BYTES = MARK.encode()
 # fixed values of the model format: piece types, model kinds
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -163,9 +163,9 @@ class ParityError(ValueError):
 class Codec:
     """Encodes and decodes with one model file, keeping the ids of chunks met before."""
 
-    def __init__(self, path: str, check: bool = True, cached_chunks: int = 100_000):
+    def __init__(self, path: str, check: bool = True, cached_chunks: int = 40_000):
         self.model = read_model(path)
-        self.tokenizer = build_tokenizer(self.model)
+        self._tokenizer = None
         self.original = None
         if check:
             import sentencepiece
@@ -178,54 +178,105 @@ class Codec:
         self.by_chunk = m.escape_spaces and m.dummy_prefix and not m.charsmap and not m.remove_extra_spaces and \
             not any(MARK in p.lstrip(MARK) for p, _, k in m.pieces if k != CONTROL)
         self.begins = np.array([p.startswith(MARK) for p, _, _ in m.pieces])
-
-    def _direct(self, texts: list[str]) -> list[bytes]:
-        got = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.lossy: set[str] = set()  # chunks that decoding does not give back
+        self.words = build_tokenizer(m)
+        if not self.by_chunk:
+            self._tokenizer = self.words
+        else:  # single markers need no pattern
+            from tokenizers import pre_tokenizers
+
+            self.words.pre_tokenizer = pre_tokenizers.Metaspace(replacement=MARK, prepend_scheme="never", split=True)
+
+    @property
+    def tokenizer(self):
+        """The tokenizer of any text; built only when a text needs more than its chunks."""
+        if self._tokenizer is None:
+            self._tokenizer = build_tokenizer(self.model)
+        return self._tokenizer
+
+    def _direct(self, texts: list[str], tokenizer=None) -> list[bytes]:
+        encoded = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
+        got = [np.array(e.ids, np.int32) for e in encoded]
         if self.original is not None:
             for t, a, b in zip(texts, got, self.original.encode(texts, num_threads=1)):
                 if a.tolist() != b:
                     raise ParityError(f"ids differ for {t!r}: {a.tolist()} and {b}")
         return [g.tobytes() for g in got]
 
-    def encode_words(self, words: list[str], together: int = 500) -> list[bytes]:
-        """Ids (int32 bytes) of chunks without spaces, many to a call; each begins with its only marked piece."""
+    def encode_words(self, words: list[str], back: bool = False, together: int = 500) -> list[bytes]:
+        """Ids (int32 bytes) of chunks without spaces, many to a call; each begins with its only marked piece.
+
+        With ``back`` they are decoded again, and chunks that do not come back are noted as lossy.
+        """
         out: list[bytes] = [b""] * len(words)
         plain = [i for i, w in enumerate(words) if self.by_chunk and w and MARK not in w]
         odd = sorted(set(range(len(words))) - set(plain))
         for i, ids in zip(odd, self._direct([words[i] for i in odd]) if odd else []):
             out[i] = ids
         joined = [" ".join(words[i] for i in plain[at:at + together]) for at in range(0, len(plain), together)]
-        raw = b"".join(self._direct(joined)) if joined else b""
+        parts = self._direct(joined, self.words) if joined else []
+        raw = b"".join(parts)
         first = (np.flatnonzero(self.begins[np.frombuffer(raw, np.int32)]) * 4).tolist()
         if len(first) != len(plain):
             raise ParityError("a chunk does not begin with one marked piece")
         for i, lo, hi in zip(plain, first, [*first[1:], len(raw)]):
             out[i] = raw[lo:hi]
+        if back:
+            again = self.decode([np.frombuffer(p, np.int32).tolist() for p in parts])
+            doubtful = [i for k, (a, b) in enumerate(zip(joined, again)) if a != b for i in plain[k * together:(k + 1) * together]] + odd
+            again = self.decode([np.frombuffer(out[i], np.int32).tolist() for i in doubtful])
+            self.lossy.update(words[i] for i, b in zip(doubtful, again) if b != words[i])
         return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of every text; a null text has none."""
-        out: list[bytes | None] = [b""] * len(texts)
+        return self.encode_back(texts)[0]
+
+    def encode_raw(self, words: list[bytes], together: int = 500) -> list[bytes]:
+        """:meth:`encode_words` of UTF-8 words, without a text object for each."""
+        out: list[bytes] = []
+        for at in range(0, len(words), together):
+            part = words[at:at + together]
+            joined = b" ".join(part)
+            if not self.by_chunk or _MARK_BYTES in joined or b"" in part:
+                out += self.encode_words([w.decode("utf-8", "surrogatepass") for w in part])
+                continue
+            raw = self._direct([joined.decode("utf-8", "surrogatepass")], self.words)[0]
+            first = (np.flatnonzero(self.begins[np.frombuffer(raw, np.int32)]) * 4).tolist()
+            if len(first) != len(part):
+                raise ParityError("a chunk does not begin with one marked piece")
+            out += [raw[lo:hi] for lo, hi in zip(first, [*first[1:], len(raw)])]
+        return out
+
+    def encode_back(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[bool]]:
+        """(ids, whether decoding gives the text back). Chunks decode apart, since each begins with a marked piece."""
+        out: list[bytes] = [b""] * len(texts)
+        same = [True] * len(texts)
         chunked, direct = [], []
         for i, t in enumerate(texts):
             if not t:
                 continue
             odd = not self.by_chunk or "  " in t or MARK in t or t[0] == " " or t[-1] == " "
             (direct if odd else chunked).append(i)
-        for i, ids in zip(direct, self._direct([texts[i] for i in direct]) if direct else []):
-            out[i] = ids
+        if direct:
+            ids = self._direct([texts[i] for i in direct])
+            back = self.decode([np.frombuffer(x, np.int32).tolist() for x in ids])
+            for i, x, b in zip(direct, ids, back):
+                out[i], same[i] = x, b == texts[i]
         words = {i: texts[i].split(" ") for i in chunked}
         used = set().union(*words.values())
         if len(self.known) + len(used) > self.cached_chunks:  # what is in use stays
             self.known = {w: self.known[w] for w in used if w in self.known}
+            self.lossy &= used
         new = [w for w in used if w not in self.known]
-        self.known.update(zip(new, self.encode_words(new)))
+        self.known.update(zip(new, self.encode_words(new, back=True)))
         for i in chunked:
             out[i] = b"".join(map(self.known.__getitem__, words[i]))
-        return [np.frombuffer(x, np.int32) for x in out]
+            same[i] = not self.lossy or self.lossy.isdisjoint(words[i])
+        return [np.frombuffer(x, np.int32) for x in out], same
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return self.words.decode_batch(ids, skip_special_tokens=False)
 
 
 @lru_cache(maxsize=2)
@@ -235,7 +286,7 @@ def _codec(path: str, check: bool, threads: int) -> Codec:
     return Codec(path, check)
 
 
-def _texts_at_once(texts: list[str | None], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _texts_at_once(texts: list[str | None], most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of texts of bounded total length (one text at least)."""
     lo = size = 0
     for i, t in enumerate(texts):
@@ -258,7 +309,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, check:
     is set; a difference fails the job. Rows stay where they are (no shuffle)
     and input columns of the two names are replaced.
     """
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     path = path or default_model()
     kept = [c for c in docs.columns if c not in ("ids", "round_trip")]
     kind = "struct<ids:array<int>,round_trip:boolean>"
@@ -269,9 +320,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, check:
         for texts in batches:
             values = texts.tolist()
             for lo, hi in _texts_at_once(values):  # small results, so that neither side holds many ids at once
-                part = values[lo:hi]
-                ids = codec.encode(part)
-                ok = [a == (b or "") for a, b in zip(codec.decode([x.tolist() for x in ids]), part)]
+                ids, ok = codec.encode_back(values[lo:hi])
                 yield pd.DataFrame({"ids": ids, "round_trip": ok})
 
     return docs.select(*kept, run(F.col(text)).alias("__coded")).select(*kept, "__coded.ids", "__coded.round_trip")
@@ -279,7 +328,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, check:
 
 def decode(docs: DataFrame, ids: str = "ids", path: str | None = None, threads: int = 2) -> DataFrame:
     """``docs`` plus ``decoded``: the text of an id array; null ids give null. Replaces such a column."""
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     path = path or default_model()
 
     @F.pandas_udf("string")

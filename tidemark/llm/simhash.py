@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.tables import staged, table, text_or_empty
-from tidemark.session import ship_package
+from tidemark.llm.tables import ready_workers, staged, table, text_or_empty
 
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
@@ -56,7 +55,7 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``docs`` plus ``fp``: the fingerprint as a signed long."""
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
 
     @F.pandas_udf("long")
     def of_texts(texts: pd.Series) -> pd.Series:
@@ -196,7 +195,7 @@ def link_fingerprints(codes: DataFrame, distance: int = MAX_DISTANCE, group_rows
     are divided by the blocks of the bits they do not share, again and again,
     so no task holds an unbounded group and none is cut short.
     """
-    ship_package(codes.sparkSession)
+    ready_workers(codes.sparkSession)
 
     def divided(rows: DataFrame, fixed: int) -> list[tuple[int, DataFrame]]:
         free = [b for b in range(64) if not fixed >> b & 1]

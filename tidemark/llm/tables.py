@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_folder
+from tidemark.session import scratch_folder, ship_package
 
 #: Words are maximal runs of characters other than these six white-space characters.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -15,6 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of an Arrow batch between Spark and Python workers; rows here hold whole texts.
+ARROW_ROWS = 1000
+_ARROW_CONF, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def ready_workers(spark: SparkSession) -> None:
+    """Ship the package to Python workers, and keep Arrow batches of texts small.
+
+    Spark's default of 10,000 rows a batch is lowered to ``ARROW_ROWS`` for the
+    session; a number that the session sets itself stays.
+    """
+    ship_package(spark)
+    if spark.conf.get(_ARROW_CONF, _ARROW_DEFAULT) == _ARROW_DEFAULT:
+        spark.conf.set(_ARROW_CONF, str(ARROW_ROWS))
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back.
 
