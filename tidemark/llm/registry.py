@@ -22,4 +22,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,
+    "op8_suffix_dedup": substrings.ORACLE,
 }

@@ -30,8 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import hashing
-from tidemark.llm.tables import staged, table, text_or_empty
-from tidemark.session import ship_package
+from tidemark.llm.tables import ready_workers, staged, table, text_or_empty
 
 LENGTH = 100
 GRAM = 32
@@ -39,6 +38,7 @@ GROUP_SEGMENTS = 2000
 _POSITION_BITS = 21
 _BUFFER = 1 << 20  # bytes hashed at once; below 2 ** _POSITION_BITS
 _RANKED = 1 << 21  # bytes ranked at once
+_REDUCED = 1 << 25  # bytes of texts whose repetitions are judged together before the shuffle
 _KEYS = ["g", "s", "d", "row", "at"]
 _MARK = -1
 
@@ -148,11 +148,21 @@ def _class_rows(kept, marks) -> pa.RecordBatch:
 
 
 def _anchor_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Runs of all texts; repetitions within about ``_REDUCED`` bytes of texts are judged before the shuffle."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
     for batch in batches:
         d = batch.column(0).to_numpy(zero_copy_only=False)
         row = batch.column(1).to_numpy(zero_copy_only=False)
-        doc, at, count, g, s = segments([t.encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()], length)
-        yield _class_rows(*_keep_first(g, s, d[doc], row[doc], at, at + count + length - 1))
+        texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()]
+        doc, at, count, g, s = segments(texts, length)
+        held.append((g, s, d[doc], row[doc], at, at + count + length - 1))
+        size += sum(map(len, texts))
+        if size >= _REDUCED:
+            yield _class_rows(*_keep_first(*(np.concatenate(x) for x in zip(*held))))
+            held, size = [], 0
+    if held:
+        yield _class_rows(*_keep_first(*(np.concatenate(x) for x in zip(*held))))
 
 
 # ---------------------------------------------------------------- equal segments
@@ -336,7 +346,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     if length <= GRAM + 1:
         raise ValueError(f"length must exceed {GRAM + 1} bytes")
-    ship_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     kept = [c for c in docs.columns if c != "spans"]
     place = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
     keyed = docs.select(*kept, place.alias("__d"), F.xxhash64(place, text_or_empty(text)).alias("__row"),
@@ -398,3 +408,21 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return found.select("doc_id", digest("text", "spans").alias("x")).select("doc_id", "x.*")
+
+
+#: DuckDB SQL of the query over ``documents``: every string by definition, then islands of repeated ones.
+ORACLE = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+starts AS (SELECT doc_id, unnest(r) AS p, unnest(list_transform(r, lambda i: b[i + 1 : i + 100])) AS t
+  FROM (SELECT *, range(0, greatest(octet_length(b) - 99, 0)) AS r FROM d)),
+ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY t ORDER BY doc_id, p) AS k FROM starts),
+hits AS (SELECT doc_id, p, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 100, true) AS apart FROM ranked WHERE k > 1),
+islands AS (SELECT *, sum(apart::INTEGER) OVER (PARTITION BY doc_id ORDER BY p) AS island FROM hits),
+spans AS (SELECT doc_id, min(p) AS s, max(p) + 100 AS e FROM islands GROUP BY doc_id, island),
+cuts AS (SELECT doc_id, s, e FROM spans UNION ALL SELECT doc_id, octet_length(b), octet_length(b) FROM d),
+pieces AS (SELECT c.doc_id, s, e, hex(b[coalesce(lag(e) OVER (PARTITION BY c.doc_id ORDER BY s, e), 0) + 1 : s]) AS piece
+  FROM cuts c JOIN d USING (doc_id))
+SELECT doc_id, max(e) AS n_bytes, sum(e - s)::BIGINT AS n_removed, count(*) - 1 AS n_spans,
+  sha256(unhex(string_agg(piece, '' ORDER BY s, e))) AS kept_sha256
+FROM pieces GROUP BY doc_id
+"""
