@@ -42,13 +42,13 @@ def main():
     items = flatten_items(read_items_json(spark, export))
     landed = read_landed(spark, root, keys=["event_id"])
     sections = [
-        ("Anti-join, landed keys proven small: broadcast (anti_join_single)",
+        ("Anti-join, the join left to Spark (anti_join_single)",
          QUERIES["anti_join_single"](spark, sf)),
-        ("Anti-join over landed history, shuffle path: landed keys pre-aggregated, one exchange per side",
+        ("Anti-join over landed history, shuffle path: copies of keys reduced in salted parts, then one exchange per side",
          new_records(items, landed, "event_id", strategy="shuffle")),
         ("Flatten export lines: one parse projection and one decode projection over the text scan",
          items),
-        ("Key filter as a semi join; the literal key part is pushed into the scan (filter_keys)",
+        ("Key filter as a semi join (filter_keys)",
          QUERIES["filter_keys"](spark, sf)),
         ("Field discovery: partial aggregation before a schema-wide shuffle (discover_fields)",
          QUERIES["discover_fields"](spark, sf)),
