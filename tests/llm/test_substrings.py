@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -84,6 +85,29 @@ def test_odd_rows(spark):
     assert substrings.repeated_spans(empty).count() == 0
 
 
+@pytest.mark.parametrize("limit", [2000, 2])
+def test_equal_rows_keep_what_starts_first(spark, limit):
+    """A text stored more than once under one id or without an id is one document."""
+    rng = np.random.default_rng(8)
+    word = lambda k: "".join(chr(97 + x) for x in rng.integers(0, 26, k))
+    a, b, c, shared = word(150), word(400), word(700), word(160)
+    rows = [(5, a)] * 2 + [(None, b)] * 3 + [(7, c + shared + c[:200])] * 2 + [(9, word(40) + shared + word(60))] * 2 + \
+        [(9, word(90) + shared[20:] + a)] + [(11, b)] + [(d, word(30) + shared[d:] + word(30)) for d in range(20, 26)] * 2
+    assert _removed(spark, rows, group_segments=limit) == _spans(rows)
+    assert [x for _, t, x in _removed(spark, rows[:5], group_segments=limit) if t in (a, b)] == [[]] * 5
+
+
+def test_equal_rows_in_any_batches():
+    """Copies of a class's first are dropped, later places marked, however the sorted rows are cut into batches."""
+    rows = [(1, 1, 0, 5, 0, 120)] * 3 + [(1, 1, 0, 5, 300, 420)] * 2 + [(1, 1, 3, 6, 0, 120)] + [(1, 2, 0, 5, 150, 260)] * 2
+    for size in range(1, len(rows) + 1):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i:i + size])], ["g", "s", "d", "row", "at", "end"])
+                   for i in range(0, len(rows), size)]
+        out = [tuple(r.values()) for b in substrings._judge_classes(iter(batches), True) for r in b.to_pylist()]
+        assert {r[3:] for r in out if r[0] == 0} == {(5, 300, 420), (6, 0, 120)}
+        assert sorted(r[1:] for r in out if r[0] == 1) == [(1, 0, 5, 0, 120), (1, 0, 5, 150, 260)]
+
+
 def test_long_texts_in_pieces(monkeypatch):
     """Runs cut by buffers of any size cover all starts once, with anchors inside all their strings."""
     rng = np.random.default_rng(5)

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,13 +126,19 @@ def _merge_rows(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
 
 
 def _keep_first(g, s, d, row, at, end):
-    """Rows ordered by place -> (kept rows, marks): of equal (g, s) all but the first become marks."""
+    """Rows ordered by place -> (kept rows, marks): of equal (g, s) all but the first become marks.
+
+    Rows at the first's own place come from equal documents: they are dropped, not marked.
+    """
     place = np.lexsort((at, row, d))
     g, s, d, row, at, end = (x[place] for x in (g, s, d, row, at, end))
     order = np.lexsort((s, g))
     repeated = np.zeros(len(g), bool)
     repeated[order[1:]] = (g[order[1:]] == g[order[:-1]]) & (s[order[1:]] == s[order[:-1]])
-    marks = _merge_rows(row[repeated], at[repeated], end[repeated])
+    first = np.empty(len(g), np.int64)
+    first[order] = order[np.maximum.accumulate(np.where(repeated[order], 0, np.arange(len(g))))]
+    later = repeated & ((d != d[first]) | (row != row[first]) | (at != at[first]))
+    marks = _merge_rows(row[later], at[later], end[later])
     return tuple(x[~repeated] for x in (g, s, d, row, at, end)), marks
 
 
@@ -178,8 +185,9 @@ def _out(kind: int, g, d, row, at, end) -> pa.RecordBatch:
 def _judge_classes(batches: Iterator[pa.RecordBatch], compare: bool) -> Iterator[pa.RecordBatch]:
     """Sorted by (g, s, place): kind 0 marks for all but the first of a class; kind 1: firsts of anchors with several classes.
 
-    Only the last class's first row is held between batches, so a group of
-    any size streams through.
+    Rows at the place of their class's first come from equal documents and are
+    dropped. Only the last class's first row is held between batches, so a
+    group of any size streams through.
     """
     held = None  # (g, s, d, row, at, end) of the last first, and whether it was given out
     given = True
@@ -199,8 +207,11 @@ def _judge_classes(batches: Iterator[pa.RecordBatch], compare: bool) -> Iterator
         same_g, same = g == before_g, (g == before_g) & (s == before_s)
         if held is None:
             same_g[0] = same[0] = False
-        if same.any():
-            marks = _merge_rows(row[same], at[same], end[same])
+        lead = np.maximum.accumulate(np.where(same, 0, np.arange(1, len(g) + 1)))  # 0: the held row leads the class
+        of_first = [np.r_[held[i] if held else 0, c][lead] for i, c in ((2, d), (3, row), (4, at))]
+        later = same & ((d != of_first[0]) | (row != of_first[1]) | (at != of_first[2]))
+        if later.any():
+            marks = _merge_rows(row[later], at[later], end[later])
             yield _out(0, np.zeros(len(marks[0])), np.zeros(len(marks[0])), *marks)
         first = np.flatnonzero(~same)
         if compare and len(first):
@@ -266,6 +277,7 @@ def repeated_starts(data: np.ndarray, stop: np.ndarray, length: int) -> np.ndarr
 def _rank_group(g, d, row, at, raw: list[bytes], length: int) -> pa.RecordBatch:
     """Marks of the repeated strings among different segments, by suffix order."""
     place = np.lexsort((at, row, d))
+    place = place[np.r_[True, (row[place[1:]] != row[place[:-1]]) | (at[place[1:]] != at[place[:-1]])]]  # equal documents once
     raw = [raw[i] for i in place]
     row, at = row[place], at[place]
     size = np.array([len(r) for r in raw])
@@ -324,8 +336,12 @@ def _string_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[
 # ---------------------------------------------------------------- operator
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, asked: list of (g, d, row, at, end)) -> (g, d, row, at, raw)."""
+    """(text, asked: list of (g, d, row, at, end)) -> (g, d, row, at, raw), once for a task's equal documents."""
+    seen: set[int] = set()
     for batch in batches:
+        keys = pa.compute.list_element(batch.column(1), 0).field("row").to_pylist()
+        new = [i for i, k in enumerate(keys) if not (k in seen or seen.add(k))]
+        batch = batch.take(pa.array(new, pa.int64()))
         texts, asked = batch.column(0).to_pylist(), batch.column(1)
         fields = [asked.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(5)]
         n = asked.value_lengths().to_numpy(zero_copy_only=False)
