@@ -30,6 +30,28 @@ def test_held_out_documents(spark, model):
     assert found.where("language = 'und'").count() == 0
 
 
+def test_every_declared_language_has_a_model(spark):
+    """90 languages, each of letters of its own; the rarest are known too."""
+    def text(k, i):
+        return " ".join("".join(chr(0x4E00 + 40 * k + (i * 7 + 3 * w + j) % 40) for j in range(6)) for w in range(5))
+
+    rows = [(1000 * k + i, text(k, i), f"l{k:02}", "s") for k in range(90) for i in range(12 if k < 70 else 4)]
+    docs = spark.createDataFrame(rows + [(5, None, "l00", "s"), (None, "x", "l00", "s"), (6, "y", None, "s")],
+                                 "doc_id long, text string, lang string, source string").repartition(3)
+    model = langid.train_text_model(langid.labelled_sample(docs, 10), "text", "lang")
+    assert model.languages == tuple(f"l{k:02}" for k in range(90))
+    found = langid.identify_documents(docs.where("doc_id >= 1000 OR doc_id < 3"), model)
+    assert found.where("language != lang").count() == 0
+
+
+def test_sample_is_the_smallest_hashes_of_a_language(spark):
+    docs = spark.createDataFrame([(i % 3000, f"t{i % 3000}", "a" if i % 3000 % 9 else "b") for i in range(6000)], "doc_id long, text string, lang string")
+    got = sorted(tuple(r) for r in langid.labelled_sample(docs, 20).collect())
+    order = docs.distinct().orderBy(F.xxhash64("doc_id", F.lit(0))).collect()
+    want = [(x, r["text"]) for x in "ab" for r in [r for r in order if r["lang"] == x][:20]]
+    assert got == sorted(want * 2)
+
+
 def _posterior(model, rows):
     """[(host, domain, declared, suffix, text)] -> log posteriors, by plain loops."""
     n = len(model.languages)

@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import hash_sample, ready_workers, staged, table
+from tidemark.llm.tables import ready_workers, staged, table
 
 UNKNOWN = "und"
 _CELLS = 1 << 15
@@ -96,13 +96,20 @@ def train_text_model(labelled: DataFrame, text: str, lang: str, smoothing: float
     return TextModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
 
 
-def labelled_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, max_languages: int = 64) -> DataFrame:
-    """At most ``rows`` documents, by hashed id, of each of the most common declared languages."""
-    common = docs.where("lang IS NOT NULL").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    out = docs.limit(0)
-    for r in sorted(x["lang"] for x in common):
-        out = out.unionByName(hash_sample(docs.where(F.col("lang") == r), "doc_id", rows))
-    return out.select("lang", "text")
+def labelled_sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The documents whose ids are the ``rows`` smallest by hash of each declared language, of every language.
+
+    Only ids are ranked. Those with a hash well above the share ``rows`` takes
+    of a language's ids are left out before, so that no task ranks a language whole.
+    """
+    ids = staged(docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("lang", "doc_id").distinct()
+                 .withColumn("h", F.xxhash64("doc_id", F.lit(0))), "langid-ids")
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("of"))  # as few as the model has rows
+    # the share of hashes that holds the smallest `rows` of `of`, by more than ten standard deviations
+    near = ids.join(F.broadcast(sizes), "lang").where((F.col("h") / 2.0 ** 64 + 0.5) * F.col("of") <= rows + 10 * math.sqrt(rows) + 50)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    picked = staged(near.withColumn("rank", rank).where(F.col("rank") <= rows).select("lang", "doc_id"), "langid-picked")
+    return docs.join(picked, ["lang", "doc_id"], "left_semi").select("lang", "text")
 
 
 def _soft(logs: np.ndarray) -> np.ndarray:
