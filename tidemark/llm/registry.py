@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import collocations, fingerprints, langid, lm, mixing, neighbours, secrets, sentencepiece, simhash, substrings, toxicity
+from tidemark.llm import collocations, contamination, fingerprints, infill, langid, lm, mixing, neighbours, secrets, sentencepiece, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": lm.op1_lm_scoring,
@@ -20,9 +20,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scans": secrets.op9_secret_scans,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_collocations": collocations.op11_collocations,
+    "op12_decontamination": contamination.op12_decontamination,
+    "op13_infill": infill.op13_infill,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,
     "op8_suffix_dedup": substrings.ORACLE,
     "op11_collocations": collocations.ORACLE,
+    "op12_decontamination": contamination.ORACLE,
+    "op13_infill": infill.ORACLE,
 }
