@@ -15,12 +15,23 @@ from tidemark.functions.columns import col
 # (Spark's casts accept more, e.g. ' 7 ' as int or '2024' as date). Numbers
 # with a leading zero are codes, not numbers. ``\z`` is the very end: ``$``
 # would let a final line end pass.
-BOOLEAN = r"^(true|false)\z"
-WHOLE = r"^-?(0|[1-9][0-9]*)\z"
+BOOLEANS = ("true", "false")
 PLAIN_NUMBER = r"^-?(0|[1-9][0-9]*)([.][0-9]+)?\z"
 FLOAT_NUMBER = r"^-?(0|[1-9][0-9]*)([.][0-9]+)?[eE][-+]?[0-9]+\z"
-DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
-TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T].+\z"
+# Days of the calendar: by length of month, and 29 February of leap years.
+_DAY = (r"([0-9]{4}-((0[13578]|1[02])-(0[1-9]|[12][0-9]|3[01])|(0[469]|11)-(0[1-9]|[12][0-9]|30)|02-(0[1-9]|1[0-9]|2[0-8]))"
+        r"|([0-9]{2}(0[48]|[2468][048]|[13579][26])|([02468][048]|[13579][26])00)-02-29)")
+DATE = rf"^{_DAY}\z"
+# Times Spark reads: parts of one digit, missing minutes or seconds; a zone only behind seconds.
+_HOUR, _SIXTY = r"([01]?[0-9]|2[0-3])", r"[0-5]?[0-9]"
+_SECONDS = rf"{_HOUR}:{_SIXTY}:{_SIXTY}([.][0-9]*)?"
+_ZONE = r"Z|UTC|GMT|UT|[+-](0[0-9]|1[0-7]):[0-5][0-9]"
+TIMESTAMP = rf"^{_DAY}([ T]({_HOUR}(:{_SIXTY})?|{_SECONDS} *({_ZONE})?)| ) *\z"
+# Names and rarer spellings of zones are the one part that no text pattern decides: only these values are cast.
+ODD_ZONE = rf"^{_DAY}[ T]{_SECONDS} *[A-Za-z+-][A-Za-z0-9_+:/-]* *\z"
+# Digits of the largest and the smallest whole numbers of a type.
+INT_BOUNDS = ("2147483647", "2147483648")
+BIGINT_BOUNDS = ("9223372036854775807", "9223372036854775808")
 #: Significant digits every one of which a double keeps; digits of the widest decimal.
 DOUBLE_DIGITS, DECIMAL_DIGITS = 15, 38
 # Bits of the types a value fits, tried in this order for a column.
@@ -66,20 +77,53 @@ def enforce_schema(
     return df.select(*cols)
 
 
-def _fits(v: Column) -> Column:
-    """Bits of the types one text value fits; the first pattern that matches decides."""
-    digits = F.length(F.regexp_replace(F.regexp_replace(v, r"[eE].*\z", ""), r"^-?0*[.]?0*|[.]|-", ""))
-    double = F.when(digits <= DOUBLE_DIGITS, _DOUBLE).otherwise(0)
-    whole = F.when(v.try_cast("int").isNotNull(), _INT | _BIGINT | _NUMBER) \
-        .when(v.try_cast("bigint").isNotNull(), _BIGINT | _NUMBER).otherwise(_NUMBER)
+_DIGIT_BITS = 24
+_MOST_DIGITS = (1 << _DIGIT_BITS) - 1
+_MINUS, _ZERO, _NINE = (ord(c) for c in "-09")
+
+
+def _within(body: Column, negative: Column, bounds: tuple[str, str]) -> Column:
+    """A whole number without leading zeros lies in a type's range: fewer digits, or as many and not larger as text."""
+    most = F.when(negative, bounds[1]).otherwise(bounds[0])
+    width = len(bounds[0])
+    return (F.length(body) < width) | ((F.length(body) == width) & (body <= most))
+
+
+def _kind(v: Column) -> Column:
+    """What one text value fits, as a long: bits of types, digits before the point, digits behind it.
+
+    Decided by the text alone: a cast that fails costs an exception per
+    value. The first character sends most values past all patterns.
+    """
+    first = F.ascii(v)
+    negative = first == _MINUS
+    body = F.when(negative, F.substring(v, 2, _MOST_DIGITS)).otherwise(v)
+    mantissa = F.substring_index(F.translate(body, "E", "e"), "e", 1)
+
+    def double(m: Column) -> Column:
+        # significant digits; only a zero before the point is not counted, nor are zeros that follow it
+        tiny = F.length(F.ltrim(F.substring(m, 3, _MOST_DIGITS), F.lit("0")))
+        digits = F.when(m.startswith("0."), tiny).otherwise(F.length(F.replace(m, F.lit("."), F.lit(""))))
+        return F.when(F.length(m) <= DOUBLE_DIGITS, _DOUBLE).when(digits <= DOUBLE_DIGITS, _DOUBLE).otherwise(0)
+
+    point = F.instr(body, ".")
+    whole = F.when(_within(body, negative, INT_BOUNDS), _INT | _BIGINT | _NUMBER) \
+        .when(_within(body, negative, BIGINT_BOUNDS), _BIGINT | _NUMBER).otherwise(_NUMBER)
+    type_bits = F.when(point == 0, whole).otherwise(_NUMBER).bitwiseOR(double(body)).cast("long")
+    before = F.least(F.when(point > 0, point - 1).otherwise(F.length(body)), F.lit(_MOST_DIGITS)).cast("long")
+    behind = F.least(F.when(point > 0, F.length(body) - point).otherwise(0), F.lit(_MOST_DIGITS)).cast("long")
+    number = type_bits.bitwiseOR(F.shiftleft(before, 8)).bitwiseOR(F.shiftleft(behind, 8 + _DIGIT_BITS))
+    time = (
+        F.when((F.length(v) == 10) & v.rlike(DATE), _DATE).when((F.length(v) > 11) & v.rlike(TIMESTAMP), _TIMESTAMP)
+        .when(v.rlike(ODD_ZONE), F.when(v.try_cast("timestamp").isNotNull(), _TIMESTAMP).otherwise(0)).otherwise(0)
+    )
     return (
-        F.when(v.rlike(WHOLE), whole.bitwiseOR(double))
-        .when(v.rlike(PLAIN_NUMBER), double.bitwiseOR(F.lit(_NUMBER)))
-        .when(v.rlike(FLOAT_NUMBER), double)
-        .when(v.rlike(DATE), F.when(v.try_cast("date").isNotNull(), _DATE).otherwise(0))
-        .when(v.rlike(TIMESTAMP), F.when(v.try_cast("timestamp").isNotNull(), _TIMESTAMP).otherwise(0))
-        .when(v.rlike(BOOLEAN), _BOOLEAN)
-        .otherwise(0)
+        F.when(v.isNull(), None)
+        .when(negative | first.between(_ZERO, _NINE),
+              F.when(v.rlike(PLAIN_NUMBER), number)
+              .when(v.rlike(FLOAT_NUMBER), double(mantissa).cast("long"))
+              .when(F.substring(v, 5, 1) == "-", time.cast("long")).otherwise(0))
+        .when(v.isin(*BOOLEANS), _BOOLEAN).otherwise(0)
     )
 
 
@@ -117,23 +161,19 @@ def infer_schema(df: DataFrame, keys: str | Sequence[str]) -> T.StructType:
     if absent:
         raise ValueError(f"key columns {absent} not found")
     text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    aggs = []
-    for i, name in enumerate(text_cols):
-        v = col(name)
-        number = v.rlike(PLAIN_NUMBER)
-        body = F.ltrim(v, F.lit("-"))
-        point = F.instr(body, ".")
-        before = F.when(point > 0, point - 1).otherwise(F.length(body))
-        aggs += [F.bit_and(_fits(v)).alias(f"bits{i}"),
-                 F.max(F.when(number, before)).alias(f"integer{i}"),
-                 F.max(F.when(number & (point > 0), F.length(body) - point)).alias(f"fraction{i}")]
-    found = df.agg(*aggs).first().asDict() if aggs else {}
+    found = {}
+    if text_cols:
+        # One expression over all columns: as many copies of it would make a method too large to be compiled.
+        kinds = df.select(F.posexplode(F.transform(F.array(*[col(n) for n in text_cols]), _kind)).alias("i", "v"))
+        v = F.col("v")
+        found = {r["i"]: r for r in kinds.groupBy("i").agg(
+            F.bit_and(v.bitwiseAND(0xFF)).alias("bits"), F.max(F.shiftright(v, 8).bitwiseAND(_MOST_DIGITS)).alias("before"),
+            F.max(F.shiftright(v, 8 + _DIGIT_BITS)).alias("behind")).collect()}
 
     types: dict[str, T.DataType] = {f.name: f.dataType for f in df.schema.fields}
     for i, name in enumerate(text_cols):
-        bits = found[f"bits{i}"]
-        types[name] = T.StringType() if bits is None else \
-            _chosen(bits, found[f"integer{i}"] or 0, found[f"fraction{i}"] or 0)
+        r = found.get(i)
+        types[name] = T.StringType() if r is None or r["bits"] is None else _chosen(r["bits"], r["before"], r["behind"])
     ordered = list(keys) + sorted(c for c in df.columns if c not in keys)
     return T.StructType(
         [T.StructField(c, types[c], c not in keys) for c in ordered]

@@ -279,7 +279,7 @@ def _events_as_text(spark, sf):
 
 
 def q_infer_schema(spark, sf):
-    schema = infer_schema(_events_as_text(spark, sf), "event_id")
+    schema = infer_schema(ensure_parallelism(_events_as_text(spark, sf)), "event_id")
     rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields]
     return spark.createDataFrame(rows, "field string, type string, nullable boolean")
 
@@ -292,7 +292,7 @@ def q_infer_schema_wide(spark, sf):
         F.concat(F.lit("9007199254740993"), key).alias("whole"),
         F.concat(F.lit("9007199254740993"), key, F.lit(".5")).alias("exact"),
         F.rpad(key, 40, "7").alias("too_wide"), F.concat(key, F.lit(".25")).alias("short"))
-    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in infer_schema(df, "k").fields]
+    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in infer_schema(ensure_parallelism(df), "k").fields]
     return spark.createDataFrame(rows, "field string, type string, nullable boolean")
 
 
