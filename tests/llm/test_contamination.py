@@ -1,0 +1,99 @@
+"""Decontamination against plain comparison of word windows."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from tests.llm.brute import DOC_SCHEMA, ODD_DOCS
+from tidemark.llm import contamination
+
+BENCH = "item_id long, text string"
+
+
+def _words(t):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def brute(doc, items):
+    w, hit, found = _words(doc), set(), set()
+    for item, text in items:
+        v = _words(text)
+        m = min(len(v), 10)
+        windows = {tuple(v[i:i + m]) for i in range(len(v) - m + 1)} if v else set()
+        for i in range(len(w) - m + 1 if m else 0):
+            if tuple(w[i:i + m]) in windows:
+                hit.update(range(i, i + m))
+                if item is not None:
+                    found.add(str(item))
+    return len(w), sorted(hit), sorted(found)
+
+
+def _found(df):
+    return [(r["doc_id"], r["n_words"], [p for s in r["hit_spans"] for p in range(s["start"], s["end"])], r["items"]) for r in df.collect()]
+
+
+def _texts(seed, n, vocab, length, sep=(" ", ", ", ".", "\n", "-", "\x00")):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(vocab) + rng.choice(sep) for _ in range(rng.randint(0, length))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("pass_bytes, part_words", [(2 << 20, 5000), (120, 7)])
+def test_against_plain_windows(spark, monkeypatch, pass_bytes, part_words):
+    monkeypatch.setattr(contamination, "PASS_BYTES", pass_bytes)
+    monkeypatch.setattr(contamination, "PART_WORDS", part_words)
+    vocab = ["a", "B", "ab", "é", "Zz9", "𝒳"]
+    rng = random.Random(2)
+    items = list(enumerate(_texts(1, 12, vocab, 40)))
+    items += [(100, "b a"), (101, "zz9"), (102, ""), (103, None), (None, "é é é"), (3, items[3][1]), (3, "one two three")]
+    docs = _texts(7, 40, vocab[:3], 60) + ["x " + items[i][1].upper() + " y" for i in range(12)] + [None, "", "?!", "ab", "É é É"]
+    docs += [" ".join(_words(items[5][1])[3:13]) + " " + d for d in docs[:3] if d]
+    rows = [(i if i % 9 else None, d) for i, d in enumerate(docs)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = _found(contamination.contaminated(df, spark.createDataFrame(items, BENCH)))
+    assert sorted(map(str, got)) == sorted(str((i, *brute(d, items))) for i, d in rows)
+    assert rng and any(r[2] for r in got) and any(not r[2] for r in got)
+
+
+def test_odd_rows_and_tables(spark):
+    docs = spark.createDataFrame(ODD_DOCS, DOC_SCHEMA).selectExpr("*", "1 AS n_words", "2 AS items", "'x' AS item_id")
+    items = [(1, "ONE two, three four five six"), (2, "wort wort"), (3, "lang " * 12), (3, "lang " * 12), (None, None)]
+    bench = spark.createDataFrame(items, BENCH).selectExpr("*", "0 AS w", "0 AS at", "1 AS pass")
+    want = sorted(str((r[0], *brute(r[1], items))) for r in ODD_DOCS)
+    assert sorted(map(str, _found(contamination.contaminated(docs, bench)))) == want
+    assert _found(contamination.contaminated(docs.where("false"), bench)) == []
+    clean = _found(contamination.contaminated(docs, bench.where("false")))
+    assert len(clean) == len(ODD_DOCS) and not any(r[2] or r[3] for r in clean)
+    with pytest.raises(ValueError):
+        contamination.contaminated(docs, bench, keep=("doc_id", "items"))
+
+
+def test_long_text_and_kept_columns(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    long = [rng.choice(words) for _ in range(400_000)]
+    items = [(1, " ".join(long[200_000:200_014])), (2, " ".join(long[-10:])), (3, " ".join(words[:10]))]
+    df = spark.createDataFrame([(1, "en", " ".join(long))], "doc_id long, lang string, text string")
+    r = contamination.contaminated(df, spark.createDataFrame(items, BENCH), keep=("lang", "doc_id")).first()
+    assert r["lang"] == "en" and [tuple(s) for s in r["hit_spans"]] == [(200_000, 200_014), (399_990, 400_000)]
+    assert r["items"] == ["1", "2"] and r["n_words"] == 400_000
+
+
+def test_equal_hashes_are_compared_by_bytes(monkeypatch):
+    """With all word hashes equal, only the comparison of bytes can tell windows apart."""
+    plain = contamination._split
+    monkeypatch.setattr(contamination, "_split", lambda raw: (plain(raw)[0] * 0 + 1, *plain(raw)[1:]))
+    items = [("1", "ab cd"), ("2", "abc d"), ("3", "x")]
+    docs = ["ab cd abc d", "abcd", "a b c d x x", "cd ab"]
+    size, found, pairs = contamination.Benchmark(items).search([d.encode() for d in docs])
+    assert [tuple(x) for x in sorted(found.tolist())] == [(0, 0, 2), (0, 2, 2), (2, 4, 1), (2, 5, 1)]
+    assert pairs.tolist() == [[0, 0], [0, 1], [2, 2]] and size.tolist() == [4, 1, 6, 2]
+
+
+def test_query_digests(spark, tmp_path):
+    spark.createDataFrame([(1, "say one two three now"), (2, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(9, "two three"), (10, "ONE two")], BENCH).write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = {r["doc_id"]: tuple(r)[1:] for r in contamination.op12_decontamination(spark, str(tmp_path)).collect()}
+    assert rows == {1: (5, 3, 2, hashlib.sha256(b"10,9").hexdigest(), True), 2: (0, 0, 0, hashlib.sha256(b"").hexdigest(), False)}

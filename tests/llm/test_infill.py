@@ -1,0 +1,85 @@
+"""Fill-in-middle against regular expressions and plain slices; the skip list against running sums."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tests.llm.brute import DOC_SCHEMA, ODD_DOCS, sha
+from tidemark.llm import infill
+
+TOKEN = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+
+
+def brute(doc_id, text):
+    t = text or ""
+    w = re.findall(TOKEN, t)
+    digest = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i:i + 8], 16) for i in (0, 8, 16, 24)]
+    a, b = sorted(x % (len(w) + 1) for x in h[:2])
+    p, m, s = "".join(w[:a]), "".join(w[a:b]), "".join(w[b:])
+    if not t or any(x in t for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return len(w), "plain", None, None, t
+    if h[3] % 100 < 80:
+        return len(w), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(w), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def _texts(seed, n):
+    rng = random.Random(seed)
+    return ["".join(rng.choice([" ", "  ", "\t", "\n", "a", "bc", "é", "𝒳", " ", " ", "<", "P>", "<S", "|"])
+                    for _ in range(rng.randint(0, 60))) for _ in range(n)]
+
+
+def test_against_regular_expressions(spark, monkeypatch):
+    monkeypatch.setattr(infill, "_GROUP_BYTES", 300)
+    texts = _texts(1, 400) + ["x <P> y", "<", "<P", "a<M>", None, "", " ", "\n\n", "word"]
+    rows = [(i if i % 50 else None, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    made = infill.infill(df, keep=("doc_id", "text")).withColumn("back", infill.restored())
+    got = sorted(map(str, ((r["doc_id"], r["n"], r["form"], r["prefix_chars"], r["middle_chars"], r["output"], r["back"]) for r in made.collect())))
+    assert got == sorted(str((i, *brute(i, t), t or "")) for i, t in rows)
+    forms = {r["form"] for r in made.collect()}
+    assert forms == {"plain", "spm", "psm"}
+
+
+def test_odd_rows(spark):
+    df = spark.createDataFrame(ODD_DOCS, DOC_SCHEMA).selectExpr("*", "1 AS n", "'f' AS form", "'o' AS output", "0 AS __id")
+    made = infill.infill(df).withColumn("back", infill.restored())
+    got = sorted(str((r["doc_id"], r["n"], r["form"], r["prefix_chars"], r["middle_chars"], r["output"], r["back"])) for r in made.collect())
+    assert got == sorted(str((r[0], *brute(r[0], r[1]), r[1] or "")) for r in ODD_DOCS)
+    assert infill.infill(df.where("false")).count() == 0
+    with pytest.raises(ValueError):
+        infill.infill(df, keep=("doc_id", "form"))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_skip_lists_reach_every_rank(seed):
+    rng = np.random.default_rng(seed)
+    count = rng.choice([0, 1, 2, 5, 40, 700], 30)
+    width, points = rng.integers(1, 20, (2, count.sum()))
+    lists = infill.SkipLists(width, points, count)
+    assert len(lists.lanes) > 2
+    for text, n in enumerate(count.tolist()):
+        lo = int(count[:text].sum())
+        ranks = np.arange(n + 1)
+        got = lists.seek(np.full(n + 1, text), ranks)
+        assert got[:, 0].tolist() == ranks.tolist()
+        assert got[:, 1].tolist() == np.cumsum(np.r_[0, points[lo:lo + n]]).tolist()
+        assert got[:, 2].tolist() == np.cumsum(np.r_[0, width[lo:lo + n]]).tolist()
+
+
+def test_no_texts_without_tokens():
+    lists = infill.SkipLists(np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(3, np.int64))
+    assert lists.seek(np.arange(3), np.zeros(3, np.int64)).tolist() == [[0, 0, 0]] * 3
+
+
+def test_long_text(spark):
+    rng = random.Random(3)
+    long = " ".join(rng.choice(["é", "word", "𝒳x", "a\n"]) for _ in range(500_000))
+    ids = [i for i in range(40) if brute(i, "a")[1] != "plain"][:2]
+    df = spark.createDataFrame([(i, long + str(i)) for i in ids], "doc_id long, text string")
+    for r in infill.infill(df).withColumn("back", infill.restored()).collect():
+        assert sha(r["output"]) == sha(brute(r["doc_id"], long + str(r["doc_id"]))[4]) and r["back"] == long + str(r["doc_id"])
