@@ -65,18 +65,35 @@ def _word_keys(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.stack([first, second], axis=1), start, end
 
 
+def _sorted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, keys in order); sorted together with their places where both fit into 64 bits, which is faster."""
+    bits = len(key).bit_length()
+    if int(key.max(initial=0)).bit_length() + bits > 64:
+        order = np.argsort(key)
+        return order, key[order]
+    both = np.sort((key.astype(np.uint64) << np.uint64(bits)) | np.arange(len(key), dtype=np.uint64))
+    return (both & np.uint64((1 << bits) - 1)).astype(np.int64), both >> np.uint64(bits)
+
+
+def _heads(key: np.ndarray) -> np.ndarray:
+    """Where a new value starts in sorted keys."""
+    new = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first row of each distinct key, by key; number of its key for each row)."""
-    odd = np.uint64(1)
-    while True:
-        _, first, number = np.unique(keys[:, 0] + keys[:, 1] * odd, return_index=True, return_inverse=True)
-        if (keys[first[number]] == keys).all():
-            break
-        odd += np.uint64(2)
-    order = np.argsort(keys[first, 0], kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return first[order], place[number]
+    """(a row of each distinct key, by key; number of its key for each row)."""
+    order = np.argsort(keys[:, 0])
+    first, second = keys[order, 0], keys[order, 1]
+    new = np.ones(len(order), bool)
+    new[1:] = first[1:] != first[:-1]
+    if (~new[1:] & (second[1:] != second[:-1])).any():  # equal first halves of different keys
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
+        new[1:] = (keys[order[1:]] != keys[order[:-1]]).any(axis=1)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
 
 
 def _parts(raw: bytes, most: int = BUFFER_BYTES) -> Iterator[bytes]:
@@ -175,14 +192,15 @@ class Direction:
 
     def __init__(self, words: np.ndarray, depth: int):
         rank, span, n = words.astype(np.int64), 1, len(words)
-        self.order = np.argsort(rank)
+        self.order, in_order = _sorted(rank)
         while span < depth:
-            after = np.zeros(n, np.int64)
-            after[:n - span] = rank[span:]
-            key = rank * (int(rank.max(initial=0)) + 1) + after
-            self.order = np.argsort(key)
-            sorted_key = key[self.order]
-            rank[self.order] = np.cumsum(np.r_[False, sorted_key[1:] != sorted_key[:-1]])
+            if span > 1:
+                new = np.zeros(n, np.int64)
+                new[_heads(in_order)[1:]] = 1
+                rank[self.order] = np.cumsum(new)
+            key = rank * (int(rank.max(initial=0)) + 1)
+            key[:n - span] += rank[span:]
+            self.order, in_order = _sorted(key)
             span *= 2
         row = np.empty(n, np.int64)
         row[self.order] = np.arange(n)
@@ -195,13 +213,12 @@ class Direction:
         pattern = np.repeat(np.arange(len(lo)), size)
         rows = np.arange(len(pattern)) + (lo - start)[pattern]
         word = self.before[rows].astype(np.int64)
-        key = pattern * (int(word.max(initial=0)) + 1) + word
-        order = np.argsort(key)
-        key = key[order]
-        head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+        words = int(word.max(initial=0)) + 1
+        order, key = _sorted(pattern * words + word)
+        head = _heads(key)
         count = np.diff(np.r_[head, len(key)])
-        first = np.minimum.reduceat(self.step[rows][order], head) if len(head) else head
-        pattern, word = pattern[order[head]], word[order[head]]
+        first = np.minimum.reduceat(self.step[rows[order]], head) if len(head) else head
+        pattern, word = np.divmod(key[head].astype(np.int64), words)
         some = word > 0
         return tuple(x[some] for x in (pattern, first, count, head - start[pattern], word))
 
@@ -282,15 +299,12 @@ def _add_up(rows: pa.Table, level: int, min_count: int) -> pa.Table:
     raw = rows["keys"].to_pylist()
     size = np.array([len(x) // 16 for x in raw])
     keys = np.frombuffer(b"".join(raw), np.uint64).reshape(-1, 2)
-    counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), np.uint32).astype(np.int64)
-    order = np.lexsort((keys[:, 1], keys[:, 0]))
-    k = keys[order]
-    first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)])
-    total = np.add.reduceat(counts[order], first)
+    counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), np.uint32)
+    one, number = _distinct(keys)
+    total = np.bincount(number, weights=counts, minlength=len(one)).astype(np.int64)
     kept = total >= min_count
-    frequent, totals = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-    frequent[order] = np.repeat(kept, np.diff(np.r_[first, len(keys)]))
-    totals[order[first[kept]]] = total[kept]
+    frequent, totals = kept[number], np.zeros(len(keys), np.int64)
+    totals[one[kept]] = total[kept]
     out = []
     for shard, r, b, n in zip(rows["shard"].to_pylist(), rows["range"].to_pylist(), np.cumsum(size).tolist(), size.tolist()):
         mine = frequent[b - n:b]
