@@ -61,6 +61,13 @@ class TableConfig:
     ``write_options`` to the Parquet writer (e.g. ``{"compression": "zstd"}``).
     ``rules`` are the table's quality rules, as rules or their texts;
     ``fail_on_violation`` checks them before anything is written.
+
+    ``key_index`` keeps an index of the landed keys beside every run, so that
+    a run reads only the blocks of them that its source may hit (see
+    :mod:`tidemark.plans.key_index`); it pays where the landed history is much
+    larger than one source. One landing at a time holds a root: others wait
+    up to ``lease_wait_seconds``, and a holder that is silent for
+    ``lease_seconds`` loses it (0: no lease, the caller keeps writers apart).
     """
 
     name: str
@@ -79,6 +86,9 @@ class TableConfig:
     cluster_per_key: bool = False
     rules: tuple | None = None
     fail_on_violation: bool = False
+    key_index: bool = False
+    lease_seconds: float = 120.0
+    lease_wait_seconds: float = 3600.0
     catalog_database: str | None = None
     catalog_table: str | None = None
     options: dict = field(default_factory=dict, hash=False, compare=False)
@@ -94,6 +104,8 @@ class TableConfig:
             raise ValueError(f"join_strategy must be one of {JOIN_STRATEGIES}")
         if self.on_empty not in ON_EMPTY:
             raise ValueError(f"on_empty must be one of {ON_EMPTY}")
+        if self.lease_seconds < 0 or self.lease_wait_seconds < 0:
+            raise ValueError("lease times must not be negative")
         if len(self.audit_names) != 2 or len(set(self.audit_names)) != 2:
             raise ValueError("audit_names needs two distinct names")
         object.__setattr__(self, "audit_names", tuple(self.audit_names))
@@ -146,7 +158,8 @@ JOB_ARG_CATALOG_TABLE = "catalog_table_name"
 #: Names of JOB_ARG_* that a table entry may hold.
 JOB_ARGS = (JOB_ARG_BUCKET, JOB_ARG_FOLDER, JOB_ARG_KEYS, JOB_ARG_COMPOSITE, JOB_ARG_TABLE,
             JOB_ARG_CATALOG_DB, JOB_ARG_CATALOG_TABLE)
-_BOOLS = ("null_safe", "as_text", "cluster_per_key", "fail_on_violation")
+_BOOLS = ("null_safe", "as_text", "cluster_per_key", "fail_on_violation", "key_index")
+_SECONDS = ("lease_seconds", "lease_wait_seconds")
 _LISTS = ("fields", "audit_names")
 _DICTS = ("options", "write_options")
 _OWN = ("name", "root", "keys", "source", "catalog_database", "catalog_table")
@@ -176,6 +189,8 @@ def parse_options(values: dict) -> dict:
                 v = json.loads(v)
             elif name == "rules":
                 v = tuple(x.strip() for x in v.split(";") if x.strip())
+            elif name in _SECONDS:
+                v = float(v)
             elif name == "broadcast_max_bytes":
                 v = int(v)
         out[name] = v

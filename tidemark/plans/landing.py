@@ -22,6 +22,9 @@ from tidemark.operators.flatten import field_needs, flatten_items
 from tidemark.operators.quality import DEFAULT_RULES, check_rules, failed_rules
 from tidemark.operators.schema import enforce_schema, unified_string_schema
 from tidemark.operators.stamp import check_audit_names, stamp_run
+from tidemark.plans.key_index import index_run, landed_keys
+from tidemark.plans.lease import LeaseLostError, RootLease
+from tidemark.plans.manifest import RunEntry, landed_rows, landed_runs, record_run
 from tidemark.plans.partitioning import ensure_parallelism
 from tidemark.session import scratch_folder
 from tidemark.sinks.runs import write_run
@@ -158,8 +161,17 @@ def land_table(
     table's own. An error after the folder is committed is reported with the
     run, which has landed.
 
+    One landing at a time holds the root (``config.lease_seconds``): a second
+    one waits and then compares with what the first has landed. A holder that
+    was silent too long and finds its lease taken removes its run folder and
+    raises :class:`~tidemark.plans.lease.LeaseLostError`.
+
     Jobs per run stay constant as rows grow: field discovery (items without
-    ``config.fields``), the landed row count (Parquet metadata) and the write.
+    ``config.fields``) and the write. The landed row count comes from the
+    runs' manifests; only runs without one cost a count of Parquet metadata.
+    With ``config.key_index`` one more job joins key hashes, and two write the
+    index of the run. An index that cannot be written is reported with the
+    run, which has landed; its keys are then read whole.
     An empty source is known from the write's own row count, by whichever
     join Spark chose, and leaves nothing behind.
     ``source_rows`` is counted by an Observation beside the join input; if a
@@ -175,6 +187,18 @@ def land_table(
         fail_on_violation = config.fail_on_violation
 
     root_existed = fs.exists(spark, config.root)
+    lease = RootLease(spark, config.root, config.lease_seconds, config.lease_wait_seconds).acquire() if config.lease_seconds else None
+    try:
+        return _land_held(spark, config, report, run_at, source, rules, fail_on_violation, strategy, owner, root_existed, lease)
+    finally:
+        if lease is not None:
+            if not root_existed:
+                fs.drop_unused_root(spark, config.root)
+            lease.release()
+
+
+def _land_held(spark, config, report, run_at, source, rules, fail_on_violation, strategy, owner, root_existed, lease) -> RunReport:
+    folder = report.run_folder
     if fs.exists(spark, folder):
         if fs.is_committed(spark, folder):
             raise FileExistsError(f"run folder {folder} already holds a finished run")
@@ -199,13 +223,13 @@ def land_table(
             raise ValueError(f"table {config.name!r}: key columns {missing} not in source")
         check_audit_names(src, config.audit_names)
         return _land(spark, config, report, src, run_at, rules, fail_on_violation,
-                     strategy or config.join_strategy, owner or uuid.uuid4().hex, root_existed)
+                     strategy or config.join_strategy, owner or uuid.uuid4().hex, root_existed, lease)
     finally:
         if staging is not None:
             fs.delete(spark, staging)
 
 
-def _land(spark, config, report, src, run_at, rules, fail_on_violation, strategy, owner, root_existed) -> RunReport:
+def _land(spark, config, report, src, run_at, rules, fail_on_violation, strategy, owner, root_existed, lease) -> RunReport:
     folder = report.run_folder
     # Metadata rules are checked now; data rules before the write if they may stop it, else by the write itself.
     failed = {r.text for r in rules if r.metadata_only and not r.evaluate(src)[1]}
@@ -221,10 +245,14 @@ def _land(spark, config, report, src, run_at, rules, fail_on_violation, strategy
         if fail_on_violation and data_rules:
             failed |= set(failed_rules(check_rules(src, data_rules)))
             stop_on_violation()
-        landed = read_landed(spark, config.root, keys=config.keys)
+        known = landed_runs(spark, config.root)
+        landed = None
+        if known.runs or known.unmarked:
+            landed = landed_keys(spark, known, src, config.keys) if config.key_index else None
+            if landed is None:
+                landed = read_landed(spark, config.root, keys=config.keys)
         report.mode = "full" if landed is None else "incremental"
-        # row count from Parquet metadata (no key values read)
-        report.landed_rows = 0 if landed is None else landed.count()
+        report.landed_rows = 0 if landed is None else landed_rows(spark, known)
         seen = Observation()
         observed = src.observe(
             seen, F.count(F.lit(1)).alias("rows"),
@@ -256,9 +284,14 @@ def _land(spark, config, report, src, run_at, rules, fail_on_violation, strategy
             f"table {config.name!r}: landing under {config.root!r} into {folder!r} failed: "
             f"{type(e).__name__}: {_first_line(e)}"
         ) from e
+    if lease is not None and not lease.held():
+        fs.remove_run_folder(spark, folder, config.root)
+        raise LeaseLostError(f"table {config.name!r}: another landing took over {config.root!r}; nothing landed by this one")
     if written == 0:
         fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
         report.mode = "none"
+    else:
+        report.error = _describe_run(spark, config, known, folder, written)
     report.new_rows = written
     metrics = _observed(seen, "rows", *[f"rule{i}" for i in range(len(data_rules))])
     report.source_rows = max(metrics["rows"], written)
@@ -272,6 +305,21 @@ def _land(spark, config, report, src, run_at, rules, fail_on_violation, strategy
     return report
 
 
+def _describe_run(spark, config, known, folder: str, rows: int) -> str | None:
+    """Write a finished run's key index and manifest; what went wrong, if anything (the run has landed either way)."""
+    error, entry = None, RunEntry(rows)
+    try:
+        if config.key_index:
+            entry = index_run(spark, folder, config.keys, rows)
+    except Exception as e:
+        error = f"landed without a key index: {type(e).__name__}: {_first_line(e)}"
+    try:
+        record_run(spark, known, folder, entry)
+    except Exception as e:
+        error = f"landed without a manifest: {type(e).__name__}: {_first_line(e)}"
+    return error
+
+
 def configs_from_frame(df: DataFrame, scheme: str = "s3a", **overrides) -> list[TableConfig]:
     """TableConfigs from a config table: launcher argument columns, ``source`` and any table options.
 

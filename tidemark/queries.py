@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
-from datetime import datetime
+from dataclasses import replace
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -416,6 +417,16 @@ def q_incremental_extract(spark, sf):
     return read_landed(spark, cfg.root)
 
 
+def q_anti_join_indexed(spark, sf):
+    """Four runs, each with the rows of the run before and new ones; all but the first keep and use a key index."""
+    orders = _t(spark, sf, "orders")
+    cfg = _config(spark, sf, "orders", "o_orderkey,o_orderpriority")
+    for i in range(4):
+        land_table(spark, replace(cfg, key_index=i > 0), RUN_1 + timedelta(days=i),
+                   source=orders.where(F.pmod("o_orderkey", F.lit(4)).between(i - 1, i)))
+    return read_landed(spark, cfg.root).select("o_orderkey", "o_orderpriority", "o_totalprice", "processed_date")
+
+
 def q_empty_source(spark, sf):
     """A run without source rows over a landed tree, by every join strategy: skipped, nothing left behind."""
     orders = _t(spark, sf, "orders")
@@ -541,6 +552,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_full_load": q_first_full_load,
     "incremental_extract": q_incremental_extract,
     "incremental_rerun": q_incremental_rerun,
+    "anti_join_indexed": q_anti_join_indexed,
     "empty_source": q_empty_source,
     "land_items": q_land_items,
     "stream_landing": q_stream_landing,
@@ -664,6 +676,8 @@ FROM orders WHERE o_orderstatus = 'F'""",
 FROM conversations""",
     "incremental_extract": """SELECT *, CASE WHEN turn < 3 THEN '2025-01-01' ELSE '2025-01-02' END AS processed_date,
   CASE WHEN turn < 3 THEN '2025-01-01 00:00:00' ELSE '2025-01-02 00:00:00' END AS processed_at FROM conversations""",
+    "anti_join_indexed": """SELECT o_orderkey, o_orderpriority, o_totalprice,
+  concat('2025-01-0', CAST(o_orderkey % 4 + 1 AS VARCHAR)) AS processed_date FROM orders""",
     "empty_source": """SELECT strategy, 'SUCCEEDED' AS status, 'skipped' AS mode, CAST(0 AS BIGINT) AS source_rows,
   CAST(0 AS BIGINT) AS new_rows, false AS left_behind, (SELECT count(*) FROM orders) AS landed_rows
 FROM (VALUES ('auto'), ('broadcast'), ('shuffle')) t(strategy)""",

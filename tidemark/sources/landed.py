@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.columns import col
 
 # Conditions Spark raises for a missing root and for a root without data files.
-_NOTHING_LANDED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+NOTHING_LANDED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_landed(
@@ -35,7 +35,7 @@ def read_landed(
             .parquet(root)
         )
     except AnalysisException as e:
-        if e.getCondition() in _NOTHING_LANDED:
+        if e.getCondition() in NOTHING_LANDED:
             return None
         raise
     if keys:
