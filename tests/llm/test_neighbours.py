@@ -25,8 +25,11 @@ def _found(df):
     return out
 
 
-@pytest.mark.parametrize("sf", ["sf0.01", "check_s"])
-def test_recall_and_scores(spark, sf):
+@pytest.mark.parametrize("sf, shard_rows", [("sf0.01", None), ("sf0.1", 400)])
+def test_recall_and_scores(spark, monkeypatch, sf, shard_rows):
+    if shard_rows:  # several shards
+        plain = neighbours.nearest
+        monkeypatch.setattr(neighbours, "nearest", lambda rows, queries: plain(rows, queries, shard_rows=shard_rows))
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").collect()]
     want = _exact(rows, lambda i: i % 50 == 0)
     got = _found(neighbours.op7_nearest_neighbours(spark, f"/root/testdata/{sf}"))
