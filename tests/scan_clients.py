@@ -1,59 +1,3 @@
-"""Offline paged clients for the scan source: they stand in for a live table in tests and queries."""
+"""The offline clients under the name the tests ship them by."""
 
-from __future__ import annotations
-
-import json
-
-
-class ExportFolderClient:
-    """Paged client over a local folder of export files (one JSON item per line).
-
-    Segment ``s`` of ``n`` owns the files ``i`` with ``i % n == s`` in name
-    order. A page holds at most ``page_items`` items of one file; its key is
-    the file and the byte it ends at.
-    """
-
-    def __init__(self, path: str, page_items: int | str = 500):
-        import os
-
-        root = path[len("file:"):] if path.startswith("file:") else path
-        root = "/" + root.lstrip("/")
-        self.page_items = int(page_items)
-        self.files = sorted(os.path.join(root, f) for f in os.listdir(root) if not f.startswith((".", "_")))
-
-    def scan(self, TableName, Segment=0, TotalSegments=1, ExclusiveStartKey=None):
-        mine = [i for i in range(len(self.files)) if i % TotalSegments == Segment]
-        at, offset = (ExclusiveStartKey["file"], ExclusiveStartKey["offset"]) if ExclusiveStartKey else (mine[0] if mine else -1, 0)
-        if at < 0:
-            return {"Items": []}
-        items, end = [], True
-        with open(self.files[at], "rb") as fh:
-            fh.seek(offset)
-            for line in iter(fh.readline, b""):
-                if line.strip():
-                    items.append(json.loads(line)["Item"])
-                if len(items) == self.page_items:
-                    end = not fh.read(1)
-                    break
-            if not end:
-                return {"Items": items, "LastEvaluatedKey": {"file": at, "offset": fh.tell() - 1}}
-        later = [i for i in mine if i > at]
-        out = {"Items": items}
-        if later:
-            out["LastEvaluatedKey"] = {"file": later[0], "offset": 0}
-        return out
-
-
-class LoggingExportFolderClient:
-    """ExportFolderClient that appends each page it serves to ``log`` (one line per call)."""
-
-    def __init__(self, path: str, log: str, page_items: int | str = 500):
-        self.inner = ExportFolderClient(path, page_items)
-        self.log = log
-
-    def scan(self, **kwargs):
-        page = self.inner.scan(**kwargs)
-        start = kwargs.get("ExclusiveStartKey") or {}
-        with open(self.log, "a", encoding="utf-8") as fh:
-            fh.write(f"{kwargs.get('Segment')}:{start.get('file', -1)}:{start.get('offset', 0)}\n")
-        return page
+from tidemark.sources.offline import ExportFolderClient, LoggingExportFolderClient  # noqa: F401

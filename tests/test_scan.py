@@ -2,6 +2,7 @@
 
 import json
 import os
+from datetime import datetime
 
 import pytest
 
@@ -11,7 +12,7 @@ from tidemark.config import TableConfig
 from tidemark.plans.landing import land_table
 from tidemark.session import checkpoint_root
 from tidemark.sources.landed import read_landed
-from tidemark.sources.scan import read_items_scan, scan_options
+from tidemark.sources.scan import PageLog, read_items_scan, scan_options
 
 FACTORY = "scan_clients:ExportFolderClient"
 LOGGING = "scan_clients:LoggingExportFolderClient"
@@ -117,3 +118,53 @@ def test_scan_options_are_checked():
         scan_options({"client_factory": "a:b", "segmnts": "2"})
     with pytest.raises(ValueError, match="client_factory"):
         TableConfig("t", "/r", "id", "t", source_format="items_scan")
+
+
+FAILING = "tidemark.sources.offline:FailingExportFolderClient"
+
+
+def _failing(spark, folder, log, root=None, **kw):
+    return TableConfig("t", root, "id", "t", source_format="items_scan", options={
+        "client_factory": FAILING, "segments": "2", "client.path": folder, "client.log": log, "client.page_items": "2",
+        "client.fail_page": "3", **kw})
+
+
+def test_another_attempt_asks_for_later_pages_only(spark, export, tmp_path, root):
+    folder, n = export
+    log = str(tmp_path / "log")
+    cfg = _failing(spark, folder, log, root, resume="true")
+    run_at = datetime(2025, 1, 1)
+    for _ in range(3):  # each segment fails once; local mode tries a task once
+        try:
+            report = land_table(spark, cfg, run_at)
+            break
+        except Exception as e:
+            assert "the table is away" in str(e)
+    assert report.new_rows == n
+    asked = [line.strip() for line in open(log)]
+    assert len(asked) == len(set(asked))  # no page twice, in any attempt
+    progress = f"{checkpoint_root(spark).removeprefix('file:')}/tidemark/scan-progress"
+    assert not os.path.exists(progress) or not os.listdir(progress)
+
+
+def test_without_resume_the_segment_starts_again(spark, export, tmp_path, root):
+    folder, n = export
+    log = str(tmp_path / "log")
+    for _ in range(3):
+        try:
+            assert land_table(spark, _failing(spark, folder, log, root), datetime(2025, 1, 1)).new_rows == n
+            break
+        except Exception as e:
+            assert "the table is away" in str(e)
+    asked = [line.strip() for line in open(log)]
+    assert len(asked) > len(set(asked))
+
+
+def test_pages_are_kept_once_and_used_on_their_own_path_only(tmp_path):
+    log = PageLog(str(tmp_path / "p"), 0, 2)
+    log.put(0, None, ["a", "é\n"], {"k": 1})
+    log.put(0, None, ["other"], {"k": 2})
+    assert log.get(0, None) == (["a", "é\n"], {"k": 1})
+    assert log.get(0, {"k": 9}) is None and log.get(1, {"k": 1}) is None
+    assert PageLog(f"file:{tmp_path}/p", 0, 2).get(0, None) == (["a", "é\n"], {"k": 1})
+    assert PageLog(str(tmp_path / "p"), 0, 3).get(0, None) is None

@@ -57,7 +57,10 @@ class TableConfig:
     folder; every run writes a new ``root/YYYY/MM/DD/HH-MM-SS/`` folder.
     ``as_text`` lands every column as text, sorted by name (the unified
     schema items always get). ``options`` go to the source reader (for a scan:
-    ``client_factory``, ``segments``, and ``client.`` options for the client),
+    ``client_factory``, ``segments``, ``resume`` and ``client.`` options for the
+    client; ``resume="true"`` keeps the pages of a scan in the shared checkpoint
+    folder until the run has landed, so that another attempt of the run asks
+    the table only for the pages it lacks),
     ``write_options`` to the Parquet writer (e.g. ``{"compression": "zstd"}``).
     ``rules`` are the table's quality rules, as rules or their texts;
     ``fail_on_violation`` checks them before anything is written.

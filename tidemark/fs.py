@@ -172,3 +172,9 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, bool, int]]:
             return []
         raise
     return [(s.getPath().getName(), bool(s.isDirectory()), int(s.getModificationTime())) for s in found]
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    p, fs = _path_and_fs(spark, source)
+    if not fs.rename(p, _path_and_fs(spark, target)[0]):
+        raise OSError(f"cannot move {source} to {target}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from collections.abc import Sequence
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import fs
-from tidemark.config import TableConfig, check_configs, config_from_entry
+from tidemark.config import TableConfig, check_configs, config_from_entry, normal_root
 from tidemark.functions.attributes import ATTRIBUTE_TYPE
 from tidemark.functions.naming import run_folder
 from tidemark.operators.diff import new_records
@@ -26,7 +27,7 @@ from tidemark.plans.key_index import index_run, landed_keys
 from tidemark.plans.lease import LeaseLostError, RootLease
 from tidemark.plans.manifest import RunEntry, landed_rows, landed_runs, record_run
 from tidemark.plans.partitioning import ensure_parallelism
-from tidemark.session import scratch_folder
+from tidemark.session import checkpoint_root, scratch_folder
 from tidemark.sinks.runs import write_run
 from tidemark.sources.items import ITEM_COL, parse_items
 from tidemark.sources.landed import read_landed
@@ -114,13 +115,22 @@ def _is_item_frame(df: DataFrame) -> bool:
     return isinstance(dt, T.MapType) and dt.valueType == ATTRIBUTE_TYPE
 
 
-def load_source(spark: SparkSession, config: TableConfig) -> tuple[DataFrame, str | None]:
+def scan_progress(spark: SparkSession, config: TableConfig, run_at: datetime) -> str | None:
+    """Folder for the pages of a run's scan, the same for every attempt of the run; None unless the scan is to resume."""
+    if config.source_format != "items_scan" or str(config.options.get("resume", "")).lower() != "true":
+        return None
+    root = hashlib.sha256(normal_root(config.root).encode()).hexdigest()[:32]
+    return f"{checkpoint_root(spark)}/tidemark/scan-progress/{root}/{run_at:%Y%m%d%H%M%S}"
+
+
+def load_source(spark: SparkSession, config: TableConfig, progress: str | None = None) -> tuple[DataFrame, str | None]:
     """(source rows, staging folder or None); items stay items here (``land_table`` flattens them).
 
     Item lines get the input parallelism guard before parsing (CPU work per
     line); Parquet and a callable's frame are used as built (a later
     anti-join would be pushed below a repartition anyway). A scan is staged,
-    so that the table is read once; the folder is the caller's to remove.
+    so that the table is read once; the folder is the caller's to remove, as
+    is ``progress``, where a scan keeps its pages.
     """
     if callable(config.source):
         return config.source(spark), None
@@ -129,7 +139,7 @@ def load_source(spark: SparkSession, config: TableConfig) -> tuple[DataFrame, st
         return parse_items(ensure_parallelism(lines)), None
     if config.source_format == "items_scan":
         folder = scratch_folder(spark, "scan")
-        return read_items_scan(spark, config.source, staging_folder=folder, **scan_options(config.options)), folder
+        return read_items_scan(spark, config.source, staging_folder=folder, progress=progress, **scan_options(config.options)), folder
     return spark.read.options(**config.options).parquet(config.source), None
 
 
@@ -205,8 +215,9 @@ def _land_held(spark, config, report, run_at, source, rules, fail_on_violation,
         fs.delete(spark, folder)
 
     staging = None
+    progress = scan_progress(spark, config, run_at) if source is None else None
     try:
-        src, staging = (source, None) if source is not None else load_source(spark, config)
+        src, staging = (source, None) if source is not None else load_source(spark, config, progress)
         if _is_item_frame(src):
             needs = None if config.fields is not None else field_needs(src)
             fields = config.fields if needs is None else sorted(needs)
@@ -222,8 +233,11 @@ def _land_held(spark, config, report, run_at, source, rules, fail_on_violation,
         if missing:
             raise ValueError(f"table {config.name!r}: key columns {missing} not in source")
         check_audit_names(src, config.audit_names)
-        return _land(spark, config, report, src, run_at, rules, fail_on_violation,
+        report = _land(spark, config, report, src, run_at, rules, fail_on_violation,
                      strategy or config.join_strategy, owner or uuid.uuid4().hex, root_existed, lease)
+        if progress is not None:  # with the pages of earlier runs that were given up
+            fs.delete(spark, progress.rpartition("/")[0])
+        return report
     finally:
         if staging is not None:
             fs.delete(spark, staging)

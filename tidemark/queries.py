@@ -7,7 +7,6 @@ checkpoint folder (``spark.checkpoint.dir``). Run times are fixed:
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timedelta
@@ -33,7 +32,7 @@ from tidemark.sinks.runs import FILE_KEY, write_run
 from tidemark.sources.items import items_of, read_items_json
 from tidemark.sources.landed import read_landed
 from tidemark.sources.scan import read_items_scan
-from tidemark.streaming.landing import land_stream
+from tidemark.streaming.landing import land_changes, land_stream
 
 RUN_1 = datetime(2025, 1, 1, 0, 0, 0)
 RUN_2 = datetime(2025, 1, 2, 0, 0, 0)
@@ -123,6 +122,13 @@ def _write_export(spark: SparkSession, events: DataFrame, label: str, files: int
     return folder
 
 
+def _append_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move the export files of one folder into another, behind those that are there by name."""
+    for name, is_folder, _ in fs.children(spark, source):
+        if not is_folder and not name.startswith((".", "_")):
+            fs.move(spark, f"{source}/{name}", f"{target}/z-{name}")
+
+
 _EVENT_FLAT_SQL_COLUMNS = """CAST(event_id AS VARCHAR) AS event_id, event_type,
   lower(CAST(value > 100 AS VARCHAR)) AS is_big,
   concat('{"k":{"N":"', props->>'k', '"}}') AS props,
@@ -237,9 +243,7 @@ def q_items_json_typed(spark, sf):
 
 def _scan_client(spark) -> str:
     """Factory of the offline client that stands in for a live table; shipped to the workers."""
-    tests = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tests")
-    spark.sparkContext.addPyFile(os.path.join(tests, "scan_clients.py"))
-    return "scan_clients:ExportFolderClient"
+    return "tidemark.sources.offline:ExportFolderClient"
 
 
 def q_scan_items(spark, sf):
@@ -477,6 +481,22 @@ def q_stream_landing(spark, sf):
     return read_landed(spark, root).drop("processed_at")  # the order of files among batches is not fixed
 
 
+def q_stream_changes(spark, sf):
+    """A change feed landed in two rounds of one stream: the second takes up where the first stopped."""
+    events = _t(spark, sf, "events")
+    feed = _write_export(spark, events.where(F.col("ts") < _ts("2024-01-15")), "feed", files=4)
+    later = _write_export(spark, events.where(F.col("ts") >= _ts("2024-01-15")), "feed-later", files=4)
+    root, checkpoint = scratch_folder(spark, "landed-changes"), scratch_folder(spark, "changes-checkpoint")
+    for run_at in (RUN_1, RUN_2):
+        query = land_changes(spark, TableConfig("events", root, "event_id", feed), "events", checkpoint, _scan_client(spark),
+                             segments=4, client_options={"path": feed}, clock=lambda: run_at)
+        query.awaitTermination()
+        query.stop()
+        if run_at == RUN_1:
+            _append_files(spark, later, feed)
+    return read_landed(spark, root).drop("processed_at")
+
+
 def q_land_tables(spark, sf):
     configs = [
         _config(spark, sf, "conversations", "conv_id,turn"),
@@ -556,6 +576,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "empty_source": q_empty_source,
     "land_items": q_land_items,
     "stream_landing": q_stream_landing,
+    "stream_changes": q_stream_changes,
     "land_tables": q_land_tables,
     "land_tables_failures": q_land_tables_failures,
     "land_from_args": q_land_from_args,
@@ -687,6 +708,7 @@ FROM (VALUES ('auto'), ('broadcast'), ('shuffle')) t(strategy)""",
   concat({_RUN_DAY_SQL}, ' 00:00:00') AS processed_at FROM events""",
     "stream_landing": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS}, {_UNKNOWN_SQL}, '2025-01-01' AS processed_date
 FROM events""",
+    "stream_changes": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS}, {_UNKNOWN_SQL}, {_RUN_DAY_SQL} AS processed_date FROM events""",
     "land_from_args": f"""SELECT {_EVENT_FLAT_SQL_COLUMNS}, {_UNKNOWN_SQL}, {_RUN_DAY_SQL} AS run_day,
   concat({_RUN_DAY_SQL}, ' 00:00:00') AS run_time FROM events""",
     "land_tables_failures": """SELECT 'orders' AS table_name, 'SUCCEEDED' AS status, 1 AS attempts,

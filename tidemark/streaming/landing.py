@@ -14,6 +14,7 @@ from tidemark import fs
 from tidemark.config import TableConfig
 from tidemark.functions.naming import RUN_TIME_FORMAT, run_folder
 from tidemark.plans.landing import land_table
+from tidemark.sources.changes import RANGE_ITEMS, read_items_changes
 from tidemark.sources.items import parse_items
 
 _RUNS_DIR = "tidemark-runs"
@@ -83,7 +84,35 @@ def land_stream(
     reader = spark.readStream.format("text")
     reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     items = parse_items(reader.load(source_path))
+    return _land_items(spark, config, items, checkpoint_location, available_now, processing_time, clock, land_options)
 
+
+def land_changes(
+    spark: SparkSession,
+    config: TableConfig,
+    table: str,
+    checkpoint_location: str,
+    client_factory: str,
+    segments: int = 1,
+    range_items: int = RANGE_ITEMS,
+    client_options: dict | None = None,
+    available_now: bool = True,
+    processing_time: str | None = None,
+    clock: Callable[[], datetime] = datetime.now,
+    **land_options,
+) -> StreamingQuery:
+    """Land the changes of a live table as they come; returns the running query.
+
+    Like :func:`land_stream`, with the table's change feed
+    (:mod:`tidemark.sources.changes`) in place of export files: a batch is a
+    range of changes of each segment, fixed in the checkpoint before it is
+    read, so a stop or a crash in the middle neither loses nor repeats one.
+    """
+    items = read_items_changes(spark, table, client_factory, segments, range_items, **(client_options or {}))
+    return _land_items(spark, config, items, checkpoint_location, available_now, processing_time, clock, land_options)
+
+
+def _land_items(spark, config, items, checkpoint_location, available_now, processing_time, clock, land_options) -> StreamingQuery:
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         # Field discovery, the emptiness probe and the write read the batch: keep it once (bounded
         # by the trigger limit; lost blocks are recomputed from the source files).
