@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 DEFAULT_AUDIT_NAMES = ("processed_date", "processed_at")
 
 SOURCE_FORMATS = ("items_json", "items_scan", "parquet")
-LAYOUTS = ("compact", "per_key")
+LAYOUTS = ("compact", "per_key", "key_files")
 ON_EMPTY = ("error", "skip")
 JOIN_STRATEGIES = ("auto", "broadcast", "shuffle")
 

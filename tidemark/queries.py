@@ -398,6 +398,14 @@ def q_write_per_key(spark, sf):
     return spark.read.schema(li.schema.add(FILE_KEY, T.StringType())).parquet(folder)
 
 
+def q_write_key_files(spark, sf):
+    """One file per key combination, named by it; the rows and the file they lie in."""
+    li = _t(spark, sf, "lineitem")
+    folder = scratch_folder(spark, "key-files")
+    write_run(li, folder, layout="key_files", keys=["l_returnflag", "l_linestatus"])
+    return spark.read.parquet(folder).select("l_orderkey", "l_linenumber", "l_shipdate", F.col("_metadata.file_name").alias("file"))
+
+
 def q_write_overwrite(spark, sf):
     """The same folder written twice: the second write replaces the first."""
     orders = _t(spark, sf, "orders")
@@ -568,6 +576,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_landed": q_read_landed,
     "land_as_text": q_land_as_text,
     "write_per_key": q_write_per_key,
+    "write_key_files": q_write_key_files,
     "write_overwrite": q_write_overwrite,
     "first_full_load": q_first_full_load,
     "incremental_extract": q_incremental_extract,
@@ -691,6 +700,8 @@ FROM orders""",
   CAST(o_totalprice AS VARCHAR) AS o_totalprice,
   '2025-01-01' AS processed_date, '2025-01-01 00:00:00' AS processed_at FROM orders""",
     "write_per_key": "SELECT *, concat(l_returnflag, '_', l_linestatus) AS file_key FROM lineitem",
+    "write_key_files": """SELECT l_orderkey, l_linenumber, l_shipdate,
+  concat(l_returnflag, '_', l_linestatus, '.parquet') AS file FROM lineitem""",
     "write_overwrite": """SELECT *, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS n_written
 FROM orders WHERE o_orderstatus = 'F'""",
     "first_full_load": """SELECT *, '2025-01-01' AS processed_date, '2025-01-01 00:00:00' AS processed_at

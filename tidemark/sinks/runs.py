@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import LAYOUTS, parse_keys
 from tidemark.functions.naming import key_name
+from tidemark.sinks.key_files import file_name, write_key_files
 
 FILE_KEY = "file_key"
 # Fixed value: folder label for an empty key text (Spark would file it under
@@ -41,7 +42,9 @@ def write_run(
     join the rows of a key already share a task; otherwise a repeated key
     may get a file per task, and a hot key spreads over many files.
     ``cluster=True`` rebalances by label first (one extra shuffle; AQE splits
-    a hot key over several files) for fewer files per folder. Key columns
+    a hot key over several files) for fewer files per folder. ``key_files``:
+    one file per key combination, ``<key name>.parquet`` in the folder itself
+    (see :mod:`tidemark.sinks.key_files`), in a new folder only. Key columns
     stay in the files. ``options`` go to the Parquet writer. The row count
     comes from an Observation evaluated in
     the writing (result) stage, so it is counted once per partition even
@@ -50,13 +53,20 @@ def write_run(
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     obs = Observation()
-    if layout == "per_key":
+    if layout != "compact":
         if not keys:
-            raise ValueError("per_key layout needs keys")
+            raise ValueError(f"{layout} layout needs keys")
         keys = parse_keys(keys)
         if FILE_KEY in df.columns:
-            raise ValueError(f"column {FILE_KEY!r} is reserved for the per-key layout")
+            raise ValueError(f"column {FILE_KEY!r} is reserved for the per-key layouts")
         df = df.withColumn(FILE_KEY, file_key(keys))
+    if layout == "key_files":
+        if mode == "overwrite" or max_records_per_file or cluster:
+            raise ValueError("key_files writes whole files to new folders")
+        df = df.withColumn(FILE_KEY, file_name(F.col(FILE_KEY)))
+        write_key_files(df.observe(obs, F.count(F.lit(1)).alias("rows")), folder, FILE_KEY, options)
+        return int(obs.get["rows"])
+    if layout == "per_key":
         if cluster:
             df = df.hint("rebalance", FILE_KEY)
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
