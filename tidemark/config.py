@@ -68,7 +68,9 @@ class TableConfig:
     ``key_index`` keeps an index of the landed keys beside every run, so that
     a run reads only the blocks of them that its source may hit (see
     :mod:`tidemark.plans.key_index`); it pays where the landed history is much
-    larger than one source. One landing at a time holds a root: others wait
+    larger than one source. ``widen_types`` compares with runs whose key types
+    differ by one type that holds them all, where otherwise such a tree fails
+    the run (see :mod:`tidemark.plans.reconcile`). One landing at a time holds a root: others wait
     up to ``lease_wait_seconds``, and a holder that is silent for
     ``lease_seconds`` loses it (0: no lease, the caller keeps writers apart).
     """
@@ -90,6 +92,7 @@ class TableConfig:
     rules: tuple | None = None
     fail_on_violation: bool = False
     key_index: bool = False
+    widen_types: bool = False
     lease_seconds: float = 120.0
     lease_wait_seconds: float = 3600.0
     catalog_database: str | None = None
@@ -161,7 +164,7 @@ JOB_ARG_CATALOG_TABLE = "catalog_table_name"
 #: Names of JOB_ARG_* that a table entry may hold.
 JOB_ARGS = (JOB_ARG_BUCKET, JOB_ARG_FOLDER, JOB_ARG_KEYS, JOB_ARG_COMPOSITE, JOB_ARG_TABLE,
             JOB_ARG_CATALOG_DB, JOB_ARG_CATALOG_TABLE)
-_BOOLS = ("null_safe", "as_text", "cluster_per_key", "fail_on_violation", "key_index")
+_BOOLS = ("null_safe", "as_text", "cluster_per_key", "fail_on_violation", "key_index", "widen_types")
 _SECONDS = ("lease_seconds", "lease_wait_seconds")
 _LISTS = ("fields", "audit_names")
 _DICTS = ("options", "write_options")

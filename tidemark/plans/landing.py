@@ -7,7 +7,7 @@ import time
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,6 +27,7 @@ from tidemark.plans.key_index import index_run, landed_keys
 from tidemark.plans.lease import LeaseLostError, RootLease
 from tidemark.plans.manifest import RunEntry, landed_rows, landed_runs, record_run
 from tidemark.plans.partitioning import ensure_parallelism
+from tidemark.plans.reconcile import by_schema, keep_schema, key_types_differ, read_reconciled
 from tidemark.session import checkpoint_root, scratch_folder
 from tidemark.sinks.runs import write_run
 from tidemark.sources.items import ITEM_COL, parse_items
@@ -262,7 +263,11 @@ def _land(spark, config, report, src, run_at, rules, fail_on_violation, strategy
         known = landed_runs(spark, config.root)
         landed = None
         if known.runs or known.unmarked:
-            landed = landed_keys(spark, known, src, config.keys) if config.key_index else None
+            groups = by_schema(spark, known) if config.widen_types else {}
+            if key_types_differ(groups, config.keys):
+                landed = read_reconciled(spark, config.root, config.keys, groups=groups)
+            elif config.key_index:
+                landed = landed_keys(spark, known, src, config.keys)
             if landed is None:
                 landed = read_landed(spark, config.root, keys=config.keys)
         report.mode = "full" if landed is None else "incremental"
@@ -305,7 +310,7 @@ def _land(spark, config, report, src, run_at, rules, fail_on_violation, strategy
         fs.remove_run_folder(spark, folder, config.root, drop_root=not root_existed)
         report.mode = "none"
     else:
-        report.error = _describe_run(spark, config, known, folder, written)
+        report.error = _describe_run(spark, config, known, folder, written, new.schema)
     report.new_rows = written
     metrics = _observed(seen, "rows", *[f"rule{i}" for i in range(len(data_rules))])
     report.source_rows = max(metrics["rows"], written)
@@ -319,7 +324,7 @@ def _land(spark, config, report, src, run_at, rules, fail_on_violation, strategy
     return report
 
 
-def _describe_run(spark, config, known, folder: str, rows: int) -> str | None:
+def _describe_run(spark, config, known, folder: str, rows: int, schema: T.StructType) -> str | None:
     """Write a finished run's key index and manifest; what went wrong, if anything (the run has landed either way)."""
     error, entry = None, RunEntry(rows)
     try:
@@ -328,7 +333,7 @@ def _describe_run(spark, config, known, folder: str, rows: int) -> str | None:
     except Exception as e:
         error = f"landed without a key index: {type(e).__name__}: {_first_line(e)}"
     try:
-        record_run(spark, known, folder, entry)
+        record_run(spark, known, folder, replace(entry, schema=keep_schema(spark, known.root, schema)))
     except Exception as e:
         error = f"landed without a manifest: {type(e).__name__}: {_first_line(e)}"
     return error

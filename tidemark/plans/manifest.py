@@ -20,12 +20,13 @@ _RUN_PARTS = (r"[0-9]{4}", r"[0-9]{2}", r"[0-9]{2}", r"[0-9]{2}-[0-9]{2}-[0-9]{2
 
 @dataclass(frozen=True)
 class RunEntry:
-    """Rows of a run and, if its keys are indexed, their schema, number of blocks and bits of a stored hash."""
+    """Rows of a run, the id of its schema and, if its keys are indexed, their schema, number of blocks and bits of a stored hash."""
 
     rows: int
     key_schema: str | None = None
     blocks: int = 0
     bits: int = 0
+    schema: str | None = None
 
 
 @dataclass(frozen=True)

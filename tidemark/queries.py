@@ -27,6 +27,7 @@ from tidemark.operators.schema import enforce_schema, infer_schema, unified_stri
 from tidemark.operators.stamp import sample_rows, stamp_run
 from tidemark.plans.landing import land_table, land_tables
 from tidemark.plans.partitioning import ensure_parallelism
+from tidemark.plans.reconcile import read_reconciled
 from tidemark.session import scratch_folder
 from tidemark.sinks.runs import FILE_KEY, write_run
 from tidemark.sources.items import items_of, read_items_json
@@ -406,6 +407,17 @@ def q_write_key_files(spark, sf):
     return spark.read.parquet(folder).select("l_orderkey", "l_linenumber", "l_shipdate", F.col("_metadata.file_name").alias("file"))
 
 
+def q_read_widened(spark, sf):
+    """A key that was int, then bigint, then text: each run lands what is new, and all read back as bigint."""
+    orders = _t(spark, sf, "orders")
+    cfg = _config(spark, sf, "orders", "o_orderkey", widen_types=True)
+    for i, type_ in enumerate(("int", "bigint", "string")):
+        land_table(spark, cfg, RUN_1 + timedelta(days=i), source=orders.where(F.pmod("o_orderkey", F.lit(3)).between(i - 1, i))
+                   .withColumn("o_orderkey", F.col("o_orderkey").cast(type_)))
+    declared = T.StructType([T.StructField("o_orderkey", T.LongType())])
+    return read_reconciled(spark, cfg.root, declared=declared).select("o_orderkey", "o_custkey", "processed_date")
+
+
 def q_write_overwrite(spark, sf):
     """The same folder written twice: the second write replaces the first."""
     orders = _t(spark, sf, "orders")
@@ -576,6 +588,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_landed": q_read_landed,
     "land_as_text": q_land_as_text,
     "write_per_key": q_write_per_key,
+    "read_widened": q_read_widened,
     "write_key_files": q_write_key_files,
     "write_overwrite": q_write_overwrite,
     "first_full_load": q_first_full_load,
@@ -700,6 +713,7 @@ FROM orders""",
   CAST(o_totalprice AS VARCHAR) AS o_totalprice,
   '2025-01-01' AS processed_date, '2025-01-01 00:00:00' AS processed_at FROM orders""",
     "write_per_key": "SELECT *, concat(l_returnflag, '_', l_linestatus) AS file_key FROM lineitem",
+    "read_widened": """SELECT o_orderkey, o_custkey, concat('2025-01-0', CAST(o_orderkey % 3 + 1 AS VARCHAR)) AS processed_date FROM orders""",
     "write_key_files": """SELECT l_orderkey, l_linenumber, l_shipdate,
   concat(l_returnflag, '_', l_linestatus, '.parquet') AS file FROM lineitem""",
     "write_overwrite": """SELECT *, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS n_written
