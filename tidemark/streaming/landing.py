@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
@@ -113,18 +114,18 @@ def land_changes(
 
 
 def _land_items(spark, config, items, checkpoint_location, available_now, processing_time, clock, land_options) -> StreamingQuery:
+    each = replace(config, on_empty="skip")
+
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        # Field discovery, the emptiness probe and the write read the batch: keep it once (bounded
-        # by the trigger limit; lost blocks are recomputed from the source files).
+        # Field discovery and the write read the batch: keep it once (bounded by the trigger limit;
+        # lost blocks are recomputed from the source). An empty one is known from the write's own count.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch.isEmpty():
-                return
             owner = f"{stream_identity(spark, checkpoint_location)}:{epoch_id}"
             run_at = epoch_run_time(spark, checkpoint_location, epoch_id, clock)
             while True:
                 try:
-                    land_table(spark, config, run_at, source=batch, owner=owner, **land_options)
+                    land_table(spark, each, run_at, source=batch, owner=owner, **land_options)
                     return
                 except FileExistsError:
                     if fs.folder_owner(spark, run_folder(config.root, run_at)) == owner:
