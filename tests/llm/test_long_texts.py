@@ -22,7 +22,7 @@ def docs(spark):
 
 def test_text_operators(docs):
     df, texts = docs
-    found = secrets.scan_secrets(df, [0.0] * len(secrets.ALPHABET) ** 2, min_ratio=1.0).collect()
+    found = secrets.scan_secrets(df, [0.0] * len(secrets.ALPHABET) ** 2, min_total=1.0).collect()
     assert all([(s["start"], s["kind"], s["end"]) for s in r["base_spans"]] == base_spans(r["text"]) for r in found)
     prints = fingerprints.fingerprint_edits(df).collect()
     assert {r["doc_id"]: r["n_chars"] for r in prints} == {d: len(t) for d, t in texts.items()}
