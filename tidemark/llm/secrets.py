@@ -119,8 +119,8 @@ def labelled_samples(docs: DataFrame, sample_docs: int, min_length: int = 8) ->
     Random strings are the values the base patterns match, and hexadecimal
     and base64 renderings of digests of the sampled texts. Ordinary
     identifiers are the candidate runs outside base matches, the words there
-    rendered as identifiers (snake, kebab, path, camel or numbered, by the text's
-    hash), and decimal renderings of digests and dates, as numbers are no secrets. ``sample_docs``
+    rendered as identifiers (snake, camel or numbered, by the text's
+    hash, four at a time), and decimal renderings of digests and dates, as numbers are no secrets. ``sample_docs``
     bounds the documents read (chosen by hashed ``doc_id``).
     """
     d = hash_sample(docs, "doc_id", sample_docs).select(text_or_empty().alias("t"))
@@ -134,11 +134,14 @@ def labelled_samples(docs: DataFrame, sample_docs: int, min_length: int = 8) ->
     words = F.regexp_extract_all(rest, F.lit("[A-Za-z]+"), F.lit(0))
     number = F.conv(F.substring(digest, 1, 15), 16, 10)
     date = F.date_format(F.timestamp_seconds(F.pmod(F.xxhash64("t"), F.lit(2_000_000_000))), "yyyy-MM-dd_HH-mm-ss")
-    joined = [F.array_join(words, mark) for mark in "_-/"] + [
-        F.array_join(F.transform(words, F.initcap), ""),
-        F.array_join(F.transform(words, lambda w, i: F.concat(w, (i % 100).cast("string"))), "/")]
+    groups = _let(words, lambda w: F.transform(
+        F.sequence(F.lit(0), (F.size(w) / 4).cast("int")), lambda i: F.slice(w, i * 4 + 1, 4)))
+    style = F.pmod(F.xxhash64("t"), F.lit(5))
+    identifiers = F.transform(groups, lambda g: F.when(style < 3, F.array_join(g, "_")).when(
+        style == 3, F.array_join(F.transform(g, F.initcap), "")).otherwise(
+        F.array_join(F.transform(g, lambda w, i: F.concat(w, F.lit("/"), i.cast("string"))), "-")))
     ordinary = F.concat(F.regexp_extract_all(rest, F.lit(candidate_pattern(min_length)), F.lit(0)),
-                        F.array(number, date, F.get(F.array(*joined), F.pmod(F.xxhash64("t"), F.lit(len(joined))).cast("int"))))
+                        F.array(number, date), identifiers)
     return d.select(F.explode(random).alias("text"), F.lit(True).alias("random")).unionByName(
         d.select(F.explode(ordinary).alias("text"), F.lit(False).alias("random")))
 
