@@ -90,3 +90,51 @@ def test_ranges_and_refusals():
         reader.partitions({"0": 0}, {"0": 4})
     with pytest.raises(ValueError):
         ItemChangesReader({"table": "t", "segments": "0", "client_factory": FACTORY})
+
+
+def test_reading_grows_with_the_changes(tmp_path, monkeypatch):
+    """Every line is read about once by the ranges of a backlog, however many pages and ranges there are."""
+    import builtins
+
+    from tidemark.sources import offline
+
+    monkeypatch.setattr(offline, "MARK_ITEMS", 7)
+    _add(tmp_path / "src", "a.json", range(0, 150))
+    _add(tmp_path / "src", "b.json", range(500, 503))
+    (tmp_path / "src" / "c.json").write_text("\n \n" + "".join(json.dumps({"Item": {"id": {"N": str(i)}}}) + "\n\n" for i in range(150, 290)))
+    reader = ItemChangesReader({"table": "t", "segments": "2", "client_factory": "tidemark.sources.offline:ExportFolderClient",
+                                "range_items": "20", "client.path": str(tmp_path / "src"), "client.page_items": "3"})
+    end, read = reader.latestOffset(), []
+    assert end == {"0": 290, "1": 3}
+
+    class Counting:
+        def __init__(self, fh):
+            self.fh = fh
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            self.fh.close()
+
+        def __iter__(self):
+            return iter(self.readline, b"")
+
+        def readline(self):
+            line = self.fh.readline()
+            read.append(line)
+            return line
+
+        def __getattr__(self, name):
+            return getattr(self.fh, name)
+
+    monkeypatch.setattr(offline, "open", lambda *a: Counting(builtins.open(*a)), raising=False)
+    got = {}
+    for part in reader.partitions(reader.initialOffset(), end):
+        got.setdefault(part.segment, []).extend(
+            int(json.loads(x)["Item"]["id"]["N"]) for b in reader.read(part) for x in b.column(0).to_pylist())
+    assert got == {0: list(range(290)), 1: [500, 501, 502]}
+    assert len(read) < 2 * (290 + 145 + 3)  # before: the whole segment for every page, over 14,000 lines
+    reader.asked = None  # a batch planned by an earlier process: tasks find their own places
+    again = [json.loads(x)["Item"]["id"]["N"] for p in reader.partitions({"0": 147, "1": 0}, {"0": 153, "1": 0}) for b in reader.read(p) for x in b.column(0).to_pylist()]
+    assert again == [str(i) for i in range(147, 153)]

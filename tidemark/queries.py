@@ -123,6 +123,11 @@ def _write_export(spark: SparkSession, events: DataFrame, label: str, files: int
     return folder
 
 
+def _readers(spark: SparkSession) -> int:
+    """Files and scan segments of an export: one for every core, four at least."""
+    return max(4, spark.sparkContext.defaultParallelism)
+
+
 def _append_files(spark: SparkSession, source: str, target: str) -> None:
     """Move the export files of one folder into another, behind those that are there by name."""
     for name, is_folder, _ in fs.children(spark, source):
@@ -504,8 +509,8 @@ def q_stream_landing(spark, sf):
 def q_stream_changes(spark, sf):
     """A change feed landed in two rounds of one stream: the second takes up where the first stopped."""
     events = _t(spark, sf, "events")
-    feed = _write_export(spark, events.where(F.col("ts") < _ts("2024-01-15")), "feed", files=4)
-    later = _write_export(spark, events.where(F.col("ts") >= _ts("2024-01-15")), "feed-later", files=4)
+    feed = _write_export(spark, events.where(F.col("ts") < _ts("2024-01-15")), "feed", files=_readers(spark))
+    later = _write_export(spark, events.where(F.col("ts") >= _ts("2024-01-15")), "feed-later", files=_readers(spark))
     root, checkpoint = scratch_folder(spark, "landed-changes"), scratch_folder(spark, "changes-checkpoint")
     for run_at in (RUN_1, RUN_2):
         query = land_changes(spark, TableConfig("events", root, "event_id", feed), "events", checkpoint, _scan_client(spark),

@@ -4,6 +4,29 @@ from __future__ import annotations
 
 import json
 import os
+from functools import lru_cache
+
+#: Items between two places of a file that are kept.
+MARK_ITEMS = 10_000
+
+
+def _items(path: str) -> tuple[int, list[int]]:
+    """(items in a file, byte where every ``MARK_ITEMS``-th begins); read once by a process while the file is the same."""
+    known = os.stat(path)
+    return _count_items(path, known.st_size, known.st_mtime_ns)
+
+
+@lru_cache(maxsize=4096)
+def _count_items(path: str, size: int, changed: int) -> tuple[int, list[int]]:
+    n, at, marks = 0, 0, []
+    with open(path, "rb") as fh:
+        for line in fh:
+            if line.strip():
+                if n % MARK_ITEMS == 0:
+                    marks.append(at)
+                n += 1
+            at += len(line)
+    return n, marks
 
 
 class ExportFolderClient:
@@ -13,6 +36,7 @@ class ExportFolderClient:
     order. A page holds at most ``page_items`` items of one file; its key is
     the file and the byte it ends at. As a change feed, a segment's items are
     numbered in that order; files that come later must sort behind the others.
+    ``places`` and ``NextPlace`` let a reader go on without counting from the first.
     """
 
     def __init__(self, path: str, page_items: int | str = 500):
@@ -43,17 +67,43 @@ class ExportFolderClient:
             out["LastEvaluatedKey"] = {"file": later[0], "offset": 0}
         return out
 
-    def _lines(self, segment, total):
-        for i in range(segment, len(self.files), total):
-            with open(self.files[i], "rb") as fh:
-                yield from (line for line in fh if line.strip())
-
     def latest(self, TableName, Segment=0, TotalSegments=1):
-        return sum(1 for _ in self._lines(Segment, TotalSegments))
+        return sum(_items(self.files[i])[0] for i in range(Segment, len(self.files), TotalSegments))
+
+    def places(self, TableName, Starts, Segment=0, TotalSegments=1):
+        """(file, byte, changes to skip from there) where each of the ascending ``Starts`` is found."""
+        out, mine, before = [], range(Segment, len(self.files), TotalSegments), 0
+        at = iter(mine)
+        file = next(at, None)
+        for start in Starts:
+            while file is not None and before + _items(self.files[file])[0] <= start:
+                before += _items(self.files[file])[0]
+                file = next(at, None)
+            if file is None:
+                out.append((len(self.files), 0, 0))
+            else:
+                mark, skip = divmod(start - before, MARK_ITEMS)
+                out.append((file, _items(self.files[file])[1][mark], skip))
+        return out
 
-    def changes(self, TableName, Start, End, Segment=0, TotalSegments=1):
-        end = min(End, Start + self.page_items)
-        return {"Items": [json.loads(line)["Item"] for n, line in enumerate(self._lines(Segment, TotalSegments)) if Start <= n < end], "Next": end}
+    def changes(self, TableName, Start, End, Segment=0, TotalSegments=1, Place=None):
+        file, byte, skip = Place or self.places(TableName, [Start], Segment, TotalSegments)[0]
+        items, most = [], min(End - Start, self.page_items)
+        while file < len(self.files) and len(items) < most:
+            with open(self.files[file], "rb") as fh:
+                fh.seek(byte)
+                for line in iter(fh.readline, b""):
+                    if line.strip():
+                        if skip:
+                            skip -= 1
+                            continue
+                        items.append(json.loads(line)["Item"])
+                        if len(items) == most:
+                            byte = fh.tell()
+                            break
+                else:
+                    file, byte = file + TotalSegments, 0
+        return {"Items": items, "Next": Start + len(items), "NextPlace": (file, byte, 0)}
 
 
 class LoggingExportFolderClient(ExportFolderClient):

@@ -16,7 +16,7 @@ from tidemark.config import TableConfig
 from tidemark.functions.naming import RUN_TIME_FORMAT, run_folder
 from tidemark.plans.landing import land_table
 from tidemark.sources.changes import RANGE_ITEMS, read_items_changes
-from tidemark.sources.items import parse_items
+from tidemark.sources.items import RAW_COL, parse_items
 
 _RUNS_DIR = "tidemark-runs"
 
@@ -117,22 +117,23 @@ def _land_items(spark, config, items, checkpoint_location, available_now, proces
     each = replace(config, on_empty="skip")
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        # Field discovery and the write read the batch: keep it once (bounded by the trigger limit;
-        # lost blocks are recomputed from the source). An empty one is known from the write's own count.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        # Field discovery and the write read the batch: keep its lines once (bounded by the trigger limit;
+        # lost blocks are recomputed from the source); each parses of them what it needs.
+        # An empty one is known from the write's own count.
+        lines = batch.select(RAW_COL).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             owner = f"{stream_identity(spark, checkpoint_location)}:{epoch_id}"
             run_at = epoch_run_time(spark, checkpoint_location, epoch_id, clock)
             while True:
                 try:
-                    land_table(spark, each, run_at, source=batch, owner=owner, **land_options)
+                    land_table(spark, each, run_at, source=parse_items(lines, RAW_COL), owner=owner, **land_options)
                     return
                 except FileExistsError:
                     if fs.folder_owner(spark, run_folder(config.root, run_at)) == owner:
                         return  # finished by an earlier attempt of this epoch
                     run_at = epoch_run_time(spark, checkpoint_location, epoch_id, clock, after=run_at)
         finally:
-            batch.unpersist()
+            lines.unpersist()
 
     writer = items.writeStream.foreachBatch(per_batch).option(
         "checkpointLocation", checkpoint_location
