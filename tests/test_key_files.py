@@ -39,6 +39,31 @@ def test_hot_key_over_many_batches(spark, root):
     assert spark.read.parquet(f"{root}/run/hot.parquet").count() == 40_000
 
 
+def test_large_files_have_tasks_of_their_own_and_sort_nothing(spark, root, monkeypatch):
+    """What a task sorts stays within some rows, whatever the rows of one file (before: all rows of a file)."""
+    from tidemark.sinks import key_files
+
+    monkeypatch.setattr(key_files, "TASK_ROWS", 1000)
+    monkeypatch.setattr(key_files, "GROUP_BYTES", 1 << 16)
+    own_type = type(spark.range(1))
+    sorted_rows, plain = [], own_type.sortWithinPartitions
+
+    def watched(self, *cols):
+        sorted_rows.append([r["n"] for r in self.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()])
+        return plain(self, *cols)
+
+    monkeypatch.setattr(own_type, "sortWithinPartitions", watched)
+    name = F.when(F.col("id") % 2 < 1, "hot").when(F.col("id") % 4 < 2, "warm").otherwise(F.concat(F.lit("k"), F.col("id") % 97))
+    df = spark.range(40_000).select(name.alias("k"), "id", F.lit(None).cast("long").alias("place"), F.lit("x").alias("hot_name"))
+    assert write_run(df, f"{root}/run", layout="key_files", keys=["k"]) == 40_000
+    assert max(sorted_rows[0]) < 4000 and sum(sorted_rows[0]) == 10_000
+    assert len(_files(f"{root}/run")) == 99
+    back = spark.read.parquet(f"{root}/run").withColumn("file", F.col("_metadata.file_name"))
+    assert back.columns == ["k", "id", "place", "hot_name", "file"]
+    assert back.where(F.concat("k", F.lit(".parquet")) != F.col("file")).count() == 0
+    assert back.select("id").distinct().count() == back.count() == 40_000
+
+
 def test_failed_tasks_leave_nothing(spark, root):
     df = spark.range(2000, numPartitions=4).select((F.col("id") % 20).cast("string").alias("k"), F.col("id").alias("v"))
     bad = df.withColumn("v", F.when(F.col("v") == 1999, F.raise_error(F.lit("broken row")).cast("long")).otherwise(F.col("v")))
