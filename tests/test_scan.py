@@ -168,3 +168,22 @@ def test_pages_are_kept_once_and_used_on_their_own_path_only(tmp_path):
     assert log.get(0, {"k": 9}) is None and log.get(1, {"k": 1}) is None
     assert PageLog(f"file:{tmp_path}/p", 0, 2).get(0, None) == (["a", "é\n"], {"k": 1})
     assert PageLog(str(tmp_path / "p"), 0, 3).get(0, None) is None
+
+
+def test_launcher_query_scans_with_every_core(spark, monkeypatch):
+    """Before: four segments and four export files whatever the cluster, so the scan did not grow with it."""
+    from tests.conftest import SF_SMOKE
+    from tidemark import queries
+
+    seen, plain = [], queries.config_from_entry
+
+    def watched(entry, scheme):
+        path = entry["options"]["client.path"].removeprefix("file:")
+        seen.append((int(entry["options"]["segments"]), len([f for f in os.listdir(path) if f.startswith("part-")])))
+        return plain(entry, scheme)
+
+    monkeypatch.setattr(queries, "config_from_entry", watched)
+    rows = queries.q_land_from_args(spark, SF_SMOKE).count()
+    cores = spark.sparkContext.defaultParallelism
+    assert cores > 4 and seen == [(cores, cores)] * 2
+    assert rows == spark.read.parquet(f"{SF_SMOKE}/events.parquet").count()

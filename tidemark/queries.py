@@ -552,12 +552,12 @@ def q_land_from_args(spark, sf):
     bucket, _, folder = path.strip("/").rpartition("/")
     factory = _scan_client(spark)
     for run_at, rows in ((RUN_1, events.where(F.col("ts") < _ts("2024-01-15"))), (RUN_2, events)):
-        export = _write_export(spark, rows, "args-export", files=4)
+        export = _write_export(spark, rows, "args-export", files=_readers(spark))
         entry = {"--bucket_name": bucket, "--folder_name": folder, "--primary_key": "event_id",
                  "--primary_key_is_composite": "false", "--dynamo_table_name": "events", "source": "events",
                  "source_format": "items_scan", "null_safe": "true", "rules": 'RowCount > 0; IsComplete "event_id"',
                  "fail_on_violation": "true", "audit_names": "run_day,run_time",
-                 "options": {"client_factory": factory, "segments": "4", "client.path": export}}
+                 "options": {"client_factory": factory, "segments": str(_readers(spark)), "client.path": export}}
         land_tables(spark, [config_from_entry(entry, scheme or "file")], run_at)
     return read_landed(spark, root)
 
