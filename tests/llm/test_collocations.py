@@ -118,3 +118,12 @@ def test_counts_beyond_64_bits(spark, monkeypatch):
     monkeypatch.setattr(collocations, "frequent_phrases", lambda *a, **k: (grams, langs))
     row = collocations.collocations(grams).first()
     assert row["score"] == 2_000_000 * (big - 1) // (2 * big + 1) and row["n"] == 3 * big
+
+
+def test_an_index_holds_twelve_bytes_a_word_and_direction():
+    """Before: twenty, and shards of 8 MB."""
+    words = np.r_[0, np.random.default_rng(1).integers(1, 50, 5000), 0].astype(np.int32)
+    index = Index(words, 4)
+    for d in (index.forward, index.backward):
+        assert sum(x.nbytes for x in (d.order, d.before, d.step)) <= 12 * len(words)
+    assert collocations.SHARD_BYTES <= 4 << 20 and collocations.RANGE_BYTES <= 8 << 20

@@ -39,7 +39,7 @@ ABSORBED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 NO_LANG = "und"
 #: Text bytes of a shard, of a buffer that is split into words at once, and behind one key range.
-SHARD_BYTES, BUFFER_BYTES, RANGE_BYTES = 8 << 20, 1 << 20, 16 << 20
+SHARD_BYTES, BUFFER_BYTES, RANGE_BYTES = 4 << 20, 1 << 20, 8 << 20
 _PIECE_ENDS = np.zeros(256, bool)
 _PIECE_ENDS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 _WORD_ENDS = _PIECE_ENDS.copy()
@@ -202,10 +202,13 @@ class Direction:
             key[:n - span] += rank[span:]
             self.order, in_order = _sorted(key)
             span *= 2
-        row = np.empty(n, np.int64)
-        row[self.order] = np.arange(n)
+        del rank, in_order
+        small = np.int32 if n < 1 << 31 else np.int64
+        row = np.empty(n, small)
+        row[self.order] = np.arange(n, dtype=small)
         self.before = words[self.order - 1]
         self.step = row[self.order - 1]
+        self.order = self.order.astype(small)
 
     def extend(self, lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
         """(pattern, new start, count, rows of smaller words, word) of every word before every pattern."""
@@ -217,7 +220,7 @@ class Direction:
         order, key = _sorted(pattern * words + word)
         head = _heads(key)
         count = np.diff(np.r_[head, len(key)])
-        first = np.minimum.reduceat(self.step[rows[order]], head) if len(head) else head
+        first = np.minimum.reduceat(self.step[rows[order]], head).astype(np.int64) if len(head) else head
         pattern, word = np.divmod(key[head].astype(np.int64), words)
         some = word > 0
         return tuple(x[some] for x in (pattern, first, count, head - start[pattern], word))
