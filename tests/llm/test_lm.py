@@ -129,3 +129,24 @@ def test_gradients_lower_the_loss(small):
     size = np.array([len(s) for s in streams])
     few, many = (sum(x.sum() for x in attention.Model(v, attention.train(streams, v, steps=k)).token_logs(np.concatenate(streams), size)) for k in (1, 300))
     assert many > few + 100
+
+
+def test_texts_beyond_the_sample_are_learned_from(spark):
+    """The order of words in texts that the first weights do not see makes the same order likelier."""
+    def scores(line):
+        df = spark.createDataFrame([(i, f"{line} " * 2500) for i in range(30)], "doc_id long, text string").coalesce(1)
+        asked = spark.createDataFrame([(0, "red green blue " * 40), (1, "red blue green " * 40)], "doc_id long, text string")
+        return {r["doc_id"]: r["score"] for r in lm.score_texts(asked, df, sample_docs=0, steps=1).collect()}
+
+    a, b = scores("red green blue"), scores("red blue green")
+    assert a[0] > b[0] + 1 and b[1] > a[1] + 1
+
+
+def test_vocabulary_is_of_all_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 50").select("doc_id", "text")
+    path = lm.default_model()
+    v = lm.train_vocabulary(lm.text_statistics(docs.repartition(3), path), path)
+    sub = lm.Subwords(path)
+    streams = [x for *_, ids, size in lm._streams([r["text"] for r in docs.collect()], sub) for x in np.split(ids, np.cumsum(size)[:-1])]
+    want = attention.build_vocabulary(streams, sub.is_start)
+    assert (v.cls == want.cls).all() and np.allclose(v.share, want.share) and (v.row == want.row).all()

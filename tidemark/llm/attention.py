@@ -17,8 +17,12 @@ import numpy as np
 BLOCK, KEY, HIDDEN = 16, 16, 32
 #: Rows of the embedding tables and classes; rarer subwords share their class's row.
 ROWS, SINGLE, GROUPS = 3072, 40, 20
+#: Hashed buckets of the ids near an id.
+NEAR = 64
 _BIG = np.float32(-1e9)
 _BLOCKS_AT_ONCE = 64
+#: Blocks a step of :meth:`Learner.learn` takes together; steps until its rate is reached.
+_BLOCKS_A_STEP, _WARM = 512, 20
 
 
 @dataclass(frozen=True)
@@ -36,29 +40,45 @@ class Vocabulary:
         return len(self.cls) - 1
 
 
+class Company:
+    """How often every id occurs, and how often near ids of every hashed bucket; sums of parts are the whole's."""
+
+    def __init__(self, size: int):
+        self.count = np.zeros(size, np.int64)
+        self.near = np.zeros(size * NEAR, np.int32)
+        self.bucket = (np.arange(size) * 2654435761 % (1 << 32)) // ((1 << 32) // NEAR)
+
+    def add(self, ids: np.ndarray, size: np.ndarray) -> None:
+        """Texts of ``size`` ids laid end to end."""
+        self.count += np.bincount(ids, minlength=len(self.count))
+        row, bucket, text = ids * NEAR, self.bucket[ids], np.repeat(np.arange(len(size)), size)
+        for step in (1, 2, 3, 4):
+            same = text[:-step] == text[step:]
+            for place in ((row[:-step] + bucket[step:])[same], (row[step:] + bucket[:-step])[same]):
+                np.add.at(self.near, place, np.int32(1))
+
+
 def build_vocabulary(streams: list[np.ndarray], is_start: np.ndarray) -> Vocabulary:
-    """Classes from sample texts (id arrays): common subwords alone, others by their company.
+    """The vocabulary of texts given as id arrays."""
+    met = Company(len(is_start))
+    met.add(np.concatenate([*streams, np.empty(0, np.int64)]).astype(np.int64), np.array([len(s) for s in streams], np.int64))
+    return vocabulary(met.count, met.near.reshape(-1, NEAR), len(streams), is_start)
+
+
+def vocabulary(count: np.ndarray, near: np.ndarray, texts: int, is_start: np.ndarray) -> Vocabulary:
+    """Classes from the counts of :class:`Company`: common subwords alone, others by their company.
 
     ``is_start`` tells for every id whether it begins a word. Ids are grouped
-    by the common subwords that occur near them, by k-means, within either
-    kind. Every id has a share, also those the sample lacks.
+    by the ids that occur near them, by k-means, within either kind. Every id
+    has a share, also those that do not occur.
     """
     size = len(is_start)
-    ids = np.concatenate([*streams, np.empty(0, np.int64)]).astype(np.int64)
-    count = np.bincount(ids, minlength=size).astype(float)
+    count = count.astype(float)
     order = np.argsort(-count, kind="stable")
-    common = order[:256]
-    near, place = np.full(size, -1), np.full(size, -1)
-    near[common] = np.arange(len(common))
+    place = np.full(size, -1)
     seen_ids = np.flatnonzero(count)
     place[seen_ids] = np.arange(len(seen_ids))
-    company = np.zeros((len(seen_ids), len(common)), np.float32)
-    for s in streams:
-        for step in (1, 2, 3, 4):
-            a, b = s[:-step], s[step:]
-            for x, y in ((a, near[b]), (b, near[a])):
-                known = y >= 0
-                np.add.at(company, (place[x[known]], y[known]), 1.0)
+    company = near[seen_ids].astype(np.float32)
     company /= np.maximum(company.sum(axis=1, keepdims=True), 1.0)
     np.sqrt(company, out=company)
     cls = np.full(size + 1, -1)
@@ -84,11 +104,11 @@ def build_vocabulary(streams: list[np.ndarray], is_start: np.ndarray) -> Vocabul
                 centre = np.where(mass[:, None] > 0, total / np.maximum(mass, 1e-9)[:, None], centre).astype(np.float32)
             cls[met] = at + nearest
             at += len(centre)
-        cls[rest[count[rest] == 0]] = at  # ids the sample lacks are a class of their own
+        cls[rest[count[rest] == 0]] = at  # ids that do not occur are a class of their own
         at += 1
         if kind:
             starts = at
-    full = np.r_[count, max(1, len(streams))] + 0.05
+    full = np.r_[count, max(1, texts)] + 0.05
     mass = np.bincount(cls, weights=full, minlength=at)
     rank = np.empty(size, np.int64)
     rank[order] = np.arange(size)
@@ -117,6 +137,21 @@ def blocks(ids: np.ndarray, size: np.ndarray, v: Vocabulary, block: int = BLOCK)
     return v.row[given].reshape(-1, block), target.reshape(-1, block), inside.reshape(-1, block), first
 
 
+def _after_starts(given: np.ndarray, first: np.ndarray, start_row: int) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks with a block of starts before every text, in which nothing is foretold, and where the others are."""
+    at = np.arange(len(given)) + np.cumsum(first)
+    rows = np.full((len(given) + int(first.sum()), BLOCK), start_row)
+    rows[at] = given
+    return rows, at
+
+
+def _windows(x: np.ndarray, apart: int = 1) -> np.ndarray:
+    """The blocks at 1, 1 + ``apart`` and so on, each after the one before it; a view."""
+    n, s, d = x.shape
+    by_block, by_place, by_value = x.strides
+    return np.lib.stride_tricks.as_strided(x, (n // 2 if apart == 2 else n - 1, 2 * s, d), (apart * by_block, by_place, by_value))
+
+
 @dataclass
 class Weights:
     query: np.ndarray
@@ -137,59 +172,133 @@ def _mask(distance: np.ndarray, block: int) -> np.ndarray:
     return np.where(gap >= 0, distance[np.maximum(gap, 0)], _BIG).astype(np.float32)
 
 
-def train(streams: list[np.ndarray], v: Vocabulary, steps: int = 1500, batch: int = 128, rate: float = 0.01,
-          seed: int = 3) -> Weights:
-    """Weights fitted by Adam on blocks of the sample texts, drawn with a fixed seed."""
+class Learner:
+    """Weights fitted by Adam; gradients are summed over blocks until a step takes them."""
+
+    def __init__(self, w: Weights, v: Vocabulary):
+        self.v, self.start_row = v, v.row[v.end]
+        #: query, key, value and residual side by side, then the rest
+        self.table = np.concatenate([w.query, w.key, w.value, w.residual], axis=1)
+        self.rest = [w.distance.copy(), w.out.copy(), w.bias.copy()]
+        self.m1, self.m2 = ([np.zeros_like(p) for p in (self.table, *self.rest)] for _ in range(2))
+        self.steps = self.targets = self.blocks = 0
+        self._begin()
+
+    def _begin(self) -> None:
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.sums = [np.zeros_like(p) for p in self.rest]
+        self.targets = self.blocks = 0
+
+    def weights(self) -> Weights:
+        parts = np.split(self.table, [KEY, 2 * KEY, 2 * KEY + HIDDEN], axis=1)
+        return Weights(*(np.ascontiguousarray(p) for p in parts), *(p.copy() for p in self.rest))
+
+    def add(self, rows: np.ndarray, cls: np.ndarray, inside: np.ndarray, apart: int = 1) -> None:
+        """Gradients of the blocks at 1, 1 + ``apart`` and so on of ``rows``, each behind the one before it.
+
+        ``cls`` and ``inside`` tell the classes of these blocks' targets and which of them count.
+        """
+        s, (distance, out, bias) = BLOCK, self.rest
+        x = self.table.take(rows, axis=0)
+        own, before = slice(1, None, apart), slice(0, len(rows) - 1, apart)
+        both = _windows(x, apart)
+        q, k, val = x[own, :, :KEY], both[:, :, KEY:2 * KEY], both[:, :, 2 * KEY:2 * KEY + HIDDEN]
+        p = q @ k.transpose(0, 2, 1)
+        p += _mask(distance, s)
+        p -= p.max(axis=2, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(axis=2, keepdims=True)
+        h = p @ val
+        h += x[own, :, 2 * KEY + HIDDEN:]
+        g = np.maximum(h, 0).reshape(-1, HIDDEN)
+        d = g @ out
+        d += bias
+        d -= d.max(axis=1, keepdims=True)
+        np.exp(d, out=d)
+        one = np.ones(d.shape[1], np.float32)
+        mass = d @ one
+        d[np.arange(len(d)), cls.ravel()] -= mass
+        scale = np.where(inside.ravel(), 1 / mass, np.float32(0))[:, None]
+        dh = d @ out.T
+        dh *= scale
+        dh *= g > 0
+        dh = dh.reshape(h.shape)
+        g *= scale
+        self.sums[1] += g.T @ d
+        self.sums[2] += scale[:, 0] @ d
+        da = dh @ val.transpose(0, 2, 1)
+        da -= np.einsum("bij,bij->bi", da, p)[:, :, None]
+        da *= p
+        grad = np.zeros_like(x)
+        grad[own, :, :KEY] = da @ k
+        grad[own, :, 2 * KEY + HIDDEN:] = dh
+        for columns, part in ((slice(KEY, 2 * KEY), da.transpose(0, 2, 1) @ q), (slice(2 * KEY, 2 * KEY + HIDDEN), p.transpose(0, 2, 1) @ dh)):
+            grad[own, :, columns] += part[:, s:]
+            grad[before, :, columns] += part[:, :s]
+        self.held.append((rows.ravel(), grad.reshape(-1, x.shape[2])))
+        gap = s + np.arange(s)[:, None] - np.arange(2 * s)[None, :]
+        self.sums[0] += np.bincount(np.maximum(gap, 0).ravel(), np.where(gap >= 0, da.sum(axis=0), 0).ravel(), 2 * s).astype(np.float32)
+        self.targets += int(inside.sum())
+        self.blocks += len(cls)
+
+    def step(self, rate: float) -> None:
+        """One step of Adam with the mean gradient of what was added since the last one."""
+        grad = np.zeros_like(self.table)
+        row, values = (np.concatenate(x) for x in zip(*self.held))
+        order = np.argsort(row.astype(np.uint16), kind="stable")
+        first = np.flatnonzero(np.diff(row[order], prepend=-1))
+        grad[row[order[first]]] = np.add.reduceat(values.take(order, axis=0), first, axis=0)
+        self.steps += 1
+        for x, dx, a1, a2 in zip((self.table, *self.rest), (grad, *self.sums), self.m1, self.m2):
+            dx /= max(1, self.targets)
+            a1 += 0.1 * (dx - a1)
+            dx *= dx
+            a2 += 0.01 * (dx - a2)
+            x -= rate * (a1 / (1 - 0.9 ** self.steps)) / (np.sqrt(a2 / (1 - 0.99 ** self.steps)) + 1e-8)
+        self._begin()
+
+    def learn(self, ids: np.ndarray, size: np.ndarray, rate: float) -> None:
+        """Steps over all blocks of texts of ``size`` ids laid end to end, in their order."""
+        given, target, inside, first = blocks(ids, size, self.v)
+        rows, at = _after_starts(given, first, self.start_row)
+        cls, counted = np.zeros(rows.shape, np.int64), np.zeros(rows.shape, bool)
+        cls[at], counted[at] = self.v.cls[target], inside
+        lo = 1
+        while lo < len(rows):
+            hi = min(len(rows), lo + min(_BLOCKS_A_STEP - self.blocks, _BLOCKS_AT_ONCE))
+            self.add(rows[lo - 1:hi], cls[lo:hi], counted[lo:hi])
+            lo = hi
+            if self.blocks >= _BLOCKS_A_STEP:
+                self.step(rate * min(1.0, (self.steps + 1) / _WARM))
+
+    def end(self, rate: float) -> None:
+        """What is left, in a step as much shorter as there are fewer blocks than usual."""
+        if self.blocks:
+            self.step(rate * min(1.0, (self.steps + 1) / _WARM) * self.blocks / _BLOCKS_A_STEP)
+
+
+def initial(v: Vocabulary, seed: int = 3) -> Weights:
     rng = np.random.default_rng(seed)
     f = np.float32
-    s = BLOCK
-    w = Weights(*(rng.normal(0, 0.3, (ROWS, d)).astype(f) for d in (KEY, KEY, HIDDEN, HIDDEN)),
-                np.zeros(2 * s, f), rng.normal(0, 0.2, (HIDDEN, v.classes)).astype(f), np.zeros(v.classes, f))
+    return Weights(*(rng.normal(0, 0.3, (ROWS, d)).astype(f) for d in (KEY, KEY, HIDDEN, HIDDEN)),
+                   np.zeros(2 * BLOCK, f), rng.normal(0, 0.2, (HIDDEN, v.classes)).astype(f), np.zeros(v.classes, f))
+
+
+def train(streams: list[np.ndarray], v: Vocabulary, steps: int = 1500, batch: int = 128, rate: float = 0.01,
+          seed: int = 3) -> Weights:
+    """Weights fitted from the start on blocks of texts, drawn with a fixed seed."""
+    w = initial(v, seed)
     if not streams:
         return w
+    learner, rng = Learner(w, v), np.random.default_rng(seed + 1)
     given, target, inside, first = blocks(np.concatenate(streams), np.array([len(x) for x in streams]), v)
     cls = v.cls[target]
-    start_row = v.row[v.end]
-    m1, m2 = ([np.zeros_like(p) for p in w.all()] for _ in range(2))
-    gap = s + np.arange(s)[:, None] - np.arange(2 * s)[None, :]
     for step in range(steps):
         pick = rng.integers(0, len(given), batch)
-        before = np.where(first[pick, None], start_row, given[pick - 1])
-        z = np.concatenate([before, given[pick]], axis=1)
-        own = z[:, s:]
-        q, k, val, r = w.query[own], w.key[z], w.value[z], w.residual[own]
-        a = q @ k.transpose(0, 2, 1) + _mask(w.distance, s)
-        a -= a.max(axis=2, keepdims=True)
-        p = np.exp(a)
-        p /= p.sum(axis=2, keepdims=True)
-        h = r + p @ val
-        g = np.maximum(h, 0)
-        logit = g @ w.out + w.bias
-        logit -= logit.max(axis=2, keepdims=True)
-        e = np.exp(logit)
-        d = e / e.sum(axis=2, keepdims=True)
-        t = cls[pick]
-        bi, si = np.meshgrid(np.arange(batch), np.arange(s), indexing="ij")
-        d[bi, si, t] -= 1
-        d *= (inside[pick] / max(1, inside[pick].sum()))[:, :, None].astype(f)
-        g2, d2 = g.reshape(-1, HIDDEN), d.reshape(-1, v.classes)
-        dh = (d @ w.out.T) * (h > 0)
-        dp = dh @ val.transpose(0, 2, 1)
-        da = p * (dp - (dp * p).sum(axis=2, keepdims=True))
-        grads = [np.zeros_like(x) for x in w.all()]
-        np.add.at(grads[0], own.ravel(), (da @ k).reshape(-1, KEY))
-        np.add.at(grads[1], z.ravel(), (da.transpose(0, 2, 1) @ q).reshape(-1, KEY))
-        np.add.at(grads[2], z.ravel(), (p.transpose(0, 2, 1) @ dh).reshape(-1, HIDDEN))
-        np.add.at(grads[3], own.ravel(), dh.reshape(-1, HIDDEN))
-        np.add.at(grads[4], np.maximum(gap, 0).ravel(), np.where(gap >= 0, da.sum(axis=0), 0).ravel().astype(f))
-        grads[5] = g2.T @ d2
-        grads[6] = d2.sum(axis=0)
-        now = rate * min(1.0, (step + 1) / 50) * max(0.05, 1 - step / steps)
-        for x, dx, a1, a2 in zip(w.all(), grads, m1, m2):
-            a1 += 0.1 * (dx - a1)
-            a2 += 0.01 * (dx * dx - a2)
-            x -= now * (a1 / (1 - 0.9 ** (step + 1))) / (np.sqrt(a2 / (1 - 0.99 ** (step + 1))) + 1e-8)
-    return w
+        before = np.where(first[pick, None], learner.start_row, given[pick - 1])
+        learner.add(np.stack([before, given[pick]], axis=1).reshape(-1, BLOCK), cls[pick], inside[pick], apart=2)
+        learner.step(rate * min(1.0, (step + 1) / 50) * max(0.05, 1 - step / steps))
+    return learner.weights()
 
 
 class Model:
@@ -207,34 +316,27 @@ class Model:
         # hidden states end with a one, which brings the bias
         self.residual_one, self.out_bias = np.c_[w.residual, np.zeros(len(w.residual), f)].astype(f), np.r_[w.out, w.bias[None, :]].astype(f)
         self.mask = _mask(w.distance, BLOCK)
-        self.start_key, self.start_value = self.key[v.row[v.end]], self.value[v.row[v.end]]
-
-    def _attend(self, given: np.ndarray, first: np.ndarray, before: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, tuple]:
-        """Hidden states of blocks, and the last block's keys and values for the next call (``before``)."""
-        own_key, own_value = self.key[given], self.value[given]
-        key = np.empty((len(given), 2 * BLOCK, KEY), np.float32)
-        value = np.empty((len(given), 2 * BLOCK, HIDDEN + 1), np.float32)
-        for both, own, last, start in ((key, own_key, before[0], self.start_key), (value, own_value, before[1], self.start_value)):
-            both[:, BLOCK:] = own
-            both[1:, :BLOCK] = own[:-1]
-            both[0, :BLOCK] = last
-            both[first, :BLOCK] = start
-        weight = np.matmul(self.query[given], key.transpose(0, 2, 1))
+        self.kinds = np.ones((v.classes, 2), f)  # adds up the classes of word starts, and all
+        self.kinds[v.starts:, 0] = 0
+
+    def _attend(self, rows: np.ndarray) -> np.ndarray:
+        """Hidden states of all blocks but the first."""
+        key, value, given = self.key.take(rows, axis=0), self.value.take(rows, axis=0), rows[1:]
+        weight = np.matmul(self.query.take(given, axis=0), _windows(key).transpose(0, 2, 1))
         weight += self.mask
         np.exp(weight, out=weight)
-        o = np.matmul(weight, value)
-        h = o / o[:, :, HIDDEN:]
-        h += self.residual_one[given]
-        return np.maximum(h, 0, out=h), (own_key[-1], own_value[-1])
+        h = np.matmul(weight, _windows(value))
+        h /= h[:, :, HIDDEN:].copy()
+        h += self.residual_one.take(given, axis=0)
+        return np.maximum(h, 0, out=h)
 
     def _class_logs(self, h: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(chosen class's value, sum over word starts, sum over all), as exponentials of one scale by row."""
         logit = h @ self.out_bias
         chosen = logit[np.arange(len(cls)), cls]
-        with np.errstate(over="ignore"):
+        with np.errstate(over="ignore", invalid="ignore"):
             e = np.exp(logit, out=logit)
-            starting = np.add.reduce(e[:, :self.v.starts], axis=1)
-            both = starting + np.add.reduce(e[:, self.v.starts:], axis=1)
+            starting, both = (e @ self.kinds).T
         if not np.isfinite(both).all():  # values far from any met in training: take the maximum out first
             logit = h @ self.out_bias
             top = logit.max(axis=1, keepdims=True)
@@ -252,10 +354,14 @@ class Model:
         token = np.empty(target.shape, np.float32)
         begin = np.empty(target.shape, np.float32)
         cls = self.v.cls[target]
-        before = (self.start_key, self.start_value)
-        for lo in range(0, len(given), _BLOCKS_AT_ONCE):
-            hi = lo + _BLOCKS_AT_ONCE
-            h, before = self._attend(given[lo:hi], first[lo:hi], before)
+        rows, at = _after_starts(given, first, self.v.row[self.v.end])
+        foretold = np.zeros(len(rows), bool)
+        foretold[at] = True
+        hi = 0
+        for begun in range(1, len(rows), _BLOCKS_AT_ONCE):
+            told = foretold[begun:begun + _BLOCKS_AT_ONCE]
+            lo, hi = hi, hi + int(told.sum())
+            h = self._attend(rows[begun - 1:begun + _BLOCKS_AT_ONCE])[told]
             t = cls[lo:hi].ravel()
             chosen, starting, both = self._class_logs(h.reshape(-1, HIDDEN + 1), t)
             kind = np.log(np.maximum(np.where(t < self.v.starts, starting, both - starting), 1e-30))

@@ -9,21 +9,23 @@ The score mixes the two, so it adds up to a probability of the whole text:
 
     p(word) = COUNT_WEIGHT * p(class) * c(word) / c(class) + (1 - COUNT_WEIGHT) * p(subwords)
 
-Word counts are gathered from all training texts by a grouped aggregation, each with
-the class of the word, so c(class) is the exact sum over all words of the class.
+Everything is learned from all training texts. One pass gathers word counts, the
+counts and company of subwords, which give the classes, and the subword ids of
+every text. The weights start from a fit on a bounded sample; then every task
+goes on through all of its texts, and the mean over the tasks is the model.
+c(class) is the exact sum over all words of the class.
 The most frequent words, at most ``HEAD_WORDS``, are broadcast (a fixed bound);
 every other occurrence meets its count in a shuffled join, with nothing left out.
 """
 
 from __future__ import annotations
 
-import hashlib
-import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,17 +34,15 @@ from tidemark.llm.sentencepiece import MARK, Codec, default_model
 from tidemark.llm.tables import hash_sample, ready_workers, staged, table
 from tidemark.llm.toxicity import remainder
 
-#: Training documents, by hashed id, that the attention model is fitted on; its training steps.
+#: Training documents, by hashed id, and steps that give the weights from which all texts are learned.
 SAMPLE_DOCS, STEPS = 1200, 2000
+#: Learning rate of the pass over all training texts.
+RATE = 0.003
 HEAD_WORDS = 1 << 17
 COUNT_WEIGHT = 0.6
 #: Key of the end of a text among the word hashes.
 END = np.uint64(0x2545F4914F6CDD1D)
 _CHUNK, _COUNTED = 1 << 19, 1 << 20
-#: Bytes of texts kept until their distinct words are encoded; words encoded in one call.
-_HELD, _ENCODED = 1 << 25, 1 << 16
-#: Words whose classes a Python worker keeps from one task to the next.
-_KEPT_CLASSES = 1 << 20
 _LOG10 = float(np.log(10.0))
 
 
@@ -70,98 +70,14 @@ def _words(texts: list[str | None]) -> Iterator[tuple[int, int, bytes, np.ndarra
         yield lo, lo + len(part), raw, h, start, end, np.searchsorted(ends, start, side="right")
 
 
-@lru_cache(maxsize=1)
-def _codec(path: str) -> Codec:
-    return Codec(path, check=False, cached_chunks=1)
-
-
-class WordClasses:
-    """Classes of words, by the first subword; those of the first ``_KEPT_CLASSES`` words stay known by hash."""
-
-    def __init__(self, path: str, cls: np.ndarray):
-        self.codec, self.cls = _codec(path), cls
-        self.keys, self.own = np.empty(0, np.uint64), np.empty(0, np.int32)
-
-    def of(self, keys: np.ndarray, raw: Callable[[np.ndarray], list[bytes]]) -> np.ndarray:
-        """Classes of distinct words by hash; ``raw`` gives the words at places."""
-        at = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == keys[inside]
-        out = np.empty(len(keys), np.int32)
-        out[known] = self.own[at[known]]
-        new = np.flatnonzero(~known)
-        for lo in range(0, len(new), _ENCODED):
-            part = new[lo:lo + _ENCODED]
-            ids = self.codec.encode_raw(raw(part))
-            out[part] = self.cls[np.fromiter((int.from_bytes(i[:4], sys.byteorder) for i in ids), np.int64, len(ids))]
-        new = new[:_KEPT_CLASSES - len(self.keys)]
-        both = np.r_[self.keys, keys[new]]
-        order = np.argsort(both, kind="stable")
-        self.keys, self.own = both[order], np.r_[self.own, out[new]][order]
-        return out
-
-
-_word_classes: dict[tuple[str, bytes], WordClasses] = {}
-
-
-def _classes(path: str, cls: np.ndarray) -> WordClasses:
-    """The classes this Python worker knows under a vocabulary; those of another one are forgotten."""
-    name = (path, hashlib.sha256(cls.tobytes()).digest())
-    if name not in _word_classes:
-        _word_classes.clear()
-        _word_classes[name] = WordClasses(path, cls)
-    return _word_classes[name]
-
-
-def _count_batches(batches: Iterator[pa.RecordBatch], path: str, cls: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Counts and classes by word, summed up over about ``_COUNTED`` distinct words or ``_HELD`` bytes at a time."""
-    classes = _classes(path, cls)
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # word hash, count, place of one in the bytes kept
-    kept: list[bytes] = []
-    ends = size = 0
-
-    def summed() -> pa.RecordBatch:
-        word, first, at = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
-        n = np.bincount(at, weights=np.concatenate([h[1] for h in held])).astype(np.int64)
-        chunk = np.repeat(np.arange(len(held)), [len(h[0]) for h in held])[first]
-        place = np.concatenate([h[2] for h in held])[first]
-        own = classes.of(word, lambda some: [kept[c][a:b] for c, (a, b) in zip(chunk[some].tolist(), place[some].tolist())])
-        key, n, own = np.r_[word, END], np.r_[n, ends], np.r_[own, cls[-1:].astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n), pa.array(own)], ["key", "n", "cls"])
-
-    for batch in batches:
-        texts = batch.column(0).to_pylist()
-        ends += len(texts)
-        for _, _, raw, h, start, end, _ in _words(texts):
-            word, first, n = np.unique(h, return_index=True, return_counts=True)
-            held.append((word, n, np.stack([start[first], end[first]], axis=1)))
-            kept.append(raw)
-            size += len(raw)
-            if size > _HELD or sum(len(k) for k, _, _ in held) > _COUNTED:
-                yield summed()
-                held, kept, size, ends = [], [], 0, 0
-    if held or ends:
-        yield summed()
-
-
-def word_counts(docs: DataFrame, path: str, cls: np.ndarray, text: str = "text") -> DataFrame:
-    """(key, n, cls): occurrences of every word of all texts by 64-bit hash, and of the end of texts.
-
-    ``cls`` gives the class of every subword id and, last, of the end; a word
-    has its first subword's.
-    """
-    ready_workers(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(cls)
-    rows = docs.select(text).mapInArrow(lambda it: _count_batches(it, path, shared.value), "key long, n long, cls int")
-    return rows.groupBy("key").agg(F.sum("n").alias("n"), F.max("cls").alias("cls"))
-
-
 class Subwords:
     """Subword ids of words, kept by word hash."""
 
     def __init__(self, path: str, cached: int = 300_000):
         self.codec = Codec(path, check=False, cached_chunks=1)
+        self.is_start = np.array([p.startswith(MARK) for p, _, _ in self.codec.model.pieces])
+        self.size = len(self.is_start)
+        self.narrow = np.uint16 if self.size <= 1 << 16 else np.int32
         self.known: dict[int, bytes] = {}
         self.cached = cached
 
@@ -180,6 +96,156 @@ class Subwords:
         return np.frombuffer(b"".join(got), np.int32).astype(np.int64), size
 
 
+@lru_cache(maxsize=1)
+def _subwords(path: str) -> Subwords:
+    """The subwords a Python worker keeps from one task to the next."""
+    return Subwords(path)
+
+
+def _streams(texts: list[str | None], sub: Subwords) -> Iterator[tuple[np.ndarray, ...]]:
+    """(word hashes, their counts, first ids, ids of the texts end to end, ids of each text) by chunk."""
+    for lo, hi, raw, h, start, end, doc in _words(texts):
+        keys, first, at, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        flat, size = sub.of(keys, raw, start[first], end[first])
+        offset = np.cumsum(size) - size
+        own = size[at]
+        ids = flat[np.repeat(offset[at] - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))]
+        yield keys, n, flat[offset], ids, np.bincount(doc, weights=own, minlength=hi - lo).astype(np.int64)
+
+
+_PARTS = "kind int, key long, n long, first int, data binary, sizes binary"
+#: Kinds of rows: a word with its count and first id; an id with its count and company; ids of texts.
+_WORD, _NEAR, _IDS = range(3)
+
+
+def _part(kind: int, key: list | np.ndarray, n: list | np.ndarray, first: np.ndarray | None = None,
+          data: list[bytes] | None = None, sizes: list[bytes] | None = None) -> pa.RecordBatch:
+    rows = len(key)
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(rows, kind, np.int32)), pa.array(key, pa.int64()), pa.array(n, pa.int64()),
+        pa.nulls(rows, pa.int32()) if first is None else pa.array(first, pa.int32()),
+        pa.array(data or [None] * rows, pa.binary()), pa.array(sizes or [None] * rows, pa.binary()),
+    ], ["kind", "key", "n", "first", "data", "sizes"])
+
+
+def _statistics_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_PARTS``; word counts summed up over about ``_COUNTED`` words at a time, the company over the task."""
+    sub = _subwords(path)
+    met = attention.Company(sub.size)
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    ends = 0
+
+    def summed() -> pa.RecordBatch:
+        key, n, first = (np.concatenate(x) for x in zip(*held))
+        word, place, at = np.unique(key, return_index=True, return_inverse=True)
+        n = np.bincount(at, weights=n).astype(np.int64)
+        return _part(_WORD, np.r_[word, END].view(np.int64), np.r_[n, ends], np.r_[first[place], sub.size])
+
+    for batch in batches:
+        texts = batch.column(0).to_pylist()
+        ends += len(texts)
+        for key, n, first, ids, size in _streams(texts, sub):
+            met.add(ids, size)
+            held.append((key, n, first))
+            yield _part(_IDS, [0], [len(size)], None, [ids.astype(sub.narrow).tobytes()], [size.tobytes()])
+            if sum(len(h[0]) for h in held) > _COUNTED:
+                yield summed()
+                held.clear()
+                ends = 0
+    if held or ends:
+        yield summed()
+    seen = np.flatnonzero(met.count)
+    near = met.near.reshape(-1, attention.NEAR)
+    for lo in range(0, len(seen), 4096):
+        own = seen[lo:lo + 4096]
+        yield _part(_NEAR, own, met.count[own], None, [near[i].tobytes() for i in own])
+
+
+def text_statistics(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Word counts, company of subwords and subword ids of all texts: rows of ``_PARTS``, by task."""
+    ready_workers(docs.sparkSession)
+    return docs.select(text).mapInArrow(lambda it: _statistics_batches(it, path), _PARTS)
+
+
+def word_counts(parts: DataFrame) -> DataFrame:
+    """(key, n, first): occurrences of every word of all texts by 64-bit hash, and of the end of texts.
+
+    ``first`` is the word's first subword id, that of the end the number of ids.
+    """
+    return parts.where(F.col("kind") == _WORD).groupBy("key").agg(F.sum("n").alias("n"), F.max("first").alias("first"))
+
+
+def _sum_company(group: pa.Table) -> pa.Table:
+    key, at = np.unique(group["key"].to_numpy(), return_inverse=True)
+    n, near = np.zeros(len(key), np.int64), np.zeros((len(key), attention.NEAR), np.int64)
+    np.add.at(n, at, group["n"].to_numpy())
+    for i, data in zip(at.tolist(), group["data"].to_pylist()):
+        near[i] += np.frombuffer(data, np.int32)
+    return pa.table({"key": key, "n": n, "data": pa.array([x.astype(np.float32).tobytes() for x in near], pa.binary())})
+
+
+def train_vocabulary(parts: DataFrame, path: str) -> attention.Vocabulary:
+    """Classes and shares of subwords from the counts and the company of all texts."""
+    sub = _subwords(path)
+    summed = parts.where(F.col("kind") == _NEAR).select("key", "n", "data").groupBy(F.pmod("key", F.lit(256))) \
+        .applyInArrow(_sum_company, "key long, n long, data binary").toArrow().sort_by("key")
+    count, near = np.zeros(sub.size, np.int64), np.zeros((sub.size, attention.NEAR), np.float32)
+    key = summed["key"].to_numpy()
+    count[key] = summed["n"].to_numpy()
+    if len(key):
+        near[key] = np.frombuffer(b"".join(summed["data"].to_pylist()), np.float32).reshape(-1, attention.NEAR)
+    texts = parts.where((F.col("kind") == _WORD) & (F.col("key") == int(END.view(np.int64)))).agg(F.sum("n")).first()[0]
+    return attention.vocabulary(count, near, int(texts or 0), sub.is_start)
+
+
+#: Pieces that weights travel in.
+_PIECES = 32
+
+
+def _learn_batches(batches: Iterator[pa.RecordBatch], start: attention.Weights, v: attention.Vocabulary,
+                   path: str) -> Iterator[pa.RecordBatch]:
+    """The weights after all texts of the task, in pieces, and the number of tokens they were fitted on."""
+    learner = attention.Learner(start, v)
+    narrow, tokens = _subwords(path).narrow, 0
+    for batch in batches:
+        for ids, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids, size = np.frombuffer(ids, narrow).astype(np.int64), np.frombuffer(size, np.int64)
+            learner.learn(ids, size, RATE)
+            tokens += len(ids) + len(size)
+    learner.end(RATE)
+    if tokens:
+        flat = np.concatenate([w.ravel() for w in learner.weights().all()])
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.arange(_PIECES, dtype=np.int32)), pa.array(np.full(_PIECES, TaskContext.get().partitionId(), np.int32)),
+            pa.array(np.full(_PIECES, tokens, np.int64)),
+            pa.array([x.tobytes() for x in np.array_split(flat, _PIECES)], pa.binary())], ["piece", "task", "n", "data"])
+
+
+def _mean_piece(group: pa.Table) -> pa.Table:
+    group = group.sort_by("task")
+    n = group["n"].to_numpy().astype(float)
+    total = 0.0
+    for weight, data in zip(n / n.sum(), group["data"].to_pylist()):
+        total = total + weight * np.frombuffer(data, np.float32).astype(float)
+    return pa.table({"piece": group["piece"][:1], "data": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+
+def learn_texts(parts: DataFrame, start: attention.Weights, v: attention.Vocabulary, path: str) -> attention.Weights:
+    """Weights fitted on all texts: every task goes on from ``start`` through all of its own, and their mean by tokens is taken.
+
+    Tasks follow the partitions, so that the weights depend on them a little.
+    """
+    shared = parts.sparkSession.sparkContext.broadcast((start, v))
+    fitted = parts.where(F.col("kind") == _IDS).select("data", "sizes") \
+        .mapInArrow(lambda it: _learn_batches(it, *shared.value, path), "piece int, task int, n long, data binary")
+    pieces = fitted.groupBy("piece").applyInArrow(_mean_piece, "piece int, data binary").toArrow().sort_by("piece")
+    if not pieces.num_rows:
+        return start
+    flat = np.frombuffer(b"".join(pieces["data"].to_pylist()), np.float32)
+    ends = np.cumsum([w.size for w in start.all()])[:-1]
+    return attention.Weights(*(x.reshape(w.shape).copy() for x, w in zip(np.split(flat, ends), start.all())))
+
+
 class Scorer:
     """Everything a task needs: the attention model, the head words' counts, class totals."""
 
@@ -195,7 +261,7 @@ class Scorer:
     def words(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
         """(text, word hash, log p(subwords), log p(class) / c(class)) of all words and ends, by chunk."""
         if self.subwords is None:
-            self.subwords = Subwords(self.path)
+            self.subwords = _subwords(self.path)
         v = self.model.v
         for lo, hi, raw, h, start, end, doc in _words(texts):
             keys, first, at = np.unique(h, return_index=True, return_inverse=True)
@@ -266,27 +332,17 @@ def _score_batches(batches: Iterator[pa.RecordBatch], scorer: Scorer) -> Iterato
             ], ["key", "row", "doc_id", "n", "known", "x", "y"])
 
 
-def fit_attention(sample: list[str | None], path: str, steps: int = STEPS) -> attention.Model:
-    """Model fitted on a bounded sample of texts."""
-    sub = Subwords(path)
-    streams = []
-    is_start = np.array([p.startswith(MARK) for p, _, _ in sub.codec.model.pieces])
-    for lo, hi, raw, h, start, end, doc in _words(sample):
-        keys, first, at = np.unique(h, return_index=True, return_inverse=True)
-        flat, size = sub.of(keys, raw, start[first], end[first])
-        offset = np.cumsum(size) - size
-        for t in range(hi - lo):
-            mine = at[np.searchsorted(doc, t):np.searchsorted(doc, t, side="right")]
-            streams.append(np.concatenate([flat[offset[i]:offset[i] + size[i]] for i in mine]) if len(mine) else np.empty(0, np.int64))
-    v = attention.build_vocabulary(streams, is_start)
-    return attention.Model(v, attention.train(streams, v, steps))
+def first_weights(sample: list[str | None], v: attention.Vocabulary, path: str, steps: int = STEPS) -> attention.Weights:
+    """Weights to start from, fitted on a bounded sample of texts."""
+    streams = [x for *_, ids, size in _streams(sample, _subwords(path)) for x in np.split(ids, np.cumsum(size)[:-1])]
+    return attention.train(streams, v, steps)
 
 
-def _class_totals(counts: DataFrame, classes: int) -> np.ndarray:
+def _class_totals(counts: DataFrame, v: attention.Vocabulary) -> np.ndarray:
     """Training occurrences of each class, over all words; the ends are a class of their own."""
-    out = np.zeros(classes)
-    for r in counts.groupBy("cls").agg(F.sum("n").alias("n")).collect():
-        out[r["cls"]] = r["n"]
+    out = np.zeros(v.classes)
+    for r in counts.groupBy("first").agg(F.sum("n").alias("n")).collect():  # one row for each subword at most
+        out[v.cls[r["first"]]] += r["n"]
     return out
 
 
@@ -309,7 +365,8 @@ def score_texts(docs: DataFrame, train: DataFrame, path: str | None = None, samp
 
     ``train`` (doc_id, text) are the texts learned from. ``base_score`` is the
     add-one unigram model's common logarithm over all tokens, ``score`` that of
-    the mixture above. A null text is empty: its only token is the end. Every
+    the mixture above. ``sample_docs`` and ``steps`` bound the fit the weights
+    start from, not what is learned. A null text is empty: its only token is the end. Every
     row comes back once, repeated rows too; other columns are ignored. With
     no training texts no word is known and the attention model is untrained.
     """
@@ -317,11 +374,13 @@ def score_texts(docs: DataFrame, train: DataFrame, path: str | None = None, samp
     ready_workers(spark)
     path = path or default_model()
     sample = [r["text"] for r in hash_sample(train, "doc_id", sample_docs).orderBy("doc_id", "text").select("text").collect()]
-    model = fit_attention(sample, path, steps)
-    counts = staged(word_counts(train, path, model.v.cls), "lm-counts")
+    parts = staged(text_statistics(train, path), "lm-texts")
+    counts = staged(word_counts(parts), "lm-counts")
+    v = train_vocabulary(parts, path)
+    model = attention.Model(v, learn_texts(parts, first_weights(sample, v, path, steps), v, path))
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, kinds = int(size["n"]), int(size["v"])
-    totals = _class_totals(counts, model.v.classes)
+    totals = _class_totals(counts, v)
     top = most_frequent(counts, head_words).select("key", "n").toPandas()
     denominator = float(total + kinds + 1)
     head = hashing.HashTable(top["key"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64))
