@@ -116,6 +116,8 @@ def _streams(texts: list[str | None], sub: Subwords) -> Iterator[tuple[np.ndarra
 _PARTS = "kind int, key long, n long, first int, data binary, sizes binary"
 #: Kinds of rows: a word with its count and first id; an id with its count and company; ids of texts.
 _WORD, _NEAR, _IDS = range(3)
+#: Ids a row of texts holds, about; batches of rows go to Python workers, so rows are small.
+_IDS_A_ROW = 1 << 15
 
 
 def _part(kind: int, key: list | np.ndarray, n: list | np.ndarray, first: np.ndarray | None = None,
@@ -147,7 +149,10 @@ def _statistics_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterato
         for key, n, first, ids, size in _streams(texts, sub):
             met.add(ids, size)
             held.append((key, n, first))
-            yield _part(_IDS, [0], [len(size)], None, [ids.astype(sub.narrow).tobytes()], [size.tobytes()])
+            ends_at = np.r_[0, np.cumsum(size)]
+            for own in np.array_split(np.arange(len(size)), min(len(size), 1 + len(ids) // _IDS_A_ROW)):
+                a, b = own[0], own[-1] + 1
+                yield _part(_IDS, [0], [b - a], None, [ids[ends_at[a]:ends_at[b]].astype(sub.narrow).tobytes()], [size[a:b].tobytes()])
             if sum(len(h[0]) for h in held) > _COUNTED:
                 yield summed()
                 held.clear()
