@@ -150,3 +150,61 @@ def test_vocabulary_is_of_all_texts(spark):
     streams = [x for *_, ids, size in lm._streams([r["text"] for r in docs.collect()], sub) for x in np.split(ids, np.cumsum(size)[:-1])]
     want = attention.build_vocabulary(streams, sub.is_start)
     assert (v.cls == want.cls).all() and np.allclose(v.share, want.share) and (v.row == want.row).all()
+
+
+def _texts(words, each=5000):
+    return [" ".join(words[i:i + each]) for i in range(0, len(words), each)]
+
+
+def test_words_met_are_not_encoded_again(monkeypatch):
+    sub, calls = lm.Subwords(lm.default_model()), []
+    encode = sub.codec.encode_raw
+    monkeypatch.setattr(sub.codec, "encode_raw", lambda words: (calls.append(len(words)), encode(words))[1])
+    texts = _texts([f"w{i:x}" for i in range(310_000)])
+    first = [ids for *_, ids, _ in lm._streams(texts, sub)]
+    assert sum(calls) == 310_000
+    again = [ids for *_, ids, _ in lm._streams(texts, sub)]
+    assert sum(calls) == 310_000 and all((a == b).all() for a, b in zip(first, again, strict=True))
+
+
+def test_forgotten_words_are_counted_and_encoded_alike(monkeypatch):
+    """A table that is emptied between chunks gives the same counts, first ids and texts."""
+    words = [f"{w}{i % 700}" for i, w in enumerate(["alpha", "b", "中文", "delta-x"] * 1500)]
+    texts = [*_texts(words, 40), None, "", "x" * 3000]
+    path = lm.default_model()
+    monkeypatch.setattr(lm, "_CHUNK", 4000)
+
+    def statistics(cached):
+        sub = lm.Subwords(path, cached)
+        monkeypatch.setattr(lm, "_subwords", lambda _: sub)
+        rows = [r for b in lm._statistics_batches(iter([lm.pa.RecordBatch.from_pydict({"text": texts})]), path) for r in b.to_pylist()]
+        count, ids = Counter(), b"".join(r["data"] for r in rows if r["kind"] == lm._IDS)
+        for r in rows:
+            if r["kind"] == lm._WORD:
+                count[r["key"], r["first"]] += r["n"]
+        return count, ids, sum(r["kind"] == lm._WORD for r in rows)
+
+    a, b = statistics(1 << 19), statistics(50)
+    assert a[:2] == b[:2] and b[2] > a[2] == len(a[0])
+    assert sum(a[0].values()) == len(texts) + sum(len(_words(t)) for t in texts)
+
+
+def test_gradients_are_the_same_where_values_are_large(small):
+    """Also where exponentials overflow or vanish without the maximum taken out."""
+    streams, v, w = small
+    size, ids = np.array([len(s) for s in streams]), np.concatenate(streams)
+    given, target, inside, first = attention.blocks(ids, size, v)
+    rows, at = attention._after_starts(given, first, v.row[v.end])
+    cls, counted = np.zeros(rows.shape, np.int64), np.zeros(rows.shape, bool)
+    cls[at], counted[at] = v.cls[target], inside
+    plain = attention.Learner(w, v)
+    plain.add(rows, cls[1:], counted[1:])
+    for shift in (-200.0, 0.0, 200.0):  # a bias that all classes share, and all distances, changes nothing
+        moved = attention.Weights(*[x.copy() for x in w.all()])
+        moved.bias += np.float32(shift)
+        moved.distance += np.float32(shift)
+        learner = attention.Learner(moved, v)
+        learner.add(rows, cls[1:], counted[1:])
+        assert np.allclose(learner.by_class, plain.by_class, atol=2e-2) and np.allclose(learner.values[:learner.rows], plain.values[:plain.rows], atol=2e-2)
+        learner.step(0.01)
+        assert all(np.isfinite(x).all() for x in learner.weights().all())

@@ -10,6 +10,8 @@ scored once. Blocks of many texts are attended to in batches under one mask.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -172,91 +174,171 @@ def _mask(distance: np.ndarray, block: int) -> np.ndarray:
     return np.where(gap >= 0, distance[np.maximum(gap, 0)], _BIG).astype(np.float32)
 
 
+class Space:
+    """Arrays used again and again, by name, so that no memory is taken and given back for every batch."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self.held or len(self.held[name]) < size:
+            self.held[name] = np.empty(size, np.float32)
+        return self.held[name][:size].reshape(shape)
+
+    def __getstate__(self):
+        return {"held": {}}
+
+
+def _exponentials(make: Callable[[], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of what ``make`` gives, by row of one scale, and their sums by row.
+
+    It is made again where values are too large or too small as they are; each
+    row's maximum is then taken out.
+    """
+    x = make()
+    one = np.ones(x.shape[1], np.float32)
+    if x.max() < 60:
+        total = np.exp(x, out=x) @ one
+        if total.min() > 1e-20:
+            return x, total
+        x = make()
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    return x, x @ one
+
+
+#: How far back every place of two blocks is from every place of the second.
+_GAP = BLOCK + np.arange(BLOCK)[:, None] - np.arange(2 * BLOCK)[None, :]
+#: Rows of a table that a step changes together; they stay in the processor's cache.
+_ROWS_AT_ONCE = 256
+_MANY = 24
+
+
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of rows from each place of ``first`` to the next; many rows are faster added up one place after another."""
+    n = np.diff(first, append=len(values))
+    many = n > _MANY
+    out = np.add.reduceat(values, first, axis=0) if not many.any() else np.empty((len(first), values.shape[1]), np.float32)
+    if many.any():
+        for i, lo, size in zip(np.flatnonzero(many).tolist(), first[many].tolist(), n[many].tolist()):
+            np.sum(values[lo:lo + size], axis=0, out=out[i])
+        few = values[np.repeat(~many, n)]
+        if len(few):
+            out[~many] = np.add.reduceat(few, np.cumsum(n[~many]) - n[~many], axis=0)
+    return out
+
+
 class Learner:
     """Weights fitted by Adam; gradients are summed over blocks until a step takes them."""
 
     def __init__(self, w: Weights, v: Vocabulary):
         self.v, self.start_row = v, v.row[v.end]
-        #: query, key, value and residual side by side, then the rest
+        #: query, key, value and residual side by side; bias by distance; output with its bias as the last row
         self.table = np.concatenate([w.query, w.key, w.value, w.residual], axis=1)
-        self.rest = [w.distance.copy(), w.out.copy(), w.bias.copy()]
-        self.m1, self.m2 = ([np.zeros_like(p) for p in (self.table, *self.rest)] for _ in range(2))
-        self.steps = self.targets = self.blocks = 0
+        self.distance, self.out = w.distance.copy(), np.r_[w.out, w.bias[None, :]]
+        self.m1, self.m2 = ([np.zeros_like(p) for p in (self.table, self.distance, self.out)] for _ in range(2))
+        self.room, self.values = Space(), np.empty((0, self.table.shape[1]), np.float32)
+        self.steps = 0
         self._begin()
 
     def _begin(self) -> None:
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
-        self.sums = [np.zeros_like(p) for p in self.rest]
+        self.held: list[np.ndarray] = []  # the table's rows that ``values`` are gradients of
+        self.rows = 0
+        self.by_gap, self.by_class = np.zeros((BLOCK, 2 * BLOCK), np.float32), np.zeros_like(self.out)
+        self.mask = _mask(self.distance, BLOCK)
         self.targets = self.blocks = 0
 
     def weights(self) -> Weights:
         parts = np.split(self.table, [KEY, 2 * KEY, 2 * KEY + HIDDEN], axis=1)
-        return Weights(*(np.ascontiguousarray(p) for p in parts), *(p.copy() for p in self.rest))
+        return Weights(*(np.ascontiguousarray(p) for p in parts), self.distance.copy(), self.out[:HIDDEN].copy(), self.out[HIDDEN].copy())
 
     def add(self, rows: np.ndarray, cls: np.ndarray, inside: np.ndarray, apart: int = 1) -> None:
         """Gradients of the blocks at 1, 1 + ``apart`` and so on of ``rows``, each behind the one before it.
 
         ``cls`` and ``inside`` tell the classes of these blocks' targets and which of them count.
         """
-        s, (distance, out, bias) = BLOCK, self.rest
-        x = self.table.take(rows, axis=0)
+        s, n, room = BLOCK, len(cls), self.room
+        x = self.table.take(rows, axis=0, out=room("x", *rows.shape, self.table.shape[1]), mode="clip")
         own, before = slice(1, None, apart), slice(0, len(rows) - 1, apart)
         both = _windows(x, apart)
         q, k, val = x[own, :, :KEY], both[:, :, KEY:2 * KEY], both[:, :, 2 * KEY:2 * KEY + HIDDEN]
-        p = q @ k.transpose(0, 2, 1)
-        p += _mask(distance, s)
-        p -= p.max(axis=2, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=2, keepdims=True)
-        h = p @ val
+
+        def weight() -> np.ndarray:
+            p = np.matmul(q, k.transpose(0, 2, 1), out=room("p", n, s, 2 * s))
+            p += self.mask
+            return p.reshape(-1, 2 * s)
+
+        p, total = _exponentials(weight)
+        p *= (1 / total)[:, None]
+        p = p.reshape(n, s, 2 * s)
+        h = np.matmul(p, val, out=room("h", n, s, HIDDEN))
         h += x[own, :, 2 * KEY + HIDDEN:]
-        g = np.maximum(h, 0).reshape(-1, HIDDEN)
-        d = g @ out
-        d += bias
-        d -= d.max(axis=1, keepdims=True)
-        np.exp(d, out=d)
-        one = np.ones(d.shape[1], np.float32)
-        mass = d @ one
+        g = room("g", n * s, HIDDEN + 1)  # ends with a one, which brings the bias
+        g[:, HIDDEN] = 1
+        np.maximum(h.reshape(-1, HIDDEN), 0, out=g[:, :HIDDEN])
+        d, mass = _exponentials(lambda: np.matmul(g, self.out, out=room("d", n * s, self.out.shape[1])))
         d[np.arange(len(d)), cls.ravel()] -= mass
         scale = np.where(inside.ravel(), 1 / mass, np.float32(0))[:, None]
-        dh = d @ out.T
+        live = h > 0
+        dh = np.matmul(d, self.out[:HIDDEN].T, out=h.reshape(-1, HIDDEN))
         dh *= scale
-        dh *= g > 0
         dh = dh.reshape(h.shape)
+        dh *= live
         g *= scale
-        self.sums[1] += g.T @ d
-        self.sums[2] += scale[:, 0] @ d
-        da = dh @ val.transpose(0, 2, 1)
+        self.by_class += np.matmul(g.T, d, out=room("by_class", *self.out.shape))
+        da = np.matmul(dh, val.transpose(0, 2, 1), out=room("da", *p.shape))
         da -= np.einsum("bij,bij->bi", da, p)[:, :, None]
         da *= p
-        grad = np.zeros_like(x)
-        grad[own, :, :KEY] = da @ k
+        lo, hi = self.rows, self.rows + rows.size
+        if hi > len(self.values):
+            self.values = np.r_[self.values, np.empty((hi, x.shape[2]), np.float32)]
+        grad = self.values[lo:hi].reshape(x.shape)
+        grad[slice(0, None, apart) if apart > 1 else slice(0, 1)] = 0
+        np.matmul(da, k, out=grad[own, :, :KEY])
         grad[own, :, 2 * KEY + HIDDEN:] = dh
-        for columns, part in ((slice(KEY, 2 * KEY), da.transpose(0, 2, 1) @ q), (slice(2 * KEY, 2 * KEY + HIDDEN), p.transpose(0, 2, 1) @ dh)):
-            grad[own, :, columns] += part[:, s:]
-            grad[before, :, columns] += part[:, :s]
-        self.held.append((rows.ravel(), grad.reshape(-1, x.shape[2])))
-        gap = s + np.arange(s)[:, None] - np.arange(2 * s)[None, :]
-        self.sums[0] += np.bincount(np.maximum(gap, 0).ravel(), np.where(gap >= 0, da.sum(axis=0), 0).ravel(), 2 * s).astype(np.float32)
+        for at, left, right in ((KEY, da, q), (2 * KEY, p, dh)):  # keys and values: by the blocks themselves, then by those after them
+            columns, back = slice(at, at + right.shape[2]), left.transpose(0, 2, 1)
+            np.matmul(back[:, s:], right, out=grad[own, :, columns])
+            grad[before, :, columns] += np.matmul(back[:, :s], right, out=room("part", n, s, right.shape[2]))
+        self.held.append(rows.ravel())
+        self.rows = hi
+        self.by_gap += da.sum(axis=0)
         self.targets += int(inside.sum())
-        self.blocks += len(cls)
+        self.blocks += n
 
     def step(self, rate: float) -> None:
         """One step of Adam with the mean gradient of what was added since the last one."""
-        grad = np.zeros_like(self.table)
-        row, values = (np.concatenate(x) for x in zip(*self.held))
+        row = np.concatenate(self.held)
         order = np.argsort(row.astype(np.uint16), kind="stable")
         first = np.flatnonzero(np.diff(row[order], prepend=-1))
-        grad[row[order[first]]] = np.add.reduceat(values.take(order, axis=0), first, axis=0)
+        ordered = self.values.take(order, axis=0, out=self.room("ordered", len(row), self.table.shape[1]), mode="clip")
+        by_distance = np.bincount(np.maximum(_GAP, 0).ravel(), np.where(_GAP >= 0, self.by_gap, 0).ravel(), 2 * BLOCK).astype(np.float32)
         self.steps += 1
-        for x, dx, a1, a2 in zip((self.table, *self.rest), (grad, *self.sums), self.m1, self.m2):
-            dx /= max(1, self.targets)
-            a1 += 0.1 * (dx - a1)
-            dx *= dx
-            a2 += 0.01 * (dx - a2)
-            x -= rate * (a1 / (1 - 0.9 ** self.steps)) / (np.sqrt(a2 / (1 - 0.99 ** self.steps)) + 1e-8)
+        all_rows = slice(None)
+        for k, rows, grad in ((0, row[order[first]], _sums(ordered, first)), (1, all_rows, by_distance), (2, all_rows, self.by_class)):
+            grad /= max(1, self.targets)
+            self._change((self.table, self.distance, self.out)[k], self.m1[k], self.m2[k], rows, grad, rate)
         self._begin()
 
+    def _change(self, x: np.ndarray, a1: np.ndarray, a2: np.ndarray, rows: np.ndarray | slice, grad: np.ndarray, rate: float) -> None:
+        """Adam on all of ``x``, whose gradient is nought outside ``rows``; ``a1`` and ``a2`` are sums, not means, of what faded."""
+        t, f = self.steps, np.float32
+        a1 *= f(0.9)
+        a1[rows] += grad
+        grad *= grad
+        a2 *= f(0.99)
+        a2[rows] += grad
+        far = math.sqrt(0.01 / (1 - 0.99 ** t))
+        scale, least = f(rate * 0.1 / (1 - 0.9 ** t) / far), f(1e-8 / far)
+        for lo in range(0, len(x), _ROWS_AT_ONCE):
+            own = slice(lo, lo + _ROWS_AT_ONCE)
+            change = np.sqrt(a2[own], out=self.room("change", *a2[own].shape))
+            change += least
+            np.divide(a1[own], change, out=change)
+            change *= scale
+            x[own] -= change
+
     def learn(self, ids: np.ndarray, size: np.ndarray, rate: float) -> None:
         """Steps over all blocks of texts of ``size`` ids laid end to end, in their order."""
         given, target, inside, first = blocks(ids, size, self.v)
@@ -316,33 +398,37 @@ class Model:
         # hidden states end with a one, which brings the bias
         self.residual_one, self.out_bias = np.c_[w.residual, np.zeros(len(w.residual), f)].astype(f), np.r_[w.out, w.bias[None, :]].astype(f)
         self.mask = _mask(w.distance, BLOCK)
-        self.kinds = np.ones((v.classes, 2), f)  # adds up the classes of word starts, and all
-        self.kinds[v.starts:, 0] = 0
+        self.one, self.room = np.ones(v.classes, f), Space()
 
     def _attend(self, rows: np.ndarray) -> np.ndarray:
         """Hidden states of all blocks but the first."""
-        key, value, given = self.key.take(rows, axis=0), self.value.take(rows, axis=0), rows[1:]
-        weight = np.matmul(self.query.take(given, axis=0), _windows(key).transpose(0, 2, 1))
+        given, n, room = rows[1:], len(rows) - 1, self.room
+
+        def of(x: np.ndarray, name: str, at: np.ndarray) -> np.ndarray:
+            return x.take(at, axis=0, out=room(name, *at.shape, x.shape[1]), mode="clip")
+
+        weight = np.matmul(of(self.query, "query", given), _windows(of(self.key, "key", rows)).transpose(0, 2, 1), out=room("weight", n, BLOCK, 2 * BLOCK))
         weight += self.mask
         np.exp(weight, out=weight)
-        h = np.matmul(weight, _windows(value))
+        h = np.matmul(weight, _windows(of(self.value, "value", rows)), out=room("h", n, BLOCK, HIDDEN + 1))
         h /= h[:, :, HIDDEN:].copy()
-        h += self.residual_one.take(given, axis=0)
+        h += of(self.residual_one, "residual", given)
         return np.maximum(h, 0, out=h)
 
     def _class_logs(self, h: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(chosen class's value, sum over word starts, sum over all), as exponentials of one scale by row."""
-        logit = h @ self.out_bias
+        starts = self.v.starts
+        logit = np.matmul(h, self.out_bias, out=self.room("logit", len(h), self.v.classes))
         chosen = logit[np.arange(len(cls)), cls]
         with np.errstate(over="ignore", invalid="ignore"):
             e = np.exp(logit, out=logit)
-            starting, both = (e @ self.kinds).T
+            starting, both = e[:, :starts] @ self.one[:starts], e @ self.one
         if not np.isfinite(both).all():  # values far from any met in training: take the maximum out first
             logit = h @ self.out_bias
             top = logit.max(axis=1, keepdims=True)
             chosen = logit[np.arange(len(cls)), cls] - top[:, 0]
             e = np.exp(logit - top)
-            starting, both = e[:, :self.v.starts].sum(axis=1), e.sum(axis=1)
+            starting, both = e[:, :starts].sum(axis=1), e.sum(axis=1)
         return chosen, starting, both
 
     def token_logs(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -353,19 +439,17 @@ class Model:
         given, target, inside, first = blocks(ids, size, self.v)
         token = np.empty(target.shape, np.float32)
         begin = np.empty(target.shape, np.float32)
-        cls = self.v.cls[target]
         rows, at = _after_starts(given, first, self.v.row[self.v.end])
-        foretold = np.zeros(len(rows), bool)
-        foretold[at] = True
+        cls, foretold = np.zeros(rows.shape, np.int64), np.zeros(len(rows), bool)
+        cls[at], foretold[at] = self.v.cls[target], True
         hi = 0
         for begun in range(1, len(rows), _BLOCKS_AT_ONCE):
-            told = foretold[begun:begun + _BLOCKS_AT_ONCE]
+            told, t = foretold[begun:begun + _BLOCKS_AT_ONCE], cls[begun:begun + _BLOCKS_AT_ONCE].ravel()
             lo, hi = hi, hi + int(told.sum())
-            h = self._attend(rows[begun - 1:begun + _BLOCKS_AT_ONCE])[told]
-            t = cls[lo:hi].ravel()
+            h = self._attend(rows[begun - 1:begun + _BLOCKS_AT_ONCE])
             chosen, starting, both = self._class_logs(h.reshape(-1, HIDDEN + 1), t)
             kind = np.log(np.maximum(np.where(t < self.v.starts, starting, both - starting), 1e-30))
-            token[lo:hi] = (chosen - kind).reshape(-1, BLOCK)
-            begin[lo:hi] = (kind - np.log(both)).reshape(-1, BLOCK)
+            token[lo:hi] = (chosen - kind).reshape(-1, BLOCK)[told]
+            begin[lo:hi] = (kind - np.log(both)).reshape(-1, BLOCK)[told]
         token += self.v.share[target]
         return token[inside], begin[inside]

@@ -42,7 +42,7 @@ HEAD_WORDS = 1 << 17
 COUNT_WEIGHT = 0.6
 #: Key of the end of a text among the word hashes.
 END = np.uint64(0x2545F4914F6CDD1D)
-_CHUNK, _COUNTED = 1 << 19, 1 << 20
+_CHUNK = 1 << 19
 _LOG10 = float(np.log(10.0))
 
 
@@ -70,30 +70,84 @@ def _words(texts: list[str | None]) -> Iterator[tuple[int, int, bytes, np.ndarra
         yield lo, lo + len(part), raw, h, start, end, np.searchsorted(ends, start, side="right")
 
 
+def _longer(x: np.ndarray, size: int) -> np.ndarray:
+    """``x`` with room for ``size`` values at least; room doubles, so that adding stays cheap."""
+    return x if len(x) >= size else np.r_[x, np.zeros(max(size, 2 * len(x)) - len(x), x.dtype)]
+
+
 class Subwords:
-    """Subword ids of words, kept by word hash."""
+    """Subword ids of words. Words met have places, found by word hash; :meth:`forget` when there are over ``cached``."""
 
-    def __init__(self, path: str, cached: int = 300_000):
+    def __init__(self, path: str, cached: int = 1 << 19):
         self.codec = Codec(path, check=False, cached_chunks=1)
         self.is_start = np.array([p.startswith(MARK) for p, _, _ in self.codec.model.pieces])
         self.size = len(self.is_start)
         self.narrow = np.uint16 if self.size <= 1 << 16 else np.int32
-        self.known: dict[int, bytes] = {}
         self.cached = cached
-
-    def of(self, keys: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids end to end, number of ids of each word) of words given by hash and place in ``raw``."""
-        used = keys.tolist()
-        got = list(map(self.known.get, used))
-        new = [i for i, g in enumerate(got) if g is None]
-        if new:
-            if len(self.known) + len(new) > self.cached:  # what is in use stays
-                self.known = {k: g for k, g in zip(used, got) if g is not None}
-            lo, hi = start[new].tolist(), end[new].tolist()
-            for i, ids in zip(new, self.codec.encode_raw([raw[a:b] for a, b in zip(lo, hi)])):
-                got[i] = self.known[used[i]] = ids
-        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
-        return np.frombuffer(b"".join(got), np.int32).astype(np.int64), size
+        self.forget()
+
+    def forget(self) -> None:
+        self.n = self.ids = 0
+        self.keys, self.first = np.zeros(1 << 10, np.uint64), np.zeros(1 << 10, np.int64)  # ids of a place end where the next one's begin
+        self.flat = np.zeros(1 << 12, self.narrow)
+        self._make_slots(12)
+
+    @property
+    def full(self) -> bool:
+        return self.n > self.cached
+
+    def _make_slots(self, bits: int) -> None:
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.slots = np.full(1 << bits, -1, np.int32)
+        self._put(0, self.n)
+
+    def _put(self, lo: int, hi: int) -> None:
+        """Places from ``lo`` to ``hi`` each into the first free slot from the one of its hash on."""
+        todo = np.arange(lo, hi, dtype=np.int32)
+        slot = (self.keys[lo:hi] >> self.shift).astype(np.int64)
+        while len(todo):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = todo[free]
+            left = self.slots[slot] != todo
+            todo, slot = todo[left], (slot[left] + 1) & self.last
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        slot = (keys >> self.shift).astype(np.int64)
+        at = self.slots[slot]
+        todo = np.flatnonzero((at >= 0) & (self.keys[at] != keys))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & self.last
+            place = self.slots[slot[todo]]
+            at[todo] = place
+            todo = todo[(place >= 0) & (self.keys[place] != keys[todo])]
+        return at
+
+    def of(self, keys: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Places of words given by hash and place in ``raw``; new ones are encoded."""
+        at = self._find(keys)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new, where = np.unique(keys[missing], return_index=True)
+            where = missing[where]
+            ids = self.codec.encode_raw([raw[a:b] for a, b in zip(start[where].tolist(), end[where].tolist())])
+            length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            lo, hi, ends = self.n, self.n + len(new), self.ids + int(length.sum())
+            self.keys, self.first, self.flat = (_longer(x, size) for x, size in ((self.keys, hi), (self.first, hi + 1), (self.flat, ends)))
+            self.keys[lo:hi], self.first[lo + 1:hi + 1] = new, self.ids + np.cumsum(length)
+            self.flat[self.ids:ends] = np.frombuffer(b"".join(ids), np.int32)
+            self.n, self.ids = hi, ends
+            if 2 * hi > len(self.slots):
+                self._make_slots(int(4 * hi).bit_length())
+            else:
+                self._put(lo, hi)
+            at[missing] = self._find(keys[missing])
+        return at
+
+    def ids_of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, number of ids of each) of words by place."""
+        first = self.first[at]
+        n = self.first[at + 1] - first
+        return self.flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))].astype(np.int64), n
 
 
 @lru_cache(maxsize=1)
@@ -103,14 +157,11 @@ def _subwords(path: str) -> Subwords:
 
 
 def _streams(texts: list[str | None], sub: Subwords) -> Iterator[tuple[np.ndarray, ...]]:
-    """(word hashes, their counts, first ids, ids of the texts end to end, ids of each text) by chunk."""
+    """(places of words, ids of the texts end to end, ids of each text) by chunk."""
     for lo, hi, raw, h, start, end, doc in _words(texts):
-        keys, first, at, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-        flat, size = sub.of(keys, raw, start[first], end[first])
-        offset = np.cumsum(size) - size
-        own = size[at]
-        ids = flat[np.repeat(offset[at] - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))]
-        yield keys, n, flat[offset], ids, np.bincount(doc, weights=own, minlength=hi - lo).astype(np.int64)
+        at = sub.of(h, raw, start, end)
+        ids, n = sub.ids_of(at)
+        yield at, ids, np.bincount(doc, weights=n, minlength=hi - lo).astype(np.int64)
 
 
 _PARTS = "kind int, key long, n long, first int, data binary, sizes binary"
@@ -126,39 +177,41 @@ def _part(kind: int, key: list | np.ndarray, n: list | np.ndarray, first: np.nda
     return pa.RecordBatch.from_arrays([
         pa.array(np.full(rows, kind, np.int32)), pa.array(key, pa.int64()), pa.array(n, pa.int64()),
         pa.nulls(rows, pa.int32()) if first is None else pa.array(first, pa.int32()),
-        pa.array(data or [None] * rows, pa.binary()), pa.array(sizes or [None] * rows, pa.binary()),
+        *(pa.nulls(rows, pa.binary()) if x is None else pa.array(x, pa.binary()) for x in (data, sizes)),
     ], ["kind", "key", "n", "first", "data", "sizes"])
 
 
 def _statistics_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Rows of ``_PARTS``; word counts summed up over about ``_COUNTED`` words at a time, the company over the task."""
+    """Rows of ``_PARTS``; words are counted by place until those known are forgotten, the company over the task."""
     sub = _subwords(path)
     met = attention.Company(sub.size)
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    count = np.zeros(sub.n, np.int64)
     ends = 0
 
-    def summed() -> pa.RecordBatch:
-        key, n, first = (np.concatenate(x) for x in zip(*held))
-        word, place, at = np.unique(key, return_index=True, return_inverse=True)
-        n = np.bincount(at, weights=n).astype(np.int64)
-        return _part(_WORD, np.r_[word, END].view(np.int64), np.r_[n, ends], np.r_[first[place], sub.size])
+    def summed() -> Iterator[pa.RecordBatch]:
+        yield _part(_WORD, END.view(np.int64)[None], [ends], np.array([sub.size], np.int32))
+        met = np.flatnonzero(count)
+        for lo in range(0, len(met), 1 << 16):
+            own = met[lo:lo + (1 << 16)]
+            yield _part(_WORD, sub.keys[own].view(np.int64), count[own], sub.flat[sub.first[own]].astype(np.int32))
 
     for batch in batches:
         texts = batch.column(0).to_pylist()
         ends += len(texts)
-        for key, n, first, ids, size in _streams(texts, sub):
+        for at, ids, size in _streams(texts, sub):
             met.add(ids, size)
-            held.append((key, n, first))
+            count = _longer(count, sub.n)
+            np.add.at(count, at, 1)
             ends_at = np.r_[0, np.cumsum(size)]
             for own in np.array_split(np.arange(len(size)), min(len(size), 1 + len(ids) // _IDS_A_ROW)):
                 a, b = own[0], own[-1] + 1
                 yield _part(_IDS, [0], [b - a], None, [ids[ends_at[a]:ends_at[b]].astype(sub.narrow).tobytes()], [size[a:b].tobytes()])
-            if sum(len(h[0]) for h in held) > _COUNTED:
-                yield summed()
-                held.clear()
-                ends = 0
-    if held or ends:
-        yield summed()
+            if sub.full:
+                yield from summed()
+                sub.forget()
+                count, ends = np.zeros(0, np.int64), 0
+    if ends or count.any():
+        yield from summed()
     seen = np.flatnonzero(met.count)
     near = met.near.reshape(-1, attention.NEAR)
     for lo in range(0, len(seen), 4096):
@@ -269,12 +322,9 @@ class Scorer:
             self.subwords = _subwords(self.path)
         v = self.model.v
         for lo, hi, raw, h, start, end, doc in _words(texts):
-            keys, first, at = np.unique(h, return_index=True, return_inverse=True)
-            flat, size = self.subwords.of(keys, raw, start[first], end[first])
-            offset = np.cumsum(size) - size
-            n = size[at]
+            at = self.subwords.of(h, raw, start, end)
+            ids, n = self.subwords.ids_of(at)
             begin = np.cumsum(n) - n
-            ids = flat[np.repeat(offset[at] - begin, n) + np.arange(int(n.sum()))]
             per_text = np.bincount(doc, weights=n, minlength=hi - lo).astype(np.int64)
             token, start_log = self.model.token_logs(ids, per_text)
             # place of every word's and end's first token; texts are longer by their ends
@@ -290,13 +340,15 @@ class Scorer:
             follow = np.flatnonzero(~is_end)
             per[follow] += start_log[place[follow + 1]]
             first_id = np.full(len(place), v.end)
-            first_id[~is_end] = flat[offset[at]]
+            first_id[~is_end] = ids[begin]
             by_class = token[place].astype(np.float64) - v.share[first_id] - self.class_log[v.cls[first_id]]
             text = np.empty(len(place), np.int64)
             text[~is_end], text[is_end] = doc, np.arange(hi - lo)
             key = np.full(len(place), END)
             key[~is_end] = h
             yield lo + text, key, per, by_class
+            if self.subwords.full:
+                self.subwords.forget()
 
 
 def _mix(per: np.ndarray, by_class: np.ndarray, count: np.ndarray) -> np.ndarray:
